@@ -17,7 +17,7 @@ class NamedQuery:
 
 
 REGISTRY: dict[str, NamedQuery] = {}
-PLAN_MODULES = ("credit",)
+PLAN_MODULES = ("credit", "fraud")
 
 
 def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
