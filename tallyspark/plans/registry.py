@@ -17,7 +17,7 @@ class NamedQuery:
 
 
 REGISTRY: dict[str, NamedQuery] = {}
-PLAN_MODULES = ("credit", "fraud")
+PLAN_MODULES = ("credit", "fraud", "market")
 
 
 def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
