@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyspark.session import materialize
+
 BUCKET = "_rng"
 
 
@@ -41,25 +43,28 @@ def value_counts(df: DataFrame, value: str, sums: dict[str, Column] | None = Non
     return df.where(F.col(value).isNotNull()).groupBy(value).agg(*aggs)
 
 
-def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_buckets: int | None = None) -> DataFrame:
-    """For a table with one row per distinct ``value``, add ``<c>_before`` = sum of ``c``
-    over all rows with a strictly smaller value (ascending order)."""
+def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_buckets: int | None = None,
+                      keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """For a table with one row per distinct (``keys``, ``value``), add ``<c>_before`` =
+    sum of ``c`` over rows of the same key with a strictly smaller value."""
+    keys = list(keys)
     n = _n_buckets(distinct, n_buckets)
     if n > 1:
         qs = [i / n for i in range(1, n)]
-        bounds = distinct.agg(F.percentile_approx(F.col(value), qs, 10000).alias("_bounds"))
-        db = (distinct.crossJoin(F.broadcast(bounds))
-                      .withColumn(BUCKET, F.size(F.filter("_bounds", lambda b: b < F.col(value))))
-                      .drop("_bounds"))
+        bounds = distinct.groupBy(*keys).agg(F.percentile_approx(F.col(value), qs, 10000).alias("_bounds"))
+        # one row per key: bounded by the number of groups (broadcast when keyless)
+        joined = distinct.crossJoin(F.broadcast(bounds)) if not keys else distinct.join(bounds, keys)
+        db = joined.withColumn(BUCKET, F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
     else:
         db = distinct.withColumn(BUCKET, F.lit(0))
-    totals = db.groupBy(BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    # n rows at most: a bounded single-partition window
-    wt = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(BUCKET, *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    wl = Window.partitionBy(BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    totals = db.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    # (groups x n) rows: offsets per range, small
+    wt = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, BUCKET, *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
+                                             for c in cols])
+    wl = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = db.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0)).alias(f"_l_{c}") for c in cols])
-    out = local.join(F.broadcast(offsets), BUCKET)
+    out = local.join(F.broadcast(offsets) if not keys else offsets, [*keys, BUCKET])
     for c in cols:
         out = out.withColumn(f"{c}_before", (F.col(f"_o_{c}") + F.col(f"_l_{c}")).cast("bigint"))
     return out.drop(BUCKET, *[f"_o_{c}" for c in cols], *[f"_l_{c}" for c in cols])
@@ -102,28 +107,41 @@ def with_percent_rank(df: DataFrame, value: str, out: str, ascending: bool = Tru
     return joined
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int | None = None) -> DataFrame:
-    """Linearly interpolated quantiles (PERCENTILE_CONT / numpy 'linear') of ``value``.
+def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int | None = None,
+                    keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Linearly interpolated quantiles (PERCENTILE_CONT / numpy 'linear') of ``value``
+    per group of ``keys`` (or globally).
 
-    Returns one row per requested quantile: (q, quantile).  Distributed: only the
-    one or two order statistics that bracket each position are brought together.
+    Returns one row per (keys, q): (keys..., q, quantile).  Distributed: no task
+    holds more than one value range; only the one or two order statistics that
+    bracket each position are brought together.
     """
+    keys = list(keys)
     spark = df.sparkSession
-    counts = value_counts(df.select(F.col(value).cast("double").alias(value)), value)
-    cum = cumulative_before(counts, value, ["_cnt"], n_buckets)
-    n_total = counts.agg(F.sum("_cnt").alias("_N"))
+    base = df.select(*keys, F.col(value).cast("double").alias(value))
+    counts = value_counts(base, value) if not keys else (
+        base.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).cast("bigint").alias("_cnt")))
+    cum = materialize(cumulative_before(counts, value, ["_cnt"], n_buckets, keys))
+    n_total = cum.groupBy(*keys).agg(F.sum("_cnt").alias("_N"))
     qdf = spark.createDataFrame([(float(q),) for q in qs], "q double")
-    pos = (qdf.crossJoin(F.broadcast(n_total))
-              .withColumn("_h", (F.col("_N") - 1) * F.col("q"))
-              .withColumn("_lo", F.floor("_h").cast("bigint"))
-              .withColumn("_hi", F.ceil("_h").cast("bigint")))
-    # a distinct value covers positions [before, before + cnt - 1]
-    cover = (F.col("_cnt_before") <= F.col("p")) & (F.col("p") < F.col("_cnt_before") + F.col("_cnt"))
-    lo = cum.join(F.broadcast(pos.select("q", F.col("_lo").alias("p"))), cover).select("q", F.col(value).alias("_vlo"))
-    hi = cum.join(F.broadcast(pos.select("q", F.col("_hi").alias("p"))), cover).select("q", F.col(value).alias("_vhi"))
-    res = pos.join(lo, "q").join(hi, "q")
+    pos = (n_total.crossJoin(F.broadcast(qdf))
+                  .withColumn("_h", (F.col("_N") - 1) * F.col("q"))
+                  .withColumn("_lo", F.floor("_h").cast("bigint"))
+                  .withColumn("_hi", F.ceil("_h").cast("bigint")))
+
+    def pick(pcol: str, out: str) -> DataFrame:
+        p = pos.select(*keys, "q", F.col(pcol).alias("p"))
+        cover = (F.col("_cnt_before") <= F.col("p")) & (F.col("p") < F.col("_cnt_before") + F.col("_cnt"))
+        if keys:
+            j = cum.join(p, keys).where(cover)
+        else:
+            # len(qs) rows: broadcast
+            j = cum.join(F.broadcast(p), cover)
+        return j.select(*keys, "q", F.col(value).alias(out))
+
+    res = pos.join(pick("_lo", "_vlo"), [*keys, "q"]).join(pick("_hi", "_vhi"), [*keys, "q"])
     frac = F.col("_h") - F.col("_lo")
-    return res.select("q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
+    return res.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
 
 
 def hash_order_key(key: Column, salt: str = "") -> Column:

@@ -59,3 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for materialised intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Cut lineage at a reuse point: write ``df`` to the shared checkpoint folder.
+
+    Reliable (not local) checkpointing, so a lost executor re-reads the written
+    files instead of recomputing, and plans that reference ``df`` several times
+    do not re-run its upstream.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
