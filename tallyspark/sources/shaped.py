@@ -380,3 +380,12 @@ def with_views(body: str, *views: str, extra: str | None = None) -> str:
     if extra:
         ctes.append(extra.strip())
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+
+
+def exact_avg_sql(x: str, scale_in: int, k: int) -> str:
+    """DuckDB twin of ``functions.exact.exact_avg``: ROUND(AVG(x), k) half away from zero, exact."""
+    units = f"CAST(round({x} * {10 ** scale_in}) AS BIGINT)"
+    mul = 10 ** (k - scale_in)
+    s = f"SUM({units})"
+    n = f"COUNT({units})"
+    return (f"(sign({s}) * ((2 * abs({s}) * {mul} + {n}) // (2 * {n})) / {10 ** k})")
