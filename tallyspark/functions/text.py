@@ -24,8 +24,8 @@ def strip_ws(c) -> Column:
 
 
 def to_number(c) -> Column:
-    """Tolerant numeric parse; unparseable text -> NULL."""
-    return _try_double(strip_ws(c))
+    """Tolerant numeric parse; unparseable text -> NULL (the cast trims whitespace)."""
+    return _try_double(_c(c).cast("string"))
 
 
 def _try_double(c: Column) -> Column:

@@ -7,8 +7,11 @@ is the number of columns, not the number of rows.
 
 ``quantiles`` selects how the medians and winsor bounds are computed:
 
-* ``"distributed"`` (default) - exact, via value-range cumulative counts; no task
-  ever holds more than one range of one column's distinct values;
+* ``"bracketed"`` (default) - exact in two passes: an approximate sketch brackets
+  each position, then only the distinct values inside the bracket are counted
+  (bounded memory, skew-safe; verified, with ``"distributed"`` as fallback);
+* ``"distributed"`` - exact, via value-range cumulative counts; no task ever
+  holds more than one range of one column's distinct values;
 * ``"exact"`` - Spark's ``percentile`` in a single aggregate (exact; keeps a
   value->count map per column in the final task, fine for bounded cardinality);
 * ``"approx"`` - ``percentile_approx`` (bounded memory, approximate).
@@ -25,7 +28,7 @@ from tallyspark.functions.text import (
     parse_date_any, parse_month_year, parse_percent, parse_term_months, round_half_even_long,
     standardize, strip_policy_prefix, to_number, upper_left,
 )
-from tallyspark.operators.ranking import exact_quantiles
+from tallyspark.operators.ranking import bracketed_quantiles, exact_quantiles
 from tallyspark.session import materialize
 
 # ---- fixed values -----------------------------------------------------------
@@ -62,11 +65,13 @@ STOCK_SCHEMA_COLUMNS = ["ticker", "trade_date", "open_price", "high_price", "low
 
 
 # ---- building blocks ----------------------------------------------------------
-def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], mode: str = "distributed") -> DataFrame:
+def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], mode: str = "bracketed") -> DataFrame:
     """Quantiles ``qs`` of each column in ``cols`` as a long table (column, q, quantile)."""
-    if mode == "distributed":
+    if mode in ("distributed", "bracketed"):
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                                              for c in cols])).alias("_s")).select("_s.column", "_s.v")
+        if mode == "bracketed":
+            return bracketed_quantiles(long, "v", qs, keys=["column"])
         return exact_quantiles(long, "v", qs, keys=["column"])
     fn = (lambda c: F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs]))) if mode == "exact" else \
          (lambda c: F.percentile_approx(F.col(c).cast("double"), list(qs), 10000).cast("array<double>"))
@@ -89,7 +94,7 @@ def _wide(quant: DataFrame, cols: list[str], qs: list[float], names: list[str])
     return quant.agg(*aggs)
 
 
-def impute_median(df: DataFrame, cols: list[str], mode: str = "distributed") -> DataFrame:
+def impute_median(df: DataFrame, cols: list[str], mode: str = "bracketed") -> DataFrame:
     """Fill NULLs with each column's median (one pass for all columns)."""
     med = _wide(column_quantiles(df, cols, [0.5], mode), cols, [0.5], ["med"])
     j = df.crossJoin(F.broadcast(med))  # one row
@@ -99,7 +104,7 @@ def impute_median(df: DataFrame, cols: list[str], mode: str = "distributed") ->
 
 
 def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float = 0.99,
-              mode: str = "distributed") -> DataFrame:
+              mode: str = "bracketed") -> DataFrame:
     """Clip each column to its [lower, upper] quantiles; NULL stays NULL."""
     b = _wide(column_quantiles(df, cols, [lower, upper], mode), cols, [lower, upper], ["lo", "hi"])
     j = df.crossJoin(F.broadcast(b))  # one row
@@ -121,7 +126,7 @@ def rename(df: DataFrame, mapping: dict) -> DataFrame:
 
 
 # ---- C1 ----------------------------------------------------------------------------
-def clean_loans(raw: DataFrame, order: str = "seq", quantiles: str = "distributed") -> DataFrame:
+def clean_loans(raw: DataFrame, order: str = "seq", quantiles: str = "bracketed") -> DataFrame:
     """Raw loan strings -> the 24-column typed loan table.
 
     Order of steps as in the reference: parse, drop rows missing required
@@ -147,16 +152,14 @@ def clean_loans(raw: DataFrame, order: str = "seq", quantiles: str = "distribute
     imputed = imputed.withColumn("delinq_2yrs", F.coalesce(F.col("delinq_2yrs"), F.lit(0.0)))
     imputed = imputed.na.fill("Unknown", subset=["employment_length", "home_ownership", "verification_status",
                                                  "purpose", "state"])
-    txt = imputed.select(
-        "*",
-        strip_policy_prefix(standardize("loan_status"), POLICY_PREFIX_PATTERN).alias("_status"),
-    ).drop("loan_status").withColumnRenamed("_status", "loan_status")
+    # winsor bounds only need the (imputed) numeric columns, not the text clean-up
+    w = winsorize(imputed, WINSOR_COLUMNS, mode=quantiles)
+    txt = w.withColumn("loan_status", strip_policy_prefix(standardize("loan_status"), POLICY_PREFIX_PATTERN))
     for c in ("purpose", "home_ownership", "verification_status", "employment_length"):
         txt = txt.withColumn(c, standardize(c))
-    txt = (txt.withColumn("grade", upper_left(standardize("grade"), 1))
-              .withColumn("sub_grade", upper_left(standardize("sub_grade")))
-              .withColumn("state", upper_left(standardize("state"), 2)))
-    w = winsorize(materialize(txt), WINSOR_COLUMNS, mode=quantiles)
+    w = (txt.withColumn("grade", upper_left(standardize("grade"), 1))
+            .withColumn("sub_grade", upper_left(standardize("sub_grade")))
+            .withColumn("state", upper_left(standardize("state"), 2)))
     for c in LOAN_NULLABLE_INT_COLUMNS:
         w = w.withColumn(c, round_half_even_long(c))
     return w.select(*LOAN_SCHEMA_COLUMNS)

@@ -107,6 +107,31 @@ def with_percent_rank(df: DataFrame, value: str, out: str, ascending: bool = Tru
     return joined
 
 
+def percent_ranks_multi(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]],
+                        n_buckets: int | None = None) -> DataFrame:
+    """Several SQL PERCENT_RANKs of one table in one distributed pass.
+
+    ``specs`` maps output name -> (double-valued column, ascending).  The columns
+    are stacked into one long (metric, value) table, ranked per metric with the
+    keyed cumulative counts, and pivoted back to one row per ``key``.
+    Non-NULL values only (NULL inputs get a NULL rank).
+    """
+    names = list(specs)
+    items = [F.struct(F.lit(n).alias("_m"),
+                      (F.col(c).cast("double") if asc else -F.col(c).cast("double")).alias("_x"))
+             for n, (c, asc) in specs.items()]
+    long = df.select(key, F.explode(F.array(*items)).alias("_s")).select(key, "_s._m", "_s._x")
+    long = long.where(F.col("_x").isNotNull())
+    counts = long.groupBy("_m", "_x").agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
+    cum = cumulative_before(counts, "_x", ["_cnt"], n_buckets, keys=["_m"])
+    tot = counts.groupBy("_m").agg(F.sum("_cnt").alias("_N"))  # one row per metric
+    pr = cum.join(F.broadcast(tot), "_m").select(
+        "_m", "_x", F.when(F.col("_N") <= 1, F.lit(0.0))
+        .otherwise(F.col("_cnt_before").cast("double") / (F.col("_N") - 1).cast("double")).alias("_pr"))
+    ranked = long.join(pr, ["_m", "_x"])
+    return ranked.groupBy(key).pivot("_m", names).agg(F.first("_pr"))
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int | None = None,
                     keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles (PERCENTILE_CONT / numpy 'linear') of ``value``
@@ -144,6 +169,55 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int |
     return res.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
 
 
+def bracketed_quantiles(df: DataFrame, value: str, qs: list[float], keys: tuple[str, ...] | list[str] = (),
+                        accuracy: int = 10000) -> DataFrame:
+    """Exact linear-interpolation quantiles in two passes, with bounded memory.
+
+    Pass 1 brackets every requested position with ``percentile_approx`` at
+    q +/- 2/accuracy (rank error of the sketch is at most N/accuracy).  Pass 2
+    counts rows below each bracket and reduces the rows inside it to distinct
+    values with counts (a hot value is one row), then walks that small table.
+    If a bracket misses its position (cannot happen within the sketch's error
+    bound, checked anyway) the fully distributed ``exact_quantiles`` is used.
+    Returns (keys..., q, quantile).
+    """
+    keys = list(keys)
+    spark = df.sparkSession
+    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    eps = 2.0 / accuracy
+    probes = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-eps, eps)})
+    b = base.groupBy(*keys).agg(F.percentile_approx("_v", probes, accuracy).alias("_arr"),
+                                F.count(F.lit(1)).alias("_N"))
+    qrows = [(float(q), probes.index(min(1.0, max(0.0, q - eps))), probes.index(min(1.0, max(0.0, q + eps))))
+             for q in qs]
+    qdf = spark.createDataFrame(qrows, "q double, _ilo int, _ihi int")
+    br = (b.crossJoin(F.broadcast(qdf))
+           .select(*keys, "q", "_N", F.element_at("_arr", F.col("_ilo") + 1).alias("_blo"),
+                   F.element_at("_arr", F.col("_ihi") + 1).alias("_bhi")))
+    # brackets: (#keys x #q) rows
+    j = base.join(F.broadcast(br), keys) if keys else base.crossJoin(F.broadcast(br))
+    below = j.groupBy(*keys, "q").agg(F.count_if(F.col("_v") < F.col("_blo")).alias("_below"))
+    inside = (j.where((F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi")))
+               .groupBy(*keys, "q", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*keys, "q").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_cb", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    pos = (br.join(below, [*keys, "q"])
+             .withColumn("_h", (F.col("_N") - 1) * F.col("q"))
+             .withColumn("_lo", F.floor("_h").cast("bigint") - F.col("_below"))
+             .withColumn("_hi", F.ceil("_h").cast("bigint") - F.col("_below")))
+    cover = lambda p: (F.col("_cb") <= F.col(p)) & (F.col(p) < F.col("_cb") + F.col("_c"))
+    pick = inside.join(pos.select(*keys, "q", "_lo", "_hi"), [*keys, "q"])
+    vals = pick.groupBy(*keys, "q").agg(F.max(F.when(cover("_lo"), F.col("_v"))).alias("_vlo"),
+                                        F.max(F.when(cover("_hi"), F.col("_v"))).alias("_vhi"))
+    res = pos.join(vals, [*keys, "q"], "left")
+    frac = F.col("_h") - F.floor("_h")
+    out = res.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
+    out = materialize(out)
+    if out.where(F.col("quantile").isNull()).limit(1).count() == 0:
+        return out
+    return exact_quantiles(df, value, qs, keys=keys)
+
+
 def hash_order_key(key: Column, salt: str = "") -> Column:
     """Deterministic pseudo-random order key: md5 of the key's text (L3)."""
     if salt:

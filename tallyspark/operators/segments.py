@@ -3,7 +3,7 @@
 Everything is a Spark job: the RFM table is one ``groupBy`` over the
 transactions; scaling statistics are one aggregate; k-means is ``pyspark.ml``;
 cluster profiles are k rows; the risk score uses the distributed percent rank
-(``ranking.with_percent_rank``) instead of a single-partition window.
+(``ranking.percent_ranks_multi``) instead of a single-partition window.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyspark.operators.ranking import hash_order_key, with_percent_rank
+from tallyspark.operators.ranking import bracketed_quantiles, hash_order_key, percent_ranks_multi
+from tallyspark.session import materialize
 from tallyspark.sources.shaped import STEP_ANCHOR
 
 # ---- fixed values -----------------------------------------------------------
@@ -126,7 +127,7 @@ def label_clusters(profile: DataFrame, cluster: str = "cluster") -> DataFrame:
 def rule_segment(customers: DataFrame, count: str = "total_txn_count", value: str = "total_txn_value") -> DataFrame:
     """Model-free segment (oracle-checkable): repeat = more than one transaction;
     value tier = at or above the population median of total value (exact)."""
-    med = customers.agg(F.percentile(F.col(value).cast("double"), F.lit(0.5)).alias("_med"))
+    med = bracketed_quantiles(customers, value, [0.5]).select(F.col("quantile").alias("_med"))  # one row
     j = customers.crossJoin(F.broadcast(med))
     high = F.col(value).cast("double") >= F.col("_med")
     rep = F.col(count) > 1
@@ -138,15 +139,15 @@ def rule_segment(customers: DataFrame, count: str = "total_txn_count", value: st
 def risk_scores(customers: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """ROUND(100 * (0.50 PR(last_txn_date DESC) + 0.25 PR(count DESC)
     + 0.25 PR(value DESC)), 2) with exact distributed percent ranks."""
-    c = customers.withColumn("_d", F.datediff(F.col("last_txn_date"), F.lit("1970-01-01").cast("date")))
-    c = c.withColumn("_v", F.col("total_txn_value").cast("double")).withColumn("_f", F.col("total_txn_count"))
-    c = with_percent_rank(c, "_d", "_pr_r", ascending=False, n_buckets=n_buckets)
-    c = with_percent_rank(c, "_f", "_pr_f", ascending=False, n_buckets=n_buckets)
-    c = with_percent_rank(c, "_v", "_pr_m", ascending=False, n_buckets=n_buckets)
+    c = materialize(customers.withColumn("_d", F.datediff(F.col("last_txn_date"), F.lit("1970-01-01").cast("date"))))
+    # DESC order == ascending order of the negated value (no NULLs in these columns)
+    pr = percent_ranks_multi(c, "customer_id", {"_pr_r": ("_d", False), "_pr_f": ("total_txn_count", False),
+                                                "_pr_m": ("total_txn_value", False)}, n_buckets)
+    c = c.join(pr, "customer_id")
     wr, wf, wm = RISK_WEIGHTS
     blend = (F.lit(wr) * F.col("_pr_r") + F.lit(wf) * F.col("_pr_f") + F.lit(wm) * F.col("_pr_m")) * 100
     score = F.round(blend.cast("decimal(20,10)"), 2).cast("decimal(5,2)")
-    return c.withColumn("risk_score", score).drop("_d", "_v", "_f", "_pr_r", "_pr_f", "_pr_m")
+    return c.withColumn("risk_score", score).drop("_d", "_pr_r", "_pr_f", "_pr_m")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, salt: str = str(RANDOM_STATE)) -> DataFrame:
