@@ -17,7 +17,7 @@ PORTFOLIO_SERIES = "portfolio"
 
 def all_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T8 inputs: (series, trade_date, value) for every ticker plus the portfolio index."""
-    p = stock_prices(spark, sf_dir)
+    p = materialize(stock_prices(spark, sf_dir))
     tick = p.select(F.col("ticker").alias("series"), "trade_date", F.col("adj_close").cast("double").alias("value"))
     port = portfolio_price_index(p).select(F.lit(PORTFOLIO_SERIES).alias("series"), "trade_date",
                                            F.col("index_value").alias("value"))

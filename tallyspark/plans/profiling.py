@@ -12,6 +12,7 @@ from tallyspark.plans.credit import credit_kpis
 from tallyspark.plans.fraud import fraud_kpis
 from tallyspark.plans.segments import customers_table, segment_summary
 from tallyspark.sources.raw import LOAN_RAW_COLUMNS, RAW_LOANS_SQL, raw_loans, raw_transactions
+from tallyspark.plans.cleaning_jobs import C2_EXTRA
 from tallyspark.plans.registry import register
 from tallyspark.sources.shaped import customer_aggregates, loans, stock_prices, transactions, with_views
 
@@ -37,7 +38,21 @@ _TXN_RAW = ["step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOr
             "newbalanceDest", "isFraud", "isFlaggedFraud"]
 
 
-@register("a19_data_inventory", None, ids=("A19", "S2", "S3"))
+def _inv_sql(name: str, table: str, cols: list[str]) -> str:
+    n = len(cols)
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST({n} AS BIGINT) AS n_columns, "
+        f"'{c}' AS column, 'string' AS dtype, "
+        f"ROUND(COUNT(*) FILTER (WHERE \"{c}\" IS NULL) * 100.0 / COUNT(*), 4) AS missing_pct FROM {table}"
+        for c in cols)
+
+
+A19_SQL = with_views("SELECT * FROM (" + _inv_sql("loans_raw", "raw_loans", LOAN_RAW_COLUMNS) + " UNION ALL "
+                     + _inv_sql("transactions_raw", "raw_txn", _TXN_RAW) + ") u",
+                     "loans", "transactions", extra=RAW_LOANS_SQL + "," + C2_EXTRA.split(",\nc2_num AS")[0])
+
+
+@register("a19_data_inventory", A19_SQL, ids=("A19", "S2", "S3"))
 def a19_data_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pf.inventory({"loans_raw": raw_loans(spark, sf_dir).select(*LOAN_RAW_COLUMNS),
                          "transactions_raw": raw_transactions(spark, sf_dir)})
@@ -162,7 +177,29 @@ def s11_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # D1 ------------------------------------------------------------------------------
-@register("d1_overview_cards", None, ids=("D1", "A28"))
+def _d1_sql() -> str:
+    from tallyspark.plans.credit import V1_SQL_BODY
+    from tallyspark.plans.fraud import V2_BODY
+    from tallyspark.plans.market import V3_BODY, _STATS_CTE
+    from tallyspark.plans.segments import CUSTOMERS_SQL, V5_BODY
+    body = f"""
+SELECT v1.total_loans, v1.overall_default_rate_pct, v2.total_txns, v2.fraud_rate_pct,
+       v3.portfolio_sharpe, v3.portfolio_volatility_pct, v5.total_customers, v5.top_segment
+FROM (SELECT CAST(SUM(loan_count) AS BIGINT) AS total_loans,
+             ROUND(SUM(default_rate_pct * loan_count) / SUM(loan_count), 2) AS overall_default_rate_pct
+      FROM ({V1_SQL_BODY}) a) v1
+CROSS JOIN (SELECT CAST(SUM(txn_count) AS BIGINT) AS total_txns,
+                   ROUND(SUM(fraud_count) * 100.0 / SUM(txn_count), 4) AS fraud_rate_pct FROM ({V2_BODY}) b) v2
+CROSS JOIN (SELECT sharpe_ratio AS portfolio_sharpe, annualized_volatility_pct AS portfolio_volatility_pct
+            FROM ({V3_BODY}) c WHERE ticker = 'PORTFOLIO (equal-wt)') v3
+CROSS JOIN (SELECT CAST(SUM(n_customers) AS BIGINT) AS total_customers,
+                   arg_max(segment, struct_pack(n := n_customers, s := segment)) AS top_segment
+            FROM ({V5_BODY}) d) v5"""
+    return with_views(body, "loans", "transactions", "stock_prices", "customer_aggregates",
+                      extra=_STATS_CTE + "," + CUSTOMERS_SQL)
+
+
+@register("d1_overview_cards", _d1_sql(), ids=("D1", "A28"))
 def d1_overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overview KPI cards from the KPI tables (all inputs are already aggregates)."""
     v1 = credit_kpis(spark, sf_dir).agg(

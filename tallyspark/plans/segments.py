@@ -10,12 +10,14 @@ from tallyspark.functions.exact import count_bigint, exact_avg
 from tallyspark.functions.risk import pct_rate
 from tallyspark.operators import segments as sg
 from tallyspark.plans.registry import register
+from tallyspark.session import materialize
 from tallyspark.sources.shaped import customer_aggregates, exact_avg_sql, transactions, with_views
 
 
 def customers_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers table: aggregates, rule segment, risk score (write-back S17 as a projection)."""
-    return sg.risk_scores(sg.rule_segment(customer_aggregates(spark, sf_dir)))
+    # one row per customer, read by the median, the three ranks and the output: materialise once
+    return sg.risk_scores(sg.rule_segment(materialize(customer_aggregates(spark, sf_dir))))
 
 
 CUSTOMERS_SQL = """
