@@ -162,7 +162,6 @@ def score_and_flag(df: DataFrame, nodes: DataFrame, features: list[str], key: st
     s = raw_scores(df, nodes, features, key, psi, n_trees)
     from tallyspark.session import materialize
     s = materialize(s)
-    thr = bracketed_quantiles(s, "_s", [1.0 - contamination]).select(F.col("quantile").alias("_thr"))
-    j = s.crossJoin(F.broadcast(thr))  # one row
-    return j.select(key, (F.col("_s") - F.col("_thr")).alias("anomaly_score"),
-                    (F.col("_s") > F.col("_thr")).cast("int").alias("is_flagged_iforest"))
+    thr = bracketed_quantiles(s, "_s", [1.0 - contamination]).select("quantile").scalar()  # scalar subquery
+    return s.select(key, (F.col("_s") - thr).alias("anomaly_score"),
+                    (F.col("_s") > thr).cast("int").alias("is_flagged_iforest"))

@@ -60,7 +60,7 @@ def portfolio_returns(prices: DataFrame, weights: dict | None = None, with_sum:
     by default.  The weight table has one row per instrument (broadcast-safe).
     """
     r = prices.where(F.col("daily_return").isNotNull()).select("ticker", "trade_date", "daily_return")
-    n_tickers = prices.agg(F.countDistinct("ticker").alias("_nt"))
+    n_tickers = prices.select(F.countDistinct("ticker")).scalar()  # scalar subquery
     if weights:
         spark = prices.sparkSession
         wdf = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "ticker string, _w double")
@@ -70,7 +70,7 @@ def portfolio_returns(prices: DataFrame, weights: dict | None = None, with_sum:
         ret = F.avg("daily_return")
     g = r.groupBy("trade_date").agg(F.count(F.lit(1)).alias("_n"), ret.alias("daily_return"),
                                     F.sum(F.col("daily_return").cast("decimal(18,5)")).alias("_sum"))
-    out = g.crossJoin(F.broadcast(n_tickers)).where(F.col("_n") == F.col("_nt"))
+    out = g.where(F.col("_n") == n_tickers).withColumn("_nt", n_tickers)
     if with_sum:
         return out.select("trade_date", "daily_return", "_sum", "_nt")
     return out.select("trade_date", "daily_return")
@@ -273,8 +273,8 @@ def portfolio_price_index(prices: DataFrame, weights: dict | None = None, base_v
 
 def trailing_range(prices: DataFrame, days: int = 365) -> DataFrame:
     """Q8: (max - min) / min of close over the trailing ``days`` from the latest date."""
-    mx = prices.agg(F.max("trade_date").alias("_mx"))
-    recent = prices.crossJoin(F.broadcast(mx)).where(F.col("trade_date") >= F.date_sub(F.col("_mx"), days))
+    mx = prices.select(F.max("trade_date")).scalar()  # uncorrelated scalar subquery (P18)
+    recent = prices.where(F.col("trade_date") >= F.date_sub(mx, days))
     g = recent.groupBy("ticker").agg(F.max((F.col("close_price") * 100).cast("bigint")).alias("_hi"),
                                      F.min((F.col("close_price") * 100).cast("bigint")).alias("_lo"))
     ratio = F.try_divide(((F.col("_hi") - F.col("_lo")) * 100).cast("decimal(20,0)"), F.col("_lo").cast("decimal(20,0)"))

@@ -38,13 +38,11 @@ def build_rfm(txns: DataFrame) -> DataFrame:
         F.sum("amount").alias("monetary"),
         F.round(F.sum("amount") / F.count(F.lit(1)), 2).alias("avg_txn_value"),
         F.min("step").alias("first_step"), F.max("step").alias("last_step"))
-    mx = txns.agg(F.max("step").alias("_max_step"))  # one-row scalar, broadcast
+    mx = txns.select(F.max("step")).scalar()  # scalar subquery (J2)
     anchor = F.lit(STEP_ANCHOR).cast("timestamp")
-    return (g.crossJoin(F.broadcast(mx))
-             .withColumn("recency_hours", (F.col("_max_step") - F.col("last_step")).cast("bigint"))
+    return (g.withColumn("recency_hours", (mx - F.col("last_step")).cast("bigint"))
              .withColumn("signup_date", F.timestamp_add("HOUR", F.col("first_step"), anchor).cast("date"))
-             .withColumn("last_txn_date", F.timestamp_add("HOUR", F.col("last_step"), anchor).cast("date"))
-             .drop("_max_step"))
+             .withColumn("last_txn_date", F.timestamp_add("HOUR", F.col("last_step"), anchor).cast("date")))
 
 
 def rfm_features(rfm: DataFrame, recency: str = "recency_hours", frequency: str = "frequency",
@@ -127,13 +125,13 @@ def label_clusters(profile: DataFrame, cluster: str = "cluster") -> DataFrame:
 def rule_segment(customers: DataFrame, count: str = "total_txn_count", value: str = "total_txn_value") -> DataFrame:
     """Model-free segment (oracle-checkable): repeat = more than one transaction;
     value tier = at or above the population median of total value (exact)."""
-    med = bracketed_quantiles(customers, value, [0.5]).select(F.col("quantile").alias("_med"))  # one row
-    j = customers.crossJoin(F.broadcast(med))
-    high = F.col(value).cast("double") >= F.col("_med")
+    med = bracketed_quantiles(customers, value, [0.5]).select("quantile").scalar()  # scalar subquery
+    j = customers
+    high = F.col(value).cast("double") >= med
     rep = F.col(count) > 1
     seg = (F.when(rep & high, F.lit(LABEL_HIGH_VALUE_LOYAL)).when(rep, F.lit(LABEL_FREQUENT_SMALL))
             .when(high, F.lit(LABEL_HIGH_ONE_TIME)).otherwise(F.lit(LABEL_LOW_ONE_TIME)))
-    return j.withColumn("segment", seg).drop("_med")
+    return j.withColumn("segment", seg)
 
 
 def risk_scores(customers: DataFrame, n_buckets: int | None = None) -> DataFrame:

@@ -75,9 +75,8 @@ V5_SQL = _csql(V5_BODY)
 
 
 def segment_summary(customers: DataFrame) -> DataFrame:
-    mx = customers.agg(F.max("last_txn_date").alias("_mx"))  # one-row scalar (J2)
-    base = customers.where(F.col("segment").isNotNull()).crossJoin(F.broadcast(mx)) \
-        .withColumn("_rec", F.datediff(F.col("_mx"), F.col("last_txn_date")))
+    mx = customers.select(F.max("last_txn_date")).scalar()  # scalar subquery (J2)
+    base = customers.where(F.col("segment").isNotNull()).withColumn("_rec", F.datediff(mx, F.col("last_txn_date")))
     g = base.groupBy("segment").agg(
         count_bigint().alias("n_customers"),
         exact_avg("total_txn_count", 0, 3).alias("avg_frequency"),
@@ -140,9 +139,8 @@ FROM customers ORDER BY md5(customer_id || '42'), customer_id LIMIT {D9_SAMPLE}"
 @register("d9_bubble_sample", D9_SQL, ids=("D9", "L5", "L8", "P28"))
 def d9_bubble_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customers_table(spark, sf_dir)
-    mx = c.agg(F.max("last_txn_date").alias("_mx"))
-    c = c.crossJoin(F.broadcast(mx))
-    out = c.select("customer_id", F.datediff("_mx", "last_txn_date").cast("bigint").alias("recency_days"),
+    mx = c.select(F.max("last_txn_date")).scalar()
+    out = c.select("customer_id", F.datediff(mx, F.col("last_txn_date")).cast("bigint").alias("recency_days"),
                    F.greatest(F.col("total_txn_value").cast("double"), F.lit(1.0)).alias("monetary_clipped"),
                    F.col("total_txn_count").cast("bigint").alias("frequency"), "segment")
     # sampling operator: the limit is the feature (n rows, n fixed)
@@ -172,13 +170,24 @@ def m8_rfm_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 # K-means segmentation (model output: rows-only check) ---------------------
 def orders_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customer_aggregates(spark, sf_dir)
-    mx = c.agg(F.max("last_txn_date").alias("_mx"))
-    return c.crossJoin(F.broadcast(mx)).select(
-        "customer_id", F.datediff("_mx", "last_txn_date").cast("double").alias("recency_days"),
+    mx = c.select(F.max("last_txn_date")).scalar()
+    return c.select(
+        "customer_id", F.datediff(mx, F.col("last_txn_date")).cast("double").alias("recency_days"),
         F.col("total_txn_count").alias("frequency"), F.col("total_txn_value").cast("double").alias("monetary"))
 
 
+_KMEANS: dict = {}
+
+
 def kmeans_segments(spark: SparkSession, sf_dir: str, k: int = 4) -> DataFrame:
+    """M9-M13 on the orders RFM table; the fit is reused within a session (M10 and M12 share it)."""
+    key = (id(spark), sf_dir, k)
+    if key not in _KMEANS:
+        _KMEANS[key] = materialize(_kmeans_segments(spark, sf_dir, k))
+    return _KMEANS[key]
+
+
+def _kmeans_segments(spark: SparkSession, sf_dir: str, k: int = 4) -> DataFrame:
     feats = sg.rfm_features(orders_rfm(spark, sf_dir), recency="recency_days").cache()
     model = sg.fit_kmeans(feats, k)
     assigned = model.transform(feats)
