@@ -39,7 +39,7 @@ def build_rfm(txns: DataFrame) -> DataFrame:
         F.round(F.sum("amount") / F.count(F.lit(1)), 2).alias("avg_txn_value"),
         F.min("step").alias("first_step"), F.max("step").alias("last_step"))
     mx = txns.select(F.max("step")).scalar()  # scalar subquery (J2)
-    anchor = F.lit(STEP_ANCHOR).cast("timestamp")
+    anchor = F.lit(STEP_ANCHOR).cast("timestamp_ntz")  # calendar arithmetic without a session time zone
     return (g.withColumn("recency_hours", (mx - F.col("last_step")).cast("bigint"))
              .withColumn("signup_date", F.timestamp_add("HOUR", F.col("first_step"), anchor).cast("date"))
              .withColumn("last_txn_date", F.timestamp_add("HOUR", F.col("last_step"), anchor).cast("date")))

@@ -189,3 +189,18 @@ def c3_clean_stock_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["FOOTER_TEXT", "POLICY_PREFIX", "STOCK_SCHEMA_COLUMNS", "TXN_SCHEMA_COLUMNS"]
+
+
+@register("s1_clean_loans_from_csv", C1_SQL, ids=("S1", "S2", "S3", "C4"))
+def s1_clean_loans_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 path: raw loans land as gzip CSV files, are scanned as strings with the
+    used columns only, cleaned, and compared with the oracle's cleaning."""
+    import uuid
+
+    from tallyspark.session import scratch_path
+    from tallyspark.sources.raw import LOAN_RAW_COLUMNS, read_csv_strings
+
+    path = scratch_path(spark, f"raw-loans-csv-{uuid.uuid4().hex}")
+    raw_loans(spark, sf_dir).write.option("header", True).option("compression", "gzip").csv(path)
+    raw = read_csv_strings(spark, path, LOAN_RAW_COLUMNS + ["seq"]).withColumn("seq", F.col("seq").cast("bigint"))
+    return _round_doubles(clean_loans(raw))

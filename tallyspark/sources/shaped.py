@@ -32,7 +32,7 @@ TXN_TYPE_BY_EVENT = {
     "signup": "CASH_IN",
     "error": "DEBIT",
 }
-STEP_ORIGIN_EPOCH_US = 1704067200000000  # 2024-01-01 00:00:00 UTC, start of the event clock
+STEP_ORIGIN = "2024-01-01 00:00:00"  # start of the event clock (TIMESTAMP_NTZ)
 STEP_ANCHOR = "2023-01-01"  # calendar anchor for simulated hours (KPI day buckets)
 
 
@@ -147,8 +147,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     drained = F.col("_k") % 13 == 0
     return e.select(
         F.col("event_id").alias("txn_id"),
-        F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(STEP_ORIGIN_EPOCH_US)) / F.lit(3600000000))
-        .cast("int").alias("step"),
+        # whole hours since the event clock's origin, on TIMESTAMP_NTZ (no session time zone involved)
+        F.timestamp_diff("HOUR", F.lit(STEP_ORIGIN).cast("timestamp_ntz"), F.col("ts")).cast("int").alias("step"),
         "txn_type",
         F.col("_amount").alias("amount"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("sender_id"),

@@ -1,7 +1,7 @@
 """Structured Streaming re-aims of the batch jobs.
 
-X1 - rule flags on arriving transactions: file source -> event time cast to
-     ``timestamp`` (watermarks reject ``timestamp_ntz``) -> watermark ->
+X1 - rule flags on arriving transactions: file source -> event time as a
+     ``timestamp`` instant (watermarks reject ``timestamp_ntz``) -> watermark ->
      ``dropDuplicatesWithinWatermark(txn_id)`` -> the same rule Column as batch
      -> append to a Parquet sink.
 X2 - daily KPIs per transaction type: tumbling 1-day event-time windows with a
@@ -15,6 +15,8 @@ processing-time trigger in production; checkpoints live in the shared folder.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,12 +25,14 @@ from tallyspark.functions.risk import rule_flag
 from tallyspark.sources.shaped import STEP_ANCHOR
 
 DEDUP_WATERMARK = "2 hours"
+_ANCHOR_EPOCH_S = int(datetime.fromisoformat(STEP_ANCHOR).replace(tzinfo=timezone.utc).timestamp())
 KPI_WATERMARK = "2 days"
 
 
 def event_time(step: str = "step") -> F.Column:
-    """Simulated hour -> event timestamp (anchor + step hours), as TIMESTAMP (not NTZ)."""
-    return F.timestamp_add("HOUR", F.col(step), F.lit(STEP_ANCHOR).cast("timestamp"))
+    """Simulated hour -> event instant (UTC anchor + step hours) as TIMESTAMP, the type
+    watermarks require; built from epoch seconds so the session time zone plays no part."""
+    return F.timestamp_seconds(F.lit(_ANCHOR_EPOCH_S) + F.col(step).cast("long") * 3600)
 
 
 def read_transaction_stream(spark: SparkSession, path: str, schema: StructType,
@@ -60,7 +64,9 @@ def daily_kpi_stream(stream: DataFrame, watermark: str = KPI_WATERMARK) -> DataF
                   .agg(F.count(F.lit(1)).cast("bigint").alias("txn_count"),
                        F.sum("is_fraud").cast("bigint").alias("fraud_count"),
                        F.sum("amount").alias("total_amount"))
-                  .select(F.col("window.start").cast("date").alias("txn_day"), "txn_type", "txn_count",
+                  # windows are aligned to UTC epoch days; the day number gives the date directly
+                  .select(F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
+                          .alias("txn_day"), "txn_type", "txn_count",
                           "fraud_count", "total_amount"))
 
 
