@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyspark.functions.exact import exact_avg
 from tallyspark.operators.ranking import bracketed_quantiles, hash_order_key, percent_ranks_multi
 from tallyspark.session import materialize
 from tallyspark.sources.shaped import STEP_ANCHOR
@@ -36,7 +37,7 @@ def build_rfm(txns: DataFrame) -> DataFrame:
     g = txns.groupBy(F.col("sender_id").alias("customer_id")).agg(
         F.count(F.lit(1)).cast("bigint").alias("frequency"),
         F.sum("amount").alias("monetary"),
-        F.round(F.sum("amount") / F.count(F.lit(1)), 2).alias("avg_txn_value"),
+        exact_avg("amount", 2, 2).alias("avg_txn_value"),
         F.min("step").alias("first_step"), F.max("step").alias("last_step"))
     mx = txns.select(F.max("step")).scalar()  # scalar subquery (J2)
     anchor = F.lit(STEP_ANCHOR).cast("timestamp_ntz")  # calendar arithmetic without a session time zone
