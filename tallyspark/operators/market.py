@@ -279,3 +279,14 @@ def trailing_range(prices: DataFrame, days: int = 365) -> DataFrame:
                                      F.min((F.col("close_price") * 100).cast("bigint")).alias("_lo"))
     ratio = F.try_divide(((F.col("_hi") - F.col("_lo")) * 100).cast("decimal(20,0)"), F.col("_lo").cast("decimal(20,0)"))
     return g.select("ticker", F.round(ratio, 2).cast("double").alias("pct_range")).orderBy(F.desc("pct_range"), "ticker")
+
+
+def daily_returns(prices: DataFrame, price: str = "adj_close", digits: int = 5) -> DataFrame:
+    """Price / previous non-NULL price - 1 per ticker, half-even rounded.
+
+    A row whose price is NULL gets a NULL return, and the next return is measured
+    against the last non-NULL price (not padded with a zero return).
+    """
+    w = Window.partitionBy("ticker").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.last(F.col(price).cast("double"), ignorenulls=True).over(w)
+    return prices.withColumn("daily_return", F.bround(F.col(price).cast("double") / prev - 1, digits))

@@ -112,3 +112,21 @@ def a2_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.countDistinct("trade_date").alias("n_dates"))
     t = transactions(spark, sf_dir).agg(F.countDistinct("sender_id").alias("n_senders"))
     return p.crossJoin(t).select(*[F.col(c).cast("bigint") for c in ("n_tickers", "n_dates", "n_senders")])
+
+
+S8_SQL = with_views("""
+SELECT ticker, trade_date, ROUND(adj_close, 6) AS adj_close,
+       round_even(adj_close / last_value(adj_close IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY trade_date
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1, 5) + 0.0 AS daily_return
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker, trade_date ORDER BY seq) AS rn_ FROM c3_parsed
+      WHERE ticker IS NOT NULL AND trade_date IS NOT NULL AND close_price IS NOT NULL) x
+WHERE rn_ = 1""", "stock_prices", extra=C3_EXTRA)
+
+
+@register("s8_price_load_returns", S8_SQL, ids=("S8", "W2", "S6"))
+def s8_price_load_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price load: cleaned raw prices with per-ticker daily returns (gap-aware)."""
+    from tallyspark.operators.market import daily_returns
+
+    p = daily_returns(clean_stock_prices(raw_prices(spark, sf_dir)))
+    return p.select("ticker", "trade_date", F.round("adj_close", 6).alias("adj_close"), "daily_return")
