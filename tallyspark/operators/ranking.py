@@ -196,9 +196,15 @@ def bracketed_quantiles(df: DataFrame, value: str, qs: list[float], keys: tuple[
                    F.element_at("_arr", F.col("_ihi") + 1).alias("_bhi")))
     # brackets: (#keys x #q) rows
     j = base.join(F.broadcast(br), keys) if keys else base.crossJoin(F.broadcast(br))
-    below = j.groupBy(*keys, "q").agg(F.count_if(F.col("_v") < F.col("_blo")).alias("_below"))
-    inside = (j.where((F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi")))
-               .groupBy(*keys, "q", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # one pass: rows below the bracket collapse into a single NULL-valued group per
+    # (key, q), rows inside keep their value (distinct values with counts)
+    counted = (j.where(F.col("_v") <= F.col("_bhi"))
+                .groupBy(*keys, "q", F.when(F.col("_v") >= F.col("_blo"), F.col("_v")).alias("_v"))
+                .agg(F.count(F.lit(1)).alias("_c")))
+    counted = materialize(counted)
+    below = counted.groupBy(*keys, "q").agg(F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0))
+                                            .alias("_below"))
+    inside = counted.where(F.col("_v").isNotNull())
     w = Window.partitionBy(*keys, "q").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     inside = inside.withColumn("_cb", F.coalesce(F.sum("_c").over(w), F.lit(0)))
     pos = (br.join(below, [*keys, "q"])
@@ -212,9 +218,11 @@ def bracketed_quantiles(df: DataFrame, value: str, qs: list[float], keys: tuple[
     res = pos.join(vals, [*keys, "q"], "left")
     frac = F.col("_h") - F.floor("_h")
     out = res.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
-    out = materialize(out)
-    if out.where(F.col("quantile").isNull()).limit(1).count() == 0:
-        return out
+    # the answer has (#keys x #q) rows - the requested values only - so it is
+    # fetched once, checked, and handed back as a small local relation
+    rows = out.collect()
+    if all(r["quantile"] is not None for r in rows):
+        return spark.createDataFrame(rows, out.schema)
     return exact_quantiles(df, value, qs, keys=keys)
 
 
