@@ -214,3 +214,37 @@ def m12_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m11_elbow_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = sg.rfm_features(orders_rfm(spark, sf_dir), recency="recency_days").cache()
     return sg.elbow_silhouette(feats, range(2, 7), n_init=2)
+
+
+# M12/M13/W9 with an oracle: the cluster labelling rules on a deterministic clustering
+FREQ_BUCKETS = 10
+M13_SQL = with_views(f"""
+SELECT cluster, n_customers, ROUND(avg_recency, 6) AS avg_recency, ROUND(avg_frequency, 6) AS avg_frequency,
+       ROUND(avg_monetary, 6) AS avg_monetary,
+       CASE WHEN rep AND avg_monetary >= med THEN 'High-Value Loyal'
+            WHEN rep THEN 'Frequent Small-Txn'
+            WHEN rk <= n_grp / 3 THEN 'High-Value One-Time'
+            WHEN rk > 2 * n_grp / 3 THEN 'Low-Value One-Time'
+            ELSE 'Standard One-Time' END AS segment
+FROM (
+  SELECT *, avg_frequency > 1.2 AS rep,
+         quantile_cont(avg_monetary, 0.5) OVER (PARTITION BY avg_frequency > 1.2) AS med,
+         rank() OVER (PARTITION BY avg_frequency > 1.2 ORDER BY avg_monetary DESC) AS rk,
+         count(*) OVER (PARTITION BY avg_frequency > 1.2) AS n_grp
+  FROM (
+    SELECT CAST(LEAST(total_txn_count, {FREQ_BUCKETS}) AS INTEGER) AS cluster, CAST(COUNT(*) AS BIGINT) AS n_customers,
+           AVG(CAST((SELECT MAX(last_txn_date) FROM customer_aggregates) - last_txn_date AS DOUBLE)) AS avg_recency,
+           AVG(CAST(total_txn_count AS DOUBLE)) AS avg_frequency, AVG(CAST(total_txn_value AS DOUBLE)) AS avg_monetary
+    FROM customer_aggregates GROUP BY 1) p
+) l""", "customer_aggregates")
+
+
+@register("m13_cluster_labels_by_frequency_bucket", M13_SQL, ids=("M12", "M13", "W9", "J5"))
+def m13_cluster_labels_by_frequency_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = orders_rfm(spark, sf_dir).withColumn("cluster", F.least(F.col("frequency"), F.lit(FREQ_BUCKETS)).cast("int"))
+    prof = sg.profile_clusters(r, recency="recency_days")
+    labels = sg.label_clusters(prof)
+    # k rows on both sides
+    out = prof.join(F.broadcast(labels), "cluster")
+    return out.select("cluster", "n_customers", *[F.round(c, 6).alias(c) for c in
+                                                  ("avg_recency", "avg_frequency", "avg_monetary")], "segment")
