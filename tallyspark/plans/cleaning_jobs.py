@@ -99,7 +99,7 @@ C1_SQL = with_views(f"SELECT {', '.join(_C1_OUT)} FROM c1", "loans", extra=C1_EX
 
 
 @register("c1_clean_loans", C1_SQL, ids=("C1", "S1", "P1", "P2", "P3", "P4", "P5", "P6", "P7", "P9", "P10", "P11",
-                                         "P12", "P13", "A13", "A14", "A15"))
+                                         "P12", "P13", "A13", "A14", "A15", "F1", "F4"))
 def c1_clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_doubles(clean_loans(raw_loans(spark, sf_dir)))
 

@@ -132,7 +132,7 @@ WHERE loan_status IN ('Fully Paid', 'Charged Off', 'Default')
 ORDER BY md5(CAST(loan_id AS VARCHAR)) LIMIT {L3_N}""", "loans")
 
 
-@register("l3_md5_sample", L3_SQL, ids=("L3", "P15", "P22"))
+@register("l3_md5_sample", L3_SQL, ids=("L3", "P15", "P22", "F5"))
 def l3_md5_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = loans(spark, sf_dir).where(F.col("loan_status").isin(*CLOSED_LOAN_STATUSES))
     s = pf.hash_top_n(closed, "loan_id", L3_N)
