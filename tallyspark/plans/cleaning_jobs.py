@@ -183,7 +183,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY ticker, trade_date ORDER BY seq)
 WHERE rn_ = 1 ORDER BY ticker, trade_date""", "stock_prices", extra=C3_EXTRA)
 
 
-@register("c3_clean_stock_prices", C3_SQL, ids=("C3", "P8", "S4"))
+@register("c3_clean_stock_prices", C3_SQL, ids=("C3", "P8"))
 def c3_clean_stock_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_doubles(clean_stock_prices(raw_prices(spark, sf_dir)))
 

@@ -128,5 +128,10 @@ def s8_price_load_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price load: cleaned raw prices with per-ticker daily returns (gap-aware)."""
     from tallyspark.operators.market import daily_returns
 
-    p = daily_returns(clean_stock_prices(raw_prices(spark, sf_dir)))
+    from tallyspark.sources.raw import read_or_clean
+
+    # A cleaned Parquet copy is used when present; this run has none, so the raw file is cleaned
+    cleaned = read_or_clean(spark, scratch_path(spark, f"prices-cleaned-{uuid.uuid4().hex}"),
+                            lambda: raw_prices(spark, sf_dir), clean_stock_prices)
+    p = daily_returns(cleaned)
     return p.select("ticker", "trade_date", F.round("adj_close", 6).alias("adj_close"), "daily_return")

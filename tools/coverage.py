@@ -9,6 +9,22 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tallyspark.plans.registry import load_all  # noqa: E402
 
 
+TEST_ONLY = {
+    "S4": "tests/test_sources.py::test_read_tagged_and_gzip",
+    "S6": "tests/test_sources.py::test_read_or_clean_prefers_parquet",
+    "S14": "tests/test_models_streaming_sinks.py::test_keyed_update_schema_evolution_and_rejects",
+    "S16": "tests/test_models_streaming_sinks.py::test_keyed_update_schema_evolution_and_rejects",
+    "M5": "tests/test_models_streaming_sinks.py::test_isolation_forest_ranks_planted_outliers_first",
+    "T6": "tests/test_models_streaming_sinks.py::test_arima_recovers_ar1",
+    "X1": "tests/test_models_streaming_sinks.py::test_streaming_flags_dedup_replayed_files",
+    "X2": "tests/test_models_streaming_sinks.py::test_streaming_kpis_equal_batch_over_several_batches",
+    "A15": "tests/test_sampling_keys.py::test_keep_first_hot_key",
+    "W3": "tests/test_ranking_evaluation.py::test_percent_rank_matches_window_with_ties",
+    "A31": "tests/test_ranking_evaluation.py::test_auc_with_ties_golden",
+    "L6": "tests/test_sampling_keys.py::test_stratified_split_exact_shares",
+}
+
+
 def main() -> None:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     reg = load_all()
@@ -26,6 +42,8 @@ def main() -> None:
         if m:
             i, op = m.group(1), m.group(2).strip()
             qs = ", ".join(f"`{n}`" for n in sorted(by_id.get(i, []))) or "—"
+            if i in TEST_ONLY:
+                qs = (qs + "; " if qs != "—" else "") + f"test: {TEST_ONLY[i]}"
             lines.append(f"| {i} | {op[:70]} | {qs} |")
     open(os.path.join(root, "COVERAGE.md"), "w").write("\n".join(lines) + "\n")
 
