@@ -46,7 +46,7 @@ def naive_forecasts(split: DataFrame, lag: int = SEASONAL_LAG_DAYS) -> DataFrame
     seasonal = split.withColumn("naive_seasonal", F.lag("value", lag).over(w))
     last = split.where(F.col("split") == "train").groupBy("series").agg(
         F.max_by("value", "obs").alias("naive_last_value"))  # one row per series
-    h = seasonal.where(F.col("split") == "holdout").join(last, "series")
+    h = seasonal.where(F.col("split") == "holdout").join(F.broadcast(last), "series")
     return h.select("series", "trade_date", "obs", F.col("value").alias("actual"), "naive_last_value", "naive_seasonal")
 
 
@@ -175,8 +175,9 @@ def best_orders(aics: DataFrame) -> DataFrame:
 
 def arima_forecasts(split: DataFrame, orders: DataFrame) -> DataFrame:
     """T6 step 3: fit the chosen order on train, forecast the holdout horizon (one group per series)."""
-    data = split.where(F.col("split").isin("train", "holdout")).join(orders.select("series", "p", "d", "q"), "series",
-                                                                      "left")
+    # one chosen order per series: broadcast, so the join does not gather a series' rows by key
+    data = split.where(F.col("split").isin("train", "holdout")).join(
+        F.broadcast(orders.select("series", "p", "d", "q")), "series", "left")
 
     def fc_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("obs")

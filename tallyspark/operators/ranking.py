@@ -52,8 +52,10 @@ def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_bucket
     if n > 1:
         qs = [i / n for i in range(1, n)]
         bounds = distinct.groupBy(*keys).agg(F.percentile_approx(F.col(value), qs, 10000).alias("_bounds"))
-        # one row per key: bounded by the number of groups (broadcast when keyless)
-        joined = distinct.crossJoin(F.broadcast(bounds)) if not keys else distinct.join(bounds, keys)
+        # one row per key. Keys are group ids with few values (columns, classes,
+        # metrics): a shuffle join on them would put a whole group in one task, so
+        # the bounds are broadcast instead
+        joined = distinct.crossJoin(F.broadcast(bounds)) if not keys else distinct.join(F.broadcast(bounds), keys)
         db = joined.withColumn(BUCKET, F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
     else:
         db = distinct.withColumn(BUCKET, F.lit(0))
@@ -64,7 +66,7 @@ def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_bucket
                                              for c in cols])
     wl = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = db.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0)).alias(f"_l_{c}") for c in cols])
-    out = local.join(F.broadcast(offsets) if not keys else offsets, [*keys, BUCKET])
+    out = local.join(F.broadcast(offsets), [*keys, BUCKET])  # (groups x n) rows
     for c in cols:
         out = out.withColumn(f"{c}_before", (F.col(f"_o_{c}") + F.col(f"_l_{c}")).cast("bigint"))
     return out.drop(BUCKET, *[f"_o_{c}" for c in cols], *[f"_l_{c}" for c in cols])
@@ -158,7 +160,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int |
         p = pos.select(*keys, "q", F.col(pcol).alias("p"))
         cover = (F.col("_cnt_before") <= F.col("p")) & (F.col("p") < F.col("_cnt_before") + F.col("_cnt"))
         if keys:
-            j = cum.join(p, keys).where(cover)
+            j = cum.join(F.broadcast(p), keys).where(cover)  # (#keys x #q) rows
         else:
             # len(qs) rows: broadcast
             j = cum.join(F.broadcast(p), cover)
