@@ -143,9 +143,17 @@ loans AS (
 # ---------------------------------------------------------------------------
 # transactions: events
 # ---------------------------------------------------------------------------
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned-transaction shape (11 columns + id), rule flag not yet scored (NULL)."""
+def transactions(spark: SparkSession, sf_dir: str, types: tuple[str, ...] | None = None) -> DataFrame:
+    """Cleaned-transaction shape (11 columns + id), rule flag not yet scored (NULL).
+
+    ``types`` restricts the transaction types on the *source* column, so the
+    predicate reaches the Parquet scan (a filter on the derived ``txn_type``
+    cannot be pushed through the CASE mapping).
+    """
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    if types is not None:
+        sources = [ev for ev, t in TXN_TYPE_BY_EVENT.items() if t in set(types)]
+        e = e.where(F.col("event_type").isin(sources))
     k = F.expr("try_cast(get_json_object(props, '$.k') AS INT)")
     e = e.withColumn("_k", k).withColumn("_amount", F.col("value").cast("decimal(14,2)"))
     ttype = _case_map(F.col("event_type"), TXN_TYPE_BY_EVENT)
