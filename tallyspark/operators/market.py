@@ -221,9 +221,11 @@ def correlation_long(prices: DataFrame, tickers: list[str] | None = None, method
         r = r.withColumn("daily_return", F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0)
     elif method != "pearson":
         raise ValueError("method must be pearson or spearman (kendall is not built)")
-    wide = r.groupBy("trade_date").pivot("ticker", tickers).agg(F.first("daily_return"))
     idx = {t: f"c{i}" for i, t in enumerate(tickers)}
-    wide = wide.select("trade_date", *[F.col(f"`{t}`").alias(idx[t]) for t in tickers])
+    # (date, ticker) is unique: one conditional aggregate by date builds the wide rows
+    # with a single exchange (a pivot would first re-aggregate by (date, ticker))
+    wide = r.groupBy("trade_date").agg(*[F.max(F.when(F.col("ticker") == t, F.col("daily_return"))).alias(idx[t])
+                                         for t in tickers])
     pairs = [(a, b) for a in tickers for b in tickers]
     row = wide.agg(*[F.corr(idx[a], idx[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     stack = "stack({n}, {items}) as (ticker_a, ticker_b, correlation)".format(
