@@ -27,7 +27,7 @@ from tallyspark.functions.text import (
     parse_date_any, parse_month_year, parse_percent, parse_term_months, round_half_even_long,
     standardize, strip_policy_prefix, to_number, upper_left,
 )
-from tallyspark.operators.ranking import bracketed_quantiles, exact_quantiles
+from tallyspark.operators.ranking import bracketed_quantiles_wide, exact_quantiles
 from tallyspark.session import materialize
 
 # ---- fixed values -----------------------------------------------------------
@@ -66,11 +66,11 @@ STOCK_SCHEMA_COLUMNS = ["ticker", "trade_date", "open_price", "high_price", "low
 # ---- building blocks ----------------------------------------------------------
 def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], mode: str = "bracketed") -> DataFrame:
     """Quantiles ``qs`` of each column in ``cols`` as a long table (column, q, quantile)."""
-    if mode in ("distributed", "bracketed"):
+    if mode == "bracketed":
+        return bracketed_quantiles_wide(df, cols, qs)
+    if mode == "distributed":
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                                              for c in cols])).alias("_s")).select("_s.column", "_s.v")
-        if mode == "bracketed":
-            return bracketed_quantiles(long, "v", qs, keys=["column"])
         return exact_quantiles(long, "v", qs, keys=["column"])
     fn = (lambda c: F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs]))) if mode == "exact" else \
          (lambda c: F.percentile_approx(F.col(c).cast("double"), list(qs), 10000).cast("array<double>"))

@@ -62,3 +62,19 @@ def test_confusion_zero_division(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "y int, pred int")
     r = ev.confusion_matrix(df).first()
     assert (r.tp, r.fp, r.fn, r.tn) == (0, 0, 0, 2) and r.precision == 0.0 and r.recall == 0.0
+
+
+def test_bracketed_quantiles_wide_matches_numpy(spark):
+    from tallyspark.operators.ranking import bracketed_quantiles_wide
+    rng = np.random.default_rng(11)
+    a = np.round(rng.normal(size=1500), 2)
+    a[:500] = 0.25  # hot value
+    b = np.round(rng.exponential(size=1500), 3)
+    rows = [(float(x), None if i % 7 == 0 else float(y)) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
+    qs = [0.01, 0.5, 0.99]
+    got = {(r.column, round(r.q, 6)): r.quantile for r in bracketed_quantiles_wide(df, ["a", "b"], qs).collect()}
+    bb = np.array([y for (_, y) in rows if y is not None])
+    for q in qs:
+        assert got[("a", q)] == pytest.approx(float(np.percentile(a, q * 100)), abs=1e-12)
+        assert got[("b", q)] == pytest.approx(float(np.percentile(bb, q * 100)), abs=1e-12)
