@@ -7,9 +7,11 @@ is the number of columns, not the number of rows.
 
 ``quantiles`` selects how the medians and winsor bounds are computed:
 
-* ``"bracketed"`` (default) - exact in two passes: an approximate sketch brackets
-  each position, then only the distinct values inside the bracket are counted
-  (bounded memory, skew-safe; verified, with ``"distributed"`` as fallback);
+* ``"bracketed"`` (default) - exact in two passes over the wide table: one
+  aggregate of sketches brackets every position, one aggregate counts the rows
+  below each bracket, and only values inside a bracket are reshaped and counted
+  (bounded memory, skew-safe, no long-form copy of the table; verified, with
+  ``"distributed"`` as fallback);
 * ``"distributed"`` - exact, via value-range cumulative counts; no task ever
   holds more than one range of one column's distinct values;
 * ``"exact"`` - Spark's ``percentile`` in a single aggregate (exact; keeps a
