@@ -74,43 +74,6 @@ def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_bucket
     return out.drop(BUCKET, *[f"_o_{c}" for c in cols], *[f"_l_{c}" for c in cols])
 
 
-def percent_rank_table(df: DataFrame, value: str, ascending: bool = True, n_buckets: int | None = None) -> DataFrame:
-    """(value, percent_rank) for every distinct non-NULL value, as SQL PERCENT_RANK.
-
-    percent_rank = rows strictly before / (N - 1); N = 1 gives 0.  NULL inputs
-    are placed last for ASC and first for DESC (PostgreSQL's default ordering).
-    """
-    counts = value_counts(df, value)
-    cum = cumulative_before(counts, value, ["_cnt"], n_buckets)
-    totals = df.agg(F.count(F.lit(1)).cast("bigint").alias("_N"),
-                    F.count(F.col(value)).cast("bigint").alias("_NN"))
-    j = cum.crossJoin(F.broadcast(totals))
-    if ascending:
-        before = F.col("_cnt_before")
-    else:
-        # rows ranked before v in DESC NULLS FIRST: the NULLs plus all values > v
-        before = (F.col("_N") - F.col("_NN")) + (F.col("_NN") - F.col("_cnt_before") - F.col("_cnt"))
-    pr = F.when(F.col("_N") <= 1, F.lit(0.0)).otherwise(before.cast("double") / (F.col("_N") - 1).cast("double"))
-    return j.select(value, pr.alias("percent_rank"))
-
-
-def with_percent_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
-                      n_buckets: int | None = None) -> DataFrame:
-    """Attach the SQL PERCENT_RANK of ``value`` to every row (equi-join on the value)."""
-    pr = percent_rank_table(df, value, ascending, n_buckets).withColumnRenamed("percent_rank", out)
-    joined = df.join(pr, on=value, how="left")
-    if ascending:
-        null_pr = F.lit(None)
-        # NULLs sort last in ASC: all non-NULL rows precede them
-        totals = df.agg(F.count(F.lit(1)).alias("_N2"), F.count(F.col(value)).alias("_NN2"))
-        joined = joined.crossJoin(F.broadcast(totals))
-        null_pr = F.when(F.col("_N2") <= 1, F.lit(0.0)).otherwise(F.col("_NN2") / (F.col("_N2") - 1))
-        joined = joined.withColumn(out, F.when(F.col(value).isNull(), null_pr).otherwise(F.col(out))).drop("_N2", "_NN2")
-    else:
-        joined = joined.withColumn(out, F.when(F.col(value).isNull(), F.lit(0.0)).otherwise(F.col(out)))
-    return joined
-
-
 def percent_ranks_multi(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]],
                         n_buckets: int | None = None) -> DataFrame:
     """Several SQL PERCENT_RANKs of one table in one distributed pass.
