@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["s18_customers", "v5_segment_summary", "l3_md5_sample", "l6_stratified_split", "c3_clean_stock_prices",
-         "c1_clean_loans", "a36_threshold_tradeoff", "a34_best_f2_threshold", "s10_price_ids"]
+         "c1_clean_loans", "a36_threshold_tradeoff", "a34_best_f2_threshold", "s10_price_ids",
+         "d9_bubble_sample", "l4_block_sample", "a38_score_distribution_contrast",
+         "m13_cluster_labels_by_frequency_bucket"]
 
 
 def _rows(spark, name, parts):
