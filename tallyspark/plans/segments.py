@@ -233,16 +233,25 @@ FROM (
          count(*) OVER (PARTITION BY avg_frequency > 1.2) AS n_grp
   FROM (
     SELECT CAST(LEAST(total_txn_count, {FREQ_BUCKETS}) AS INTEGER) AS cluster, CAST(COUNT(*) AS BIGINT) AS n_customers,
-           AVG(CAST((SELECT MAX(last_txn_date) FROM customer_aggregates) - last_txn_date AS DOUBLE)) AS avg_recency,
-           AVG(CAST(total_txn_count AS DOUBLE)) AS avg_frequency, AVG(CAST(total_txn_value AS DOUBLE)) AS avg_monetary
+           {exact_avg_sql('((SELECT MAX(last_txn_date) FROM customer_aggregates) - last_txn_date)', 0, 6)} AS avg_recency,
+           {exact_avg_sql('total_txn_count', 0, 6)} AS avg_frequency,
+           {exact_avg_sql('total_txn_value', 2, 6)} AS avg_monetary
     FROM customer_aggregates GROUP BY 1) p
 ) l""", "customer_aggregates")
 
 
 @register("m13_cluster_labels_by_frequency_bucket", M13_SQL, ids=("M12", "M13", "W9", "J5"))
 def m13_cluster_labels_by_frequency_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = orders_rfm(spark, sf_dir).withColumn("cluster", F.least(F.col("frequency"), F.lit(FREQ_BUCKETS)).cast("int"))
-    prof = sg.profile_clusters(r, recency="recency_days")
+    c = customer_aggregates(spark, sf_dir)
+    mx = c.select(F.max("last_txn_date")).scalar()
+    r = c.select(F.least(F.col("total_txn_count"), F.lit(FREQ_BUCKETS)).cast("int").alias("cluster"),
+                 F.datediff(mx, F.col("last_txn_date")).alias("_rec"), "total_txn_count", "total_txn_value")
+    # exact averages (integer days and counts, decimal money), so labels and outputs do not
+    # depend on float summation order
+    prof = r.groupBy("cluster").agg(count_bigint().alias("n_customers"),
+                                    exact_avg("_rec", 0, 6).alias("avg_recency"),
+                                    exact_avg("total_txn_count", 0, 6).alias("avg_frequency"),
+                                    exact_avg("total_txn_value", 2, 6).alias("avg_monetary"))
     labels = sg.label_clusters(prof)
     # k rows on both sides
     out = prof.join(F.broadcast(labels), "cluster")
