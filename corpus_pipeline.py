@@ -25,7 +25,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out later copies of runs of lines of 50 words or more; every document stays."""
+    """Takes out later copies of runs of lines of 50 words or more; documents that are nothing else go."""
     return line_dedup.drop_repeated_lines(docs, min_words=50)
 
 

@@ -98,8 +98,13 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the cleaned text in place of ``text`` (and ``n_chars``, if there, to match)."""
+    """``docs`` with the cleaned text in place of ``text`` (and ``n_chars``, if there, to match).
+
+    A document of which no word is left - all of it stands earlier - goes; one that had no
+    words to begin with stays as it is.
+    """
     out = dedup_lines(docs, min_words)
+    out = out.where((F.size("removed") == 0) | F.col("clean_text").rlike(r"[^\x20\x09-\x0D]"))
     columns = []
     for c in docs.columns:
         if c == "text":
