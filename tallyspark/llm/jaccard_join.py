@@ -5,13 +5,17 @@
 2. Parity sketch: per size band the shingles are dealt to blocks of ``BLOCK_BITS`` bits,
    each flipping one bit (XOR) of its block.  Two sketches differ in at most as many bits as
    the sets differ in elements, so a pair similar enough to link, whose difference is at
-   most d, agrees in all but d blocks.  With d + 1 + spare blocks some block agrees that
-   holds at least two set bits (or the text has more thin blocks than spare ones and
-   emits those too), and equal (band, block, bits) keys find the pair: no pair is lost.
-3. Candidates of a key are not paired with each other: each class first meets the smallest
-   class of its keys; verified links give components.  Only keys that still hold several
-   components are expanded, the members outside the key's main component against all
-   others, and those pairs verified.  Every link therefore lies within one component.
+   most d, differs in at most d blocks.  Of d + 1 + spare blocks a text leaves out its
+   ``spare`` thinnest (fewest bits, ties by content).  A linking pair agrees in 1 + spare
+   blocks at least; the fattest of these is left out by neither text, so equal (band, block,
+   bits) keys find the pair: no pair is lost.
+3. Candidates of a key are not paired with each other: each class first meets, of the
+   smallest classes of its keys, the one it shares most keys with.  A further parity sketch
+   of the whole set drops pairs whose Hamming distance is over d before any text moves;
+   what is left is verified, and verified links give components.  Only keys that still hold
+   several components are expanded, the members outside the key's main component against
+   all others - in keys of more than ``LARGE`` members only those that also share a key
+   under a second seed - and those pairs verified.  Every link thus lies in one component.
 4. Verification recomputes both shingle sets from the whole texts and compares sizes
    exactly with integers.
 
@@ -35,8 +39,9 @@ from tallyspark.llm.components import connected_components
 from tallyspark.llm.wordio import mix, split_words, text_slices, word_hashes
 
 BLOCK_BITS = 256
-BAND_RATIO = 1.5      # smaller sizes of a band: [1.5^j, 1.5^(j+1))
-SPARE_PCT = 6         # further blocks, in percent, so that thin blocks need not be used
+BAND_RATIO = 1.15     # smaller sizes of a band: [1.15^j, 1.15^(j+1))
+SPARE_PCT = 20        # further blocks, in percent, so that thin blocks need not be used
+LARGE = 200           # members of a key from which a second key decides who meets
 CLASS = ["n", "d1", "d2"]
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -69,7 +74,7 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
 def bands(size: int, num: int, den: int) -> list[tuple[int, int]]:
     """(band, largest difference of a linking pair) for each band a set of ``size`` is in.
 
-    Band j holds the pairs whose smaller set has a size in [1.5^j, 1.5^(j+1)).
+    Band j holds the pairs whose smaller set has a size in [1.15^j, 1.15^(j+1)).
     """
     out, j = [], max(0, int(np.log(max(size * num / den, 1)) / np.log(BAND_RATIO)) - 2)
     while True:
@@ -78,12 +83,17 @@ def bands(size: int, num: int, den: int) -> list[tuple[int, int]]:
             return out
         top = high * den // num
         if high >= low and size <= top:
-            out.append((j, (den - num) * (high + top) // (den + num)))
+            out.append((j, largest_difference(high, top, num, den)))
         j += 1
 
 
-def sketch_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The block keys of one set; two sets that link share at least one."""
+def largest_difference(a, b, num: int, den: int):
+    """Most elements in which linking sets of sizes a and b can differ."""
+    return (den - num) * (a + b) // (den + num)
+
+
+def sketch_keys(shingles: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
+    """The block keys of one set; two sets that link share at least one, for any seed."""
     keys = []
     for band, differ in bands(len(shingles), num, den):
         if differ == 0:
@@ -91,21 +101,39 @@ def sketch_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
         spare = 1 + differ * SPARE_PCT // 100
         blocks = differ + 1 + spare
         with np.errstate(over="ignore"):
-            token = mix(shingles + np.uint64(band))
+            token = mix(shingles + np.uint64(band + (seed << 20)))
             block = ((token >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-            bit = token & np.uint64(BLOCK_BITS - 1)
-            sketch = np.zeros(blocks * BLOCK_BITS // 64, dtype=np.uint64)
-            np.bitwise_xor.at(sketch, (block * np.uint64(BLOCK_BITS // 64) + (bit >> np.uint64(6))).astype(np.int64),
-                              np.uint64(1) << (bit & np.uint64(63)))
+            sketch = _flip(block * np.uint64(BLOCK_BITS) + (token & np.uint64(BLOCK_BITS - 1)), blocks * BLOCK_BITS)
             sketch = sketch.reshape(blocks, -1)
-            set_bits = np.bitwise_count(sketch).sum(axis=1)
-            number = np.arange(blocks, dtype=np.uint64) + (np.uint64(band) << np.uint64(40))
+            number = np.arange(blocks, dtype=np.uint64) + np.uint64((band << 40) + (seed << 56))
             key = mix((mix(sketch + _LANES) * _LANES).sum(axis=1, dtype=np.uint64) + mix(number))
-        full = set_bits >= 2
-        keys.append(key if blocks - full.sum() > spare else key[full])
+        thin_first = np.lexsort((key, np.bitwise_count(sketch).sum(axis=1)))
+        keys.append(key[thin_first[spare:]])
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
+def _flip(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parity of how often each of ``size`` bits is named, as 64-bit words."""
+    sketch = np.zeros(size // 64, dtype=np.uint64)
+    np.bitwise_xor.at(sketch, (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+    return sketch
+
+
+def whole_sketch(shingles: np.ndarray, num: int, den: int) -> bytes:
+    """Parity sketch of a set in a power of two of bits, four times the difference it must tell."""
+    most = largest_difference(len(shingles), len(shingles) * den // num, num, den)
+    size = max(256, 1 << int(4 * most).bit_length())
+    return _flip(mix(shingles ^ _LANES[3]) & np.uint64(size - 1), size).tobytes()
+
+
+def hamming(a: bytes, b: bytes) -> int:
+    """Bits in which two whole sketches differ; the longer one is folded to the shorter's size."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
     with np.errstate(over="ignore"):
         a = mix(shingles).sum(dtype=np.uint64)
@@ -113,21 +141,23 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(np.uint64(b).astype(np.int64))
 
 
-def _set_table(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, d1, d2): size and digest of each text's shingle set."""
+def _set_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n, d1, d2, sketch): size, digest and whole sketch of each text's shingle set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in text_slices(batch.column("text")):
                 part = batch.slice(start, stop - start)
-                rows = [(len(s), *_digest(s)) for s in shingle_sets(part.column("text"), k)]
+                rows = [(len(s), *_digest(s), whole_sketch(s, num, den)) for s in shingle_sets(part.column("text"), k)]
+                kinds = [pa.int64()] * 3 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*rows))], names=["doc_id", *CLASS])
+                    [part.column("doc_id"), *(pa.array(c, kind) for c, kind in zip(zip(*rows), kinds))],
+                    names=["doc_id", *CLASS, "sketch"])
 
-    return docs.mapInArrow(sets, "doc_id long, n long, d1 long, d2 long")
+    return docs.mapInArrow(sets, "doc_id long, n long, d1 long, d2 long, sketch binary")
 
 
-def _key_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _key_table(docs: DataFrame, k: int, num: int, den: int, seed: int = 0) -> DataFrame:
     """(key, d1): block keys of each class, once per task however often a text recurs."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +171,7 @@ def _key_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     digest = _digest(shingles)
                     if len(shingles) and digest not in seen:
                         seen.add(digest)
-                        out.append(sketch_keys(shingles, num, den))
+                        out.append(sketch_keys(shingles, num, den, seed))
                         owners.append((digest[0], len(out[-1])))
                 flat = np.concatenate(out).view(np.int64)
                 owner = np.repeat(np.array([o for o, _ in owners], dtype=np.int64), [n for _, n in owners])
@@ -177,6 +207,44 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
             .mapInArrow(check, "a long, b long").distinct())
 
 
+def _near_sketches(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, r_a, r_b, d_a, d_b) of the pairs whose sketches differ in no more bits than linking sets can."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [hamming(x, y) <= largest_difference(n, m, num, den) for x, y, n, m in zip(
+                *(batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "n_a", "n_b")))]
+            yield batch.select(["cid_a", "cid_b", "rep_a", "rep_b", "x", "y"]).rename_columns(
+                ["a", "b", "r_a", "r_b", "d_a", "d_b"]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.mapInArrow(near, "a long, b long, r_a long, r_b long, d_a long, d_b long")
+
+
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(rep, text) of the documents that the pairs name; repetitions meet in one row."""
+    ids = write_table(pairs.select(F.col("r_a").alias("rep")).union(pairs.select("r_b")).distinct(), "involved")
+    # few ids are broadcast, more are joined by shuffle
+    wanted = F.broadcast(ids) if is_broadcastable(ids.count()) else ids
+    return (docs.join(wanted, F.col("doc_id") == F.col("rep")).groupBy("rep").agg(F.collect_set("text").alias("text"))
+            .select("rep", F.explode("text").alias("text")))
+
+
+def _mixed(labelled: DataFrame, key: list[str]) -> DataFrame:
+    """The members of keys that hold several components, with the key's main one and its size."""
+    sizes = labelled.groupBy(*key, "component").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy(*key).agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"),
+                                     F.count("*").alias("parts"))
+             .where("parts > 1").select(*key, F.col("main.component").alias("main"), "members"))
+    return labelled.join(mixed, key)
+
+
+def _crossing(open_keys: DataFrame, key: list[str]) -> DataFrame:
+    """Pairs (x, y) of a key's members in different components."""
+    minor = open_keys.where("component <> main").select(*key, F.col("d1").alias("x"), F.col("component").alias("c_x"))
+    every = open_keys.select(*key, F.col("d1").alias("y"), F.col("component").alias("c_y"))
+    return minor.join(every, key).where("c_x <> c_y").select("x", "y").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs(doc_id, text)``.
 
@@ -184,8 +252,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     ``component_id`` is the smallest doc_id reachable by links.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = write_table(_set_table(docs, k), "sets")
-    classes = write_table(sets.where("n > 0").groupBy(*CLASS).agg(F.min("doc_id").alias("rep"))
+    sets = write_table(_set_table(docs, k, num, den), "sets")
+    classes = write_table(sets.where("n > 0").groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
                           .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     # classes that share a key, each with the first class of that key
@@ -194,38 +262,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
               .select("key", "d1", F.first("d1").over(by_key).alias("center"), F.lag("d1").over(by_key).alias("before"))
               .where("d1 <> center AND d1 <> before").select("key", "d1", "center"))
     shared = write_table(shared, "shared")
-    names = classes.where("rep IS NOT NULL").select("d1", "n", "rep", "cid")
+    names = classes.where("rep IS NOT NULL").select("d1", "n", "rep", "cid", "sketch")
 
     def pairs_of(pairs: DataFrame) -> DataFrame:
-        """Pairs (x, y) of class digests as ordered class pairs whose sizes allow a link."""
-        a = names.select(F.col("d1").alias("x"), F.col("rep").alias("r_a"), F.col("n").alias("n_a"), F.col("cid").alias("a"))
-        b = names.select(F.col("d1").alias("y"), F.col("rep").alias("r_b"), F.col("n").alias("n_b"), F.col("cid").alias("b"))
-        return (pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x < y").distinct()
-                .join(a, "x").join(b, "y").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-                .select("a", "b", "r_a", "r_b", F.col("x").alias("d_a"), F.col("y").alias("d_b")))
-
-    first = write_table(pairs_of(shared.select(F.col("d1").alias("x"), F.col("center").alias("y"))), "pairs")
-    members = shared.select("key", "d1").union(shared.select("key", F.col("center").alias("d1")).distinct())
-    involved = write_table(members.select("d1").distinct().join(names, "d1").select("rep").distinct(), "involved")
-    # texts of the classes in question: ids broadcast if few, else by shuffle; repetitions meet in one row
-    wanted = F.broadcast(involved) if is_broadcastable(involved.count()) else involved
-    texts = (docs.join(wanted, F.col("doc_id") == F.col("rep")).groupBy("rep").agg(F.collect_set("text").alias("text"))
-             .select("rep", F.explode("text").alias("text")))
-    links = write_table(_verify(first, texts, k, num, den), "verified")
+        """Pairs (x, y) of class digests as ordered class pairs that sizes and sketches let link."""
+        a = names.select(F.col("d1").alias("x"), *(F.col(c).alias(f"{c}_a") for c in ("n", "rep", "cid", "sketch")))
+        b = names.select(F.col("d1").alias("y"), *(F.col(c).alias(f"{c}_b") for c in ("n", "rep", "cid", "sketch")))
+        return _near_sketches(
+            pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x < y").distinct()
+            .join(a, "x").join(b, "y").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num), num, den)
+
+    best = (shared.groupBy("d1", "center").agg(F.count("*").alias("keys")).groupBy("d1")
+            .agg(F.max(F.struct("keys", "center")).alias("best")).select(F.col("d1").alias("x"), F.col("best.center").alias("y")))
+    first = write_table(pairs_of(best), "pairs")
+    links = write_table(_verify(first, _texts_of(docs, first), k, num, den), "verified")
     labels = connected_components(links)
 
     # keys that still hold several components: the members outside the main one against all
+    members = shared.select("key", "d1").union(shared.select("key", F.col("center").alias("d1")).distinct())
     labelled = (members.join(names.select("d1", "cid"), "d1").join(labels, F.col("cid") == F.col("id"), "left")
                 .select("key", "d1", F.coalesce("component", "cid").alias("component")))
-    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-             .where("parts > 1").select("key", F.col("main.component").alias("main")))
-    open_keys = write_table(labelled.join(mixed, "key"), "open")
-    minor = open_keys.where("component <> main").select("key", F.col("d1").alias("x"), F.col("component").alias("c_x"))
-    every = open_keys.select("key", F.col("d1").alias("y"), F.col("component").alias("c_y"))
-    crossing = minor.join(every, "key").where("c_x <> c_y").select("x", "y").distinct()
-    second = pairs_of(crossing).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    late = write_table(_verify(second, texts, k, num, den), "verified")
+    open_keys = write_table(_mixed(labelled, ["key"]), "open")
+    crossing = _crossing(open_keys.where(F.col("members") <= LARGE), ["key"])
+    large = open_keys.where(F.col("members") > LARGE).select("key", "d1", "component")
+    if not large.isEmpty():
+        again = docs.join(large.join(names, "d1").select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
+        second_keys = _key_table(again, k, num, den, seed=1).distinct().withColumnRenamed("key", "key2")
+        crossing = crossing.union(_crossing(_mixed(large.join(second_keys, "d1"), ["key", "key2"]), ["key", "key2"]))
+    second = write_table(pairs_of(crossing).join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    late = write_table(_verify(second, _texts_of(docs, second), k, num, den), "verified")
     if not late.isEmpty():
         labels = connected_components(links.union(late))
 
