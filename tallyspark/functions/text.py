@@ -29,7 +29,8 @@ def to_number(c) -> Column:
 
 
 def _try_double(c: Column) -> Column:
-    return c.try_cast("double")
+    # the cast alone would also take Java's type suffixes ('10d', '10f')
+    return F.when(c.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), c.try_cast("double"))
 
 
 def parse_percent(c) -> Column:

@@ -25,6 +25,8 @@ HOLDOUT_DAYS = 60
 SEASONAL_LAG_DAYS = 5
 P_RANGE, D_RANGE, Q_RANGE = range(0, 3), (0, 1), range(0, 3)
 DEFAULT_ORDER = (1, 1, 0)
+LONG_AR = 8  # lags of the first-stage autoregression that estimates the innovations
+COMMON_START = 1 + LONG_AR + max(max(P_RANGE), max(Q_RANGE))  # first observation that every order can predict
 
 
 def holdout_split(series: DataFrame, holdout: int = HOLDOUT_DAYS) -> DataFrame:
@@ -40,24 +42,33 @@ def holdout_split(series: DataFrame, holdout: int = HOLDOUT_DAYS) -> DataFrame:
                         .when(F.col("obs") > F.col("_n") - holdout, F.lit("holdout")).otherwise(F.lit("train"))).drop("_n")
 
 
+def rejected_series(split: DataFrame) -> DataFrame:
+    """Series that cannot be evaluated because they are not longer than the holdout."""
+    return (split.where(F.col("split") == "too_short").groupBy("series")
+            .agg(F.count(F.lit(1)).alias("n_obs"), F.lit("not longer than the holdout").alias("reason")))
+
+
 def naive_forecasts(split: DataFrame, lag: int = SEASONAL_LAG_DAYS) -> DataFrame:
     """Last-value (held flat) and seasonal-naive (lag over observations) per holdout row."""
     w = Window.partitionBy("series").orderBy("obs")
     seasonal = split.withColumn("naive_seasonal", F.lag("value", lag).over(w))
     last = split.where(F.col("split") == "train").groupBy("series").agg(
         F.max_by("value", "obs").alias("naive_last_value"))  # one row per series
-    h = seasonal.where(F.col("split") == "holdout").join(F.broadcast(last), "series")
+    h = seasonal.where(F.col("split") == "holdout").join(last, "series")
     return h.select("series", "trade_date", "obs", F.col("value").alias("actual"), "naive_last_value", "naive_seasonal")
 
 
 def evaluation(forecasts_long: DataFrame, digits: int = 6) -> DataFrame:
-    """RMSE and MAPE (%) per (series, model); sorted by RMSE within a series."""
+    """RMSE and MAPE (%) per (series, model); sorted by RMSE within a series.
+
+    A model without forecasts for a series has NULL measures and status ``failed``.
+    """
     e = F.col("actual") - F.col("forecast")
     g = forecasts_long.groupBy("series", "model").agg(
         F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.avg(F.abs(F.try_divide(e, F.col("actual")))) * 100).alias("mape_pct"))
-    return g.select("series", "model", F.round("rmse", digits).alias("rmse"),
-                    F.round("mape_pct", digits).alias("mape_pct")).orderBy("series", "rmse")
+    return g.select("series", "model", F.round("rmse", digits).alias("rmse"), F.round("mape_pct", digits).alias("mape_pct"),
+                    F.when(F.col("rmse").isNull(), "failed").otherwise("ok").alias("status")).orderBy("series", "rmse")
 
 
 def to_long(fc: DataFrame, models: list[str]) -> DataFrame:
@@ -80,21 +91,24 @@ def _lagmat(x, k, start):
 
 
 def fit_arma(y: np.ndarray, p: int, d: int, q: int):
-    """Two-stage least squares ARIMA(p, d, q); returns dict or None when the fit is unusable."""
+    """Two-stage least squares ARIMA(p, d, q); returns dict or None when the fit is unusable.
+
+    Every order is fitted and scored on the one-step errors of the same observations, so
+    AIC values compare across orders and do not depend on the unit of the series.
+    """
     z = np.diff(y, n=d) if d else y.astype(float)
     n = len(z)
-    m = max(p, q) + (max(8, p + q + 2) if q else 0)
-    if n <= m + p + q + 5:
+    start = COMMON_START - d  # the same observations of y for every order
+    if n <= start + p + q + 5:
         return None
     const = d == 0
     e = np.zeros(n)
     if q:
-        Xl = _lagmat(z, m, m)
+        Xl = _lagmat(z, LONG_AR, LONG_AR)
         if const:
             Xl = np.column_stack([np.ones(len(Xl)), Xl])
-        _, res = _ols(Xl, z[m:])
-        e[m:] = res
-    start = max(p, q, m if q else p)
+        _, res = _ols(Xl, z[LONG_AR:])
+        e[LONG_AR:] = res
     cols = [np.ones(n - start)] if const else []
     if p:
         cols.append(_lagmat(z, p, start))
@@ -174,10 +188,12 @@ def best_orders(aics: DataFrame) -> DataFrame:
 
 
 def arima_forecasts(split: DataFrame, orders: DataFrame) -> DataFrame:
-    """T6 step 3: fit the chosen order on train, forecast the holdout horizon (one group per series)."""
-    # one chosen order per series: broadcast, so the join does not gather a series' rows by key
+    """T6 step 3: fit the chosen order on train, forecast the holdout horizon (one group per series).
+
+    Where no order fits, ``arima`` is NULL.
+    """
     data = split.where(F.col("split").isin("train", "holdout")).join(
-        F.broadcast(orders.select("series", "p", "d", "q")), "series", "left")
+        orders.select("series", "p", "d", "q"), "series", "left")
 
     def fc_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("obs")
@@ -186,8 +202,8 @@ def arima_forecasts(split: DataFrame, orders: DataFrame) -> DataFrame:
         p = pdf["p"].iloc[0]
         order = DEFAULT_ORDER if pd.isna(p) else (int(p), int(pdf["d"].iloc[0]), int(pdf["q"].iloc[0]))
         f = fit_arma(tr, *order)
-        vals = forecast_arma(tr, f, len(ho)) if f else np.full(len(ho), tr[-1] if len(tr) else np.nan)
+        vals = list(forecast_arma(tr, f, len(ho))) if f else [None] * len(ho)  # a failed fit forecasts nothing
         return pd.DataFrame({"series": ho["series"].to_numpy(), "trade_date": ho["trade_date"].to_numpy(),
-                             "arima": vals})
+                             "arima": pd.array(vals, dtype="Float64")})
 
     return data.groupBy("series").applyInPandas(fc_group, "series string, trade_date date, arima double")

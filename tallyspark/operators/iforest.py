@@ -1,10 +1,9 @@
 """Isolation forest (M5/M6) as Spark jobs.
 
-* Subsamples are functions of a key hash, never of row order: each tree gets
-  ``psi`` (<= 256) rows drawn without replacement.  For large inputs a hash
-  threshold first draws a candidate pool of about 2 x trees x psi rows and each
-  pooled row is assigned to one tree; for small inputs every (row, tree) pair is
-  hashed so trees overlap, as independent draws would.
+* Subsamples are functions of a key hash, never of row order: each tree gets the
+  ``psi`` (<= 256) rows with the smallest (row, tree) hashes, drawn without
+  replacement and independently of the other trees.  A pair is built only if its
+  hash lies under ``2 psi / n`` - one rule at every size, about 2 psi rows per tree.
 * Trees grow in ``groupBy("tree").applyInPandas`` - one task per tree, psi rows.
 * The node table (<= trees x (2 psi - 1) rows, bounded by the model, not the data)
   is broadcast and every row is scored vectorised in ``mapInPandas``.
@@ -21,13 +20,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallyspark.operators.ranking import bracketed_quantiles
+from tallyspark.session import materialize
 
 N_TREES = 200
 MAX_SAMPLES = 256
 RANDOM_STATE = 42
-PAIR_LIMIT = 20_000_000  # (row, tree) pairs hashed directly below this size
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "leaf boolean, size long, depth int")
@@ -51,16 +52,10 @@ def subsample(df: DataFrame, key: str, n_rows: int, n_trees: int = N_TREES, psi:
               seed: int = RANDOM_STATE) -> DataFrame:
     """Rows of each tree's training subsample: (tree, <df columns>)."""
     psi = min(psi, n_rows)
-    if n_rows * n_trees <= PAIR_LIMIT:
-        pairs = df.select(F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), "*")
-        pairs = pairs.withColumn("_h", F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)))
-    else:
-        frac = min(1.0, 2.0 * psi * n_trees / n_rows)
-        pool = df.where(_u01(F.col(key), F.lit(seed)) < F.lit(frac))
-        pairs = pool.withColumn("tree", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(n_trees)).cast("int")) \
-                    .withColumn("_h", F.xxhash64(F.col(key), F.lit(seed + 2)))
-    # groups hold <= N (small input) or ~2 psi rows (pooled): bounded per task
-    from pyspark.sql.window import Window
+    share = min(1.0, 2.0 * psi / max(n_rows, 1))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: _u01(F.col(key), t, F.lit(seed)) < F.lit(share))
+    pairs = df.select(F.explode(drawn).alias("tree"), "*").withColumn("_h", _u01(F.col(key), F.col("tree"), F.lit(seed)))
+    # a tree's window holds about 2 psi rows, whatever the table's size
     w = Window.partitionBy("tree").orderBy("_h", key)
     return pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= psi).drop("_rn", "_h")
 
@@ -123,9 +118,12 @@ def _pack(nodes: pd.DataFrame, n_trees: int):
     return arr
 
 
-def raw_scores(df: DataFrame, nodes: DataFrame, features: list[str], key: str, psi: int,
-               n_trees: int = N_TREES) -> DataFrame:
-    """M6: isolation score 2^(-E[h(x)] / c(psi)) for every row (vectorised per batch)."""
+def raw_scores(df: DataFrame, nodes: DataFrame, features: list[str], psi: int, n_trees: int = N_TREES,
+               carry: list[str] = ()) -> DataFrame:
+    """M6: isolation score 2^(-E[h(x)] / c(psi)) for every row (vectorised per batch).
+
+    The ``carry`` columns travel with their row, so nothing has to be joined back.
+    """
     spark = df.sparkSession
     node_pdf = nodes.toPandas()  # bounded by trees x (2 psi - 1) rows
     bc = spark.sparkContext.broadcast(_pack(node_pdf, n_trees))
@@ -151,17 +149,18 @@ def raw_scores(df: DataFrame, nodes: DataFrame, features: list[str], key: str, p
                     idx = np.where(leaf, idx, nxt)
                 total += a["pl"][t, idx]
             s = np.power(2.0, -(total / a["feature"].shape[0]) / cpsi) if cpsi > 0 else np.full(m, 0.5)
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "_s": s})
+            yield pdf[carry].assign(_s=s)
 
-    return df.select(key, *features).mapInPandas(score, f"{key} long, _s double")
+    carry = list(carry)
+    rows = df.select(*carry, *[c for c in features if c not in carry])
+    schema = T.StructType([*(df.schema[c] for c in carry), T.StructField("_s", T.DoubleType())])
+    return rows.mapInPandas(score, schema)
 
 
-def score_and_flag(df: DataFrame, nodes: DataFrame, features: list[str], key: str, psi: int, contamination: float,
-                   n_trees: int = N_TREES) -> DataFrame:
+def score_and_flag(df: DataFrame, nodes: DataFrame, features: list[str], psi: int, contamination: float,
+                   n_trees: int = N_TREES, carry: list[str] = ()) -> DataFrame:
     """anomaly_score = score - quantile(score, 1 - contamination); flag = anomaly_score > 0."""
-    s = raw_scores(df, nodes, features, key, psi, n_trees)
-    from tallyspark.session import materialize
-    s = materialize(s)
+    s = materialize(raw_scores(df, nodes, features, psi, n_trees, carry))
     thr = bracketed_quantiles(s, "_s", [1.0 - contamination]).select("quantile").scalar()  # scalar subquery
-    return s.select(key, (F.col("_s") - thr).alias("anomaly_score"),
+    return s.select(*carry, (F.col("_s") - thr).alias("anomaly_score"),
                     (F.col("_s") > thr).cast("int").alias("is_flagged_iforest"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyspark.operators.profile import bounded_values
 from tallyspark.functions.risk import RISK_FREE_RATE, TRADING_DAYS_PER_YEAR, Z_95_SQL, Z_99_SQL
 
 PORTFOLIO_LABEL = "PORTFOLIO (equal-wt)"
@@ -29,9 +30,9 @@ def rolling_volatility(prices: DataFrame, window_rows: int = 30, digits: int = 5
                          F.round(F.stddev_samp("daily_return").over(w), digits).alias("rolling_30d_volatility"))
 
 
-def tickers_of(prices: DataFrame) -> list[str]:
-    """Distinct tickers (an instrument list: bounded by the universe, not by history)."""
-    return [r[0] for r in prices.select("ticker").distinct().orderBy("ticker").collect()]
+def tickers_of(prices: DataFrame, max_tickers: int = 5000) -> list[str]:
+    """Distinct tickers in order; more than ``max_tickers`` is an error."""
+    return bounded_values(prices, "ticker", max_tickers)
 
 
 def filter_tickers(prices: DataFrame, tickers=None, start=None, end=None) -> DataFrame:
@@ -57,14 +58,20 @@ def portfolio_returns(prices: DataFrame, weights: dict | None = None, with_sum:
     """Weighted daily portfolio return on dates where every ticker has a return.
 
     ``weights`` (ticker -> weight) are renormalised over the tickers; equal weights
-    by default.  The weight table has one row per instrument (broadcast-safe).
+    by default.  Weights and tickers must be the same set, else a ``ValueError`` tells
+    which differ.
     """
     r = prices.where(F.col("daily_return").isNotNull()).select("ticker", "trade_date", "daily_return")
     n_tickers = prices.select(F.countDistinct("ticker")).scalar()  # scalar subquery
     if weights:
         spark = prices.sparkSession
         wdf = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "ticker string, _w double")
-        r = r.join(F.broadcast(wdf), "ticker")
+        held = prices.select("ticker").distinct()
+        differ = held.join(wdf, "ticker", "left_anti").select("ticker").union(
+            wdf.join(held, "ticker", "left_anti").select("ticker")).limit(20).collect()
+        if differ:
+            raise ValueError(f"weights and tickers differ, for example in {sorted(str(x[0]) for x in differ)}")
+        r = r.join(wdf, "ticker")
         ret = F.sum(F.col("_w") * F.col("daily_return")) / F.sum("_w")
     else:
         ret = F.avg("daily_return")

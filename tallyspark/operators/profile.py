@@ -138,3 +138,14 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float =
     ranked = cum.join(F.broadcast(cut), label).select(
         label, "_h", F.when(F.col("_cnt_before") < F.col("_ntest"), F.lit("test")).otherwise(F.lit("train")).alias("split"))
     return h.join(ranked, [label, "_h"]).drop("_h")
+
+
+def bounded_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
+    """The distinct non-NULL values of a category column, sorted, on the driver.
+
+    At most ``max_values`` may exist; more raise an error instead of filling the driver.
+    """
+    found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(max_values + 1).collect()
+    if len(found) > max_values:
+        raise ValueError(f"{column} has more than {max_values} values")
+    return sorted(r[0] for r in found)

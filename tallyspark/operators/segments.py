@@ -76,7 +76,7 @@ def fit_kmeans(features: DataFrame, k: int, seed: int = RANDOM_STATE, n_init: in
 
 
 def elbow_silhouette(features: DataFrame, k_range=range(2, 11), sample_fraction: float = 1.0,
-                     seed: int = RANDOM_STATE, n_init: int = 3) -> DataFrame:
+                     seed: int = RANDOM_STATE, n_init: int = 10) -> DataFrame:
     """Inertia and (simplified, centroid-based) silhouette per k on a hash sample."""
     spark = features.sparkSession
     sample = features
@@ -119,8 +119,9 @@ def label_clusters(profile: DataFrame, cluster: str = "cluster") -> DataFrame:
               .when(F.col("_rank") <= F.col("_n") / 3, F.lit(LABEL_HIGH_ONE_TIME))
               .when(F.col("_rank") > 2 * F.col("_n") / 3, F.lit(LABEL_LOW_ONE_TIME))
               .otherwise(F.lit(LABEL_STANDARD_ONE_TIME)))
-    out = p.select(cluster, label.alias("segment"))
-    return out.where(F.length("segment") <= SEGMENT_MAX_LEN)
+    too_long = F.raise_error(F.concat(F.lit(f"segment label longer than {SEGMENT_MAX_LEN}: "), F.col("segment")))
+    return p.select(cluster, label.alias("segment")).select(
+        cluster, F.when(F.length("segment") <= SEGMENT_MAX_LEN, F.col("segment")).otherwise(too_long).alias("segment"))
 
 
 def rule_segment(customers: DataFrame, count: str = "total_txn_count", value: str = "total_txn_value") -> DataFrame:

@@ -58,9 +58,20 @@ def w8_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split(spark, sf_dir).select("series", "trade_date", "value", F.col("obs").cast("int"), "split")
 
 
+W8_REJECTED_SQL = with_views("""
+SELECT series, COUNT(*) AS n_obs, 'not longer than the holdout' AS reason
+FROM series_split WHERE split = 'too_short' GROUP BY series""", "stock_prices", extra=_STATS_CTE + "," + _SERIES_SQL)
+
+
+@register("w8_rejected_series", W8_REJECTED_SQL, ids=("W8", "T8"))
+def w8_rejected_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fc.rejected_series(_split(spark, sf_dir))
+
+
 T7_SQL = with_views("""
 SELECT series, model, ROUND(SQRT(AVG((actual - f) * (actual - f))), 6) AS rmse,
-       ROUND(AVG(ABS((actual - f) / actual)) * 100, 6) AS mape_pct
+       ROUND(AVG(ABS((actual - f) / actual)) * 100, 6) AS mape_pct,
+       CASE WHEN COUNT(f) = 0 THEN 'failed' ELSE 'ok' END AS status
 FROM (
   SELECT h.series, h.value AS actual, 'naive_last_value' AS model, l.v AS f FROM series_split h
   JOIN (SELECT series, arg_max(value, obs) AS v FROM series_split WHERE split = 'train' GROUP BY series) l
@@ -105,7 +116,7 @@ def t9_model_vs_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for base in ("naive_last_value", "naive_seasonal"):
         r = w.agg(F.count_if(F.col("arima") < F.col(base)).cast("bigint").alias("arima_wins"),
-                  F.count(F.lit(1)).cast("bigint").alias("n_series"),
+                  F.count(F.col("arima") + F.col(base)).cast("bigint").alias("n_series"),  # both forecast
                   F.round(F.max(F.abs(F.col("arima") - F.col(base))), 6).alias("max_mape_gap")) \
             .withColumn("baseline", F.lit(base))
         out = r if out is None else out.unionByName(r)

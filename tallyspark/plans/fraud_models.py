@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import evaluation as ev
 from tallyspark.operators import iforest
-from tallyspark.operators.profile import histogram
+from tallyspark.operators.profile import bounded_values, histogram
 from tallyspark.operators.ranking import bracketed_quantiles
 from tallyspark.plans.registry import register
 from tallyspark.session import materialize
 from tallyspark.sources.shaped import scored_transactions, with_views
-from tallyspark.sources.sinks import keyed_update
+from tallyspark.sources.sinks import keyed_update, rejected_duplicates
 
 BASE_FEATURE_COLUMNS = ["amount", "sender_bal_before", "sender_bal_after", "receiver_bal_before",
                         "receiver_bal_after", "sender_balance_delta", "sender_balance_error",
@@ -32,8 +32,8 @@ def anomaly_features(t: DataFrame) -> DataFrame:
 
 
 def with_type_one_hot(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """All transaction types one-hot (no category dropped); the type list is a bounded category set."""
-    types = [r[0] for r in df.select("txn_type").distinct().orderBy("txn_type").collect()]
+    """All transaction types one-hot (no category dropped)."""
+    types = bounded_values(df, "txn_type")
     cols = [f"txn_type_{t}" for t in types]
     return df.select("*", *[(F.col("txn_type") == t).cast("double").alias(c) for t, c in zip(types, cols)]), cols
 
@@ -62,33 +62,37 @@ def m7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_transactions(spark, sf_dir).agg(F.round(F.avg("is_flagged_rule"), 10).alias("contamination"))
 
 
-_MEMO: dict = {}
-
-
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule-flagged transactions with forest scores (M5 fit + M6 score), one fit per session."""
-    key = (id(spark), sf_dir)
-    if key not in _MEMO:
-        t = scored_transactions(spark, sf_dir)
-        feats, oh = with_type_one_hot(anomaly_features(t))
-        cols = BASE_FEATURE_COLUMNS + oh
-        feats = materialize(feats.select("txn_id", *cols))
-        contamination = t.agg(F.avg("is_flagged_rule")).first()[0] or 0.0
-        n = feats.count()
-        psi = min(iforest.MAX_SAMPLES, n)
-        nodes = materialize(iforest.fit(feats, cols, "txn_id"))
-        sc = iforest.score_and_flag(feats, nodes, cols, "txn_id", psi, max(float(contamination), 1e-12))
-        # S14 + S16: add the score columns and update them by key
-        _MEMO[key] = materialize(keyed_update(t, sc, "txn_id", ["anomaly_score", "is_flagged_iforest"]))
-    return _MEMO[key]
-
-
-@register("m6_iforest_scores", None, ids=("M5", "M6", "S14", "S16", "J3", "J4"))
+    """Rule-flagged transactions with forest scores (M5 fit + M6 score); rows carry their labels."""
+    t = scored_transactions(spark, sf_dir)
+    feats, oh = with_type_one_hot(anomaly_features(t))
+    cols = BASE_FEATURE_COLUMNS + oh
+    kept = ["txn_id", "txn_type", "is_fraud", "is_flagged_rule"]
+    feats = materialize(feats.select(*kept, *cols))
+    totals = feats.agg(F.avg("is_flagged_rule").alias("share"), F.count(F.lit(1)).alias("n")).first()
+    nodes = materialize(iforest.fit(feats, cols, "txn_id"))
+    return iforest.score_and_flag(feats, nodes, cols, min(iforest.MAX_SAMPLES, totals["n"]),
+                                  max(float(totals["share"] or 0.0), 1e-12), carry=kept)
+
+
+@register("m6_iforest_scores", None, ids=("M5", "M6", "J4"))
 def m6_iforest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_scores(spark, sf_dir).select("txn_id", F.round("anomaly_score", 6).alias("anomaly_score"),
                                                "is_flagged_iforest")
 
 
+@register("s16_score_writeback", None, ids=("S14", "S16", "J3"))
+def s16_score_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score columns are added to the transactions and set by key from the staged scores;
+    staged keys that occur twice are not applied.  Returns the numbers of rows."""
+    staged = materialize(forest_scores(spark, sf_dir).select("txn_id", "anomaly_score", "is_flagged_iforest"))
+    table = materialize(keyed_update(scored_transactions(spark, sf_dir), staged, "txn_id",
+                                     ["anomaly_score", "is_flagged_iforest"]))
+    rejected = rejected_duplicates(staged, "txn_id").select(F.count(F.lit(1))).scalar()
+    return table.agg(F.count(F.lit(1)).alias("n_rows"), F.count("anomaly_score").alias("n_updated"),
+                     F.first(rejected).alias("n_rejected"))
+
+
 @register("m18_detector_comparison", None, ids=("M18", "A29", "D5"))
 def m18_detector_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = forest_scores(spark, sf_dir)

@@ -211,7 +211,7 @@ def d1_overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.sum("fraud_count") * 100.0 / F.sum("txn_count"), 4).alias("fraud_rate_pct"))
     v3 = market_risk_kpis(stock_prices(spark, sf_dir)).where(F.col("ticker") == PORTFOLIO_LABEL).select(
         F.col("sharpe_ratio").alias("portfolio_sharpe"), F.col("annualized_volatility_pct").alias("portfolio_volatility_pct"))
-    v5 = segment_summary(customers_table(spark, sf_dir)).agg(
+    v5 = segment_summary(customers_table(spark, sf_dir), customer_aggregates(spark, sf_dir)).agg(
         F.sum("n_customers").cast("bigint").alias("total_customers"),
         F.max(F.struct("n_customers", "segment")).getField("segment").alias("top_segment"))
     return v1.crossJoin(v2).crossJoin(v3).crossJoin(v5)

@@ -60,22 +60,21 @@ def s18_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # V5 ---------------------------------------------------------------------------
 V5_BODY = f"""
-SELECT segment, CAST(COUNT(*) AS BIGINT) AS n_customers,
-       ROUND(100.0 * COUNT(*) / SUM(COUNT(*)) OVER (), 2) AS pct_of_customers,
-       {exact_avg_sql('total_txn_count', 0, 3)} AS avg_frequency,
-       {exact_avg_sql('total_txn_value', 2, 2)} AS avg_monetary,
-       {exact_avg_sql('avg_txn_value', 2, 2)} AS avg_txn_value,
-       CAST(SUM(total_txn_value) AS DOUBLE) AS total_segment_value,
-       {exact_avg_sql('(max_last_txn_date - last_txn_date)', 0, 2)} AS avg_recency_days_proxy,
-       {exact_avg_sql('risk_score', 2, 2)} AS avg_risk_score
-FROM (SELECT *, (SELECT MAX(last_txn_date) FROM customers) AS max_last_txn_date FROM customers
-      WHERE segment IS NOT NULL) base
-GROUP BY segment"""
+SELECT g.*, ROUND(100.0 * n_customers / everyone, 2) AS pct_of_customers
+FROM (SELECT segment, CAST(COUNT(*) AS BIGINT) AS n_customers, CAST(SUM(total_txn_value) AS DOUBLE) AS total_segment_value,
+             {exact_avg_sql('total_txn_count', 0, 3)} AS avg_frequency, {exact_avg_sql('total_txn_value', 2, 2)} AS avg_monetary,
+             {exact_avg_sql('avg_txn_value', 2, 2)} AS avg_txn_value, {exact_avg_sql('risk_score', 2, 2)} AS avg_risk_score,
+             {exact_avg_sql('days_since', 0, 2)} AS avg_recency_days_proxy
+      FROM (SELECT c.*, date_diff('day', last_txn_date, newest) AS days_since
+            FROM customers c, (SELECT MAX(last_txn_date) AS newest FROM customers) e) aged
+      WHERE segment IS NOT NULL GROUP BY segment) g,
+     (SELECT COUNT(segment) AS everyone FROM customers) t"""
 V5_SQL = _csql(V5_BODY)
 
 
-def segment_summary(customers: DataFrame) -> DataFrame:
-    mx = customers.select(F.max("last_txn_date")).scalar()  # scalar subquery (J2)
+def segment_summary(customers: DataFrame, aggregates: DataFrame) -> DataFrame:
+    # the latest date comes from the plain aggregates: ranking the customers for it would repeat W3
+    mx = aggregates.select(F.max("last_txn_date")).scalar()  # scalar subquery (J2)
     base = customers.where(F.col("segment").isNotNull()).withColumn("_rec", F.datediff(mx, F.col("last_txn_date")))
     g = base.groupBy("segment").agg(
         count_bigint().alias("n_customers"),
@@ -94,7 +93,8 @@ def segment_summary(customers: DataFrame) -> DataFrame:
 
 @register("v5_segment_summary", V5_SQL, ids=("V5", "J2", "W4", "A6", "S13"))
 def v5_segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_summary(customers_table(spark, sf_dir))
+    aggregates = materialize(customer_aggregates(spark, sf_dir))
+    return segment_summary(sg.risk_scores(sg.rule_segment(aggregates)), aggregates)
 
 
 # N13 --------------------------------------------------------------------------
@@ -138,7 +138,7 @@ FROM customers ORDER BY md5(customer_id || '42'), customer_id LIMIT {D9_SAMPLE}"
 
 @register("d9_bubble_sample", D9_SQL, ids=("D9", "L5", "L8", "P28"))
 def d9_bubble_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = customers_table(spark, sf_dir)
+    c = sg.rule_segment(materialize(customer_aggregates(spark, sf_dir)))
     mx = c.select(F.max("last_txn_date")).scalar()
     out = c.select("customer_id", F.datediff(mx, F.col("last_txn_date")).cast("bigint").alias("recency_days"),
                    F.greatest(F.col("total_txn_value").cast("double"), F.lit(1.0)).alias("monetary_clipped"),
@@ -176,19 +176,9 @@ def orders_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("total_txn_count").alias("frequency"), F.col("total_txn_value").cast("double").alias("monetary"))
 
 
-_KMEANS: dict = {}
-
-
 def kmeans_segments(spark: SparkSession, sf_dir: str, k: int = 4) -> DataFrame:
-    """M9-M13 on the orders RFM table; the fit is reused within a session (M10 and M12 share it)."""
-    key = (id(spark), sf_dir, k)
-    if key not in _KMEANS:
-        _KMEANS[key] = materialize(_kmeans_segments(spark, sf_dir, k))
-    return _KMEANS[key]
-
-
-def _kmeans_segments(spark: SparkSession, sf_dir: str, k: int = 4) -> DataFrame:
-    feats = sg.rfm_features(orders_rfm(spark, sf_dir), recency="recency_days").cache()
+    """M9-M13 on the orders RFM table."""
+    feats = materialize(sg.rfm_features(orders_rfm(spark, sf_dir), recency="recency_days"))
     model = sg.fit_kmeans(feats, k)
     assigned = model.transform(feats)
     labels = sg.label_clusters(sg.profile_clusters(assigned, recency="recency_days"))
@@ -204,7 +194,7 @@ def m10_kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m12_cluster_profile", None, ids=("M12", "M13", "W9"))
 def m12_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seg = kmeans_segments(spark, sf_dir)
+    seg = materialize(kmeans_segments(spark, sf_dir))
     prof = sg.profile_clusters(seg, recency="recency_days")
     labels = seg.select("cluster", "segment").distinct()
     return prof.join(labels, "cluster")
@@ -212,8 +202,8 @@ def m12_cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m11_elbow_silhouette", None, ids=("M11",))
 def m11_elbow_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feats = sg.rfm_features(orders_rfm(spark, sf_dir), recency="recency_days").cache()
-    return sg.elbow_silhouette(feats, range(2, 7), n_init=2)
+    feats = materialize(sg.rfm_features(orders_rfm(spark, sf_dir), recency="recency_days"))
+    return sg.elbow_silhouette(feats, range(2, 11))
 
 
 # M12/M13/W9 with an oracle: the cluster labelling rules on a deterministic clustering

@@ -7,8 +7,12 @@ platform, and we only *read* settings from it (e.g. ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -47,16 +51,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is respected as is.
-    Only when it is unset (local tests) do we create a scratch folder under /tmp.
+    Only a ``local`` session may do without: it gets a scratch folder that goes with
+    the process.  Executors elsewhere could not read such a folder, so any other
+    master without the setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
+        current = _local_folder(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def _local_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that every executor of {master} can read")
+    folder = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for materialised intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -64,11 +78,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage at a reuse point: write ``df`` to the shared checkpoint folder.
+    """Cut lineage at a reuse point: write ``df`` to the shared folder and read it back.
 
-    Reliable (not local) checkpointing, so a lost executor re-reads the written
-    files instead of recomputing, and plans that reference ``df`` several times
-    do not re-run its upstream.
+    Parquet rather than ``checkpoint()``: later passes prune columns and push
+    filters, and a lost executor re-reads files instead of recomputing.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,6 @@ rows, unparseable numbers and dates.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,12 +159,23 @@ def read_csv_strings(spark: SparkSession, path, columns: list[str] | None = None
 
 
 def read_tagged(spark: SparkSession, paths: dict[str, str], tag: str = "ticker") -> DataFrame:
-    """Many files in one scan, each row tagged with its source key (from the file name)."""
-    by_file = {os.path.basename(p): k for k, p in paths.items()}
+    """Many files in one scan, each row tagged with its source key.
+
+    A row belongs to the path that is its file's full path, or the folder it lies in.
+    """
+    def plain(uri):  # 'file:///a' and 'file:/a' are the same place
+        return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
     df = spark.read.option("header", True).csv(list(paths.values())).withColumn(
-        "_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    m = F.create_map(*[x for kv in by_file.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    return df.withColumn(tag, m[F.col("_file")]).drop("_file")
+        "_file", plain(F.col("_metadata.file_path")))
+    which = None
+    for key, path in paths.items():
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        uri = plain(F.lit(jvm_path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().toString()))
+        here = (F.col("_file") == uri) | F.startswith(F.col("_file"), F.concat(uri, F.lit("/")))
+        which = F.when(here, F.lit(key)) if which is None else which.when(here, F.lit(key))
+    return df.withColumn(tag, which).drop("_file")
 
 
 def read_or_clean(spark: SparkSession, parquet_path: str, raw_reader, clean_fn) -> DataFrame:

@@ -15,6 +15,7 @@ processing-time trigger in production; checkpoints live in the shared folder.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,8 +74,10 @@ def daily_kpi_stream(stream: DataFrame, watermark: str = KPI_WATERMARK) -> DataF
 def upsert_batch(table_dir: str, keys: list[str]):
     """foreachBatch body: replace the rows of the changed keys, keep all others.
 
-    Each batch writes a new version directory named after its batch id and moves
-    the ``_current`` marker, so a replayed batch rewrites the same version.
+    Every attempt writes a folder of its own and then moves the ``_current`` marker, so
+    a failure in the middle never touches the table that readers see.  A replayed batch
+    puts the same rows in again, which changes nothing.  Folders that neither the marker
+    nor its predecessor names are removed.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -82,19 +85,25 @@ def upsert_batch(table_dir: str, keys: list[str]):
 
         marker, fs = _fs(spark, f"{table_dir}/_current")
         changed = batch.dropDuplicates(keys)
+        previous = None
         if fs.exists(marker):
             stream = fs.open(marker)
-            cur_path = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")  # noqa: SLF001
+            previous = str(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))  # noqa: SLF001
             stream.close()
-            current = spark.read.parquet(str(cur_path))
+            current = spark.read.parquet(previous)
             merged = current.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
         else:
             merged = changed
-        version = f"{table_dir}/batch={batch_id}"
-        merged.write.mode("overwrite").parquet(version)
+        version = f"{table_dir}/batch-{batch_id}-{uuid.uuid4().hex}"
+        merged.write.parquet(version)
         out = fs.create(marker, True)
         out.write(bytearray(version.encode()))
         out.close()
+        keep = {path.rsplit("/", 1)[-1] for path in (version, previous) if path}
+        for entry in fs.listStatus(marker.getParent()):  # a few folders
+            name = entry.getPath().getName()
+            if name.startswith("batch-") and name not in keep:
+                fs.delete(entry.getPath(), True)
 
     return write
 
