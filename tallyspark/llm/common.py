@@ -45,6 +45,11 @@ def key_columns(doc_id: Column, text: Column) -> list[Column]:
             F.xxhash64(F.coalesce(text, F.lit(""))).alias("k_hash")]
 
 
+def boxed(rows: DataFrame) -> DataFrame:
+    """Every row as one struct column ``row``, so that no working column can clash with its names."""
+    return rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"))
+
+
 KEY = ["k_null", "k_id", "k_hash"]
 
 

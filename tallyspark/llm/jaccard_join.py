@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import is_broadcastable, write_table
+from tallyspark.llm.common import boxed, is_broadcastable, write_table
 from tallyspark.llm.components import connected_components
 from tallyspark.llm.wordio import mix, split_words, text_slices, word_hashes
 
@@ -307,9 +307,8 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFra
 
     Repeated rows of that id stay together; rows without an id are in no group and stay.
     """
-    gone = (near_duplicates(docs, k, num, den).where("component_id < doc_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    gone = near_duplicates(docs, k, num, den).where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    return boxed(docs).join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
 
 
 def oracle_sql(k: int, num: int, den: int) -> str:

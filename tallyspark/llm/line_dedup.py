@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import KEY, key_columns, words_of, write_table
+from tallyspark.llm.common import KEY, boxed, key_columns, words_of, write_table
 
 MIN_WORDS = 50
 
@@ -79,22 +79,25 @@ def repeated_runs(marks: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     F.coalesce(F.array_max(F.transform("right", lambda x: x["line"])), line).alias("to_line")))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with two more columns: ``clean_text`` and ``removed`` (array of the 0-based
-    line numbers taken out; blank lines inside a removed run go with it)."""
+def _cleaned(docs: DataFrame, min_words: int) -> DataFrame:
+    """(row, clean_text, removed) for every row of ``docs``."""
     marks = write_table(fingerprints(docs, min_words), "fingerprints")
     runs = (repeated_runs(marks, min_words).groupBy(*KEY)  # a document's runs: bounded by its lines
-            .agg(F.collect_list(F.sequence("from_line", "to_line")).alias("__runs"))
-            .select(*(F.col(c).alias(f"__{c}") for c in KEY), F.array_distinct(F.flatten("__runs")).alias("__removed")))
-    keyed = docs.select("*", *(c.alias(f"__d_{k}") for c, k in zip(key_columns(F.col("doc_id"), F.col("text")), KEY)))
-    on = [F.col(f"__d_{k}") == F.col(f"__{k}") for k in KEY]
-    lines = F.split("text", "\n")
-    removed = F.coalesce(F.col("__removed"), F.array().cast("array<int>"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed"))
-    clean = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get("__lines", i)), "\n"))
-    joined = keyed.join(runs, on, "left").withColumn("__lines", F.when(F.col("__removed").isNotNull(), lines))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), clean.alias("clean_text"), removed.alias("removed"))
+            .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("from_line", "to_line")))).alias("gone")))
+    keyed = boxed(docs).select("row", *(c.alias(f"row_{k}") for c, k in zip(key_columns(F.col("row.doc_id"), F.col("row.text")), KEY)))
+    text = F.col("row.text")
+    joined = (keyed.join(runs, [F.col(f"row_{k}") == F.col(k) for k in KEY], "left")
+              .withColumn("lines", F.when(F.col("gone").isNotNull(), F.split(text, "\n"))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    clean = F.when(F.col("gone").isNull(), text).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
+    return joined.select("row", clean.alias("clean_text"), F.coalesce("gone", F.array().cast("array<int>")).alias("removed"))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text, clean_text, removed) for every row of ``docs``; ``removed`` lists the
+    0-based line numbers taken out (blank lines inside a removed run go with it)."""
+    return _cleaned(docs, min_words).select("row.doc_id", "row.text", "clean_text", "removed")
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -103,17 +106,12 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     A document of which no word is left - all of it stands earlier - goes; one that had no
     words to begin with stays as it is.
     """
-    out = dedup_lines(docs, min_words)
-    out = out.where((F.size("removed") == 0) | F.col("clean_text").rlike(r"[^\x20\x09-\x0D]"))
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(F.col("clean_text").alias("text"))
-        elif c == "n_chars":
-            columns.append(F.length("clean_text").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-        else:
-            columns.append(F.col(f"`{c}`"))
-    return out.select(*columns)
+    out = _cleaned(docs, min_words).where((F.size("removed") == 0) | F.col("clean_text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("clean_text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.size("removed") == 0, F.col("row.n_chars")).otherwise(
+            F.length("clean_text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 ORACLE_SQL = """

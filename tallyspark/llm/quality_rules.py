@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import WHITE_SPACE, let, words_of, write_table
+from tallyspark.llm.common import WHITE_SPACE, boxed, let, words_of, write_table
 
 #: Prior weight, in documents, where the hosts do not determine it; and its bounds.
 PRIOR_STRENGTH, MIN_STRENGTH, MAX_STRENGTH = 10.0, 1.0, 1e6
@@ -127,12 +127,12 @@ def keep_good(docs: DataFrame, host_column: str = "source") -> DataFrame:
     host table (without texts) and once where the rows are filtered, so no text moves.
     """
     verdicts = host_verdicts(_measured(docs, host_column).select("host", "failed"))
-    bad = write_table(verdicts.where("distrusted").select(F.col("host").alias("__host"), F.lit(True).alias("__bad")), "hosts")
-    m = F.col("__m")
-    return (docs.withColumn("__m", measures(F.col("text"))).where(~(base_failed(m) | over_limits(m, False)))
-            .join(bad, F.col(host_column).eqNullSafe(F.col("__host")), "left")
-            .where(~(F.coalesce(F.col("__bad"), F.lit(False)) & over_limits(m, True)))
-            .select(*(F.col(f"`{c}`") for c in docs.columns)))
+    bad = write_table(verdicts.where("distrusted").select("host", "distrusted"), "hosts")
+    m = F.col("m")
+    return (boxed(docs).withColumn("m", measures(F.col("row.text"))).where(~(base_failed(m) | over_limits(m, False)))
+            .join(bad, F.col(f"row.{host_column}").eqNullSafe(F.col("host")), "left")
+            .where(_kept(base_failed(m), over_limits(m, False), over_limits(m, True), F.col("distrusted")))
+            .select("row.*"))
 
 
 ORACLE_SQL = """

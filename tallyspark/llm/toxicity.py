@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import is_broadcastable
+from tallyspark.llm.common import boxed, is_broadcastable
 from tallyspark.llm.wordio import mix, split_words, text_slices, word_hashes
 
 BITS = 20
@@ -134,16 +134,15 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
             .mapInArrow(learn, "feature long, weight double"))
 
 
-def score(docs: DataFrame, model: DataFrame, bits: int = BITS) -> DataFrame:
-    """``docs`` with a column ``score``; the model is collected (at most 2**bits + 1 rows)."""
+def _scorer(model: DataFrame, bits: int):
+    """Column function text -> score; the model is collected (at most 2**bits + 1 rows)."""
     rows = model.toPandas()
-    spark = docs.sparkSession
     if rows.empty:
-        return docs.withColumn("score", F.lit(0.0))
+        return lambda text: F.lit(0.0)
     is_bias = rows["feature"] == -1
-    shared = spark.sparkContext.broadcast((float(rows.loc[is_bias, "weight"].iloc[0]),
-                                           rows.loc[~is_bias, "feature"].to_numpy(np.int64),
-                                           rows.loc[~is_bias, "weight"].to_numpy(np.float64)))
+    shared = model.sparkSession.sparkContext.broadcast((float(rows.loc[is_bias, "weight"].iloc[0]),
+                                                        rows.loc[~is_bias, "feature"].to_numpy(np.int64),
+                                                        rows.loc[~is_bias, "weight"].to_numpy(np.float64)))
 
     @F.pandas_udf("double")
     def toxicity(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -158,19 +157,17 @@ def score(docs: DataFrame, model: DataFrame, bits: int = BITS) -> DataFrame:
                     out.append(_sigmoid(bias + weights[np.unique(f[active[f]])].sum()))
             yield pd.Series(out, dtype="float64")
 
-    return docs.withColumn("score", toxicity(F.coalesce("text", F.lit(""))))
+    return lambda text: toxicity(F.coalesce(text, F.lit("")))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs(doc_id, text)``."""
-    rows = score(docs.select("doc_id", "text"), train(docs, labels, max_train_rows))
-    return rows.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score",
-                       F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    scorer = _scorer(train(docs, labels, max_train_rows), BITS)
+    rows = docs.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), scorer(F.col("text")).alias("score"))
+    return rows.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns unchanged."""
-    texts = docs.withColumn("__text", F.col("text"))
-    scored = score(texts.withColumnRenamed("score", "__was_score") if "score" in docs.columns else texts,
-                   train(docs, labels, max_train_rows))
-    return scored.where(F.col("score") < threshold).drop("score", "__text").withColumnsRenamed({"__was_score": "score"})
+    scorer = _scorer(train(docs, labels, max_train_rows), BITS)
+    return boxed(docs).withColumn("score", scorer(F.col("row.text"))).where(F.col("score") < threshold).select("row.*")
