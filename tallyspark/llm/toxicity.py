@@ -32,7 +32,7 @@ BITS = 20
 SKIPS = (1, 2, 3)         # bigrams (1) and skip-grams over one and two words
 STEM = 4                  # letters of a word's stem
 MAX_TRAIN_ROWS = 10_000   # bound of the fitting sample
-EPOCHS, ALPHA, BETA, L1, L2 = 4, 1.0, 1.0, 4.0, 0.5
+EPOCHS, ALPHA, BETA, L1, L2 = 5, 4.0, 1.0, 5.0, 0.1
 _EDGE = ".,;:!?%*#$&|()[]{}<>\"'-_"
 
 
