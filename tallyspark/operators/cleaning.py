@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyspark.functions.risk import POLICY_PREFIX_PATTERN
 from tallyspark.functions.text import (
@@ -118,16 +119,18 @@ def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float
 def keep_first(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame:
     """One row per key, the first by an explicit ingest order (never arbitrary).
 
-    ``min(struct(order, row))`` per key is a partial (map-side) aggregate, so a
-    key that holds a large share of the rows is reduced inside every input
-    partition before the shuffle instead of being sorted in one task; ties on
-    the order fall back to the row's values, so the result is deterministic.
+    ``min(order)`` per key is a hash aggregate over two narrow columns, reduced inside
+    every input partition, so a key with a large share of the rows costs a row per task;
+    the rows that hold the minimum are then looked up.  Rows that tie on the order are
+    told apart by a hash of their values, so the result is deterministic.
     """
     order = F.col(order) if isinstance(order, str) else order
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    best = df.groupBy(*keys).agg(F.min(F.struct(order.alias("_o"), row.alias("_r"))).alias("_b"))
-    return best.select(*keys, *[F.col("_b._r").getField(c).alias(c) for c in rest]).select(*df.columns)
+    rows = df.withColumn("_o", order)
+    first = rows.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_o").alias("_first"))
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_o").eqNullSafe(F.col("_first"))]
+    kept = rows.join(first, on)
+    ties = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return kept.withColumn("_rn", F.row_number().over(ties)).where("_rn = 1").select(*[f"`{c}`" for c in df.columns])
 
 
 def rename(df: DataFrame, mapping: dict) -> DataFrame:

@@ -280,10 +280,8 @@ def portfolio_price_index(prices: DataFrame, weights: dict | None = None, base_v
     return base.unionByName(idx).select("trade_date", F.round("index_value", digits).alias("index_value"))
 
 
-def trailing_range(prices: DataFrame, days: int = 365) -> DataFrame:
-    """Q8: (max - min) / min of close over the trailing ``days`` from the latest date."""
-    mx = prices.select(F.max("trade_date")).scalar()  # uncorrelated scalar subquery (P18)
-    recent = prices.where(F.col("trade_date") >= F.date_sub(mx, days))
+def price_range(recent: DataFrame) -> DataFrame:
+    """Q8: (max - min) / min of close per ticker over the given days."""
     g = recent.groupBy("ticker").agg(F.max((F.col("close_price") * 100).cast("bigint")).alias("_hi"),
                                      F.min((F.col("close_price") * 100).cast("bigint")).alias("_lo"))
     ratio = F.try_divide(((F.col("_hi") - F.col("_lo")) * 100).cast("decimal(20,0)"), F.col("_lo").cast("decimal(20,0)"))

@@ -74,29 +74,26 @@ def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_bucket
     return out.drop(BUCKET, *[f"_o_{c}" for c in cols], *[f"_l_{c}" for c in cols])
 
 
-def percent_ranks_multi(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]],
-                        n_buckets: int | None = None) -> DataFrame:
-    """Several SQL PERCENT_RANKs of one table in one distributed pass.
-
-    ``specs`` maps output name -> (double-valued column, ascending).  The columns
-    are stacked into one long (metric, value) table, ranked per metric with the
-    keyed cumulative counts, and pivoted back to one row per ``key``.
-    Non-NULL values only (NULL inputs get a NULL rank).
+def percent_ranks_multi(df: DataFrame, specs: dict[str, tuple[str, bool]], n_buckets: int | None = None) -> DataFrame:
+    """``df`` with several SQL PERCENT_RANKs as further columns.
+
+    ``specs`` maps output name -> (double-valued column, ascending).  Each metric has its
+    own table of distinct values with ranks: one of few values is small enough for AQE to
+    broadcast, so a value that most rows share gathers nowhere; one of many values is
+    joined by value, where no value is hot.  Rows stay whole: nothing is stacked or
+    pivoted.  A NULL input gets a NULL rank.
     """
-    names = list(specs)
-    items = [F.struct(F.lit(n).alias("_m"),
-                      (F.col(c).cast("double") if asc else -F.col(c).cast("double")).alias("_x"))
-             for n, (c, asc) in specs.items()]
-    long = df.select(key, F.explode(F.array(*items)).alias("_s")).select(key, "_s._m", "_s._x")
-    long = long.where(F.col("_x").isNotNull())
-    counts = long.groupBy("_m", "_x").agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
-    cum = cumulative_before(counts, "_x", ["_cnt"], n_buckets, keys=["_m"])
-    tot = counts.groupBy("_m").agg(F.sum("_cnt").alias("_N"))  # one row per metric
-    pr = cum.join(F.broadcast(tot), "_m").select(
-        "_m", "_x", F.when(F.col("_N") <= 1, F.lit(0.0))
-        .otherwise(F.col("_cnt_before").cast("double") / (F.col("_N") - 1).cast("double")).alias("_pr"))
-    ranked = long.join(pr, ["_m", "_x"])
-    return ranked.groupBy(key).pivot("_m", names).agg(F.first("_pr"))
+    out = df
+    for i, (name, (column, ascending)) in enumerate(specs.items()):
+        x = F.col(column).cast("double") if ascending else -F.col(column).cast("double")
+        value, total = f"_x{i}", f"_n{i}"
+        counts = materialize(value_counts(df.select(x.alias(value)), value))
+        n = counts.agg(F.sum("_cnt").alias(total))  # one row
+        ranks = cumulative_before(counts, value, ["_cnt"], n_buckets).crossJoin(F.broadcast(n)).select(
+            value, F.when(F.col(total) <= 1, F.lit(0.0))
+            .otherwise(F.col("_cnt_before").cast("double") / (F.col(total) - 1).cast("double")).alias(name))
+        out = out.withColumn("_x", x).join(ranks, F.col("_x") == F.col(value), "left").drop("_x", value)
+    return out
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int | None = None,

@@ -141,9 +141,8 @@ def risk_scores(customers: DataFrame, n_buckets: int | None = None) -> DataFrame
     + 0.25 PR(value DESC)), 2) with exact distributed percent ranks."""
     c = customers.withColumn("_d", F.datediff(F.col("last_txn_date"), F.lit("1970-01-01").cast("date")))
     # DESC order == ascending order of the negated value (no NULLs in these columns)
-    pr = percent_ranks_multi(c, "customer_id", {"_pr_r": ("_d", False), "_pr_f": ("total_txn_count", False),
-                                                "_pr_m": ("total_txn_value", False)}, n_buckets)
-    c = c.join(pr, "customer_id")
+    c = percent_ranks_multi(c, {"_pr_r": ("_d", False), "_pr_f": ("total_txn_count", False),
+                                "_pr_m": ("total_txn_value", False)}, n_buckets)
     wr, wf, wm = RISK_WEIGHTS
     blend = (F.lit(wr) * F.col("_pr_r") + F.lit(wf) * F.col("_pr_f") + F.lit(wm) * F.col("_pr_m")) * 100
     score = F.round(blend.cast("decimal(20,10)"), 2).cast("decimal(5,2)")

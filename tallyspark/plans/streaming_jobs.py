@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.plans.fraud import V2_SQL
 from tallyspark.plans.registry import register
-from tallyspark.session import scratch_path
+from tallyspark.session import materialize, scratch_path
 from tallyspark.sources.shaped import transactions, with_views
 from tallyspark.sources.sinks import read_table
 from tallyspark.streaming import pipelines as sp
@@ -21,7 +21,7 @@ def stage_transactions(spark: SparkSession, sf_dir: str, n_files: int = 8) -> tu
     Each event-time range is written as its own append, so file modification
     times follow event time the way a live feed's do.
     """
-    t = transactions(spark, sf_dir)
+    t = materialize(transactions(spark, sf_dir))  # each range reads its own row groups
     path = scratch_path(spark, f"stream-src-{uuid.uuid4().hex}")
     bounds = t.agg(F.percentile_approx("step", [i / n_files for i in range(1, n_files)], 1000).alias("b")).first()["b"]
     edges = [None, *sorted(set(bounds)), None]
@@ -31,7 +31,7 @@ def stage_transactions(spark: SparkSession, sf_dir: str, n_files: int = 8) -> tu
             part = part.where(F.col("step") >= lo)
         if hi is not None:
             part = part.where(F.col("step") < hi)
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.write.mode("append").parquet(path)
     return path, t.schema
 
 

@@ -219,9 +219,17 @@ scored_transactions AS (
 # ---------------------------------------------------------------------------
 # stock_prices: lineitem ⋈ part, one bar per (p_type, ship date)
 # ---------------------------------------------------------------------------
-def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars with exact integer-cent prices (no returns yet)."""
+def price_bars(spark: SparkSession, sf_dir: str, trailing_days: int | None = None) -> DataFrame:
+    """Daily bars with exact integer-cent prices (no returns yet).
+
+    ``trailing_days`` keeps the days back from the newest one.  That one date is read from
+    lineitem alone, so the filter on the raw column reaches the scan.
+    """
     li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
+    if trailing_days is not None:
+        first = li.agg(F.date_sub(F.max("l_shipdate").cast("date"), trailing_days)
+                       .cast(li.schema["l_shipdate"].dataType)).first()[0]
+        li = li.where(F.col("l_shipdate") >= F.lit(first))
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     j = li.join(p, li.l_partkey == p.p_partkey)
     bars = (j.groupBy(F.col("p_type").alias("ticker"), F.col("l_shipdate").cast("date").alias("trade_date"))

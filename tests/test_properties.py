@@ -23,7 +23,7 @@ def test_bracketed_quantile_is_numpy_linear(spark, xs, parts, q):
 @given(xs=values, parts=st.integers(min_value=1, max_value=9), buckets=st.integers(min_value=1, max_value=6))
 def test_percent_rank_is_window_percent_rank(spark, xs, parts, buckets):
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "k long, x double").repartition(parts)
-    got = {r.k: r.pr for r in percent_ranks_multi(df, "k", {"pr": ("x", False)}, n_buckets=buckets).collect()}
+    got = {r.k: r.pr for r in percent_ranks_multi(df, {"pr": ("x", False)}, n_buckets=buckets).collect()}
     want = {r.k: r.pr for r in df.select("k", F.percent_rank().over(Window.orderBy(F.desc("x"))).alias("pr")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in got)

@@ -17,10 +17,10 @@ def _vals(spark, xs, parts=3):
 def test_percent_rank_matches_window_with_ties(spark, parts):
     xs = [5, 1, 3, 3, 3, 9, 1, 7, 7, 2, 10, 3]
     df = _vals(spark, xs, parts)
-    got = {r.k: r.pr for r in percent_ranks_multi(df, "k", {"pr": ("x", True)}, n_buckets=3).collect()}
+    got = {r.k: r.pr for r in percent_ranks_multi(df, {"pr": ("x", True)}, n_buckets=3).collect()}
     want = {r.k: r.pr for r in df.select("k", F.percent_rank().over(Window.orderBy("x")).alias("pr")).collect()}
     assert got == pytest.approx(want)
-    got_d = {r.k: r.pr for r in percent_ranks_multi(df, "k", {"pr": ("x", False)}, n_buckets=2).collect()}
+    got_d = {r.k: r.pr for r in percent_ranks_multi(df, {"pr": ("x", False)}, n_buckets=2).collect()}
     want_d = {r.k: r.pr for r in df.select("k", F.percent_rank().over(Window.orderBy(F.desc("x"))).alias("pr")).collect()}
     assert got_d == pytest.approx(want_d)
 

@@ -20,6 +20,16 @@ def test_read_tagged_and_gzip(spark):
         paths[t] = p
     df = read_tagged(spark, paths)
     assert {(r.ticker, r.n) for r in df.groupBy("ticker").agg(F.count("*").alias("n")).collect()} == {("AAA", 3), ("BBB", 2)}
+    # equal file names in two folders, and a whole folder as a source
+    two = {}
+    for t, n in (("XX", 1), ("YY", 4)):
+        os.makedirs(os.path.join(d, t))
+        two[t] = os.path.join(d, t, "p.csv")
+        with open(two[t], "w") as f:
+            f.write("Date,Close\n" + "2024-01-01,1\n" * n)
+    for paths2 in (two, {"XX": two["XX"], "YY": os.path.dirname(two["YY"])}):
+        got2 = read_tagged(spark, paths2).groupBy("ticker").agg(F.count("*").alias("n")).collect()
+        assert {(r.ticker, r.n) for r in got2} == {("XX", 1), ("YY", 4)}
     gz = os.path.join(d, "gz")
     spark.createDataFrame([("1", "x", "y")], "a string, b string, c string").write.option("header", True) \
         .option("compression", "gzip").csv(gz)
