@@ -17,7 +17,8 @@ class NamedQuery:
 
 
 REGISTRY: dict[str, NamedQuery] = {}
-PLAN_MODULES = ("credit", "fraud", "market", "cleaning_jobs", "segments", "evaluation", "profiling", "models", "fraud_models", "forecasting", "streaming_jobs", "tables")
+PLAN_MODULES = ("credit", "fraud", "market", "cleaning_jobs", "segments", "evaluation", "profiling", "models", "fraud_models", "forecasting", "streaming_jobs", "tables",
+                "load_jobs", "features", "sliced")
 
 
 def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):

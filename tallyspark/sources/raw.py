@@ -178,6 +178,15 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], tag: str = "ticker")
     return df.withColumn(tag, which).drop("_file")
 
 
+def existing_csv(spark: SparkSession, path: str) -> str:
+    """S3: the plain file (or folder) if it exists, else its ``.gz`` sibling; neither is an error."""
+    for candidate in (path, f"{path}.gz"):
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(candidate)  # noqa: SLF001
+        if jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):  # noqa: SLF001
+            return candidate
+    raise FileNotFoundError(f"neither {path} nor {path}.gz exists")
+
+
 def read_or_clean(spark: SparkSession, parquet_path: str, raw_reader, clean_fn) -> DataFrame:
     """Use the cleaned Parquet if it exists, else clean the raw input."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(parquet_path)  # noqa: SLF001
