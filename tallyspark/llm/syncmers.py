@@ -76,14 +76,15 @@ def _buckets(docs: DataFrame) -> tuple[DataFrame, int]:
     return docs.withColumn("bucket", F.when(F.col("k_null"), n).otherwise(F.lit(len(bounds)) - below)), n
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row of a keyed table with ``next_<column>`` of its successor in descending key
-    order (after the last: the first).  Rows meet by range of the key, never in one task;
-    the first row of each range is handed to the range before it by a small join."""
+def with_next(docs: DataFrame, columns: list[str], derive) -> DataFrame:
+    """Each row of a keyed table, as ``derive`` extends it, with ``next_<column>`` of its
+    successor in descending key order (after the last: the first).  Rows meet by range of
+    the key, never in one task; the first row of each range is handed to the range before
+    it by a small join, and only that row is derived a second time."""
     docs, _ = _buckets(docs)
     order = [F.col("k_null").asc(), F.col("k_id").desc(), F.col("k_hash").desc()]
     window = Window.partitionBy("bucket").orderBy(*order)
-    rows = docs.select("*", F.struct(*columns).alias("__row"))
+    rows = derive(docs).select("*", F.struct(*columns).alias("__row"))
     rows = rows.withColumn("__lead", F.lead("__row").over(window))
     # first row of each range: one key per range
     key = F.struct((~F.col("k_null")).alias("a"), F.col("k_id").alias("b"), F.col("k_hash").alias("c"))
@@ -92,8 +93,8 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
                         F.coalesce(F.lag("bucket").over(Window.orderBy("bucket")),
                                    F.max("bucket").over(Window.partitionBy())).alias("of"))
     ring = write_table(ring, "ranges")  # at most one row per range
-    head_rows = (docs.withColumn("__key", key).join(F.broadcast(ring), F.col("__key") == F.col("head"))
-                 .select(F.col("of").alias("__of"), F.struct(*columns).alias("__head"))
+    head_docs = docs.withColumn("__key", key).join(F.broadcast(ring), F.col("__key") == F.col("head"))
+    head_rows = (derive(head_docs).select(F.col("of").alias("__of"), F.struct(*columns).alias("__head"))
                  .groupBy("__of").agg(F.first("__head").alias("__head")))  # repeated rows: any, they are equal
     joined = rows.join(head_rows, (F.col("bucket") == F.col("__of")) & F.col("__lead").isNull(), "left")
     return joined.select("*", *(F.coalesce(F.col("__lead")[c], F.col("__head")[c]).alias(f"next_{c}") for c in columns))
@@ -103,8 +104,8 @@ def fingerprint_documents(docs: DataFrame, k: int = K, s: int = S, size: int = S
     """Fingerprints of every text, of its edited text, and their likenesses."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), *key_columns(F.col("doc_id"), F.col("text")))
-    keyed = keyed.withColumn("fp", fingerprint(F.col("text"), k, s, size))
-    rows = with_next(keyed, ["text", "fp"]).withColumn("n_chars", F.length("text").cast("long"))
+    rows = with_next(keyed, ["text", "fp"], lambda d: d.withColumn("fp", fingerprint(F.col("text"), k, s, size)))
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
     rows = rows.select("doc_id", "n_chars", "fp", "next_fp", edited.alias("edited"))
