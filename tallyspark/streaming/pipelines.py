@@ -51,8 +51,10 @@ def flag_stream(stream: DataFrame, watermark: str = DEDUP_WATERMARK) -> DataFram
                   .withColumn("is_flagged_rule", rule_flag()))
 
 
-def start_flagging(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True):
-    w = (flag_stream(stream).drop("event_time").writeStream.format("parquet").outputMode("append")
+def start_flagging(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
+                   watermark: str = DEDUP_WATERMARK):
+    """A transaction that arrives later than ``watermark`` behind the newest is left to a batch run."""
+    w = (flag_stream(stream, watermark).drop("event_time").writeStream.format("parquet").outputMode("append")
          .option("path", out_path).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
@@ -108,8 +110,10 @@ def upsert_batch(table_dir: str, keys: list[str]):
     return write
 
 
-def start_daily_kpis(stream: DataFrame, table_dir: str, checkpoint: str, available_now: bool = True):
-    w = (daily_kpi_stream(stream).writeStream.outputMode("update")
+def start_daily_kpis(stream: DataFrame, table_dir: str, checkpoint: str, available_now: bool = True,
+                     watermark: str = KPI_WATERMARK):
+    """Rows later than ``watermark`` behind the newest do not change their day; a batch run puts them in."""
+    w = (daily_kpi_stream(stream, watermark).writeStream.outputMode("update")
          .foreachBatch(upsert_batch(table_dir, ["txn_day", "txn_type"]))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
