@@ -6,16 +6,21 @@
    each flipping one bit (XOR) of its block.  Two sketches differ in at most as many bits as
    the sets differ in elements, so a pair similar enough to link, whose difference is at
    most d, differs in at most d blocks.  Of d + 1 + spare blocks a text leaves out its
-   ``spare`` thinnest (fewest bits, ties by content).  A linking pair agrees in 1 + spare
-   blocks at least; the fattest of these is left out by neither text, so equal (band, block,
-   bits) keys find the pair: no pair is lost.
+   ``spare`` weakest: fewest rare shingles, then fewest bits, ties by content.  A linking
+   pair has the same shingles in 1 + spare blocks at least; the strongest of these is left
+   out by neither text, so equal (band, block, bits) keys find the pair: no pair is lost.
+   Which shingles count as common is learned from a bounded sample of texts; it decides
+   only which blocks are weak, so passages and phrases that many texts share do not bring
+   unrelated texts together, and any other choice would find the same links.
 3. Candidates of a key are not paired with each other: each class first meets, of the
    smallest classes of its keys, the one it shares most keys with.  A further parity sketch
    of the whole set drops pairs whose Hamming distance is over d before any text moves;
    what is left is verified, and verified links give components.  Only keys that still hold
-   several components are expanded, the members outside the key's main component against
-   all others - in keys of more than ``LARGE`` members only those that also share a key
-   under a second seed - and those pairs verified.  Every link thus lies in one component.
+   several components are looked at again: tasks hold blocks of at most about ``BLOCK_ROWS``
+   members with their sketches, compare those outside the key's main component with all
+   others, and put out only pairs of different components whose Hamming distance allows a
+   link, each pair under its smallest common key.  These are verified too, so every link
+   lies within one component.
 4. Verification recomputes both shingle sets from the whole texts and compares sizes
    exactly with integers.
 
@@ -30,6 +35,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,8 +46,12 @@ from tallyspark.llm.wordio import mix, split_words, text_slices, word_hashes
 
 BLOCK_BITS = 256
 BAND_RATIO = 1.15     # smaller sizes of a band: [1.15^j, 1.15^(j+1))
-SPARE_PCT = 20        # further blocks, in percent, so that thin blocks need not be used
-LARGE = 200           # members of a key from which a second key decides who meets
+SPARE_PCT = 35        # further blocks, in percent, so that weak blocks need not be used
+SAMPLE_TEXTS = 4_000  # classes sampled to learn common shingles
+COMMON_AT = 4         # sampled classes that hold a common shingle
+SMALL = 8             # members of a key up to which they are paired by a join
+BLOCK_ROWS = 2_000    # members of a key that a task compares with as many others
+MAX_COMMON = 1 << 17  # common shingles at most (1 MB, broadcast)
 CLASS = ["n", "d1", "d2"]
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -92,23 +102,27 @@ def largest_difference(a, b, num: int, den: int):
     return (den - num) * (a + b) // (den + num)
 
 
-def sketch_keys(shingles: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
-    """The block keys of one set; two sets that link share at least one, for any seed."""
+def sketch_keys(shingles: np.ndarray, num: int, den: int, common: np.ndarray) -> np.ndarray:
+    """The block keys of one set; two sets that link share at least one, whatever ``common``
+    (sorted, the same for all sets) holds."""
     keys = []
+    place = np.searchsorted(common, shingles)
+    rare = np.append(common, np.uint64(0))[place] != shingles if len(common) else np.ones(len(shingles), bool)
     for band, differ in bands(len(shingles), num, den):
         if differ == 0:
             continue  # only equal sets link, and those are one class
         spare = 1 + differ * SPARE_PCT // 100
         blocks = differ + 1 + spare
         with np.errstate(over="ignore"):
-            token = mix(shingles + np.uint64(band + (seed << 20)))
+            token = mix(shingles + np.uint64(band))
             block = ((token >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
             sketch = _flip(block * np.uint64(BLOCK_BITS) + (token & np.uint64(BLOCK_BITS - 1)), blocks * BLOCK_BITS)
             sketch = sketch.reshape(blocks, -1)
-            number = np.arange(blocks, dtype=np.uint64) + np.uint64((band << 40) + (seed << 56))
+            number = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
             key = mix((mix(sketch + _LANES) * _LANES).sum(axis=1, dtype=np.uint64) + mix(number))
-        thin_first = np.lexsort((key, np.bitwise_count(sketch).sum(axis=1)))
-        keys.append(key[thin_first[spare:]])
+        n_rare = np.bincount(block[rare].astype(np.int64), minlength=blocks)
+        weak_first = np.lexsort((key, np.bitwise_count(sketch).sum(axis=1), n_rare))
+        keys.append(key[weak_first[spare:]])
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
@@ -120,9 +134,9 @@ def _flip(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def whole_sketch(shingles: np.ndarray, num: int, den: int) -> bytes:
-    """Parity sketch of a set in a power of two of bits, four times the difference it must tell."""
+    """Parity sketch of a set in a power of two of bits, sixteen times the difference it must tell."""
     most = largest_difference(len(shingles), len(shingles) * den // num, num, den)
-    size = max(256, 1 << int(4 * most).bit_length())
+    size = max(512, 1 << int(8 * most).bit_length())
     return _flip(mix(shingles ^ _LANES[3]) & np.uint64(size - 1), size).tobytes()
 
 
@@ -157,8 +171,27 @@ def _set_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(sets, "doc_id long, n long, d1 long, d2 long, sketch binary")
 
 
-def _key_table(docs: DataFrame, k: int, num: int, den: int, seed: int = 0) -> DataFrame:
+def _common_shingles(docs: DataFrame, classes: DataFrame, k: int) -> np.ndarray:
+    """Sorted shingles that at least ``COMMON_AT`` of ``SAMPLE_TEXTS`` classes hold, the most
+    frequent ``MAX_COMMON``; the sample is the classes of smallest digest hash."""
+    chosen = (classes.where("rep IS NOT NULL").orderBy(F.xxhash64("d1"), "cid").limit(SAMPLE_TEXTS)
+              .select(F.col("rep").alias("s_rep")))
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop in text_slices(batch.column("text")):
+                found = list(shingle_sets(batch.column("text").slice(start, stop - start), k))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
+
+    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("s_rep")).select("text").distinct()
+    found = (texts.mapInArrow(shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+             .where(F.col("n") >= COMMON_AT).orderBy(F.desc("n"), "shingle").limit(MAX_COMMON).select("shingle"))
+    return np.sort(found.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
+def _key_table(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> DataFrame:
     """(key, d1): block keys of each class, once per task however often a text recurs."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -171,7 +204,7 @@ def _key_table(docs: DataFrame, k: int, num: int, den: int, seed: int = 0) -> Da
                     digest = _digest(shingles)
                     if len(shingles) and digest not in seen:
                         seen.add(digest)
-                        out.append(sketch_keys(shingles, num, den, seed))
+                        out.append(sketch_keys(shingles, num, den, shared.value))
                         owners.append((digest[0], len(out[-1])))
                 flat = np.concatenate(out).view(np.int64)
                 owner = np.repeat(np.array([o for o, _ in owners], dtype=np.int64), [n for _, n in owners])
@@ -229,20 +262,57 @@ def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .select("rep", F.explode("text").alias("text")))
 
 
-def _mixed(labelled: DataFrame, key: list[str]) -> DataFrame:
+def _mixed(labelled: DataFrame) -> DataFrame:
     """The members of keys that hold several components, with the key's main one and its size."""
-    sizes = labelled.groupBy(*key, "component").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy(*key).agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"),
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"),
                                      F.count("*").alias("parts"))
-             .where("parts > 1").select(*key, F.col("main.component").alias("main"), "members"))
-    return labelled.join(mixed, key)
+             .where("parts > 1").select("key", F.col("main.component").alias("main"), "members"))
+    return labelled.join(mixed, "key")
 
 
-def _crossing(open_keys: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs (x, y) of a key's members in different components."""
-    minor = open_keys.where("component <> main").select(*key, F.col("d1").alias("x"), F.col("component").alias("c_x"))
-    every = open_keys.select(*key, F.col("d1").alias("y"), F.col("component").alias("c_y"))
-    return minor.join(every, key).where("c_x <> c_y").select("x", "y").distinct()
+def _crossing(open_keys: DataFrame, names: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (x, y) of a key's members in different components whose sketches allow a link.
+
+    Keys of up to ``SMALL`` members pair their few by a join (``pairs_of`` compares their
+    sketches); larger ones are compared in tasks, block by block.
+    """
+    small = open_keys.where(F.col("members") <= SMALL)
+    few = (small.where("component <> main").select("key", F.col("d1").alias("x"), F.col("component").alias("c_x"))
+           .join(small.select("key", F.col("d1").alias("y"), F.col("component").alias("c_y")), "key")
+           .where("c_x <> c_y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    open_keys = open_keys.where(F.col("members") > SMALL)
+    keys = open_keys.groupBy("d1").agg(F.collect_list("key").alias("keys"))  # at most the block keys of one text
+    rows = open_keys.join(keys, "d1").join(names.select("d1", "n", "sketch"), "d1")
+    blocks = F.ceil(F.col("members") / BLOCK_ROWS)
+    mine = F.pmod(F.xxhash64("d1"), blocks)
+    rows = (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            .withColumn("block_a", F.least("mine", "other")).withColumn("block_b", F.greatest("mine", "other")))
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        key, across = g["key"].iloc[0], g["block_a"].iloc[0] != g["block_b"].iloc[0]
+        words = [np.frombuffer(x, np.uint64) for x in g["sketch"]]
+        width = min(map(len, words))
+        sketches = np.stack([np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in words])
+        n, d1, part = g["n"].to_numpy(), g["d1"].to_numpy(), g["mine"].to_numpy()
+        component, is_main = g["component"].to_numpy(), (g["component"] == g["main"]).to_numpy()
+        key_sets = [set(k) for k in g["keys"]]
+        out = []
+        minor = np.flatnonzero(~is_main)
+        for at in range(0, len(minor), 32):
+            x = minor[at:at + 32]
+            differ = np.bitwise_count(sketches[x][:, None, :] ^ sketches[None]).sum(axis=2)
+            near = differ <= largest_difference(n[x][:, None], n[None], num, den)
+            near &= component[x][:, None] != component[None]
+            near &= (d1[x][:, None] < d1[None]) | is_main[None]
+            if across:
+                near &= part[x][:, None] != part[None]
+            for i, y in zip(*(v.tolist() for v in np.nonzero(near))):
+                if min(key_sets[x[i]] & key_sets[y]) == key:
+                    out.append((d1[x[i]], d1[y]))
+        return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+
+    return few.union(rows.groupBy("key", "block_a", "block_b").applyInPandas(compare, "x long, y long"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -258,7 +328,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 
     # classes that share a key, each with the first class of that key
     by_key = Window.partitionBy("key").orderBy("d1")
-    shared = (_key_table(docs, k, num, den)
+    shared = (_key_table(docs, k, num, den, _common_shingles(docs, classes, k))
               .select("key", "d1", F.first("d1").over(by_key).alias("center"), F.lag("d1").over(by_key).alias("before"))
               .where("d1 <> center AND d1 <> before").select("key", "d1", "center"))
     shared = write_table(shared, "shared")
@@ -282,13 +352,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     members = shared.select("key", "d1").union(shared.select("key", F.col("center").alias("d1")).distinct())
     labelled = (members.join(names.select("d1", "cid"), "d1").join(labels, F.col("cid") == F.col("id"), "left")
                 .select("key", "d1", F.coalesce("component", "cid").alias("component")))
-    open_keys = write_table(_mixed(labelled, ["key"]), "open")
-    crossing = _crossing(open_keys.where(F.col("members") <= LARGE), ["key"])
-    large = open_keys.where(F.col("members") > LARGE).select("key", "d1", "component")
-    if not large.isEmpty():
-        again = docs.join(large.join(names, "d1").select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-        second_keys = _key_table(again, k, num, den, seed=1).distinct().withColumnRenamed("key", "key2")
-        crossing = crossing.union(_crossing(_mixed(large.join(second_keys, "d1"), ["key", "key2"]), ["key", "key2"]))
+    crossing = _crossing(write_table(_mixed(labelled), "open"), names, num, den)
     second = write_table(pairs_of(crossing).join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     late = write_table(_verify(second, _texts_of(docs, second), k, num, den), "verified")
     if not late.isEmpty():

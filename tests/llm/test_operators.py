@@ -310,9 +310,12 @@ def _components(rows, k, num, den):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-@pytest.mark.parametrize("k, num, den, large", [(4, 85, 100, 200), (5, 4, 5, 3)])
-def test_similarity_join_equals_all_pairs(spark, monkeypatch, k, num, den, large):
-    monkeypatch.setattr(jaccard_join, "LARGE", large)
+@pytest.mark.parametrize("k, num, den, common_at", [(4, 85, 100, 4), (5, 4, 5, 2), (5, 4, 5, 10_000)])
+def test_similarity_join_equals_all_pairs(spark, monkeypatch, k, num, den, common_at):
+    monkeypatch.setattr(jaccard_join, "COMMON_AT", common_at)
+    if common_at < 4:
+        monkeypatch.setattr(jaccard_join, "SMALL", 0)
+        monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 5)   # keys in several blocks
     rng = random.Random(k)
     vocabulary = [f"v{i}" for i in range(400)]
     rows, bases = [], [[rng.choice(vocabulary) for _ in range(n)] for n in (3, 9, 30, 80, 200, 700)]
@@ -336,7 +339,7 @@ def test_similarity_join_equals_all_pairs(spark, monkeypatch, k, num, den, large
 def test_linking_sets_share_a_key_and_pass_the_sketch():
     rng = np.random.default_rng(0)
     for size in (7, 8, 15, 60, 333, 2000):
-        for seed in (0, 1):
+        for commons in (0, 3):
             base = rng.integers(0, 2**63, size, dtype=np.uint64)
             for _ in range(20):
                 other = base.copy()
@@ -344,9 +347,10 @@ def test_linking_sets_share_a_key_and_pass_the_sketch():
                 other[:n] = rng.integers(0, 2**63, n, dtype=np.uint64)
                 other = other[:size - int(rng.integers(0, size // 8 + 1))]
                 a, b = np.unique(base), np.unique(other)
+                common = np.sort(rng.choice(a, len(a) * commons // 4, replace=False))
                 both = len(np.intersect1d(a, b))
                 if 100 * both >= 85 * (len(a) + len(b) - both) and len(a) + len(b) > 2 * both:
-                    assert np.intersect1d(jaccard_join.sketch_keys(a, 85, 100, seed), jaccard_join.sketch_keys(b, 85, 100, seed)).size
+                    assert np.intersect1d(jaccard_join.sketch_keys(a, 85, 100, common), jaccard_join.sketch_keys(b, 85, 100, common)).size
                     differ = jaccard_join.hamming(jaccard_join.whole_sketch(a, 85, 100), jaccard_join.whole_sketch(b, 85, 100))
                     assert differ <= len(a) + len(b) - 2 * both <= jaccard_join.largest_difference(len(a), len(b), 85, 100)
 
