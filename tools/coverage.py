@@ -18,7 +18,7 @@ TEST_ONLY = {
     "T6": "tests/test_models_streaming_sinks.py::test_arima_recovers_ar1",
     "X1": "tests/test_models_streaming_sinks.py::test_streaming_flags_dedup_replayed_files",
     "X2": "tests/test_models_streaming_sinks.py::test_streaming_kpis_equal_batch_over_several_batches",
-    "A15": "tests/test_sampling_keys.py::test_keep_first_hot_key",
+    "A15": "tests/test_cleaning.py::test_keep_first_with_ties_nulls_and_a_hot_key",
     "W3": "tests/test_ranking_evaluation.py::test_percent_rank_matches_window_with_ties",
     "A31": "tests/test_ranking_evaluation.py::test_auc_with_ties_golden",
     "L6": "tests/test_sampling_keys.py::test_stratified_split_exact_shares",
