@@ -34,7 +34,7 @@ from tallyspark.llm.wordio import mix, text_slices
 SPACE = "▁"     # the library's mark for a space
 _RAW_MARK = ""  # never leaves the encoder: stands for a literal U+2581
 CACHE_ENTRIES = 600_000
-SHORT = 64             # characters up to which a word's agenda is a list
+SHORT = 64             # characters up to which words are merged many at a time
 _NEVER = float("inf")
 _M64 = (1 << 64) - 1
 
@@ -74,6 +74,79 @@ class PieceCodec:
         alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in joined)
         self.word = re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.cache: dict[tuple[str, int], bytes] = {}
+        self._index_pairs()
+
+    def _index_pairs(self) -> None:
+        """Arrays for many words at once: an id for every character (those without a piece lie
+        above the vocabulary) and, sorted by key, each pair of pieces that joins to a piece."""
+        size = len(self.decoded)
+        self.char_id = np.arange(size, size + 0x110000, dtype=np.int64)
+        self.width = size + 0x110000
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.char_id[ord(piece)] = i
+        part = lambda x: self.ids[x] if x in self.ids else int(self.char_id[ord(x)]) if len(x) == 1 else -1
+        pairs = [(part(p[:k]) * self.width + part(p[k:]), self.rank[p], i) for p, i in self.ids.items()
+                 for k in range(1, len(p)) if part(p[:k]) >= 0 and part(p[k:]) >= 0]
+        pairs.sort()
+        self.pair_key = np.array([x[0] for x in pairs] + [1 << 62], dtype=np.int64)
+        self.pair_rank = np.array([x[1] for x in pairs] + [_NEVER])
+        self.pair_id = np.array([x[2] for x in pairs] + [-1], dtype=np.int64)
+
+    def _offer(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, joined piece) of pairs of ids; no candidate: ``_NEVER``."""
+        key = left * self.width + right
+        at = np.searchsorted(self.pair_key, key)
+        known = (self.pair_key[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(known, self.pair_rank[at], _NEVER), self.pair_id[at]
+
+    def _merge_many(self, words: list[str], variants: list[int]) -> list[bytes]:
+        """Ids of many words of similar length: every word has its agenda in a row of an array,
+        and all take their best candidate together, step by step."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        longest = int(lengths.max())
+        cols = np.arange(longest)
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        ids = np.full((len(words), longest + 1), -1, dtype=np.int64)
+        ids[:, :longest][cols[None] < lengths[:, None]] = self.char_id[chars]
+        starts = np.minimum(np.arange(longest + 2)[None], lengths[:, None])
+        rank, joined = self._offer(ids[:, :-1], ids[:, 1:])
+        salts = np.array([self._salt(w, v) & _M64 for w, v in zip(words, variants)] if self.limit else [0] * len(words), dtype=np.uint64)
+        done: list = [None] * len(words)
+        rows = np.arange(len(words))
+        while True:
+            best = rank.argmin(axis=1)
+            here = np.arange(len(rows))
+            active = rank[here, best] < _NEVER
+            over = np.flatnonzero(~active)
+            for i, blob in zip(rows[over].tolist(), self._blobs(ids[over])):
+                done[i] = blob
+            if not active.any():
+                return done
+            if not active.all():
+                rows, ids, starts, rank, joined, salts, best = (x[active] for x in (rows, ids, starts, rank, joined, salts, best))
+                here = np.arange(len(rows))
+            merge = np.ones(len(rows), dtype=bool)
+            if self.limit:
+                merge = ~self._skips_many(salts, starts[here, best], starts[here, best + 1], starts[here, best + 2])
+                rank[here[~merge], best[~merge]] = _NEVER
+            at, k = here[merge], best[merge]
+            ids[at, k] = joined[at, k]
+            drop = lambda x, gone: np.take_along_axis(
+                x[at], np.minimum(np.arange(x.shape[1])[None] + (np.arange(x.shape[1])[None] >= gone[:, None]), x.shape[1] - 1), axis=1)
+            ids[at], starts[at] = drop(ids, k + 1), drop(starts, k + 1)
+            rank[at], joined[at] = drop(rank, k), drop(joined, k)
+            rank[at, -1] = _NEVER
+            for where, column in ((np.flatnonzero(k > 0), k - 1), (np.arange(len(at)), k)):
+                r, c = at[where], column[where]
+                rank[r, c], joined[r, c] = self._offer(ids[r, c], ids[r, c + 1])
+
+    def _skips_many(self, salts, left, right, end) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            h = salts ^ (left.astype(np.uint64) * np.uint64(0x165667B19E3779F9) + right.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                         + end.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            return ((h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) < np.uint64(self.limit)
 
     def _salt(self, word: str, variant: int) -> int:
         return xxhash.xxh64_intdigest(word, self.seed & _M64) + variant * 0xC2B2AE3D27D4EB4F
@@ -84,30 +157,8 @@ class PieceCodec:
         h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & _M64
         return ((h ^ (h >> 29)) * 0x9E3779B97F4A7C15 & _M64) >> 32 < self.limit
 
-    def _merge_short(self, word: str, variant: int) -> list[str]:
-        """The pieces of a word; the agenda is a plain list (quickest for few characters)."""
-        get, never = self.rank.get, _NEVER
-        pieces, starts = list(word), list(range(len(word) + 1))
-        agenda = [get(a + b, never) for a, b in zip(pieces, pieces[1:])]
-        salt = self._salt(word, variant) if self.limit else 0
-        while agenda:
-            best = min(agenda)
-            if best == never:
-                break
-            k = agenda.index(best)
-            if self.limit and self._skips(salt, starts[k], starts[k + 1], starts[k + 2]):
-                agenda[k] = never
-                continue
-            pieces[k] += pieces.pop(k + 1)
-            del starts[k + 1], agenda[k]
-            if k:
-                agenda[k - 1] = get(pieces[k - 1] + pieces[k], never)
-            if k < len(agenda):
-                agenda[k] = get(pieces[k] + pieces[k + 1], never)
-        return pieces
-
     def _merge_long(self, word: str, variant: int) -> list[str]:
-        """The same with a heap: n log n for words of any length."""
+        """The pieces of one word, its agenda a heap: n log n for words of any length."""
         n = len(word)
         pieces: list[str | None] = list(word)
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
@@ -136,17 +187,34 @@ class PieceCodec:
                 offer(before[left])
         return [p for p in pieces if p is not None]
 
-    def segment(self, word: str, variant: int) -> bytes:
-        """Ids (native 32-bit integers) of one word under one variant."""
-        pieces = self._merge_short(word, variant) if len(word) <= SHORT else self._merge_long(word, variant)
-        out = array("I")
-        for piece in pieces:
-            i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
-            else:  # only single characters lack a piece
-                out.extend(self.byte_ids[b] for b in piece.encode())
-        return out.tobytes()
+    def segments(self, words: list[str], variants: list[int]) -> list[bytes]:
+        """Ids (native 32-bit integers) of words, each under its variant."""
+        out: list = [None] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault((len(word) + 3) // 4, []).append(i)
+        for quarter, at in by_length.items():
+            for a in range(0, len(at), 50_000):
+                part = at[a:a + 50_000]
+                if quarter * 4 <= SHORT:
+                    blobs = self._merge_many([words[i] for i in part], [variants[i] for i in part])
+                else:
+                    blobs = [self._blobs(np.array([[self.ids[p] if p in self.ids else self.char_id[ord(p)]
+                                                    for p in self._merge_long(words[i], variants[i])]]))[0] for i in part]
+                for i, blob in zip(part, blobs):
+                    out[i] = blob
+        return out
+
+    def _blobs(self, ids: np.ndarray) -> list[bytes]:
+        """Each row's ids (negative: none) as 32-bit integers; characters without a piece become their bytes."""
+        real, size = ids >= 0, len(self.decoded)
+        stops = (np.cumsum(real.sum(axis=1)) * 4).tolist()
+        raw = ids[real].astype(np.uint32).tobytes()
+        blobs = [raw[a:b] for a, b in zip([0, *stops], stops)]
+        for i in np.flatnonzero((ids >= size).any(axis=1)).tolist():
+            row = ids[i][real[i]].tolist()
+            blobs[i] = array("I", [x for y in row for x in ([y] if y < size else [self.byte_ids[b] for b in chr(y - size).encode()])]).tobytes()
+        return blobs
 
     def _literal_mark(self) -> bytes:
         return array("I", [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
@@ -171,19 +239,17 @@ class PieceCodec:
         with np.errstate(over="ignore"):
             variant = mix(np.repeat(keys, counts) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.variants)
         pairs, which = np.unique(codes.astype(np.int64) * self.variants + variant.astype(np.int64), return_inverse=True)
-        blobs = []
         if len(self.cache) + len(pairs) > CACHE_ENTRIES:
             self.cache.clear()
         keep = len(pairs) <= CACHE_ENTRIES
-        for pair in pairs.tolist():
-            code, v = divmod(pair, self.variants)
-            word = vocabulary[code]
-            blob = self.cache.get((word, v))
-            if blob is None:
-                blob = self._literal_mark() if word == _RAW_MARK else self.segment(word, v)
-                if keep:
-                    self.cache[word, v] = blob
-            blobs.append(blob)
+        wanted = [(vocabulary[code], v) for code, v in zip(*(x.tolist() for x in np.divmod(pairs, self.variants)))]
+        blobs = [self._literal_mark() if w == _RAW_MARK else self.cache.get((w, v)) for w, v in wanted]
+        missing = [i for i, blob in enumerate(blobs) if blob is None]
+        found = self.segments([wanted[i][0] for i in missing], [wanted[i][1] for i in missing])
+        for i, blob in zip(missing, found):
+            blobs[i] = blob
+        if keep:
+            self.cache.update(zip([wanted[i] for i in missing], found))
         flat = np.frombuffer(b"".join(blobs), dtype=np.uint32)
         sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
         starts, lengths = np.cumsum(sizes) - sizes, sizes[which]
@@ -213,7 +279,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = 0.1
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(shared.value, seed, dropout, variants)
         for batch in batches:
-            for start, stop in text_slices(batch.column("__text"), 4_000_000):
+            for start, stop in text_slices(batch.column("__text"), 8_000_000):
                 part = batch.slice(start, stop - start)
                 texts = [t or "" for t in part.column("__text").to_pylist()]
                 offsets, ids = codec.encode(texts, _documents_key(part.column("doc_id"), texts, seed))
