@@ -1,16 +1,17 @@
 """Removal of repeated runs of lines by winnowing (operator 2).
 
 Blank lines carry nothing and are left out of the sequence.  A window is the shortest run
-of consecutive lines with at least ``min_words`` words; its *minimum* - the line with most
-words, ties by hash - is a fingerprint.  Two equal runs of ``min_words`` words or more
-contain a common window and so, guaranteed, a common fingerprint.
-
-Occurrences of a fingerprint are joined to its first occurrence (smallest document key,
-then line): one partner each, never all pairs.  From there the match is extended both ways
-while lines agree, up to ``min_words`` words to either side (what lies further contains a
-fingerprint of its own).  A match of ``min_words`` words or more is deleted where it occurs
-later.  Every deleted line has an equal line earlier in (document, line) order, so the
-first copy of anything always stays.
+of consecutive lines with at least ``min_words`` words that starts, or that ends, at a given
+line; its *minimum* - the line with most words, ties by hash - is its fingerprint, and
+fingerprint and hash of the complete window together are its key.  Every line of a run of
+``min_words`` words or more lies in a window inside the run: windows by their start cover
+all but the run's tail, windows by their end all but its head.
+
+Each window is joined to the first occurrence of its key (smallest document key, then line):
+one partner each, never all pairs.  A window that stands earlier is deleted, and windows
+that overlap join to runs, so of two equal runs of ``min_words`` words or more the later one
+goes whole, wherever else its lines occur.  Every deleted line has an equal line earlier in
+(document, line) order, so the first copy of anything always stays.
 
 Results for odd input: null text stays null and has no lines; repeated rows (same id, same
 text) are one document and get the same result; equal ids with other texts are ordered by a
@@ -35,7 +36,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Selected lines with their surroundings: (key, line, h, n, before, after)."""
+    """Complete windows: (key, h, run, from_line, to_line); ``h`` is the fingerprint, ``run`` the window's hash."""
     lines = (docs.select(*key_columns(F.col("doc_id"), F.col("text")), "text").dropDuplicates(KEY)
              .select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "content"))
              .select(*KEY, "line", F.size(words_of(F.col("content"))).alias("n"), _line_hash(F.col("content")).alias("h"))
@@ -43,47 +44,35 @@ def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     by_line = Window.partitionBy(*KEY).orderBy("line")
     lines = lines.withColumn("upto", F.sum("n").over(by_line)).withColumn("from", F.col("upto") - F.col("n"))
     lines = lines.withColumn("words", F.sum("n").over(Window.partitionBy(*KEY)))
-    by_from, by_upto = Window.partitionBy(*KEY).orderBy("from"), Window.partitionBy(*KEY).orderBy("upto")
-    item = F.struct("h", "n", "line")
-    lines = (lines.withColumn("least", F.min(F.struct((-F.col("n")).alias("n"), "h", "line"))
-                              .over(by_from.rangeBetween(0, min_words - 1)))
-             .withColumn("before", F.collect_list(item).over(by_from.rangeBetween(-(min_words - 1), -1)))
-             .withColumn("after", F.collect_list(item).over(by_upto.rangeBetween(1, min_words - 1))))
-    # a line is a fingerprint if some complete window chose it: windows that start at most
-    # min_words - 1 words before it, so the choices are looked up in that frame
-    chosen = F.collect_set(F.when(F.col("words") - F.col("from") >= min_words, F.col("least.line")))
-    return (lines.withColumn("chosen", chosen.over(by_from.rangeBetween(-(min_words - 1), 0)))
-            .where(F.array_contains("chosen", F.col("line")))
-            .select(*KEY, "line", "h", "n", F.reverse("before").alias("before"), "after"))
-
-
-def _agreeing(mine: Column, other: Column) -> Column:
-    """The first items of ``mine`` whose hashes equal those of ``other``."""
-    same = F.zip_with(mine, other, lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
-    first_other = F.array_position(same, F.lit(False))
-    return F.when(first_other == 0, mine).otherwise(F.slice(mine, F.lit(1), F.greatest(first_other.cast("int") - 1, F.lit(0))))
+    starting = Window.partitionBy(*KEY).orderBy("from").rangeBetween(0, min_words - 1)
+    ending = Window.partitionBy(*KEY).orderBy("upto").rangeBetween(-(min_words - 1), 0)
+    item = F.struct("n", "h", "line")
+    lines = lines.select(*KEY, "from", "upto", "words", F.collect_list(item).over(starting).alias("starting"),
+                         F.collect_list(item).over(ending).alias("ending"))
+    windows = F.array(F.when(F.col("words") - F.col("from") >= min_words, F.col("starting")),
+                      F.when(F.col("upto") >= min_words, F.col("ending")))
+    found = lines.select(*KEY, F.explode(F.filter(windows, lambda w: w.isNotNull())).alias("w"))
+    least = F.array_min(F.transform("w", lambda x: F.struct((-x["n"]).alias("n"), x["h"].alias("h"))))
+    return found.select(*KEY, least["h"].alias("h"), F.xxhash64(F.transform("w", lambda x: x["h"])).alias("run"),
+                        F.get("w", F.lit(0))["line"].alias("from_line"), F.element_at("w", -1)["line"].alias("to_line"))
 
 
 def repeated_runs(marks: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, from_line, to_line) of every later copy of a run of ``min_words`` words."""
-    place = F.struct(*KEY, "line")
-    first = (marks.groupBy("h").agg(F.min(F.struct(*KEY, "line", "before", "after")).alias("first"), F.count("*").alias("copies"))
-             .where("copies > 1").select("h", "first"))
-    pairs = marks.join(first, "h").where(place != F.struct(*(F.col(f"first.{c}") for c in [*KEY, "line"])))
-    pairs = pairs.select(*KEY, "line", "n", _agreeing(F.col("before"), F.col("first.before")).alias("left"),
-                         _agreeing(F.col("after"), F.col("first.after")).alias("right"))
-    total = lambda items: F.aggregate(items, F.lit(0), lambda s, x: s + x["n"])
-    line = F.col("line")
-    return (pairs.where(F.col("n") + total(F.col("left")) + total(F.col("right")) >= min_words)
-            .select(*KEY, F.coalesce(F.array_min(F.transform("left", lambda x: x["line"])), line).alias("from_line"),
-                    F.coalesce(F.array_max(F.transform("right", lambda x: x["line"])), line).alias("to_line")))
+    """(key, from_line, to_line) of the lines that later copies of windows cover, each line once."""
+    place = F.struct(*KEY, "from_line")
+    first = (marks.groupBy("h", "run").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+             .where("first < last").select("h", "run", "first"))
+    later = marks.join(first, ["h", "run"]).where(place != F.col("first")).select(*KEY, "from_line", "to_line")
+    before = Window.partitionBy(*KEY).orderBy("from_line", "to_line").rowsBetween(Window.unboundedPreceding, -1)
+    new = F.greatest(F.col("from_line"), F.max("to_line").over(before) + 1)
+    return later.withColumn("from_line", new).where("from_line <= to_line")
 
 
 def _cleaned(docs: DataFrame, min_words: int) -> DataFrame:
     """(row, clean_text, removed) for every row of ``docs``."""
     marks = write_table(fingerprints(docs, min_words), "fingerprints")
     runs = (repeated_runs(marks, min_words).groupBy(*KEY)  # a document's runs: bounded by its lines
-            .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("from_line", "to_line")))).alias("gone")))
+            .agg(F.flatten(F.collect_list(F.sequence("from_line", "to_line"))).alias("gone")))
     keyed = boxed(docs).select("row", *(c.alias(f"row_{k}") for c, k in zip(key_columns(F.col("row.doc_id"), F.col("row.text")), KEY)))
     text = F.col("row.text")
     joined = (keyed.join(runs, [F.col(f"row_{k}") == F.col(k) for k in KEY], "left")

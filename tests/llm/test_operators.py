@@ -69,6 +69,37 @@ def test_runs_of_short_lines_are_found_wherever_they_start(spark):
         assert out[i].clean_text == "\n".join(x for x in lines if x not in run)
 
 
+def _later_copies(docs, min_words=50):
+    """Brute force: the lines of every window that stands earlier, over all windows by start and by end."""
+    seen, gone = {}, {i: set() for i, _ in docs}
+    for i, text in docs:
+        lines = [(k, tuple(x.split())) for k, x in enumerate(text.split("\n")) if x.split()]
+        size = [len(x) for _, x in lines]
+        for a in range(len(lines)):
+            for z in range(a + 1, len(lines) + 1):
+                n = sum(size[a:z])
+                if n >= min_words and (n - size[a] < min_words or n - size[z - 1] < min_words):
+                    first = seen.setdefault(tuple(x for _, x in lines[a:z]), (i, a))
+                    if first != (i, a):
+                        gone[i].update(range(lines[a][0], lines[z - 1][0] + 1))
+    return gone
+
+
+def test_a_run_goes_even_if_its_longest_line_first_occurs_elsewhere(spark):
+    line = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    c, x, p = line("c", 30), line("x", 25), line("p", 25)
+    tail, last = line("t", 4), line("y", 4)
+    docs = [(0, f"{c}\n{x}"), (1, f"{c}\n{p}"), (2, f"{c}\n{p}"), (3, f"own words\n{c}\n\n{p}\nmore own words"),
+            (4, f"{c}\n{p}\n{tail}"), (5, f"{c}\n{p}\n{last}"), (6, f"{c}\n{p}\n{tail}")]
+    rng = random.Random(4)
+    pool = [line(f"l{k}x", rng.randint(1, 30)) for k in range(12)]
+    docs += [(10 + k, "\n".join(rng.choice([*pool, ""]) for _ in range(rng.randint(3, 25)))) for k in range(60)]
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [out[i].clean_text for i in range(7)] == [docs[0][1], docs[1][1], "", "own words\nmore own words", tail, last, ""]
+    want = _later_copies(docs)
+    assert all(set(out[i].removed) == want[i] and len(out[i].removed) == len(want[i]) for i, _ in docs)
+
+
 # ---- 3 toxicity -------------------------------------------------------------------
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
