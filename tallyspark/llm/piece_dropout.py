@@ -2,11 +2,13 @@
 
 Encoding follows the library's agenda: the best-scored adjacent pair is merged first, the
 leftmost of equals.  Every candidate taken from the agenda is skipped with probability
-``dropout``, decided by a keyed hash of (seed, variant, word, span): the same call always
-gives the same ids, on any number of tasks and after any retry.  An occurrence's variant
-is a keyed hash of its document's key and position, so one word is segmented in up to
-``variants`` ways over the corpus while a worker segments each (word, variant) once.
-With ``dropout`` 0 the ids are the library's.
+``dropout``, decided by a keyed hash of (seed, occurrence, word, span): the same call always
+gives the same ids, on any number of tasks and after any retry.  An occurrence's key is a
+hash of its document's key and its position, so every occurrence draws for itself.  What
+follows a set of skipped candidates is the same for every occurrence of a word, so a worker
+computes it once: occurrences walk from the word's dropout-0 agenda along the candidates they
+skip, and only words with skips not met before are merged.  ``variants`` (default: none) draws
+only that many segmentations of a word.  With ``dropout`` 0 the ids are the library's.
 
 Characters without a piece fall back to byte pieces, also the library's space mark
 U+2581 where a text contains it, so decoding gives back every text exactly.
@@ -33,7 +35,7 @@ from tallyspark.llm.wordio import mix, text_slices
 
 SPACE = "▁"     # the library's mark for a space
 _RAW_MARK = ""  # never leaves the encoder: stands for a literal U+2581
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 SHORT = 64             # characters up to which words are merged many at a time
 _NEVER = float("inf")
 _M64 = (1 << 64) - 1
@@ -41,7 +43,7 @@ _M64 = (1 << 64) - 1
 _CODECS: dict[tuple, "PieceCodec"] = {}
 
 
-def worker_codec(model: bytes, seed: int, dropout: float, variants: int) -> "PieceCodec":
+def worker_codec(model: bytes, seed: int, dropout: float, variants: int | None) -> "PieceCodec":
     key = (hashlib.sha256(model).digest(), seed, dropout, variants)
     if key not in _CODECS:
         _CODECS.clear()
@@ -50,7 +52,7 @@ def worker_codec(model: bytes, seed: int, dropout: float, variants: int) -> "Pie
 
 
 class PieceCodec:
-    def __init__(self, model: bytes, seed: int = 0, dropout: float = 0.1, variants: int = 4) -> None:
+    def __init__(self, model: bytes, seed: int = 0, dropout: float = 0.1, variants: int | None = None) -> None:
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -73,8 +75,17 @@ class PieceCodec:
         # no piece joins a character to a space mark after it, nor any of these to a neighbour
         alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in joined)
         self.word = re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.cache: dict[tuple[str, int], bytes] = {}
         self._index_pairs()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empty the cache: a node for every word and set of skipped steps met so far, with the
+        ids it comes to and what the skip hash sees of its agenda after the last skip."""
+        self.nodes: dict[tuple[int, int] | str, int] = {}   # word, or node and the step it skips next
+        self.node_word: list[str] = []
+        self.node_skips: list[tuple[int, ...]] = []
+        self.node_ids: list[bytes] = []
+        self.node_spans: list[bytes] = []
 
     def _index_pairs(self) -> None:
         """Arrays for many words at once: an id for every character (those without a piece lie
@@ -100,9 +111,10 @@ class PieceCodec:
         known = (self.pair_key[at] == key) & (left >= 0) & (right >= 0)
         return np.where(known, self.pair_rank[at], _NEVER), self.pair_id[at]
 
-    def _merge_many(self, words: list[str], variants: list[int]) -> list[bytes]:
-        """Ids of many words of similar length: every word has its agenda in a row of an array,
-        and all take their best candidate together, step by step."""
+    def _merge_many(self, words: list[str], skips: list[tuple[int, ...]]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of many words of similar length, and the spans (64 bits each) of the candidates
+        taken after the last skip: every word has its agenda in a row of an array, and all take
+        their best candidate together, step by step, but for the steps they skip."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         longest = int(lengths.max())
         cols = np.arange(longest)
@@ -111,9 +123,14 @@ class PieceCodec:
         ids[:, :longest][cols[None] < lengths[:, None]] = self.char_id[chars]
         starts = np.minimum(np.arange(longest + 2)[None], lengths[:, None])
         rank, joined = self._offer(ids[:, :-1], ids[:, 1:])
-        salts = np.array([self._salt(w, v) & _M64 for w, v in zip(words, variants)] if self.limit else [0] * len(words), dtype=np.uint64)
+        skipped_at: dict[int, list[int]] = {}
+        for i, steps in enumerate(skips):
+            for t in steps:
+                skipped_at.setdefault(t, []).append(i)
+        last = np.array([steps[-1] if steps else -1 for steps in skips], dtype=np.int64)
         done: list = [None] * len(words)
         rows = np.arange(len(words))
+        taken, spans, step = [], [], 0
         while True:
             best = rank.argmin(axis=1)
             here = np.arange(len(rows))
@@ -122,15 +139,22 @@ class PieceCodec:
             for i, blob in zip(rows[over].tolist(), self._blobs(ids[over])):
                 done[i] = blob
             if not active.any():
-                return done
+                break
             if not active.all():
-                rows, ids, starts, rank, joined, salts, best = (x[active] for x in (rows, ids, starts, rank, joined, salts, best))
+                rows, ids, starts, rank, joined, best = (x[active] for x in (rows, ids, starts, rank, joined, best))
                 here = np.arange(len(rows))
             merge = np.ones(len(rows), dtype=bool)
-            if self.limit:
-                merge = ~self._skips_many(salts, starts[here, best], starts[here, best + 1], starts[here, best + 2])
+            if step in skipped_at:
+                merge[np.searchsorted(rows, skipped_at[step])] = False
                 rank[here[~merge], best[~merge]] = _NEVER
+            if self.limit:
+                new = np.flatnonzero(last[rows] < step)
+                taken.append(rows[new])
+                spans.append(self._span(*(starts[new, best[new] + k].astype(np.uint64) for k in range(3))))
+            step += 1
             at, k = here[merge], best[merge]
+            if not len(at):
+                continue
             ids[at, k] = joined[at, k]
             drop = lambda x, gone: np.take_along_axis(
                 x[at], np.minimum(np.arange(x.shape[1])[None] + (np.arange(x.shape[1])[None] >= gone[:, None]), x.shape[1] - 1), axis=1)
@@ -140,30 +164,34 @@ class PieceCodec:
             for where, column in ((np.flatnonzero(k > 0), k - 1), (np.arange(len(at)), k)):
                 r, c = at[where], column[where]
                 rank[r, c], joined[r, c] = self._offer(ids[r, c], ids[r, c + 1])
+        if not taken:
+            return done, [b""] * len(words)
+        owner = np.concatenate(taken)
+        raw = np.concatenate(spans)[np.argsort(owner, kind="stable")].tobytes()
+        stops = (np.cumsum(np.bincount(owner, minlength=len(words))) * 8).tolist()
+        return done, [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+    @staticmethod
+    def _span(left, right, end):
+        """What the skip hash sees of the candidate that joins [left, right) and [right, end)."""
+        with np.errstate(over="ignore"):
+            return (left * np.uint64(0x165667B19E3779F9) + right * np.uint64(0xD6E8FEB86659FD93)
+                    + end * np.uint64(0xA0761D6478BD642F))
 
-    def _skips_many(self, salts, left, right, end) -> np.ndarray:
+    def _skipped(self, salts: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        """Whether the occurrences of these salts skip the candidates of these spans."""
         with np.errstate(over="ignore"):
-            h = salts ^ (left.astype(np.uint64) * np.uint64(0x165667B19E3779F9) + right.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-                         + end.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+            h = salts ^ spans
             h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
             return ((h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) < np.uint64(self.limit)
 
-    def _salt(self, word: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(word, self.seed & _M64) + variant * 0xC2B2AE3D27D4EB4F
-
-    def _skips(self, salt: int, left: int, right: int, end: int) -> bool:
-        """Whether the candidate that joins [left, right) and [right, end) is skipped."""
-        h = (salt ^ (left * 0x165667B19E3779F9 + right * 0xD6E8FEB86659FD93 + end * 0xA0761D6478BD642F)) & _M64
-        h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & _M64
-        return ((h ^ (h >> 29)) * 0x9E3779B97F4A7C15 & _M64) >> 32 < self.limit
-
-    def _merge_long(self, word: str, variant: int) -> list[str]:
-        """The pieces of one word, its agenda a heap: n log n for words of any length."""
+    def _merge_long(self, word: str, skips: tuple[int, ...]) -> tuple[bytes, bytes]:
+        """``_merge_many`` for one word, its agenda a heap: n log n for words of any length."""
         n = len(word)
         pieces: list[str | None] = list(word)
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        salt = self._salt(word, variant) if self.limit else 0
         agenda: list[tuple[float, int, int, int]] = []
+        skipped, last, step, taken = set(skips), skips[-1] if skips else -1, -1, []
 
         def offer(left: int) -> None:
             right = after[left]
@@ -176,7 +204,10 @@ class PieceCodec:
             _, left, right, end = heapq.heappop(agenda)
             if pieces[left] is None or pieces[right] is None or after[left] != right or ends[right] != end:
                 continue  # a side has been merged meanwhile
-            if self.limit and self._skips(salt, left, right, end):
+            step += 1
+            if self.limit and step > last:
+                taken.append((left, right, end))
+            if step in skipped:
                 continue
             pieces[left], pieces[right], ends[left] = pieces[left] + pieces[right], None, end
             after[left] = after[right]
@@ -185,25 +216,83 @@ class PieceCodec:
                 offer(left)
             if before[left] >= 0:
                 offer(before[left])
-        return [p for p in pieces if p is not None]
-
-    def segments(self, words: list[str], variants: list[int]) -> list[bytes]:
-        """Ids (native 32-bit integers) of words, each under its variant."""
-        out: list = [None] * len(words)
+        blob = self._blobs(np.array([[self.ids[p] if p in self.ids else self.char_id[ord(p)] for p in pieces if p is not None]]))[0]
+        return blob, self._span(*np.array(taken, dtype=np.uint64).T).tobytes() if taken else b""
+
+    def _add(self, keys: list, words: list[str], skips: list[tuple[int, ...]]) -> None:
+        """New nodes: words and the steps they skip."""
+        start = len(self.node_word)
+        self.nodes.update(zip(keys, range(start, start + len(words))))
+        self.node_word += words
+        self.node_skips += skips
+        ids, spans = [b""] * len(words), [b""] * len(words)
         by_length: dict[int, list[int]] = {}
         for i, word in enumerate(words):
-            by_length.setdefault((len(word) + 3) // 4, []).append(i)
+            if word == _RAW_MARK:
+                ids[i] = self._literal_mark()
+            else:
+                by_length.setdefault((len(word) + 3) // 4, []).append(i)
         for quarter, at in by_length.items():
-            for a in range(0, len(at), 50_000):
-                part = at[a:a + 50_000]
+            for a in range(0, len(at), 8_000):
+                part = at[a:a + 8_000]
                 if quarter * 4 <= SHORT:
-                    blobs = self._merge_many([words[i] for i in part], [variants[i] for i in part])
+                    found = zip(*self._merge_many([words[i] for i in part], [skips[i] for i in part]))
                 else:
-                    blobs = [self._blobs(np.array([[self.ids[p] if p in self.ids else self.char_id[ord(p)]
-                                                    for p in self._merge_long(words[i], variants[i])]]))[0] for i in part]
-                for i, blob in zip(part, blobs):
-                    out[i] = blob
-        return out
+                    found = (self._merge_long(words[i], skips[i]) for i in part)
+                for i, (blob, taken) in zip(part, found):
+                    ids[i], spans[i] = blob, taken
+        self.node_ids += ids
+        self.node_spans += spans
+
+    def _settle(self, words: list[str], codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The node of every occurrence: ``words[code]`` under its key."""
+        if len(self.node_word) > CACHE_ENTRIES:
+            self._forget()
+        new = [w for w in words if w not in self.nodes]
+        self._add(new, new, [()] * len(new))
+        roots = np.fromiter((self.nodes[w] for w in words), dtype=np.int64, count=len(words))
+        node = roots[codes]
+        if not self.limit:
+            return node
+        with np.errstate(over="ignore"):
+            salts = (np.fromiter((xxhash.xxh64_intdigest(w, self.seed & _M64) for w in words), dtype=np.uint64, count=len(words))[codes]
+                     + keys.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        walking = np.arange(len(node))
+        while len(walking):
+            found, steps = [], []
+            for a in range(0, len(walking), 50_000):
+                part = walking[a:a + 50_000]
+                used, which = np.unique(node[part], return_inverse=True)
+                flat, starts, sizes = _joined([self.node_spans[i] for i in used.tolist()], np.uint64)
+                ends = np.cumsum(sizes[which])
+                firsts = ends - sizes[which]
+                owner = np.repeat(np.arange(len(part)), sizes[which])
+                at = np.arange(len(owner)) - firsts[owner]
+                hit = np.flatnonzero(self._skipped(salts[part][owner], flat[starts[which][owner] + at]))
+                hit = hit[np.diff(owner[hit], prepend=-1) != 0]        # the first skip of each
+                found.append(part[owner[hit]])
+                steps.append(at[hit])
+            walking, step = np.concatenate(found), np.concatenate(steps)
+            if not len(walking):
+                break
+            longest = int(step.max()) + 1
+            pairs, which = np.unique(node[walking] * longest + step, return_inverse=True)
+            children = list(zip(*(x.tolist() for x in np.divmod(pairs, longest))))
+            new = [x for x in children if x not in self.nodes]
+            skips = []
+            for parent, k in new:
+                before = self.node_skips[parent]
+                skips.append((*before, (before[-1] + 1 if before else 0) + k))
+            self._add(new, [self.node_word[parent] for parent, _ in new], skips)
+            node[walking] = np.fromiter((self.nodes[x] for x in children), dtype=np.int64, count=len(children))[which]
+        return node
+
+    def segments(self, words: list[str], keys: list[int]) -> list[bytes]:
+        """Ids (native 32-bit integers) of words, each under its key."""
+        vocabulary = list(dict.fromkeys(words))
+        code = {w: i for i, w in enumerate(vocabulary)}
+        codes = np.array([code[w] for w in words], dtype=np.int64)
+        return [self.node_ids[i] for i in self._settle(vocabulary, codes, np.array(keys, dtype=np.uint64)).tolist()]
 
     def _blobs(self, ids: np.ndarray) -> list[bytes]:
         """Each row's ids (negative: none) as 32-bit integers; characters without a piece become their bytes."""
@@ -220,7 +309,7 @@ class PieceCodec:
         return array("I", [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(offsets, ids)`` of texts; ``keys`` (64 bits each) choose the variants."""
+        """``(offsets, ids)`` of texts; ``keys`` (64 bits each) with the position key every word."""
         words, counts = [], []
         for text in texts:
             parts = re.split(SPACE, text) if SPACE in text else [text]
@@ -237,22 +326,12 @@ class PieceCodec:
         codes, vocabulary = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
         at = np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
-            variant = mix(np.repeat(keys, counts) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.variants)
-        pairs, which = np.unique(codes.astype(np.int64) * self.variants + variant.astype(np.int64), return_inverse=True)
-        if len(self.cache) + len(pairs) > CACHE_ENTRIES:
-            self.cache.clear()
-        keep = len(pairs) <= CACHE_ENTRIES
-        wanted = [(vocabulary[code], v) for code, v in zip(*(x.tolist() for x in np.divmod(pairs, self.variants)))]
-        blobs = [self._literal_mark() if w == _RAW_MARK else self.cache.get((w, v)) for w, v in wanted]
-        missing = [i for i, blob in enumerate(blobs) if blob is None]
-        found = self.segments([wanted[i][0] for i in missing], [wanted[i][1] for i in missing])
-        for i, blob in zip(missing, found):
-            blobs[i] = blob
-        if keep:
-            self.cache.update(zip([wanted[i] for i in missing], found))
-        flat = np.frombuffer(b"".join(blobs), dtype=np.uint32)
-        sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
-        starts, lengths = np.cumsum(sizes) - sizes, sizes[which]
+            drawn = mix(np.repeat(keys, counts) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        if self.variants:
+            drawn %= np.uint64(self.variants)
+        used, which = np.unique(self._settle(vocabulary, codes.astype(np.int64), drawn), return_inverse=True)
+        flat, starts, sizes = _joined([self.node_ids[i] for i in used.tolist()], np.uint32)
+        lengths = sizes[which]
         ends = np.cumsum(lengths)
         source = np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
         return np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])], flat[source]
@@ -263,14 +342,22 @@ class PieceCodec:
         return text[1:] if text.startswith(" ") else text  # the mark put before every text
 
 
+def _joined(blobs: list[bytes], kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of all blobs in one array, and where each blob's start and how many they are."""
+    flat = np.frombuffer(b"".join(blobs), dtype=kind)
+    sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // np.dtype(kind).itemsize
+    return flat, np.cumsum(sizes) - sizes, sizes
+
+
 def _documents_key(doc_ids: pa.Array, texts: list[str], seed: int) -> np.ndarray:
-    """64 bits per row from its id and text length."""
+    """64 bits per row from its id and text."""
     ids = np.array([0 if i is None else i for i in doc_ids.to_pylist()], dtype=np.int64).astype(np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, texts), dtype=np.uint64, count=len(texts))
     with np.errstate(over="ignore"):
-        return mix(mix(ids + np.uint64(seed & _M64)) + np.fromiter(map(len, texts), dtype=np.uint64, count=len(texts)))
+        return mix(mix(ids + np.uint64(seed & _M64)) + hashes)
 
 
-def encode(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = 0.1, variants: int = 4,
+def encode(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = 0.1, variants: int | None = None,
            keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *keep, ids): ``ids`` is the little-endian 32-bit ids of the text as binary."""
     shared = docs.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())
@@ -279,7 +366,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = 0.1
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(shared.value, seed, dropout, variants)
         for batch in batches:
-            for start, stop in text_slices(batch.column("__text"), 8_000_000):
+            for start, stop in text_slices(batch.column("__text"), 3_000_000):
                 part = batch.slice(start, stop - start)
                 texts = [t or "" for t in part.column("__text").to_pylist()]
                 offsets, ids = codec.encode(texts, _documents_key(part.column("doc_id"), texts, seed))

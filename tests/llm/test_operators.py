@@ -138,6 +138,24 @@ def test_pieces_follow_the_library_and_decode_losslessly(texts, monkeypatch):
     assert codec.segments(words, [1] * len(words)) == many
 
 
+def test_every_occurrence_draws_its_own_skips(spark):
+    with open(tokenizer_path(PIECE_BPE), "rb") as f:
+        model = f.read()
+    codec = piece_dropout.PieceCodec(model, seed=3, dropout=0.1)
+    word, n = "\u2581understanding", 3000
+    keys = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    many = codec.segments([word] * n, keys)
+    unskipped = codec._settle([word], np.zeros(n, dtype=np.int64), keys) == codec.nodes[word]
+    spans = np.frombuffer(codec.node_spans[codec.nodes[word]], dtype=np.uint64)
+    assert len(set(many)) > 10                                     # more than a few cached ways
+    assert abs(unskipped.mean() - 0.9 ** len(spans)) < 0.03   # every candidate skipped at the dropout rate
+    fresh = [piece_dropout.PieceCodec(model, seed=3, dropout=0.1).segments([word], [k])[0] for k in keys[:8]]
+    assert fresh == many[:8]                                       # the cache plays no part
+    docs = spark.createDataFrame([(i, "understanding " * 40) for i in range(50)], "doc_id long, text string")
+    rows = piece_dropout.encode(docs, tokenizer_path(PIECE_BPE), seed=17).collect()
+    assert len({bytes(r.ids) for r in rows}) == 50
+
+
 # ---- 5 html ------------------------------------------------------------------------
 def test_run_ranks_and_cover_equal_brute_force():
     rng = np.random.default_rng(0)
