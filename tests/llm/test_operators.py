@@ -187,6 +187,26 @@ def test_main_text_without_furniture(spark):
     assert out[99] == out[0] + "\ntail"           # copies do not make each other's text furniture
 
 
+def test_copies_of_pages_without_article_keep_their_text(spark):
+    words = lambda name, n=40: " ".join(f"{name}w{k}" for k in range(n))
+    menu = "<div>Read our other stories every single day of the week here</div>"
+    page = lambda body: f"<html><body>{menu}{body}</body></html>"
+    rows = [(1, "https://a.example/x", page(f"<div>{words('a')}</div>"))] * 3                       # repeated rows
+    rows += [(2 + k, f"https://a.example/{k}", page(f"<div>{words('a')}</div><p>tail {k}</p>")) for k in range(2)]
+    rows += [(10 + k, f"https://a.example/o{k}", page(f"<div>{words(f'o{k}')}</div>")) for k in range(4)]
+    rows += [(20 + k, f"https://b.example/{k}", f"<div>{words('b')}<p>tail {k}") for k in range(6)]  # nothing but near copies
+    long = f"<div>{words('template', 60)}</div>"                                                    # a template longer than the text
+    rows += [(30 + k, f"https://c.example/{k}", f"{long}<div>{words(f'c{k}', 30)}</div>") for k in range(6)]
+    rows += [(40, "https://c.example/copy", f"{long}<div>{words('c0', 30)}</div><p>tail</p>")]
+    got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    out = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows) and [r.text for r in got if r.page_id == 1] == [words("a")] * 3
+    assert [out[2 + k] for k in range(2)] == [f"{words('a')}\ntail {k}" for k in range(2)]
+    assert [out[10 + k] for k in range(4)] == [words(f"o{k}") for k in range(4)]
+    assert [out[20 + k] for k in range(6)] == [f"{words('b')}\ntail {k}" for k in range(6)]
+    assert [out[30 + k] for k in range(6)] == [words(f"c{k}", 30) for k in range(6)] and out[40] == f"{words('c0', 30)}\ntail"
+
+
 def test_articles_of_the_test_pages_come_out_whole(spark):
     import html
     import re
