@@ -207,6 +207,16 @@ def test_copies_of_pages_without_article_keep_their_text(spark):
     assert [out[30 + k] for k in range(6)] == [words(f"c{k}", 30) for k in range(6)] and out[40] == f"{words('c0', 30)}\ntail"
 
 
+def test_void_and_unclosed_elements_do_not_cut_the_page():
+    texts = lambda source: [text for _, text in html_extract.page_blocks(source)]
+    assert texts("<article><p>before<embed src='a.swf'><p>after</article><p>end") == ["before", "after", "end"]
+    assert texts("<p>one<embed src='a'></embed> two<embed/> three") == ["one two three"]
+    assert texts("<p>before<option>choice<p>after<div>end</div>") == ["before", "after", "end"]
+    assert texts("<p>before<button class=x>press<p>after</p><button>press <b>me</b></button> more") == ["before", "after", "more"]
+    assert texts("<button><div>label</div></button><p>text<select><option>a<option>b</select> more") == ["text more"]
+    assert texts("<p>text<button>press") == ["text"]
+
+
 def test_articles_of_the_test_pages_come_out_whole(spark):
     import html
     import re
