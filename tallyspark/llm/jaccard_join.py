@@ -37,10 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import boxed, is_broadcastable, write_table
+from tallyspark.llm.common import boxed, is_broadcastable, key_columns, write_table
 from tallyspark.llm.components import connected_components
 from tallyspark.llm.wordio import mix, split_words, text_slices, word_hashes
 
@@ -155,8 +155,12 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(np.uint64(b).astype(np.int64))
 
 
+def _text_hash(text: Column) -> Column:
+    return key_columns(F.lit(None), text)[2]
+
+
 def _set_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, d1, d2, sketch): size, digest and whole sketch of each text's shingle set."""
+    """(doc_id, text_hash, n, d1, d2, sketch): size, digest and whole sketch of each text's shingle set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,10 +169,11 @@ def _set_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 rows = [(len(s), *_digest(s), whole_sketch(s, num, den)) for s in shingle_sets(part.column("text"), k)]
                 kinds = [pa.int64()] * 3 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, kind) for c, kind in zip(zip(*rows), kinds))],
-                    names=["doc_id", *CLASS, "sketch"])
+                    [part.column("doc_id"), part.column("text_hash"), *(pa.array(c, kind) for c, kind in zip(zip(*rows), kinds))],
+                    names=["doc_id", "text_hash", *CLASS, "sketch"])
 
-    return docs.mapInArrow(sets, "doc_id long, n long, d1 long, d2 long, sketch binary")
+    hashed = docs.select("doc_id", "text", _text_hash(F.col("text")).alias("text_hash"))
+    return hashed.mapInArrow(sets, "doc_id long, text_hash long, n long, d1 long, d2 long, sketch binary")
 
 
 def _common_shingles(docs: DataFrame, classes: DataFrame, k: int) -> np.ndarray:
@@ -321,6 +326,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     Texts link when the Jaccard similarity of their shingle sets is at least ``num / den``;
     ``component_id`` is the smallest doc_id reachable by links.
     """
+    return _components(docs, k, num, den).drop("text_hash")
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """``near_duplicates`` with the hash of each row's text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = write_table(_set_table(docs, k, num, den), "sets")
     classes = write_table(sets.where("n > 0").groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
@@ -363,16 +373,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     groups = found.join(least, "component").select(*(F.col(c).alias(f"g_{c}") for c in CLASS), "group_id")
     on = [sets[c] == groups[f"g_{c}"] for c in CLASS]
     return sets.join(groups, on, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("group_id", "doc_id").alias("component_id"))
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("group_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that are the smallest id of their group, all columns unchanged.
 
-    Repeated rows of that id stay together; rows without an id are in no group and stay.
+    Repeated rows of that id stay together; rows without an id are in no group and stay.  Of
+    rows with one id and several texts, each goes or stays by the group of its own text.
     """
-    gone = near_duplicates(docs, k, num, den).where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return boxed(docs).join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
+    gone = (_components(docs, k, num, den).where("component_id < doc_id")
+            .select(F.col("doc_id").alias("gone"), F.col("text_hash").alias("gone_hash")).distinct())
+    same = (F.col("row.doc_id") == F.col("gone")) & (_text_hash(F.col("row.text")) == F.col("gone_hash"))
+    return boxed(docs).join(gone, same, "left_anti").select("row.*")
 
 
 def oracle_sql(k: int, num: int, den: int) -> str:

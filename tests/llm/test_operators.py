@@ -417,6 +417,14 @@ def test_similarity_join_equals_all_pairs(spark, monkeypatch, k, num, den, commo
     assert got == _components(rows, k, num, den)
 
 
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(40))
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (5, text("b")), (6, text("b")), (7, None), (None, text("a"))]
+    out = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(1, text("a")), (5, text("b")), (5, text("b")), (7, None), (None, text("a"))]
+    assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, want))
+
+
 def test_linking_sets_share_a_key_and_pass_the_sketch():
     rng = np.random.default_rng(0)
     for size in (7, 8, 15, 60, 333, 2000):
