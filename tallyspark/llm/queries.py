@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import (html_extract, huffman, jaccard_join, line_dedup, packing, piece_dropout, quality_rules,
-                            syncmers, token_counts, toxicity)
+from tallyspark.llm import (centroids, filter_audit, html_extract, huffman, jaccard_join, line_dedup, packing, piece_dropout,
+                            positional_index, quality_rules, syncmers, token_counts, toxicity)
 from tallyspark.llm.common import read_table
 from tallyspark.session import scratch_path
 
@@ -74,6 +74,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed=2)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positional_index.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -85,10 +97,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_huffman_ids": op8_huffman_ids,
     "op9_packing": op9_packing,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_centroids": op11_centroids,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.oracle_sql(4, 85, 100),
+    "op11_centroids": centroids.oracle_sql(40, 5, 64, 256, 2),
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_decontamination": positional_index.ORACLE_SQL,
 }
