@@ -7,13 +7,9 @@ is the number of columns, not the number of rows.
 
 ``quantiles`` selects how the medians and winsor bounds are computed:
 
-* ``"bracketed"`` (default) - exact in two passes over the wide table: one
-  aggregate of sketches brackets every position, one aggregate counts the rows
-  below each bracket, and only values inside a bracket are reshaped and counted
-  (bounded memory, skew-safe, no long-form copy of the table; verified, with
-  ``"distributed"`` as fallback);
-* ``"distributed"`` - exact, via value-range cumulative counts; no task ever
-  holds more than one range of one column's distinct values;
+* ``"selection"`` (default) - exact, by radix selection over all columns at once
+  (``operators/selection.py``): only counts of sub-ranges leave a task, and the winsor
+  bounds after imputation follow from the ranks before it, so one selection serves both;
 * ``"exact"`` - Spark's ``percentile`` in a single aggregate (exact; keeps a
   value->count map per column in the final task, fine for bounded cardinality);
 * ``"approx"`` - ``percentile_approx`` (bounded memory, approximate).
@@ -23,14 +19,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyspark.functions.risk import POLICY_PREFIX_PATTERN
 from tallyspark.functions.text import (
     parse_date_any, parse_month_year, parse_percent, parse_term_months, round_half_even_long,
     standardize, strip_policy_prefix, to_number, upper_left,
 )
-from tallyspark.operators.ranking import bracketed_quantiles_wide, exact_quantiles
+from tallyspark.operators.selection import exact_quantiles_wide, medians_and_clips
 from tallyspark.session import materialize
 
 # ---- fixed values -----------------------------------------------------------
@@ -52,7 +47,6 @@ LOAN_NUMERIC_COLUMNS = ["member_id", "loan_amount", "funded_amount", "installmen
 MEDIAN_IMPUTE_COLUMNS = ["annual_income", "dti", "revol_util", "installment", "funded_amount", "interest_rate",
                          "fico_range_low", "fico_range_high", "open_accounts", "total_accounts"]
 WINSOR_COLUMNS = ["annual_income", "loan_amount", "dti"]
-LOAN_REQUIRED = ["loan_id", "term_months", "issue_date", "loan_status", "grade"]
 TXN_RENAME = {
     "type": "txn_type", "nameOrig": "sender_id", "oldbalanceOrg": "sender_bal_before",
     "newbalanceOrig": "sender_bal_after", "nameDest": "receiver_id", "oldbalanceDest": "receiver_bal_before",
@@ -67,14 +61,12 @@ STOCK_SCHEMA_COLUMNS = ["ticker", "trade_date", "open_price", "high_price", "low
 
 
 # ---- building blocks ----------------------------------------------------------
-def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], mode: str = "bracketed") -> DataFrame:
+def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], mode: str = "selection") -> DataFrame:
     """Quantiles ``qs`` of each column in ``cols`` as a long table (column, q, quantile)."""
-    if mode == "bracketed":
-        return bracketed_quantiles_wide(df, cols, qs)
-    if mode == "distributed":
-        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                                             for c in cols])).alias("_s")).select("_s.column", "_s.v")
-        return exact_quantiles(long, "v", qs, keys=["column"])
+    if mode == "selection":
+        return exact_quantiles_wide(df, cols, qs)
+    if mode not in ("exact", "approx"):
+        raise ValueError(f"unknown quantile mode {mode!r}")
     fn = (lambda c: F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs]))) if mode == "exact" else \
          (lambda c: F.percentile_approx(F.col(c).cast("double"), list(qs), 10000).cast("array<double>"))
     row = df.agg(*[fn(c).alias(c) for c in cols])
@@ -96,7 +88,7 @@ def _wide(quant: DataFrame, cols: list[str], qs: list[float], names: list[str])
     return quant.agg(*aggs)
 
 
-def impute_median(df: DataFrame, cols: list[str], mode: str = "bracketed") -> DataFrame:
+def impute_median(df: DataFrame, cols: list[str], mode: str = "selection") -> DataFrame:
     """Fill NULLs with each column's median (one pass for all columns)."""
     med = _wide(column_quantiles(df, cols, [0.5], mode), cols, [0.5], ["med"])
     j = df.crossJoin(F.broadcast(med))  # one row
@@ -106,7 +98,7 @@ def impute_median(df: DataFrame, cols: list[str], mode: str = "bracketed") -> Da
 
 
 def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float = 0.99,
-              mode: str = "bracketed") -> DataFrame:
+              mode: str = "selection") -> DataFrame:
     """Clip each column to its [lower, upper] quantiles; NULL stays NULL."""
     b = _wide(column_quantiles(df, cols, [lower, upper], mode), cols, [lower, upper], ["lo", "hi"])
     j = df.crossJoin(F.broadcast(b))  # one row
@@ -116,21 +108,35 @@ def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float
     return j.drop(*[f"{c}__{n}" for c in cols for n in ("lo", "hi")])
 
 
+def impute_and_winsorize(df: DataFrame, impute: list[str], clip: list[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:
+    """A14 then A13, with all medians and bounds from one selection over ``df``."""
+    medians, bounds = medians_and_clips(df, impute, clip, lower, upper)
+
+    def value(c: str) -> Column:
+        x = F.col(c).cast("double")
+        if c in impute:
+            x = F.coalesce(x, F.lit(medians[c]).cast("double"))
+        if c in clip and bounds[c][0] is not None:
+            x = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(bounds[c][0])), F.lit(bounds[c][1])))
+        return x.alias(c)
+
+    return df.select(*[value(c) if c in impute or c in clip else F.col(f"`{c}`") for c in df.columns])
+
+
 def keep_first(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame:
     """One row per key, the first by an explicit ingest order (never arbitrary).
 
-    ``min(order)`` per key is a hash aggregate over two narrow columns, reduced inside
-    every input partition, so a key with a large share of the rows costs a row per task;
-    the rows that hold the minimum are then looked up.  Rows that tie on the order are
-    told apart by a hash of their values, so the result is deterministic.
+    One aggregate over one scan: every input partition keeps one row per key before the
+    shuffle, so a key with a large share of the rows costs a row per task.  A missing
+    order comes last; rows that tie are told apart by a hash of their values, so the
+    result is deterministic.
     """
     order = F.col(order) if isinstance(order, str) else order
-    rows = df.withColumn("_o", order)
-    first = rows.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_o").alias("_first"))
-    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_o").eqNullSafe(F.col("_first"))]
-    kept = rows.join(first, on)
-    ties = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    return kept.withColumn("_rn", F.row_number().over(ties)).where("_rn = 1").select(*[f"`{c}`" for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    place = F.struct(order.isNull().alias("missing"), order.alias("order"), F.xxhash64(*columns).alias("hash"))
+    first = df.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min_by(F.struct(*columns), place).alias("_row"))
+    return first.select("_row.*")
 
 
 def rename(df: DataFrame, mapping: dict) -> DataFrame:
@@ -139,7 +145,7 @@ def rename(df: DataFrame, mapping: dict) -> DataFrame:
 
 
 # ---- C1 ----------------------------------------------------------------------------
-def clean_loans(raw: DataFrame, order: str = "seq", quantiles: str = "bracketed") -> DataFrame:
+def clean_loans(raw: DataFrame, order: str = "seq", quantiles: str = "selection") -> DataFrame:
     """Raw loan strings -> the 24-column typed loan table.
 
     Order of steps as in the reference: parse, drop rows missing required
@@ -148,25 +154,26 @@ def clean_loans(raw: DataFrame, order: str = "seq", quantiles: str = "bracketed"
     half-even integer rounding.  ``loan_amount`` is winsorized but not imputed.
     """
     df = rename(raw, LOAN_RENAME)
-    parsed = df.select(
-        F.floor(to_number("loan_id")).cast("bigint").alias("loan_id"),
-        *[to_number(c).alias(c) for c in LOAN_NUMERIC_COLUMNS],
-        parse_term_months("term").alias("term_months"),
-        parse_percent("interest_rate").alias("interest_rate"),
-        parse_percent("revol_util").alias("revol_util"),
-        parse_month_year("issue_date").alias("issue_date"),
-        *[F.col(c) for c in ("grade", "sub_grade", "employment_length", "home_ownership", "verification_status",
-                             "loan_status", "purpose", "state")],
-        F.col(order).alias("_order"),
-    )
-    parsed = parsed.na.drop(subset=LOAN_REQUIRED)
-    dedup = materialize(keep_first(parsed, ["loan_id"], "_order"))
-    imputed = impute_median(dedup, MEDIAN_IMPUTE_COLUMNS, quantiles)
-    imputed = imputed.withColumn("delinq_2yrs", F.coalesce(F.col("delinq_2yrs"), F.lit(0.0)))
-    imputed = imputed.na.fill("Unknown", subset=["employment_length", "home_ownership", "verification_status",
-                                                 "purpose", "state"])
-    # winsor bounds only need the (imputed) numeric columns, not the text clean-up
-    w = winsorize(imputed, WINSOR_COLUMNS, mode=quantiles)
+    loan_id = F.floor(to_number("loan_id")).cast("bigint")
+    issued = parse_month_year("issue_date")
+    # only what decides which rows stay is parsed before the shuffle; the rest of a row
+    # travels as text and is parsed once it is known to stay
+    whole = df.where(loan_id.isNotNull() & parse_term_months("term").isNotNull() & issued.isNotNull()
+                     & F.col("loan_status").isNotNull() & F.col("grade").isNotNull())
+    text = [F.col(c) for c in ("grade", "sub_grade", "employment_length", "home_ownership", "verification_status",
+                               "loan_status", "purpose", "state", "term", "interest_rate", "revol_util", "issue_date")]
+    rows = whole.select(loan_id.alias("loan_id"), *LOAN_NUMERIC_COLUMNS, *text, F.col(order).alias("_order"))
+    kept = keep_first(rows, ["loan_id"], "_order")
+    dedup = materialize(kept.select(
+        "loan_id", *[to_number(c).alias(c) for c in LOAN_NUMERIC_COLUMNS], parse_term_months("term").alias("term_months"),
+        parse_percent("interest_rate").alias("interest_rate"), parse_percent("revol_util").alias("revol_util"),
+        issued.alias("issue_date"), *text[:8]))
+    if quantiles == "selection":
+        w = impute_and_winsorize(dedup, MEDIAN_IMPUTE_COLUMNS, WINSOR_COLUMNS)
+    else:
+        w = winsorize(impute_median(dedup, MEDIAN_IMPUTE_COLUMNS, quantiles), WINSOR_COLUMNS, mode=quantiles)
+    w = w.withColumn("delinq_2yrs", F.coalesce(F.col("delinq_2yrs"), F.lit(0.0)))
+    w = w.na.fill("Unknown", subset=["employment_length", "home_ownership", "verification_status", "purpose", "state"])
     txt = w.withColumn("loan_status", strip_policy_prefix(standardize("loan_status"), POLICY_PREFIX_PATTERN))
     for c in ("purpose", "home_ownership", "verification_status", "employment_length"):
         txt = txt.withColumn(c, standardize(c))

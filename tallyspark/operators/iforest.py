@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyspark.operators.ranking import bracketed_quantiles
+from tallyspark.operators.selection import exact_quantiles
 from tallyspark.session import materialize
 
 N_TREES = 200
@@ -161,6 +161,6 @@ def score_and_flag(df: DataFrame, nodes: DataFrame, features: list[str], psi: in
                    n_trees: int = N_TREES, carry: list[str] = ()) -> DataFrame:
     """anomaly_score = score - quantile(score, 1 - contamination); flag = anomaly_score > 0."""
     s = materialize(raw_scores(df, nodes, features, psi, n_trees, carry))
-    thr = bracketed_quantiles(s, "_s", [1.0 - contamination]).select("quantile").scalar()  # scalar subquery
+    thr = exact_quantiles(s, "_s", [1.0 - contamination]).select("quantile").scalar()  # scalar subquery
     return s.select(*carry, (F.col("_s") - thr).alias("anomaly_score"),
                     (F.col("_s") > thr).cast("int").alias("is_flagged_iforest"))

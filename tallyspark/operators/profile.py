@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.ranking import bracketed_quantiles, cumulative_before
+from tallyspark.operators.ranking import cumulative_before
+from tallyspark.operators.selection import exact_quantiles
 
 HASH_HEX_DIGITS = 15  # 60 bits of the md5 digest: order-equivalent to the hex text
 
@@ -62,7 +63,7 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
                                          for c in cols])).alias("_s")).select("_s.column", "_s.v")
     base = long.groupBy("column").agg(F.count("v").cast("bigint").alias("count"), F.avg("v").alias("mean"),
                                       F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
-    q = bracketed_quantiles(long, "v", [0.25, 0.5, 0.75], keys=["column"])
+    q = exact_quantiles(long, "v", [0.25, 0.5, 0.75], keys=["column"])
     qw = q.groupBy("column").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
     qw = qw.select("column", *[F.col(f"`{c}`").alias(n) for c, n in (("0.25", "p25"), ("0.5", "p50"), ("0.75", "p75"))])
     out = base.join(qw, "column")
@@ -73,7 +74,7 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
 def summary_stats(df: DataFrame, col: str, q: float = 0.99, digits: int = 6) -> DataFrame:
     """Median, mean, p99, max, share of zeros, share exactly at the max (cap)."""
     x = F.col(col).cast("double")
-    qs = bracketed_quantiles(df.select(x.alias("_x")), "_x", [0.5, q])
+    qs = exact_quantiles(df.select(x.alias("_x")), "_x", [0.5, q])
     qrow = qs.agg(F.max(F.when(F.col("q") == 0.5, F.col("quantile"))).alias("median"),
                   F.max(F.when(F.col("q") == q, F.col("quantile"))).alias("p99"))
     base = df.agg(F.avg(x).alias("mean"), F.max(x).alias("max"), F.count(x).alias("_n"),

@@ -17,8 +17,6 @@ recomputes the same ranges.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,6 +35,23 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
         return 200
 
 
+def _few(table: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """A written table, marked for broadcast only if it is counted small; else Spark's own choice of join."""
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
+def bounds_below(bounds: Column, x: Column, n: int) -> Column:
+    """How many of ``n`` ascending bounds are below ``x``, by binary search."""
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.get(bounds, middle) < x
+        return F.when(at["lo"] >= at["hi"], at).when(below, F.struct((middle + 1).alias("lo"), at["hi"].alias("hi"))).otherwise(
+            F.struct(at["lo"].alias("lo"), middle.alias("hi")))
+
+    steps = max(1, n.bit_length())
+    return F.aggregate(F.array(*[F.lit(0)] * steps), F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi")), halve, lambda at: at["lo"])
+
+
 def value_counts(df: DataFrame, value: str, sums: dict[str, Column] | None = None) -> DataFrame:
     """One row per distinct non-NULL ``value`` with ``_cnt`` and extra per-value sums."""
     aggs = [F.count(F.lit(1)).cast("bigint").alias("_cnt")]
@@ -54,11 +69,9 @@ def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_bucket
     if n > 1:
         qs = [i / n for i in range(1, n)]
         bounds = distinct.groupBy(*keys).agg(F.percentile_approx(F.col(value), qs, 10000).alias("_bounds"))
-        # one row per key. Keys are group ids with few values (columns, classes,
-        # metrics): a shuffle join on them would put a whole group in one task, so
-        # the bounds are broadcast instead
-        joined = distinct.crossJoin(F.broadcast(bounds)) if not keys else distinct.join(F.broadcast(bounds), keys)
-        db = joined.withColumn(BUCKET, F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
+        # one row per key: broadcast if the keys are counted few (columns, classes, metrics)
+        joined = distinct.crossJoin(F.broadcast(bounds)) if not keys else distinct.join(_few(materialize(bounds)), keys)
+        db = joined.withColumn(BUCKET, bounds_below(F.col("_bounds"), F.col(value), n - 1)).drop("_bounds")
     else:
         db = distinct.withColumn(BUCKET, F.lit(0))
     totals = db.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
@@ -68,7 +81,8 @@ def cumulative_before(distinct: DataFrame, value: str, cols: list[str], n_bucket
                                              for c in cols])
     wl = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = db.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0)).alias(f"_l_{c}") for c in cols])
-    out = local.join(F.broadcast(offsets), [*keys, BUCKET])  # (groups x n) rows
+    # (groups x n) rows: without keys at most n
+    out = local.join(F.broadcast(offsets) if not keys else _few(materialize(offsets)), [*keys, BUCKET])
     for c in cols:
         out = out.withColumn(f"{c}_before", (F.col(f"_o_{c}") + F.col(f"_l_{c}")).cast("bigint"))
     return out.drop(BUCKET, *[f"_o_{c}" for c in cols], *[f"_l_{c}" for c in cols])
@@ -96,12 +110,13 @@ def percent_ranks_multi(df: DataFrame, specs: dict[str, tuple[str, bool]], n_buc
     return out
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int | None = None,
+def range_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int | None = None,
                     keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles (PERCENTILE_CONT / numpy 'linear') of ``value``
     per group of ``keys`` (or globally).
 
-    Returns one row per (keys, q): (keys..., q, quantile).  Distributed: no task
+    Returns one row per (keys, q): (keys..., q, quantile).  For groups too many to be
+    counted on the driver (``selection.exact_quantiles`` serves the others): no task
     holds more than one value range; only the one or two order statistics that
     bracket each position are brought together.
     """
@@ -122,7 +137,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int |
         p = pos.select(*keys, "q", F.col(pcol).alias("p"))
         cover = (F.col("_cnt_before") <= F.col("p")) & (F.col("p") < F.col("_cnt_before") + F.col("_cnt"))
         if keys:
-            j = cum.join(F.broadcast(p), keys).where(cover)  # (#keys x #q) rows
+            j = cum.join(p, keys).where(cover)
         else:
             # len(qs) rows: broadcast
             j = cum.join(F.broadcast(p), cover)
@@ -133,118 +148,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], n_buckets: int |
     return res.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
 
 
-def bracketed_quantiles(df: DataFrame, value: str, qs: list[float], keys: tuple[str, ...] | list[str] = (),
-                        accuracy: int = 10000) -> DataFrame:
-    """Exact linear-interpolation quantiles in two passes, with bounded memory.
-
-    Pass 1 brackets every requested position with ``percentile_approx`` at
-    q +/- 2/accuracy (rank error of the sketch is at most N/accuracy).  Pass 2
-    counts rows below each bracket and reduces the rows inside it to distinct
-    values with counts (a hot value is one row), then walks that small table.
-    If a bracket misses its position (cannot happen within the sketch's error
-    bound, checked anyway) the fully distributed ``exact_quantiles`` is used.
-    Returns (keys..., q, quantile).
-    """
-    keys = list(keys)
-    spark = df.sparkSession
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    eps = 2.0 / accuracy
-    probes = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-eps, eps)})
-    b = base.groupBy(*keys).agg(F.percentile_approx("_v", probes, accuracy).alias("_arr"),
-                                F.count(F.lit(1)).alias("_N"))
-    qrows = [(float(q), probes.index(min(1.0, max(0.0, q - eps))), probes.index(min(1.0, max(0.0, q + eps))))
-             for q in qs]
-    qdf = spark.createDataFrame(qrows, "q double, _ilo int, _ihi int")
-    br = (b.crossJoin(F.broadcast(qdf))
-           .select(*keys, "q", "_N", F.element_at("_arr", F.col("_ilo") + 1).alias("_blo"),
-                   F.element_at("_arr", F.col("_ihi") + 1).alias("_bhi")))
-    # brackets: (#keys x #q) rows
-    j = base.join(F.broadcast(br), keys) if keys else base.crossJoin(F.broadcast(br))
-    # one pass: rows below the bracket collapse into a single NULL-valued group per
-    # (key, q), rows inside keep their value (distinct values with counts)
-    counted = (j.where(F.col("_v") <= F.col("_bhi"))
-                .groupBy(*keys, "q", F.when(F.col("_v") >= F.col("_blo"), F.col("_v")).alias("_v"))
-                .agg(F.count(F.lit(1)).alias("_c")))
-    counted = materialize(counted)
-    below = counted.groupBy(*keys, "q").agg(F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0))
-                                            .alias("_below"))
-    inside = counted.where(F.col("_v").isNotNull())
-    w = Window.partitionBy(*keys, "q").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("_cb", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    pos = (br.join(below, [*keys, "q"])
-             .withColumn("_h", (F.col("_N") - 1) * F.col("q"))
-             .withColumn("_lo", F.floor("_h").cast("bigint") - F.col("_below"))
-             .withColumn("_hi", F.ceil("_h").cast("bigint") - F.col("_below")))
-    cover = lambda p: (F.col("_cb") <= F.col(p)) & (F.col(p) < F.col("_cb") + F.col("_c"))
-    pick = inside.join(pos.select(*keys, "q", "_lo", "_hi"), [*keys, "q"])
-    vals = pick.groupBy(*keys, "q").agg(F.max(F.when(cover("_lo"), F.col("_v"))).alias("_vlo"),
-                                        F.max(F.when(cover("_hi"), F.col("_v"))).alias("_vhi"))
-    res = pos.join(vals, [*keys, "q"], "left")
-    frac = F.col("_h") - F.floor("_h")
-    out = res.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))
-    # the answer has (#keys x #q) rows - the requested values only - so it is
-    # fetched once, checked, and handed back as a small local relation
-    rows = out.collect()
-    if all(r["quantile"] is not None for r in rows):
-        return spark.createDataFrame(rows, out.schema)
-    return exact_quantiles(df, value, qs, keys=keys)
-
-
 def hash_order_key(key: Column, salt: str = "") -> Column:
     """Deterministic pseudo-random order key: md5 of the key's text (L3)."""
     if salt:
         return F.md5(F.concat(key.cast("string"), F.lit(salt)))
     return F.md5(key.cast("string"))
-
-
-def bracketed_quantiles_wide(df: DataFrame, cols: list[str], qs: list[float], accuracy: int = 10000) -> DataFrame:
-    """Exact quantiles ``qs`` of many columns without reshaping the table to long form.
-
-    Pass 1: one aggregate with a ``percentile_approx`` sketch per column brackets
-    every position.  Pass 2: one aggregate counts, per (column, q), the rows
-    below the bracket.  Only values that fall inside a bracket (about 4/accuracy
-    of the rows per column) are exploded and counted by value, so the shuffle
-    carries a sliver of the data instead of every row once per column.  Same
-    verification and fallback as ``bracketed_quantiles``.
-    Returns (column, q, quantile).
-    """
-    spark = df.sparkSession
-    eps = 2.0 / accuracy
-    probes = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-eps, eps)})
-    x = {c: F.col(c).cast("double") for c in cols}
-    row = df.agg(*[F.percentile_approx(x[c], probes, accuracy).alias(f"a{i}") for i, c in enumerate(cols)],
-                 *[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()  # #cols x #probes numbers
-    brackets = []
-    for i, c in enumerate(cols):
-        arr, n = row[f"a{i}"], row[f"n{i}"]
-        if not n:
-            continue
-        for q in qs:
-            lo = arr[probes.index(min(1.0, max(0.0, q - eps)))]
-            hi = arr[probes.index(min(1.0, max(0.0, q + eps)))]
-            brackets.append((c, float(q), float(lo), float(hi), int(n)))
-    below_row = df.agg(*[F.count_if(x[c] < F.lit(lo)).alias(f"b{j}") for j, (c, q, lo, hi, n) in enumerate(brackets)]
-                       ).first() if brackets else None
-    inside = df.select(F.explode(F.array(*[
-        F.when((x[c] >= F.lit(lo)) & (x[c] <= F.lit(hi)), F.struct(F.lit(j).alias("j"), x[c].alias("v")))
-        for j, (c, q, lo, hi, n) in enumerate(brackets)])).alias("s")).where(F.col("s").isNotNull()) \
-        .select("s.j", "s.v").groupBy("j", "v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("cb", F.coalesce(F.sum("c").over(w), F.lit(0)))
-    pos = []
-    for j, (c, q, lo, hi, n) in enumerate(brackets):
-        h = (n - 1) * q
-        below = below_row[f"b{j}"]
-        pos.append((j, c, q, h, int(math.floor(h)) - below, int(math.ceil(h)) - below))
-    pdf = spark.createDataFrame(pos, "j int, column string, q double, h double, plo long, phi long")
-    cover = lambda p: (F.col("cb") <= F.col(p)) & (F.col(p) < F.col("cb") + F.col("c"))
-    vals = inside.join(F.broadcast(pdf), "j").groupBy("j").agg(
-        F.max(F.when(cover("plo"), F.col("v"))).alias("vlo"), F.max(F.when(cover("phi"), F.col("v"))).alias("vhi"))
-    res = pdf.join(vals, "j", "left").select(
-        "column", "q", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * (F.col("h") - F.floor("h"))).alias("quantile"))
-    rows = res.collect()  # (#cols x #q) values
-    if len(rows) == len(brackets) and all(r["quantile"] is not None for r in rows):
-        return spark.createDataFrame(rows, res.schema)
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), x[c].alias("v")) for c in cols]))
-                     .alias("_s")).select("_s.column", "_s.v")
-    return exact_quantiles(long, "v", qs, keys=["column"])

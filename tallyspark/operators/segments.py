@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyspark.functions.exact import exact_avg
-from tallyspark.operators.ranking import bracketed_quantiles, hash_order_key, percent_ranks_multi
+from tallyspark.operators.ranking import hash_order_key, percent_ranks_multi
+from tallyspark.operators.selection import exact_quantiles
 from tallyspark.session import materialize
 from tallyspark.sources.shaped import STEP_ANCHOR
 
@@ -127,7 +128,7 @@ def label_clusters(profile: DataFrame, cluster: str = "cluster") -> DataFrame:
 def rule_segment(customers: DataFrame, count: str = "total_txn_count", value: str = "total_txn_value") -> DataFrame:
     """Model-free segment (oracle-checkable): repeat = more than one transaction;
     value tier = at or above the population median of total value (exact)."""
-    med = bracketed_quantiles(customers, value, [0.5]).select("quantile").scalar()  # scalar subquery
+    med = exact_quantiles(customers, value, [0.5]).select("quantile").scalar()  # scalar subquery
     j = customers
     high = F.col(value).cast("double") >= med
     rep = F.col(count) > 1

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators import evaluation as ev
-from tallyspark.operators.ranking import exact_quantiles
+from tallyspark.operators.selection import exact_quantiles
 from tallyspark.plans.registry import register
 from tallyspark.sources.shaped import fraud_scored, scored_labels, scored_transactions, with_views
 

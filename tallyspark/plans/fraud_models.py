@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import evaluation as ev
 from tallyspark.operators import iforest
 from tallyspark.operators.profile import bounded_values, histogram
-from tallyspark.operators.ranking import bracketed_quantiles
+from tallyspark.operators.selection import exact_quantiles
 from tallyspark.plans.registry import register
 from tallyspark.session import materialize
 from tallyspark.sources.shaped import scored_transactions, with_views
@@ -130,7 +130,7 @@ def a37_forest_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.avg(F.when((F.col("is_flagged_rule") == 0) & (F.col("is_flagged_iforest") == 1), F.col("is_fraud")))
               .alias("precision_on_rule_blindspot"))
     grp = F.when(resid, F.lit("residual")).when(legit, F.lit("legitimate"))
-    med = bracketed_quantiles(s.withColumn("grp", grp).where(F.col("grp").isNotNull()), "anomaly_score", [0.5],
+    med = exact_quantiles(s.withColumn("grp", grp).where(F.col("grp").isNotNull()), "anomaly_score", [0.5],
                               keys=["grp"])
     medw = med.agg(F.max(F.when(F.col("grp") == "residual", F.col("quantile"))).alias("median_score_residual"),
                    F.max(F.when(F.col("grp") == "legitimate", F.col("quantile"))).alias("median_score_legitimate"))

@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyspark.operators.ranking import bracketed_quantiles, percent_ranks_multi
+from tallyspark.operators.ranking import percent_ranks_multi
+from tallyspark.operators.selection import exact_quantiles
 
 values = st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=120)
 
@@ -15,7 +16,7 @@ values = st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size
 @given(xs=values, parts=st.integers(min_value=1, max_value=9), q=st.sampled_from([0.0, 0.01, 0.25, 0.5, 0.99, 1.0]))
 def test_bracketed_quantile_is_numpy_linear(spark, xs, parts, q):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double").repartition(parts)
-    got = bracketed_quantiles(df, "x", [q]).first().quantile
+    got = exact_quantiles(df, "x", [q]).first().quantile
     assert abs(got - float(np.percentile(np.array(xs, dtype=float), q * 100))) < 1e-9
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyspark.operators import evaluation as ev
-from tallyspark.operators.ranking import bracketed_quantiles, exact_quantiles, percent_ranks_multi
+from tallyspark.operators.ranking import percent_ranks_multi, range_quantiles
+from tallyspark.operators.selection import exact_quantiles, exact_quantiles_wide
 
 
 def _vals(spark, xs, parts=3):
@@ -25,7 +26,7 @@ def test_percent_rank_matches_window_with_ties(spark, parts):
     assert got_d == pytest.approx(want_d)
 
 
-@pytest.mark.parametrize("fn", [exact_quantiles, bracketed_quantiles])
+@pytest.mark.parametrize("fn", [exact_quantiles, range_quantiles])
 def test_quantiles_match_numpy_linear(spark, fn):
     rng = np.random.default_rng(7)
     xs = np.round(rng.normal(size=997), 3)
@@ -64,8 +65,7 @@ def test_confusion_zero_division(spark):
     assert (r.tp, r.fp, r.fn, r.tn) == (0, 0, 0, 2) and r.precision == 0.0 and r.recall == 0.0
 
 
-def test_bracketed_quantiles_wide_matches_numpy(spark):
-    from tallyspark.operators.ranking import bracketed_quantiles_wide
+def test_exact_quantiles_wide_matches_numpy(spark):
     rng = np.random.default_rng(11)
     a = np.round(rng.normal(size=1500), 2)
     a[:500] = 0.25  # hot value
@@ -73,7 +73,7 @@ def test_bracketed_quantiles_wide_matches_numpy(spark):
     rows = [(float(x), None if i % 7 == 0 else float(y)) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double").repartition(4)
     qs = [0.01, 0.5, 0.99]
-    got = {(r.column, round(r.q, 6)): r.quantile for r in bracketed_quantiles_wide(df, ["a", "b"], qs).collect()}
+    got = {(r.column, round(r.q, 6)): r.quantile for r in exact_quantiles_wide(df, ["a", "b"], qs).collect()}
     bb = np.array([y for (_, y) in rows if y is not None])
     for q in qs:
         assert got[("a", q)] == pytest.approx(float(np.percentile(a, q * 100)), abs=1e-12)
