@@ -1,9 +1,8 @@
 """Market-risk operators on the long (ticker, trade_date) price table.
 
 Series stay long; windows are partitioned by ticker (one instrument's history
-per task).  Cross-ticker statistics pivot wide only at the edge, by date, and
-use one aggregate with all pairwise ``corr`` expressions instead of a self-join
-that would emit every ticker pair for every date.
+per task).  Cross-ticker correlations multiply dense tiles (``operators/comoments.py``)
+instead of a self-join that would emit every ticker pair for every date.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyspark.operators.comoments import pair_correlations
 from tallyspark.operators.profile import bounded_values
 from tallyspark.functions.risk import RISK_FREE_RATE, TRADING_DAYS_PER_YEAR, Z_95_SQL, Z_99_SQL
 
@@ -214,30 +214,13 @@ def risk_return_summary(prices: DataFrame, rf: float = RISK_FREE_RATE, days: int
 
 def correlation_long(prices: DataFrame, tickers: list[str] | None = None, method: str = "pearson",
                      digits: int = 4) -> DataFrame:
-    """Pairwise-complete return correlation for all ordered ticker pairs (tidy).
-
-    Pivot wide by date, then a single aggregate with one ``corr`` per pair.
-    ``spearman`` ranks each ticker's returns first (average ranks for ties).
-    """
-    tickers = tickers or tickers_of(prices)
+    """Pairwise-complete return correlation for all ordered ticker pairs (tidy);
+    ``method`` is pearson, spearman or kendall (tau-b)."""
     r = prices.where(F.col("daily_return").isNotNull()).select("ticker", "trade_date", "daily_return")
-    if method == "spearman":
-        w = Window.partitionBy("ticker").orderBy("daily_return")
-        wt = Window.partitionBy("ticker", "daily_return")
-        # average rank of ties = min rank + (tie count - 1) / 2
-        r = r.withColumn("daily_return", F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0)
-    elif method != "pearson":
-        raise ValueError("method must be pearson or spearman (kendall is not built)")
-    idx = {t: f"c{i}" for i, t in enumerate(tickers)}
-    # (date, ticker) is unique: one conditional aggregate by date builds the wide rows
-    # with a single exchange (a pivot would first re-aggregate by (date, ticker))
-    wide = r.groupBy("trade_date").agg(*[F.max(F.when(F.col("ticker") == t, F.col("daily_return"))).alias(idx[t])
-                                         for t in tickers])
-    pairs = [(a, b) for a in tickers for b in tickers]
-    row = wide.agg(*[F.corr(idx[a], idx[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    stack = "stack({n}, {items}) as (ticker_a, ticker_b, correlation)".format(
-        n=len(pairs), items=", ".join(f"'{a}', '{b}', p{i}" for i, (a, b) in enumerate(pairs)))
-    return row.selectExpr(stack).withColumn("correlation", F.round("correlation", digits))
+    if tickers:
+        r = r.where(F.col("ticker").isin(list(tickers)))
+    return pair_correlations(r, "ticker", "trade_date", "daily_return", method).select(
+        F.col("a").alias("ticker_a"), F.col("b").alias("ticker_b"), F.round("correlation", digits).alias("correlation"))
 
 
 def ranked_pairs(corr: DataFrame, exclude: list[tuple[str, str]] = ()) -> DataFrame:
@@ -271,9 +254,10 @@ def portfolio_price_index(prices: DataFrame, weights: dict | None = None, base_v
                           digits: int = 6) -> DataFrame:
     """Compounded portfolio index with a base row one business day before the first date."""
     pr = portfolio_returns(prices, weights)
-    # the portfolio index is one series (one row per date): an ordered running sum
+    # the portfolio index is one series (one row per date): an ordered running product, which a
+    # loss of everything takes to 0
     w = Window.orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
-    idx = pr.select("trade_date", (F.exp(F.sum(F.log1p("daily_return")).over(w)) * base_value).alias("index_value"))
+    idx = pr.select("trade_date", (F.product(F.col("daily_return") + 1).over(w) * base_value).alias("index_value"))
     first = pr.agg(F.min("trade_date").alias("_d"))
     base = first.select(previous_business_day(F.col("_d")).alias("trade_date"),
                         F.lit(float(base_value)).alias("index_value"))

@@ -29,9 +29,8 @@ def missing_pct(df: DataFrame, top_n: int | None = None, digits: int = 4) -> Dat
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}")
                                                   for i, c in enumerate(cols)])
-    stack = "stack({n}, {items}) as (column, missing)".format(
-        n=len(cols), items=", ".join(f"'{c}', m{i}" for i, c in enumerate(cols)))
-    long = row.selectExpr("_n", stack).where(F.col("missing") > 0)
+    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing")) for i, c in enumerate(cols)])
+    long = row.select("_n", F.inline(items)).where(F.col("missing") > 0)
     out = long.select("column", F.round(F.col("missing") * 100.0 / F.col("_n"), digits).alias("missing_pct"))
     out = out.orderBy(F.desc("missing_pct"), "column")
     return out.limit(top_n) if top_n else out
@@ -45,9 +44,9 @@ def inventory(datasets: dict[str, DataFrame], digits: int = 4) -> DataFrame:
         types = dict(df.dtypes)
         row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}")
                                                       for i, c in enumerate(cols)])
-        stack = "stack({n}, {items}) as (column, dtype, missing)".format(
-            n=len(cols), items=", ".join(f"'{c}', '{types[c]}', m{i}" for i, c in enumerate(cols)))
-        parts.append(row.selectExpr("_n", stack).select(
+        items = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(f"m{i}").alias("missing"))
+                          for i, c in enumerate(cols)])
+        parts.append(row.select("_n", F.inline(items)).select(
             F.lit(name).alias("dataset"), F.col("_n").cast("bigint").alias("n_rows"),
             F.lit(len(cols)).cast("bigint").alias("n_columns"), "column", "dtype",
             F.round(F.col("missing") * 100.0 / F.col("_n"), digits).alias("missing_pct")))

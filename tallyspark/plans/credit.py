@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tallyspark.functions.exact import count_bigint, exact_avg
 from tallyspark.functions.risk import CLOSED_LOAN_STATUSES, DEFAULT_STATUSES, is_default, pct_rate, sql_fico_band
+from tallyspark.operators.comoments import column_correlations
 from tallyspark.operators.profile import bounded_values
 from tallyspark.plans.registry import register
 from tallyspark.session import materialize
@@ -55,8 +56,9 @@ def q1_default_rate_by_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Q2 --------------------------------------------------------------------------
-_BAND_SQL = ("list_extract(['Subprime (<660)', 'Near-Prime (660-719)', 'Prime (720+)'], 1 + "
-             "CAST(coalesce(fico_range_low, 720) >= 660 AS INTEGER) + CAST(coalesce(fico_range_low, 720) >= 720 AS INTEGER))")
+# fixed values: band names and limits; a missing score counts as Prime
+_BAND_SQL = ("CASE WHEN fico_range_low >= 720 OR fico_range_low IS NULL THEN 'Prime (720+)' "
+             "WHEN fico_range_low >= 660 THEN 'Near-Prime (660-719)' ELSE 'Subprime (<660)' END")
 Q2_SQL = with_views(f"""
 SELECT o.fico_band, avg_dti, {_RATE_SQL} AS default_rate_pct
 FROM {_outcomes_sql(_BAND_SQL, 'fico_band', exact_avg_sql('dti', 2, 2) + ' AS avg_dti')}""", "loans")
@@ -288,15 +290,9 @@ A12_SQL = with_views("SELECT * FROM (" + " UNION ALL ".join(
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pairwise-complete Pearson correlation of numeric columns, tidy, one aggregate pass."""
-    # corr is symmetric: aggregate the upper triangle only, then mirror it
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    items = [f"'{a}', '{b}', p{i}" for i, (a, b) in enumerate(pairs)]
-    items += [f"'{b}', '{a}', p{i}" for i, (a, b) in enumerate(pairs) if a != b]
-    stack = "stack({n}, {items}) as (column_a, column_b, correlation)".format(n=len(items), items=", ".join(items))
-    return row.selectExpr(stack).withColumn("correlation", F.round("correlation", digits))
+    """Pairwise-complete Pearson correlation of numeric columns, tidy, in two passes over the rows."""
+    return column_correlations(df, cols).select(
+        F.col("a").alias("column_a"), F.col("b").alias("column_b"), F.round("correlation", digits).alias("correlation"))
 
 
 @register("a12_loan_correlation_matrix", A12_SQL, ids=("A12", "A25"))
