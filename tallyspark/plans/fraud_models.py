@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from tallyspark.operators import iforest
 from tallyspark.operators.profile import bounded_values, histogram
 from tallyspark.operators.selection import exact_quantiles
 from tallyspark.plans.registry import register
-from tallyspark.session import materialize
+from tallyspark.session import materialize, scratch_path
+from tallyspark.sources.buckets import BucketTable
 from tallyspark.sources.shaped import scored_transactions, with_views
-from tallyspark.sources.sinks import keyed_update, rejected_duplicates
 
 BASE_FEATURE_COLUMNS = ["amount", "sender_bal_before", "sender_bal_after", "receiver_bal_before",
                         "receiver_bal_after", "sender_balance_delta", "sender_balance_error",
@@ -83,14 +85,14 @@ def m6_iforest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s16_score_writeback", None, ids=("S14", "S16", "J3"))
 def s16_score_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score columns are added to the transactions and set by key from the staged scores;
-    staged keys that occur twice are not applied.  Returns the numbers of rows."""
-    staged = materialize(forest_scores(spark, sf_dir).select("txn_id", "anomaly_score", "is_flagged_iforest"))
-    table = materialize(keyed_update(scored_transactions(spark, sf_dir), staged, "txn_id",
-                                     ["anomaly_score", "is_flagged_iforest"]))
-    rejected = rejected_duplicates(staged, "txn_id").select(F.count(F.lit(1))).scalar()
-    return table.agg(F.count(F.lit(1)).alias("n_rows"), F.count("anomaly_score").alias("n_updated"),
-                     F.first(rejected).alias("n_rejected"))
+    """The score columns are added to the stored transactions and set by key from the staged scores;
+    staged keys that occur twice go to the reject table.  Returns the numbers of rows."""
+    table = BucketTable(spark, scratch_path(spark, f"scored-{uuid.uuid4().hex}"))
+    table.create(scored_transactions(spark, sf_dir), ["txn_id"])
+    done = table.update(forest_scores(spark, sf_dir).select("txn_id", "anomaly_score", "is_flagged_iforest"),
+                        ["anomaly_score", "is_flagged_iforest"])
+    return table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.count("anomaly_score").alias("n_updated"),
+                            F.lit(done.rejected_rows).cast("long").alias("n_rejected"))
 
 
 @register("m18_detector_comparison", None, ids=("M18", "A29", "D5"))

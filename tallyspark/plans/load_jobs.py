@@ -18,11 +18,12 @@ from tallyspark.plans.registry import register
 from tallyspark.plans.segments import _csql
 from tallyspark.plans.tables import TICKER_MAX_LEN, typed_landing
 from tallyspark.session import materialize, scratch_path
+from tallyspark.sources.buckets import BucketTable
 from tallyspark.sources.raw import (
     LOAN_RAW_COLUMNS, existing_csv, raw_loans, raw_prices, raw_transactions, read_csv_strings, read_or_clean,
 )
 from tallyspark.sources.shaped import customer_aggregates, transactions, with_views
-from tallyspark.sources.sinks import keyed_update, write_snapshot
+from tallyspark.sources.sinks import write_snapshot
 
 # ---- fixed values: declared column types and text lengths of the four tables ----------
 LANDING = {
@@ -107,12 +108,37 @@ SELECT COUNT(*) AS n_rows, COUNT(*) AS n_updated, CAST(SUM(is_flagged_rule) AS B
 
 @register("s15_rule_flag_writeback", S15_SQL, ids=("S15", "J3"))
 def s15_rule_flag_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rule flag is staged per transaction and set by key; the numbers of rows come back."""
-    t = transactions(spark, sf_dir)
-    staged = t.select("txn_id", rule_flag().alias("is_flagged_rule"))
-    done = materialize(keyed_update(t, staged, "txn_id", ["is_flagged_rule"]).select("txn_id", "is_flagged_rule"))
-    return done.agg(F.count(F.lit(1)).alias("n_rows"), F.count("is_flagged_rule").alias("n_updated"),
-                    F.sum("is_flagged_rule").cast("long").alias("n_flagged"))
+    """The rule flag is set on every row of the stored table; the new version is what comes back."""
+    table = BucketTable(spark, scratch_path(spark, f"transactions-{uuid.uuid4().hex}"))
+    table.create(transactions(spark, sf_dir), ["txn_id"])
+    updated = table.derive("is_flagged_rule", rule_flag())
+    return table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.lit(updated).cast("long").alias("n_updated"),
+                            F.sum("is_flagged_rule").cast("long").alias("n_flagged"))
+
+
+S16U_SQL = with_views("""
+SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE txn_id % 7 = 0 AND txn_id % 70 <> 0) AS n_updated,
+       COUNT(*) FILTER (WHERE txn_id % 77 = 0) AS n_unmatched, COUNT(*) FILTER (WHERE txn_id % 70 = 0) AS n_rejected_keys,
+       2 * COUNT(*) FILTER (WHERE txn_id % 70 = 0) AS n_rejected_rows,
+       CAST(SUM(CASE WHEN txn_id % 7 = 0 AND txn_id % 70 <> 0 THEN step END) AS BIGINT) AS total_score
+FROM transactions WHERE txn_id > 0""", "transactions")
+
+
+@register("s16_staged_update_with_rejects", S16U_SQL, ids=("S16", "S14", "J3"))
+def s16_staged_update_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores staged for every seventh transaction, some of them twice and some for unknown ids: the
+    stored table gets a new column, ids staged twice go to the reject table, unknown ids are counted."""
+    t = transactions(spark, sf_dir).where("txn_id > 0")
+    table = BucketTable(spark, scratch_path(spark, f"transactions-{uuid.uuid4().hex}"))
+    table.create(t, ["txn_id"])
+    scores = t.where("txn_id % 7 = 0").select("txn_id", F.col("step").cast("long").alias("score"))
+    staged = scores.unionByName(scores.where("txn_id % 70 = 0").withColumn("score", F.col("score") + 1)).unionByName(
+        t.where("txn_id % 77 = 0").select((-F.col("txn_id")).alias("txn_id"), F.lit(0).cast("long").alias("score")))
+    done = table.update(staged, ["score"])
+    return table.read().agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(done.updated).cast("long").alias("n_updated"),
+        F.lit(done.unmatched).cast("long").alias("n_unmatched"), F.lit(done.rejected_keys).cast("long").alias("n_rejected_keys"),
+        F.lit(done.rejected_rows).cast("long").alias("n_rejected_rows"), F.sum("score").cast("long").alias("total_score"))
 
 
 S17_SQL = _csql("SELECT COUNT(*) AS n_rows, COUNT(risk_score) AS n_updated, CAST(SUM(risk_score) AS DOUBLE) AS total_risk FROM customers")
@@ -120,12 +146,12 @@ S17_SQL = _csql("SELECT COUNT(*) AS n_rows, COUNT(risk_score) AS n_updated, CAST
 
 @register("s17_risk_score_writeback", S17_SQL, ids=("S17", "J3"))
 def s17_risk_score_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Risk scores are staged per customer and set by key; the numbers of rows come back."""
-    table = sg.rule_segment(materialize(customer_aggregates(spark, sf_dir)))
-    staged = materialize(sg.risk_scores(table).select("customer_id", "risk_score"))
-    done = materialize(keyed_update(table, staged, "customer_id", ["risk_score"]).select("customer_id", "risk_score"))
-    return done.agg(F.count(F.lit(1)).alias("n_rows"), F.count("risk_score").alias("n_updated"),
-                    F.sum("risk_score").cast("double").alias("total_risk"))
+    """Risk scores come from the stored customer table and are set in it by key; the new version comes back."""
+    table = BucketTable(spark, scratch_path(spark, f"customers-{uuid.uuid4().hex}"))
+    table.create(sg.rule_segment(materialize(customer_aggregates(spark, sf_dir))), ["customer_id"])
+    done = table.update(sg.risk_scores(table.read()).select("customer_id", "risk_score"), ["risk_score"])
+    return table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.lit(done.updated).cast("long").alias("n_updated"),
+                            F.sum("risk_score").cast("double").alias("total_risk"))
 
 
 S3_SQL = with_views("SELECT 'raw-loans.csv.gz' AS chosen, COUNT(*) AS n_rows, COUNT(DISTINCT id) AS n_ids FROM raw_loans",

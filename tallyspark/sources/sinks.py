@@ -41,11 +41,15 @@ def write_snapshot(df: DataFrame, table_dir: str, columns: list[str] | None = No
 
 
 def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Read the current version of a snapshot table."""
+    """Read the current version of a snapshot table or of a bucketed one (``sources/buckets.py``)."""
     marker, fs = _fs(spark, f"{table_dir.rstrip('/')}/_current")
     stream = fs.open(marker)
     data = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")  # noqa: SLF001
     stream.close()
+    if str(data).startswith("manifest-"):
+        from tallyspark.sources.buckets import BucketTable
+
+        return BucketTable(spark, table_dir).read()
     return spark.read.parquet(str(data))
 
 
@@ -64,9 +68,9 @@ def keyed_update(table: DataFrame, staged: DataFrame, key: str, columns: list[st
     The staged side must have unique keys (a duplicate would update a row twice):
     duplicates are rejected by keeping only keys that occur once.
     """
-    counts = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    unique = staged.join(counts.where(F.col("_n") == 1).select(key), key, "left_semi")
-    s = unique.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    # one aggregate counts a key and carries its values: its partitioning serves the join as well
+    by_key = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*columns)).alias("_new"))
+    s = by_key.where(F.col("_n") == 1).select(key, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns])
     base = add_columns(table, {c: dict(staged.dtypes)[c] for c in columns})
     j = base.join(s, key, "left")
     for c in columns:

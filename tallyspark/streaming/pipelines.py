@@ -3,11 +3,13 @@
 X1 - rule flags on arriving transactions: file source -> event time as a
      ``timestamp`` instant (watermarks reject ``timestamp_ntz``) -> watermark ->
      ``dropDuplicatesWithinWatermark(txn_id)`` -> the same rule Column as batch
-     -> append to a Parquet sink.
+     -> append to a Parquet sink.  ``start_accounting`` puts out every arrival with its
+     status, flagged, repeated or late, and ``repair_late`` runs later over the late ones.
 X2 - daily KPIs per transaction type: tumbling 1-day event-time windows with a
      watermark, **update** mode (append would hold back the newest windows), and
      a keyed upsert of the changed (day, type) rows into the KPI table inside
-     ``foreachBatch`` (idempotent per batch id).
+     ``foreachBatch``.  The table is bucketed by day, so a batch rewrites its own days
+     only, and its manifest keeps the number of the last batch, so a replay does nothing.
 
 Both run with ``trigger(availableNow=True)`` for bounded backfills and with a
 processing-time trigger in production; checkpoints live in the shared folder.
@@ -16,16 +18,20 @@ processing-time trigger in production; checkpoints live in the shared folder.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tallyspark.functions.risk import rule_flag
+from tallyspark.sources.buckets import BucketTable
 from tallyspark.sources.shaped import STEP_ANCHOR
 
-DEDUP_WATERMARK = "2 hours"
+DEDUP_WATERMARK, DEDUP_MEMORY = "2 hours", "30 days"
 _ANCHOR_EPOCH_S = int(datetime.fromisoformat(STEP_ANCHOR).replace(tzinfo=timezone.utc).timestamp())
 KPI_WATERMARK = "2 days"
 
@@ -60,6 +66,70 @@ def start_flagging(stream: DataFrame, out_path: str, checkpoint: str, available_
     return w.start()
 
 
+def arrival_status(stream: DataFrame, watermark: str = DEDUP_WATERMARK, remember: str | None = DEDUP_MEMORY) -> DataFrame:
+    """X1 with nothing dropped: every arrival with its rule flag and ``status``.
+
+    ``repeated`` - its id has been flagged before, exactly, whatever the event times;
+    ``late`` - its event time lies behind the watermark, so it is left to ``repair_late``;
+    ``flagged`` - the first arrival of its id.  One keyed state holds the ids flagged; a
+    timer forgets one after ``remember`` without a further arrival (None: never).  The timer
+    runs on processing time: an event-time one would have Spark drop late rows unseen.  With
+    timers a query goes on for ever, so bounded runs have none; a checkpoint belongs to one
+    of the two.
+    """
+    flagged = stream.withColumn("is_flagged_rule", rule_flag())
+    columns = flagged.columns
+    schema = StructType([*flagged.schema.fields]).add("status", "string")
+    keep_ms = int(pd.Timedelta(remember).total_seconds() * 1000) if remember else None
+
+    def account(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known = state.exists
+        for frame in frames:
+            late = frame["event_time"].astype("datetime64[ns]").astype("int64") // 1_000_000 < state.getCurrentWatermarkMs()
+            status = ["late" if x else "flagged" for x in late]
+            for i, s in enumerate(status):
+                if known:
+                    status[i] = "repeated"
+                elif s == "flagged":
+                    known = True
+            yield frame[columns].assign(status=status)
+        if known:
+            state.update((True,))
+            if keep_ms:
+                state.setTimeoutDuration(keep_ms)
+
+    return flagged.withWatermark("event_time", watermark).groupBy("txn_id").applyInPandasWithState(
+        account, schema, "seen boolean", "append",
+        GroupStateTimeout.ProcessingTimeTimeout if keep_ms else GroupStateTimeout.NoTimeout)
+
+
+def start_accounting(stream: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
+                     watermark: str = DEDUP_WATERMARK, remember: str = DEDUP_MEMORY):
+    """Every arrival lands below ``out_path/status=...``: flagged, repeated or late."""
+    w = (arrival_status(stream, watermark, None if available_now else remember).drop("event_time").writeStream.format("parquet").outputMode("append")
+         .partitionBy("status").option("path", out_path).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def repair_late(spark: SparkSession, out_path: str, repaired_path: str) -> None:
+    """Batch run over the late arrivals: the first of each id that was never flagged is ``repaired``,
+    the others are ``repeated``.  Written as one table partitioned by status, over an earlier run's."""
+    landed = spark.read.parquet(out_path)
+    late = landed.where("status = 'late'").drop("status")
+    done = landed.where("status = 'flagged'").select(F.col("txn_id").alias("done_id"))
+    new = late.join(done, F.col("txn_id") == F.col("done_id"), "left_anti")
+    columns = [F.col(f"`{c}`") for c in late.columns]
+    per_id = new.groupBy("txn_id").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct(*columns), F.struct("step", F.xxhash64(*columns))).alias("row"))
+    repaired = per_id.select("row.*", F.lit("repaired").alias("status"), (F.col("n") - 1).alias("n_repeated"))
+    repeated = late.join(done, F.col("txn_id") == F.col("done_id"), "left_semi").select(
+        "*", F.lit("repeated").alias("status"), F.lit(1).cast("long").alias("n_repeated"))
+    repaired.unionByName(repeated).write.mode("overwrite").partitionBy("status").parquet(repaired_path)
+
+
 def daily_kpi_stream(stream: DataFrame, watermark: str = KPI_WATERMARK) -> DataFrame:
     """X2 aggregation: one row per (day window, type) with counts and amount."""
     return (stream.withWatermark("event_time", watermark)
@@ -110,11 +180,24 @@ def upsert_batch(table_dir: str, keys: list[str]):
     return write
 
 
+def upsert_days(table_dir: str, writer: str = "daily_kpis"):
+    """foreachBatch body: put the changed (day, type) rows into a table bucketed by day."""
+    keys = ["txn_day", "txn_type"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = BucketTable(batch.sparkSession, table_dir)
+        if table.manifest() is None:
+            table.create(batch.limit(0), keys, n_buckets=1, by="unix_date(txn_day)")
+        table.update(batch, [c for c in batch.columns if c not in keys], insert=True, replace_nulls=True, batch=(writer, batch_id))
+
+    return write
+
+
 def start_daily_kpis(stream: DataFrame, table_dir: str, checkpoint: str, available_now: bool = True,
                      watermark: str = KPI_WATERMARK):
     """Rows later than ``watermark`` behind the newest do not change their day; a batch run puts them in."""
     w = (daily_kpi_stream(stream, watermark).writeStream.outputMode("update")
-         .foreachBatch(upsert_batch(table_dir, ["txn_day", "txn_type"]))
+         .foreachBatch(upsert_days(table_dir))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
