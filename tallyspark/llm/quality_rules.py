@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import WHITE_SPACE, boxed, let, words_of, write_table
+from tallyspark.llm.common import WHITE_SPACE, boxed, is_broadcastable, let, words_of, write_table
 
 #: Prior weight, in documents, where the hosts do not determine it; and its bounds.
 PRIOR_STRENGTH, MIN_STRENGTH, MAX_STRENGTH = 10.0, 1.0, 1e6
@@ -125,14 +125,16 @@ def keep_good(docs: DataFrame, host_column: str = "source") -> DataFrame:
 
     Only distrusted hosts are joined to the texts; the measures are taken once for the
     host table (without texts) and once where the rows are filtered, so no text moves.
+    The filter is one expression that binds the measures once: split into conditions,
+    each would be pushed to the scan with a copy of the measures of its own.
     """
-    verdicts = host_verdicts(_measured(docs, host_column).select("host", "failed"))
+    failed = let(measures(F.col("text")), lambda m: base_failed(m) | over_limits(m, False))
+    verdicts = host_verdicts(docs.select(F.col(host_column).alias("host"), failed.alias("failed")))
     bad = write_table(verdicts.where("distrusted").select("host", "distrusted"), "hosts")
-    m = F.col("m")
-    return (boxed(docs).withColumn("m", measures(F.col("row.text"))).where(~(base_failed(m) | over_limits(m, False)))
-            .join(bad, F.col(f"row.{host_column}").eqNullSafe(F.col("host")), "left")
-            .where(_kept(base_failed(m), over_limits(m, False), over_limits(m, True), F.col("distrusted")))
-            .select("row.*"))
+    bad = F.broadcast(bad) if is_broadcastable(bad.count()) else bad
+    kept = let(measures(F.col("row.text")), lambda m: _kept(
+        base_failed(m), over_limits(m, False), over_limits(m, True), F.col("distrusted")))
+    return (boxed(docs).join(bad, F.col(f"row.{host_column}").eqNullSafe(F.col("host")), "left").where(kept).select("row.*"))
 
 
 ORACLE_SQL = """
