@@ -29,11 +29,11 @@ series_all AS (
   SELECT ticker AS series, trade_date, CAST(adj_close AS DOUBLE) AS value FROM stock_prices
   UNION ALL
   SELECT 'portfolio', trade_date, ROUND(index_value, 6) FROM (
-    SELECT trade_date, exp(SUM(ln(1 + daily_return)) OVER (ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) * 100.0 AS index_value
-    FROM portfolio_returns
+    SELECT trade_date, PRODUCT(1 + mean_return) OVER (ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0 AS index_value
+    FROM full_days
     UNION ALL
     SELECT CAST(d - (CASE dayofweek(d) WHEN 1 THEN 3 WHEN 0 THEN 2 ELSE 1 END) * INTERVAL '1 day' AS DATE), 100.0
-    FROM (SELECT MIN(trade_date) AS d FROM portfolio_returns) f) u
+    FROM (SELECT MIN(trade_date) AS d FROM full_days) f) u
 ),
 series_split AS (
   SELECT *, CASE WHEN n_ <= 60 THEN 'too_short' WHEN obs > n_ - 60 THEN 'holdout' ELSE 'train' END AS split FROM (
