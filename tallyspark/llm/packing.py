@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import write_table
-from tallyspark.llm.tokens import worker_encoder
+from tallyspark.llm.tokens import CACHE_ENTRIES, worker_encoder
 from tallyspark.llm.wordio import text_slices
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "window_id long, offset long, is_full boolean, window_tokens long, task long")
+SMALL_CACHE = 120_000  # pieces whose ids a task keeps where it shares the executor's memory, about 20 MB
 _TASK_SHIFT = 36  # window ids: task number, then the window's number within the task
 
 
@@ -107,9 +108,11 @@ def _merge(capacity: int):
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096,
-         open_windows: int = 32, fan_in: int = 32) -> DataFrame:
+         open_windows: int = 32, fan_in: int = 32, share_memory: bool = False) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
+    ``share_memory`` is for jobs whose earlier stages left Python workers on the executors: a
+    task keeps the ids of fewer words and frees them when it ends; the result is the same.
     A task holds at most ``open_windows`` windows of piece rows (not of ids); a merging
     group holds at most ``fan_in * open_windows`` window rows.
     """
@@ -117,7 +120,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     shared = spark.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(shared.value)
+        encoder = worker_encoder(shared.value, SMALL_CACHE if share_memory else CACHE_ENTRIES)
         packer = _Packer(TaskContext.get().partitionId(), capacity, open_windows)
         for batch in batches:
             for start, stop in text_slices(batch.column("text")):
@@ -129,6 +132,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
                 yield packer.take()
         packer.close()
         yield packer.take()
+        if share_memory:
+            encoder.cache.clear()
 
     # written once, so a recomputed task can never disagree with rows already used
     table = write_table(docs.select("doc_id", "text").mapInArrow(pieces, PIECE_SCHEMA), "packing")

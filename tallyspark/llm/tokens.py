@@ -27,12 +27,13 @@ MARKS = ".,;:!?%*#$&|"
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
-def worker_encoder(tokenizer_json: str) -> "WordEncoder":
+def worker_encoder(tokenizer_json: str, max_entries: int = CACHE_ENTRIES) -> "WordEncoder":
     """The encoder of this Python worker for the given tokenizer file content."""
     key = hashlib.sha256(tokenizer_json.encode()).hexdigest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = WordEncoder(tokenizer_json)
+    _ENCODERS[key].max_entries = max_entries
     return _ENCODERS[key]
 
 
