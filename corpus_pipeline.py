@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 4096 tokens: one row per piece."""
-    return packing.pack(docs, tokenizer_path(WORD_BPE), end_id=2, capacity=4096)
+    return packing.pack(docs, tokenizer_path(WORD_BPE), end_id=2, capacity=4096, share_memory=True)
 
 
 STAGES = [("quality_rules", quality), ("toxicity", toxic), ("line_dedup", lines),
