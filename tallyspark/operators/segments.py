@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyspark.functions.exact import exact_avg
+from tallyspark.operators.profile import hash_top_n
 from tallyspark.operators.ranking import hash_order_key, percent_ranks_multi
 from tallyspark.operators.selection import exact_quantiles
 from tallyspark.session import materialize
@@ -151,5 +152,5 @@ def risk_scores(customers: DataFrame, n_buckets: int | None = None) -> DataFrame
 
 
 def hash_sample(df: DataFrame, key: str, n: int, salt: str = str(RANDOM_STATE)) -> DataFrame:
-    """Deterministic n-row sample (min(n, N)): order by md5(key || salt), limit n."""
-    return df.orderBy(hash_order_key(F.col(key), salt), F.col(key)).limit(n)
+    """Deterministic n-row sample (min(n, N)): the rows of smallest md5(key || salt)."""
+    return hash_top_n(df, key, n, salt)

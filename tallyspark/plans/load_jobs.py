@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.risk import rule_flag
 from tallyspark.operators import segments as sg
 from tallyspark.operators.cleaning import clean_loans, clean_stock_prices, clean_transactions
+from tallyspark.operators.profile import bounded_values
 from tallyspark.operators.ranking import cumulative_before
 from tallyspark.plans.cleaning_jobs import C1_EXTRA, C1_SQL, C2_SQL, C3_SQL
 from tallyspark.plans.registry import register
@@ -20,9 +21,9 @@ from tallyspark.plans.tables import TICKER_MAX_LEN, typed_landing
 from tallyspark.session import materialize, scratch_path
 from tallyspark.sources.buckets import BucketTable
 from tallyspark.sources.raw import (
-    LOAN_RAW_COLUMNS, existing_csv, raw_loans, raw_prices, raw_transactions, read_csv_strings, read_or_clean,
+    LOAN_RAW_COLUMNS, existing_csv, raw_loans, raw_prices, raw_transactions, read_csv_strings, read_or_clean, read_tagged,
 )
-from tallyspark.sources.shaped import customer_aggregates, transactions, with_views
+from tallyspark.sources.shaped import customer_aggregates, price_bars, transactions, with_views
 from tallyspark.sources.sinks import write_snapshot
 
 # ---- fixed values: declared column types and text lengths of the four tables ----------
@@ -169,6 +170,22 @@ def s3_plain_or_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(chosen.rsplit("/", 1)[-1]).alias("chosen"), "n_rows", "n_ids")
 
 
+S4_SQL = with_views("""
+SELECT ticker, COUNT(*) AS n_rows, ROUND(SUM(close_price), 2) AS total_close FROM stock_prices GROUP BY ticker""", "stock_prices")
+
+
+@register("s4_tagged_price_files", S4_SQL, ids=("S4",))
+def s4_tagged_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices land as one folder of CSV files per ticker, without the ticker in the rows; one scan
+    reads them all and tags every row with the ticker of its folder."""
+    base = scratch_path(spark, f"raw-prices-{uuid.uuid4().hex}")
+    bars = materialize(price_bars(spark, sf_dir))
+    bars.write.option("header", True).partitionBy("ticker").csv(base)
+    files = {t: f"{base}/ticker={t}" for t in bounded_values(bars, "ticker")}
+    tagged = read_tagged(spark, files, "ticker").withColumn("close_price", F.col("close_price").cast("double"))
+    return tagged.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("close_price"), 2).alias("total_close"))
+
+
 S6_SQL = f"SELECT COUNT(*) AS n_rows, ROUND(SUM(close_price), 2) AS total_close FROM {_part(C3_SQL)} c"
 
 
