@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TILE, RANK_TILE = 256, 32
+FEW = 32  # series that a plain join by time serves: at most FEW x FEW rows a time
 BLOCK = 1024  # distinct times of a block: days since 1970 over this number
 _SUMS = ["n", "sa", "sb", "saa", "sbb", "sab"]
 
@@ -142,6 +143,41 @@ def _listed(names: list, is_own: bool) -> tuple[np.ndarray, np.ndarray]:
     return i.ravel(), j.ravel()
 
 
+def _joined_sums(shifted: DataFrame, series: str, time: str, value: str) -> DataFrame:
+    """The sums of every pair of at most ``FEW`` series, by joining each time's few rows."""
+    side = lambda s, v: shifted.select(F.col(time).alias("t"), F.col(series).cast("string").alias(s), F.col(value).alias(v))
+    u, w = F.col("u"), F.col("w")
+    return side("x", "u").join(side("y", "w"), "t").where("x <= y").groupBy("x", "y").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(u).alias("sa"), F.sum(w).alias("sb"), F.sum(u * u).alias("saa"),
+        F.sum(w * w).alias("sbb"), F.sum(u * w).alias("sab"))
+
+
+def _tiled_sums(shifted: DataFrame, series: str, time: str, value: str, tile: int, block: int) -> DataFrame:
+    """The sums of every pair of any number of series, by products of tiles."""
+    tiles, n_tiles = _tiles(shifted, series, time, value, tile, block)
+    schema = "x string, y string, " + ", ".join(f"{c} double" for c in _SUMS)
+
+    def products(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows["a"].iloc[0] == rows["b"].iloc[0]
+        if not own and len(rows) < 2:
+            return pd.DataFrame({"x": pd.Series([], dtype=object), "y": pd.Series([], dtype=object),
+                                 **{c: pd.Series([], dtype=float) for c in _SUMS}})
+        names, dense = _matrices(rows)
+        i, j = _listed(names, own)
+        sums = pair_sums(dense[0], dense[-1])
+        x, y = (pd.Series(np.array(nm, object)[at], dtype=object) for nm, at in ((names[0], i), (names[-1], j)))
+        out = pd.DataFrame({"x": x, "y": y, **{c: s[i, j] for c, s in zip(_SUMS, sums)}})
+        return out[out["n"] > 0]
+
+    sums = _tile_pairs(tiles, n_tiles).groupBy("block", "a", "b").applyInPandas(products, schema)
+    # of two tiles either may come first: one order of the names, so that blocks add up
+    swap = F.col("x") > F.col("y")
+    pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
+    return sums.select(pick("x", "y").alias("x"), pick("y", "x").alias("y"), "n", pick("sa", "sb").alias("sa"),
+                        pick("sb", "sa").alias("sb"), pick("saa", "sbb").alias("saa"), pick("sbb", "saa").alias("sbb"),
+                        "sab").groupBy("x", "y").agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
 def pair_correlations(long: DataFrame, series: str, time: str, value: str, method: str = "pearson", tile: int | None = None,
                       block: int = BLOCK) -> DataFrame:
     """(a, b, n, correlation) of all ordered pairs of series of ``long``, the diagonal included.
@@ -154,28 +190,8 @@ def pair_correlations(long: DataFrame, series: str, time: str, value: str, metho
         centre = long.groupBy(F.col(series).alias("_s")).agg(F.avg(F.col(value).cast("double")).alias("_mu"))
         shifted = long.join(centre, F.col(series) == F.col("_s")).select(
             F.col(series), F.col(time), (F.col(value).cast("double") - F.col("_mu")).alias(value))
-        tiles, n_tiles = _tiles(shifted, series, time, value, tile or TILE, block)
-        schema = "x string, y string, " + ", ".join(f"{c} double" for c in _SUMS)
-
-        def products(rows: pd.DataFrame) -> pd.DataFrame:
-            own = rows["a"].iloc[0] == rows["b"].iloc[0]
-            if not own and len(rows) < 2:
-                return pd.DataFrame({"x": pd.Series([], dtype=object), "y": pd.Series([], dtype=object),
-                                     **{c: pd.Series([], dtype=float) for c in _SUMS}})
-            names, dense = _matrices(rows)
-            i, j = _listed(names, own)
-            sums = pair_sums(dense[0], dense[-1])
-            x, y = (pd.Series(np.array(nm, object)[at], dtype=object) for nm, at in ((names[0], i), (names[-1], j)))
-            out = pd.DataFrame({"x": x, "y": y, **{c: s[i, j] for c, s in zip(_SUMS, sums)}})
-            return out[out["n"] > 0]
-
-        sums = _tile_pairs(tiles, n_tiles).groupBy("block", "a", "b").applyInPandas(products, schema)
-        # of two tiles either may come first: one order of the names, so that blocks add up
-        swap = F.col("x") > F.col("y")
-        pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
-        total = sums.select(pick("x", "y").alias("x"), pick("y", "x").alias("y"), "n", pick("sa", "sb").alias("sa"),
-                            pick("sb", "sa").alias("sb"), pick("saa", "sbb").alias("saa"), pick("sbb", "saa").alias("sbb"),
-                            "sab").groupBy("x", "y").agg(*[F.sum(c).alias(c) for c in _SUMS])
+        few = tile is None and shifted.select(series).distinct().limit(FEW + 1).count() <= FEW
+        total = _joined_sums(shifted, series, time, value) if few else _tiled_sums(shifted, series, time, value, tile or TILE, block)
         half = total.select("x", "y", F.col("n").cast("long").alias("n"), _pearson().alias("r"))
     elif method in ("spearman", "kendall"):
         tiles, n_tiles = _tiles(long, series, time, value, tile or RANK_TILE, None)

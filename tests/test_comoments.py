@@ -33,7 +33,7 @@ def _tau(x, y):
     return c / math.sqrt(a * b) if a and b else None
 
 
-@pytest.mark.parametrize("tile,block", [(4, 16), (100, 1024), (1, 7)])
+@pytest.mark.parametrize("tile,block", [(4, 16), (100, 1024), (1, 7), (None, 1024)])
 def test_pearson_is_pairwise_complete_whatever_the_tiles(spark, tile, block):
     frame = _frame(11, 60)
     out = co.pair_correlations(_long(spark, frame), "s", "t", "v", tile=tile, block=block).collect()
@@ -60,8 +60,8 @@ def test_constant_missing_and_disjoint_series(spark):
     rows = [("flat", t, 0.1) for t in range(9)] + [("up", t, float(t)) for t in range(9)] + [("late", t, float(-t)) for t in range(50, 55)]
     rows += [("none", t, None) for t in range(9)] + [("nan", t, math.nan) for t in range(9)] + [(None, 3, 1.0), ("one", 4, 7.0)]
     df = spark.createDataFrame(rows, "s string, t long, v double")
-    for method in ("pearson", "spearman", "kendall"):
-        got = {(r.a, r.b): (r.n, r.correlation) for r in co.pair_correlations(df, "s", "t", "v", method=method, tile=2).collect()}
+    for method, tile in (("pearson", 2), ("pearson", None), ("spearman", 2), ("kendall", 2)):
+        got = {(r.a, r.b): (r.n, r.correlation) for r in co.pair_correlations(df, "s", "t", "v", method=method, tile=tile).collect()}
         assert {a for a, _ in got} == {"flat", "up", "late", "one"}
         assert ("late", "up") not in got and got["late", "late"] == (5, pytest.approx(1.0)) and got["up", "up"] == (9, pytest.approx(1.0))
         assert got["flat", "up"] == got["up", "flat"] == (9, None) and got["one", "up"] == (1, None)
