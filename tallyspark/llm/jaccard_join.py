@@ -18,11 +18,13 @@
    what is left is verified, and verified links give components.  Only keys that still hold
    several components are looked at again: tasks hold blocks of at most about ``BLOCK_ROWS``
    members with their sketches, compare those outside the key's main component with all
-   others, and put out only pairs of different components whose Hamming distance allows a
-   link, each pair under its smallest common key.  These are verified too, so every link
-   lies within one component.
-4. Verification recomputes both shingle sets from the whole texts and compares sizes
-   exactly with integers.
+   others, and name for each member the others of different components whose Hamming
+   distance allows a link, each pair under its smallest common key.  The named members'
+   shingle sets then move to their block once each, and the block verifies its pairs there,
+   joining components as links are found: a pair already in one component needs no look, and
+   a block puts out fewer links than it has members.
+4. Verification recomputes the shingle sets from the whole texts and compares sizes exactly
+   with integers.
 
 Results for odd input: null text and texts without words have the empty set and link with
 nothing; texts of fewer than ``k`` words are one shingle; repeated rows and copies fall
@@ -51,6 +53,7 @@ SAMPLE_TEXTS = 4_000  # classes sampled to learn common shingles
 COMMON_AT = 4         # sampled classes that hold a common shingle
 SMALL = 8             # members of a key up to which they are paired by a join
 BLOCK_ROWS = 2_000    # members of a key that a task compares with as many others
+BLOCK_SHINGLES = 2_000_000  # shingles of these members (16 MB)
 MAX_COMMON = 1 << 17  # common shingles at most (1 MB, broadcast)
 CLASS = ["n", "d1", "d2"]
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -258,9 +261,9 @@ def _near_sketches(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.mapInArrow(near, "a long, b long, r_a long, r_b long, d_a long, d_b long")
 
 
-def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(rep, text) of the documents that the pairs name; repetitions meet in one row."""
-    ids = write_table(pairs.select(F.col("r_a").alias("rep")).union(pairs.select("r_b")).distinct(), "involved")
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(rep, text) of the documents that ``ids(rep)`` name; repetitions meet in one row."""
+    ids = write_table(ids.distinct(), "involved")
     # few ids are broadcast, more are joined by shuffle
     wanted = F.broadcast(ids) if is_broadcastable(ids.count()) else ids
     return (docs.join(wanted, F.col("doc_id") == F.col("rep")).groupBy("rep").agg(F.collect_set("text").alias("text"))
@@ -269,40 +272,42 @@ def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _mixed(labelled: DataFrame) -> DataFrame:
     """The members of keys that hold several components, with the key's main one and its size."""
-    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"),
-                                     F.count("*").alias("parts"))
-             .where("parts > 1").select("key", F.col("main.component").alias("main"), "members"))
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    mixed = (sizes.groupBy("key").agg(F.max(F.struct("rows", "component")).alias("main"), F.sum("rows").alias("members"),
+                                     F.sum("shingles").alias("shingles"), F.count("*").alias("parts"))
+             .where("parts > 1").select("key", F.col("main.component").alias("main"), "members", "shingles"))
     return labelled.join(mixed, "key")
 
 
-def _crossing(open_keys: DataFrame, names: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (x, y) of a key's members in different components whose sketches allow a link.
-
-    Keys of up to ``SMALL`` members pair their few by a join (``pairs_of`` compares their
-    sketches); larger ones are compared in tasks, block by block.
-    """
+def _few_pairs(open_keys: DataFrame) -> DataFrame:
+    """Pairs (x, y) of different components among the members of keys of up to ``SMALL`` members."""
     small = open_keys.where(F.col("members") <= SMALL)
-    few = (small.where("component <> main").select("key", F.col("d1").alias("x"), F.col("component").alias("c_x"))
-           .join(small.select("key", F.col("d1").alias("y"), F.col("component").alias("c_y")), "key")
-           .where("c_x <> c_y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    return (small.where("component <> main").select("key", F.col("d1").alias("x"), F.col("component").alias("c_x"))
+            .join(small.select("key", F.col("d1").alias("y"), F.col("component").alias("c_y")), "key")
+            .where("c_x <> c_y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+
+
+def _near_members(open_keys: DataFrame, names: DataFrame, num: int, den: int) -> DataFrame:
+    """(block, d1, cid, component, near): members of larger keys, block by block, with the
+    members of other components whose sketches allow a link; a pair is named by one of its two,
+    and members in no pair are left out."""
     open_keys = open_keys.where(F.col("members") > SMALL)
     keys = open_keys.groupBy("d1").agg(F.collect_list("key").alias("keys"))  # at most the block keys of one text
-    rows = open_keys.join(keys, "d1").join(names.select("d1", "n", "sketch"), "d1")
-    blocks = F.ceil(F.col("members") / BLOCK_ROWS)
+    rows = open_keys.join(keys, "d1").join(names.select("d1", "sketch"), "d1")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_ROWS, F.col("shingles") / BLOCK_SHINGLES))
     mine = F.pmod(F.xxhash64("d1"), blocks)
     rows = (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
             .withColumn("block_a", F.least("mine", "other")).withColumn("block_b", F.greatest("mine", "other")))
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        key, across = g["key"].iloc[0], g["block_a"].iloc[0] != g["block_b"].iloc[0]
+        key, a, b = (g[c].iloc[0] for c in ("key", "block_a", "block_b"))
         words = [np.frombuffer(x, np.uint64) for x in g["sketch"]]
         width = min(map(len, words))
         sketches = np.stack([np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in words])
         n, d1, part = g["n"].to_numpy(), g["d1"].to_numpy(), g["mine"].to_numpy()
         component, is_main = g["component"].to_numpy(), (g["component"] == g["main"]).to_numpy()
-        key_sets = [set(k) for k in g["keys"]]
-        out = []
+        keys_of, key_sets = g["keys"].to_numpy(), {}
+        found: dict[int, list[int]] = {}
         minor = np.flatnonzero(~is_main)
         for at in range(0, len(minor), 32):
             x = minor[at:at + 32]
@@ -310,14 +315,69 @@ def _crossing(open_keys: DataFrame, names: DataFrame, num: int, den: int) -> Dat
             near = differ <= largest_difference(n[x][:, None], n[None], num, den)
             near &= component[x][:, None] != component[None]
             near &= (d1[x][:, None] < d1[None]) | is_main[None]
-            if across:
+            if a != b:
                 near &= part[x][:, None] != part[None]
             for i, y in zip(*(v.tolist() for v in np.nonzero(near))):
-                if min(key_sets[x[i]] & key_sets[y]) == key:
-                    out.append((d1[x[i]], d1[y]))
-        return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+                i = int(x[i])
+                for j in (i, y):
+                    if j not in key_sets:
+                        key_sets[j] = set(keys_of[j].tolist())
+                if min(key_sets[i] & key_sets[y]) == key:
+                    found.setdefault(i, []).append(int(d1[y]))
+                    found.setdefault(y, [])
+        rows = list(found)
+        return pd.DataFrame({"block": f"{key} {a} {b}", "d1": d1[rows], "cid": g["cid"].to_numpy()[rows],
+                             "component": component[rows], "near": list(found.values())})
+
+    return (rows.select("key", "block_a", "block_b", "mine", "d1", "cid", "n", "component", "main", "keys", "sketch")
+            .groupBy("key", "block_a", "block_b")
+            .applyInPandas(compare, "block string, d1 long, cid long, component long, near array<long>"))
 
-    return few.union(rows.groupBy("key", "block_a", "block_b").applyInPandas(compare, "x long, y long"))
+
+def _shingles_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(s_d1, shingles): the shingle sets, as 64-bit integers, of the documents named by ``ids(rep)``."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop in text_slices(batch.column("text"), 4_000_000):
+                found = list(shingle_sets(batch.column("text").slice(start, stop - start), k))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_digest(s)[0] for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
+                    names=["s_d1", "shingles"])
+
+    return _texts_of(docs, ids).select("text").distinct().mapInArrow(sets, "s_d1 long, shingles binary").dropDuplicates(["s_d1"])
+
+
+def _block_links(members: DataFrame, shingles: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between components, verified inside the blocks of ``_near_members``: with the
+    components known before, they connect all that its pairs that link connect."""
+
+    def link(g: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in g["shingles"]]
+        at = {d1: i for i, d1 in enumerate(g["d1"].tolist())}
+        component, cid = g["component"].tolist(), g["cid"].tolist()
+        above = {c: c for c in component}
+
+        def top(c: int) -> int:
+            while above[c] != c:
+                above[c] = c = above[above[c]]
+            return c
+
+        links = []
+        for i, near in enumerate(g["near"]):
+            for y in near.tolist():
+                j = at[y]
+                c, d = top(component[i]), top(component[j])
+                if c == d:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if den * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                    above[c] = d
+                    links.append((min(cid[i], cid[j]), max(cid[i], cid[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return (members.join(shingles, F.col("d1") == F.col("s_d1")).select("block", "d1", "cid", "component", "near", "shingles")
+            .groupBy("block").applyInPandas(link, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -344,6 +404,9 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     shared = write_table(shared, "shared")
     names = classes.where("rep IS NOT NULL").select("d1", "n", "rep", "cid", "sketch")
 
+    def both_ids(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("r_a").alias("rep")).union(pairs.select("r_b"))
+
     def pairs_of(pairs: DataFrame) -> DataFrame:
         """Pairs (x, y) of class digests as ordered class pairs that sizes and sketches let link."""
         a = names.select(F.col("d1").alias("x"), *(F.col(c).alias(f"{c}_a") for c in ("n", "rep", "cid", "sketch")))
@@ -355,16 +418,19 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     best = (shared.groupBy("d1", "center").agg(F.count("*").alias("keys")).groupBy("d1")
             .agg(F.max(F.struct("keys", "center")).alias("best")).select(F.col("d1").alias("x"), F.col("best.center").alias("y")))
     first = write_table(pairs_of(best), "pairs")
-    links = write_table(_verify(first, _texts_of(docs, first), k, num, den), "verified")
+    links = write_table(_verify(first, _texts_of(docs, both_ids(first)), k, num, den), "verified")
     labels = connected_components(links)
 
     # keys that still hold several components: the members outside the main one against all
     members = shared.select("key", "d1").union(shared.select("key", F.col("center").alias("d1")).distinct())
-    labelled = (members.join(names.select("d1", "cid"), "d1").join(labels, F.col("cid") == F.col("id"), "left")
-                .select("key", "d1", F.coalesce("component", "cid").alias("component")))
-    crossing = _crossing(write_table(_mixed(labelled), "open"), names, num, den)
-    second = write_table(pairs_of(crossing).join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    late = write_table(_verify(second, _texts_of(docs, second), k, num, den), "verified")
+    labelled = (members.join(names.select("d1", "cid", "n"), "d1").join(labels, F.col("cid") == F.col("id"), "left")
+                .select("key", "d1", "cid", "n", F.coalesce("component", "cid").alias("component")))
+    open_keys = write_table(_mixed(labelled), "open")
+    second = write_table(pairs_of(_few_pairs(open_keys)).join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    few = _verify(second, _texts_of(docs, both_ids(second)), k, num, den)
+    near = write_table(_near_members(open_keys, names, num, den), "near")
+    named = near.select("d1").distinct().join(names.select("d1", "rep"), "d1").select("rep")
+    late = write_table(few.union(_block_links(near, _shingles_of(docs, named, k), num, den)).distinct(), "verified")
     if not late.isEmpty():
         labels = connected_components(links.union(late))
 

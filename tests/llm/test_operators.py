@@ -417,6 +417,24 @@ def test_similarity_join_equals_all_pairs(spark, monkeypatch, k, num, den, commo
     assert got == _components(rows, k, num, den)
 
 
+@pytest.mark.parametrize("block_rows, block_shingles", [(2_000, 2_000_000), (60, 2_000_000), (2_000, 5_000)])
+def test_similarity_join_of_a_family_just_under_the_threshold(spark, monkeypatch, block_rows, block_shingles):
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block_shingles)
+    rng = random.Random(7)
+    base, rows = [f"w{i}" for i in range(100)], []
+    for i in range(150):   # two replaced words each: a pair links where their places meet
+        words = list(base)
+        for at in rng.sample(range(4, 96), 2):
+            words[at] = f"x{rng.randrange(3)}"
+        rows.append((i, " ".join(words)))
+    want = _components(rows, 4, 85, 100)
+    assert 20 < len({c for _, c in want.values()})   # many components: most pairs do not link
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(docs, 4, 85, 100).collect()}
+    assert got == want
+
+
 def test_keep_one_tells_texts_of_one_id_apart(spark):
     text = lambda name: " ".join(f"{name}{k}" for k in range(40))
     rows = [(1, text("a")), (5, text("a")), (5, text("b")), (5, text("b")), (6, text("b")), (7, None), (None, text("a"))]
