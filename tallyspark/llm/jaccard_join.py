@@ -327,7 +327,7 @@ def _near_members(open_keys: DataFrame, names: DataFrame, num: int, den: int) ->
                     found.setdefault(y, [])
         rows = list(found)
         return pd.DataFrame({"block": f"{key} {a} {b}", "d1": d1[rows], "cid": g["cid"].to_numpy()[rows],
-                             "component": component[rows], "near": list(found.values())})
+                             "component": component[rows], "near": pd.Series(list(found.values()), dtype=object)})
 
     return (rows.select("key", "block_a", "block_b", "mine", "d1", "cid", "n", "component", "main", "keys", "sketch")
             .groupBy("key", "block_a", "block_b")
