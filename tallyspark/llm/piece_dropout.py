@@ -6,7 +6,7 @@ leftmost of equals.  Every candidate taken from the agenda is skipped with proba
 gives the same ids, on any number of tasks and after any retry.  An occurrence's key is a
 hash of its document's key and its position, so every occurrence draws for itself.  What
 follows a set of skipped candidates is the same for every occurrence of a word, so a worker
-computes it once: occurrences walk from the word's dropout-0 agenda along the candidates they
+computes it once while its cache, bounded in bytes, holds it: occurrences walk from the word's dropout-0 agenda along the candidates they
 skip, and only words with skips not met before are merged.  ``variants`` (default: none) draws
 only that many segmentations of a word.  With ``dropout`` 0 the ids are the library's.
 
@@ -34,13 +34,23 @@ from pyspark.sql import DataFrame
 from tallyspark.llm.wordio import mix, text_slices
 
 SPACE = "▁"     # the library's mark for a space
-_RAW_MARK = ""  # never leaves the encoder: stands for a literal U+2581
-CACHE_ENTRIES = 300_000
+_RAW_MARK = ""         # no word is empty: stands for a literal U+2581, never leaves the encoder
+CACHE_BYTES = 40_000_000   # of a worker's nodes, checked before every slice
+NODE_BYTES = 400           # of a node besides its ids and spans, about
+SLICE_BYTES = 1_000_000    # of text encoded at a time
 SHORT = 64             # characters up to which words are merged many at a time
 _NEVER = float("inf")
 _M64 = (1 << 64) - 1
 
-_CODECS: dict[tuple, "PieceCodec"] = {}
+_CODECS: dict[tuple, "PieceTable"] = {}
+
+
+def worker_table(model: bytes) -> "PieceTable":
+    key = (hashlib.sha256(model).digest(),)
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = PieceTable(model)
+    return _CODECS[key]
 
 
 def worker_codec(model: bytes, seed: int, dropout: float, variants: int | None) -> "PieceCodec":
@@ -51,12 +61,13 @@ def worker_codec(model: bytes, seed: int, dropout: float, variants: int | None)
     return _CODECS[key]
 
 
-class PieceCodec:
-    def __init__(self, model: bytes, seed: int = 0, dropout: float = 0.1, variants: int | None = None) -> None:
+class PieceTable:
+    """The pieces of a model: all that decoding needs."""
+
+    def __init__(self, model: bytes) -> None:
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.seed, self.limit, self.variants = seed, int(dropout * (1 << 32)), variants
         self.rank: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.byte_ids = [0] * 256
@@ -71,6 +82,17 @@ class PieceCodec:
                 self.rank[piece], self.ids[piece] = -processor.get_score(i), i
                 text = piece.replace(SPACE, " ").encode()
             self.decoded.append(text)
+
+    def decode(self, ids: np.ndarray) -> str:
+        table = self.decoded
+        text = b"".join([table[i] for i in ids.tolist()]).decode("utf-8", errors="replace")
+        return text[1:] if text.startswith(" ") else text  # the mark put before every text
+
+
+class PieceCodec(PieceTable):
+    def __init__(self, model: bytes, seed: int = 0, dropout: float = 0.1, variants: int | None = None) -> None:
+        super().__init__(model)
+        self.seed, self.limit, self.variants = seed, int(dropout * (1 << 32)), variants
         joined = "".join(p for p in self.rank if len(p) > 1)
         # no piece joins a character to a space mark after it, nor any of these to a neighbour
         alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in joined)
@@ -86,6 +108,22 @@ class PieceCodec:
         self.node_skips: list[tuple[int, ...]] = []
         self.node_ids: list[bytes] = []
         self.node_spans: list[bytes] = []
+        self.cached_bytes = 0
+
+    def _shrink(self) -> None:
+        """Keep the nodes of no skip or one, which are met again and again; forget these too
+        once they take more than half of the bound."""
+        kept = [i for i, steps in enumerate(self.node_skips) if len(steps) < 2]
+        size = sum(len(self.node_ids[i]) + len(self.node_spans[i]) + NODE_BYTES for i in kept)
+        if 2 * size > CACHE_BYTES:
+            self._forget()
+            return
+        place = {i: at for at, i in enumerate(kept)}
+        self.nodes = {key if isinstance(key, str) else (place[key[0]], key[1]): place[i]
+                      for key, i in self.nodes.items() if i in place}
+        self.node_word, self.node_skips, self.node_ids, self.node_spans = (
+            [x[i] for i in kept] for x in (self.node_word, self.node_skips, self.node_ids, self.node_spans))
+        self.cached_bytes = size
 
     def _index_pairs(self) -> None:
         """Arrays for many words at once: an id for every character (those without a piece lie
@@ -243,11 +281,12 @@ class PieceCodec:
                     ids[i], spans[i] = blob, taken
         self.node_ids += ids
         self.node_spans += spans
+        self.cached_bytes += sum(map(len, ids)) + sum(map(len, spans)) + NODE_BYTES * len(words)
 
     def _settle(self, words: list[str], codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """The node of every occurrence: ``words[code]`` under its key."""
-        if len(self.node_word) > CACHE_ENTRIES:
-            self._forget()
+        if self.cached_bytes > CACHE_BYTES:
+            self._shrink()
         new = [w for w in words if w not in self.nodes]
         self._add(new, new, [()] * len(new))
         roots = np.fromiter((self.nodes[w] for w in words), dtype=np.int64, count=len(words))
@@ -336,11 +375,6 @@ class PieceCodec:
         source = np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
         return np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])], flat[source]
 
-    def decode(self, ids: np.ndarray) -> str:
-        table = self.decoded
-        text = b"".join([table[i] for i in ids.tolist()]).decode("utf-8", errors="replace")
-        return text[1:] if text.startswith(" ") else text  # the mark put before every text
-
 
 def _joined(blobs: list[bytes], kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values of all blobs in one array, and where each blob's start and how many they are."""
@@ -366,7 +400,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = 0.1
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(shared.value, seed, dropout, variants)
         for batch in batches:
-            for start, stop in text_slices(batch.column("__text"), 3_000_000):
+            for start, stop in text_slices(batch.column("__text"), SLICE_BYTES):
                 part = batch.slice(start, stop - start)
                 texts = [t or "" for t in part.column("__text").to_pylist()]
                 offsets, ids = codec.encode(texts, _documents_key(part.column("doc_id"), texts, seed))
@@ -384,9 +418,9 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(shared.value, 0, 0.0, 1)
+        table = worker_table(shared.value)
         for batch in batches:
-            texts = [codec.decode(np.frombuffer(x, dtype="<u4")) for x in batch.column("ids").to_pylist()]
+            texts = [table.decode(np.frombuffer(x, dtype="<u4")) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields] + ["decoded string"])

@@ -156,6 +156,61 @@ def test_every_occurrence_draws_its_own_skips(spark):
     assert len({bytes(r.ids) for r in rows}) == 50
 
 
+def _plain_agenda(codec, word, key):
+    """One candidate after the other over a list of pieces; skipped by the codec's hash of its span."""
+    salt = np.array([xxhash.xxh64_intdigest(word, codec.seed)], dtype=np.uint64) + np.array([key]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    pieces, passed = [(i, i + 1) for i in range(len(word))], set()
+    while True:
+        offers = [(codec.rank[word[a:c]], a, b, c) for (a, b), (_, c) in zip(pieces, pieces[1:])
+                  if word[a:c] in codec.rank and (a, b, c) not in passed]
+        if not offers:
+            return [i for a, b in pieces for i in ([codec.ids[word[a:b]]] if word[a:b] in codec.ids
+                                                   else [codec.byte_ids[x] for x in word[a:b].encode()])]
+        _, a, b, c = min(offers)
+        if codec._skipped(salt, codec._span(*np.array([[a], [b], [c]], dtype=np.uint64)))[0]:
+            passed.add((a, b, c))
+        else:
+            at = pieces.index((a, b))
+            pieces[at:at + 2] = [(a, c)]
+
+
+@pytest.mark.parametrize("cache_bytes", [40_000_000, 100_000, 0])
+def test_skips_equal_a_plain_agenda_whatever_the_cache_holds(texts, monkeypatch, cache_bytes):
+    monkeypatch.setattr(piece_dropout, "CACHE_BYTES", cache_bytes)
+    with open(tokenizer_path(PIECE_BPE), "rb") as f:
+        codec = piece_dropout.PieceCodec(f.read(), seed=11, dropout=0.15)
+    rng = random.Random(4)
+    words = [piece_dropout.SPACE + w for w in " ".join(t for _, t in texts[:20]).split()[:600]] + ["\u2581\u00e9\u4e2d" * 30, "a" * 200]
+    for _ in range(3):
+        keys = np.array([rng.getrandbits(64) for _ in words], dtype=np.uint64)
+        got = [np.frombuffer(x, np.uint32).tolist() for x in codec.segments(words, keys)]
+        assert got == [_plain_agenda(codec, w, k) for w, k in zip(words, keys)]
+
+
+def test_any_text_decodes_to_itself():
+    with open(tokenizer_path(PIECE_BPE), "rb") as f:
+        codec = piece_dropout.PieceCodec(f.read(), seed=2, dropout=0.3)
+    samples = ["\ue000\uf8ff\ue000", "\ue000", "\u2581", "\u2581\n\ue000\uf8ff\ue000\n\u2581\u2581", ""]
+    offsets, ids = codec.encode(samples, np.arange(len(samples), dtype=np.uint64))
+    assert [codec.decode(ids[a:b]) for a, b in zip(offsets, offsets[1:])] == samples
+
+
+# ---- 2 line runs in SQL -----------------------------------------------------------
+def test_line_runs_equal_sql_on_random_pools(spark):
+    import duckdb
+
+    rng = random.Random(5)
+    pool = [" ".join(rng.choice("abcdefgh") + str(i) for _ in range(n)) for i, n in enumerate([30, 25, 25, 3, 12, 49, 50, 51, 0, 17, 17, 8])]
+    docs = [(0, f"{pool[0]}\n{pool[1]}"), (1, f"{pool[0]}\n{pool[2]}"), (2, f"{pool[0]}\n{pool[2]}"), (3, None), (4, "")]
+    docs += [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9)))) for i in range(5, 90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (len(r.removed), r.clean_text) for r in line_dedup.dedup_lines(df.repartition(3)).collect()}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = {r[0]: (r[2], r[3]) for r in con.execute(line_dedup.ORACLE_SQL).fetchall()}
+    assert got[2] == (2, "") and got == want
+
+
 # ---- 5 html ------------------------------------------------------------------------
 def test_run_ranks_and_cover_equal_brute_force():
     rng = np.random.default_rng(0)
@@ -466,3 +521,18 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (150, 100)]
     got = {r.id: r.component for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[i] == 100 for i in (100, 150, 200))
+
+
+def test_quotes_open_a_value_only_after_an_equals_sign():
+    texts = lambda source: [text for _, text in html_extract.page_blocks(source)]
+    assert texts("<article><p data-x=it's>Hello world</p><p>Second don't stop</p></article>") == ["Hello world", "Second don't stop"]
+    assert texts('<p class="a"">One</p><p>Two</p>') == ["One", "Two"]
+    assert texts('<p title = "a > b" class=x">One</p><p \'>Two</p>') == ["One", "Two"]
+    assert texts("<p =\"a>b\">One<p a=  >Two") == ["One", "Two"]
+
+
+def test_one_marker_word_in_a_longer_name_keeps_a_block_of_the_article():
+    kept = lambda inner: [t for z, t in html_extract.page_blocks(f"<article>{inner}</article>") if z == html_extract.ARTICLE]
+    assert kept('<section class="share-price"><p>Up</p></section><h2 id="related-work">Work</h2>') == ["Up", "Work"]
+    assert kept('<p>A</p><div class="ad">B</div><div class="share-bar">C</div><div class="social-share-now">D</div><div id="comments">E</div>') == ["A"]
+    assert [z for z, _ in html_extract.page_blocks('<div class="share-price">Up</div>')] == [html_extract.CHROME]
