@@ -110,28 +110,16 @@ l0 AS (SELECT doc_id, i - 1 AS line, regexp_extract_all(ls[i], '[^\\x20\\x09-\\x
 l1 AS (SELECT doc_id, line, len(w) AS n, ('0x' || md5(array_to_string(w, ' '))[1:15])::BIGINT AS h FROM l0 WHERE len(w) > 0),
 l2 AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY line) AS upto, sum(n) OVER (PARTITION BY doc_id) AS words FROM l1),
 l3 AS (SELECT *, upto - n AS start FROM l2),
-win AS (SELECT a.doc_id, a.start, min({'n': -b.n, 'h': b.h, 'line': b.line}).line AS line
-        FROM l3 a JOIN l3 b ON a.doc_id = b.doc_id AND b.start BETWEEN a.start AND a.start + 49
-        WHERE a.words - a.start >= 50 GROUP BY ALL),
-mark AS (SELECT l3.* FROM l3 JOIN (SELECT DISTINCT doc_id, line FROM win) USING (doc_id, line)),
-firsts AS (SELECT h, min({'doc_id': doc_id, 'line': line}) AS f FROM mark GROUP BY h),
-pair AS (SELECT m.doc_id, m.line, m.n, m.start, m.upto, o.doc_id AS o_doc, o.line AS o_line, o.start AS o_start, o.upto AS o_upto
-         FROM mark m JOIN firsts ON m.h = firsts.h AND {'doc_id': m.doc_id, 'line': m.line} <> f
-         JOIN mark o ON o.doc_id = f.doc_id AND o.line = f.line),
-mine AS (SELECT p.doc_id, p.line, l.line AS at, l.h, l.n, CASE WHEN l.line > p.line THEN 1 ELSE -1 END AS side,
-                row_number() OVER (PARTITION BY p.doc_id, p.line, l.line > p.line ORDER BY abs(l.line - p.line)) AS k
-         FROM pair p JOIN l3 l ON l.doc_id = p.doc_id AND (l.start BETWEEN p.start - 49 AND p.start - 1
-                                                           OR l.upto BETWEEN p.upto + 1 AND p.upto + 49)),
-other AS (SELECT p.doc_id, p.line, l.h, CASE WHEN l.line > p.o_line THEN 1 ELSE -1 END AS side,
-                 row_number() OVER (PARTITION BY p.doc_id, p.line, l.line > p.o_line ORDER BY abs(l.line - p.o_line)) AS k
-          FROM pair p JOIN l3 l ON l.doc_id = p.o_doc AND (l.start BETWEEN p.o_start - 49 AND p.o_start - 1
-                                                           OR l.upto BETWEEN p.o_upto + 1 AND p.o_upto + 49)),
-matched AS (SELECT m.*, bool_and(coalesce(m.h = o.h, false))
-                   OVER (PARTITION BY m.doc_id, m.line, m.side ORDER BY m.k ROWS UNBOUNDED PRECEDING) AS same
-            FROM mine m LEFT JOIN other o USING (doc_id, line, side, k)),
-span AS (SELECT p.doc_id, coalesce(min(m.at), p.line) AS a, coalesce(max(m.at), p.line) AS z, p.n + coalesce(sum(m.n), 0) AS words, p.line
-         FROM pair p LEFT JOIN matched m ON m.doc_id = p.doc_id AND m.line = p.line AND m.same GROUP BY p.doc_id, p.line, p.n),
-gone AS (SELECT DISTINCT doc_id, unnest(range(least(a, line), greatest(z, line) + 1)) AS line FROM span WHERE words >= 50),
+starting AS (SELECT a.doc_id, list(b.h ORDER BY b.line) AS run, min(b.line) AS first_line, max(b.line) AS last_line
+             FROM l3 a JOIN l3 b ON a.doc_id = b.doc_id AND b.start BETWEEN a.start AND a.start + 49
+             WHERE a.words - a.start >= 50 GROUP BY a.doc_id, a.line),
+ending AS (SELECT a.doc_id, list(b.h ORDER BY b.line) AS run, min(b.line) AS first_line, max(b.line) AS last_line
+           FROM l3 a JOIN l3 b ON a.doc_id = b.doc_id AND b.upto BETWEEN a.upto - 49 AND a.upto
+           WHERE a.upto >= 50 GROUP BY a.doc_id, a.line),
+win AS (SELECT * FROM starting UNION SELECT * FROM ending),
+firsts AS (SELECT run, min({'doc_id': doc_id, 'line': first_line}) AS f FROM win GROUP BY run),
+later AS (SELECT doc_id, first_line, last_line FROM win JOIN firsts USING (run) WHERE {'doc_id': doc_id, 'line': first_line} <> f),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first_line, last_line + 1)) AS line FROM later),
 gone_list AS (SELECT doc_id, list(line ORDER BY line) AS removed FROM gone GROUP BY doc_id)
 SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(removed), 0)::BIGINT AS n_removed,
        CASE WHEN removed IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda x, i: NOT list_contains(removed, i - 1)), chr(10)) END AS text
