@@ -19,7 +19,7 @@ from tallyspark.functions.exact import exact_avg
 from tallyspark.operators.profile import hash_top_n
 from tallyspark.operators.ranking import hash_order_key, percent_ranks_multi
 from tallyspark.operators.selection import exact_quantiles
-from tallyspark.session import materialize
+from tallyspark.session import side_by_side
 from tallyspark.sources.shaped import STEP_ANCHOR
 
 # ---- fixed values -----------------------------------------------------------
@@ -67,14 +67,19 @@ def rfm_features(rfm: DataFrame, recency: str = "recency_hours", frequency: str
 
 def fit_kmeans(features: DataFrame, k: int, seed: int = RANDOM_STATE, n_init: int = 10, max_iter: int = 50):
     """K-means|| with ``n_init`` seeds; keep the model with the lowest cost."""
-    best = None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                       predictionCol="cluster").fit(features)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    return best[1]
+    return fit_kmeans_range(features, [k], seed, n_init, max_iter)[0]
+
+
+def fit_kmeans_range(features: DataFrame, ks: list[int], seed: int = RANDOM_STATE, n_init: int = 10, max_iter: int = 50) -> list:
+    """The model of lowest cost for every k; fits of all k and seeds run side by side, each a chain of short jobs."""
+    def fit(start: tuple[int, int]):
+        k, i = start
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(features)
+        return model.summary.trainingCost, model
+
+    fits = side_by_side(fit, [(k, i) for k in ks for i in range(n_init)])
+    # the first of equal costs
+    return [min(fits[j * n_init:(j + 1) * n_init], key=lambda f: f[0])[1] for j in range(len(ks))]
 
 
 def elbow_silhouette(features: DataFrame, k_range=range(2, 11), sample_fraction: float = 1.0,
@@ -85,11 +90,14 @@ def elbow_silhouette(features: DataFrame, k_range=range(2, 11), sample_fraction:
     if sample_fraction < 1.0:
         h = F.conv(F.substring(hash_order_key(F.col("customer_id"), str(seed)), 1, 8), 16, 10).cast("double")
         sample = features.where(h / F.lit(float(0xFFFFFFFF)) < F.lit(sample_fraction))
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in k_range:
-        m = fit_kmeans(sample, k, seed, n_init)
-        rows.append((int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(sample)))))
+    ks = [int(k) for k in k_range]
+
+    def row(fitted: tuple) -> tuple[int, float, float]:
+        k, m = fitted
+        ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="squaredEuclidean")
+        return k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(sample)))
+
+    rows = side_by_side(row, zip(ks, fit_kmeans_range(sample, ks, seed, n_init)))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

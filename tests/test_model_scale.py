@@ -47,3 +47,15 @@ def test_permutation_importance_scores_all_features_in_one_pass(spark):
         mixed[:, i] = other[:, i]
         assert got[name] == pytest.approx(_auc(y, x @ w) - _auc(y, np.round(mixed @ w, 9)), abs=1e-3)
     assert got["c"] == 0.0
+
+
+def test_fits_side_by_side_keep_the_best_seed_of_each_k(spark):
+    from pyspark.ml.clustering import KMeans
+
+    from tallyspark.operators import segments as sg
+    rng = np.random.default_rng(2)
+    points = spark.createDataFrame([(x.tolist(),) for x in rng.normal(size=(120, 2))], "a array<double>").select(
+        array_to_vector("a").alias("features")).coalesce(1)
+    want = [min(KMeans(k=k, seed=7 + i, maxIter=5).fit(points).summary.trainingCost for i in range(2)) for k in (2, 3)]
+    models = sg.fit_kmeans_range(points, [2, 3], seed=7, n_init=2, max_iter=5)
+    assert [m.summary.trainingCost for m in models] == pytest.approx(want)
