@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from tallyspark.functions.risk import rule_flag
 from tallyspark.sources.buckets import BucketTable
@@ -34,6 +34,7 @@ from tallyspark.sources.shaped import STEP_ANCHOR
 DEDUP_WATERMARK, DEDUP_MEMORY = "2 hours", "30 days"
 _ANCHOR_EPOCH_S = int(datetime.fromisoformat(STEP_ANCHOR).replace(tzinfo=timezone.utc).timestamp())
 KPI_WATERMARK = "2 days"
+STATE_BUCKETS = 1024  # states that share the ids flagged
 
 
 def event_time(step: str = "step") -> F.Column:
@@ -71,8 +72,9 @@ def arrival_status(stream: DataFrame, watermark: str = DEDUP_WATERMARK, remember
 
     ``repeated`` - its id has been flagged before, exactly, whatever the event times;
     ``late`` - its event time lies behind the watermark, so it is left to ``repair_late``;
-    ``flagged`` - the first arrival of its id.  One keyed state holds the ids flagged; a
-    timer forgets one after ``remember`` without a further arrival (None: never).  The timer
+    ``flagged`` - the first arrival of its id.  The ids flagged are kept in ``STATE_BUCKETS``
+    keyed states by the id's hash, so a batch calls Python once a bucket and not once an id; an
+    id is forgotten after ``remember`` without a further arrival (None: never).  The timer
     runs on processing time: an event-time one would have Spark drop late rows unseen.  With
     timers a query goes on for ever, so bounded runs have none; a checkpoint belongs to one
     of the two.
@@ -80,29 +82,34 @@ def arrival_status(stream: DataFrame, watermark: str = DEDUP_WATERMARK, remember
     flagged = stream.withColumn("is_flagged_rule", rule_flag())
     columns = flagged.columns
     schema = StructType([*flagged.schema.fields]).add("status", "string")
+    kept = StructType().add("ids", ArrayType(flagged.schema["txn_id"].dataType)).add("seen", ArrayType(LongType()))
     keep_ms = int(pd.Timedelta(remember).total_seconds() * 1000) if remember else None
 
     def account(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known = state.exists
-        for frame in frames:
+        known = dict(zip(*state.get)) if state.exists else {}  # id -> time of its last arrival
+        now = state.getCurrentProcessingTimeMs() if keep_ms else 0
+        for frame in () if state.hasTimedOut else frames:
             late = frame["event_time"].astype("datetime64[ns]").astype("int64") // 1_000_000 < state.getCurrentWatermarkMs()
-            status = ["late" if x else "flagged" for x in late]
-            for i, s in enumerate(status):
-                if known:
-                    status[i] = "repeated"
-                elif s == "flagged":
-                    known = True
+            status = []
+            for i, x in zip(frame["txn_id"].tolist(), late):
+                i = None if key[0] < 0 else i
+                status.append("repeated" if i in known else "late" if x else "flagged")
+                if status[-1] != "late":
+                    known[i] = now
             yield frame[columns].assign(status=status)
+        if keep_ms:
+            known = {i: t for i, t in known.items() if t + keep_ms > now}
         if known:
-            state.update((True,))
+            state.update(([*known], [*known.values()]))
             if keep_ms:
-                state.setTimeoutDuration(keep_ms)
+                state.setTimeoutDuration(max(1, min(known.values()) + keep_ms - now))
+        elif state.exists:
+            state.remove()
 
-    return flagged.withWatermark("event_time", watermark).groupBy("txn_id").applyInPandasWithState(
-        account, schema, "seen boolean", "append",
+    # rows without an id have a bucket of their own: pandas would turn the ids beside them into floats
+    bucket = F.when(F.col("txn_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("txn_id"), F.lit(STATE_BUCKETS)))
+    return flagged.withWatermark("event_time", watermark).withColumn("_bucket", bucket.cast("int")).groupBy("_bucket").applyInPandasWithState(
+        account, schema, kept, "append",
         GroupStateTimeout.ProcessingTimeTimeout if keep_ms else GroupStateTimeout.NoTimeout)
 
 

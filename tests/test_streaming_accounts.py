@@ -62,3 +62,18 @@ def test_a_batch_rewrites_its_days_only_and_a_replay_nothing(spark):
 def test_event_time_is_utc_whatever_the_session(spark):
     df = spark.createDataFrame([(0,)], "step long").select(F.unix_seconds(sp.event_time()).alias("s"))
     assert df.first().s % 3600 == 0
+
+
+def test_flagged_ids_share_bucketed_states(spark):
+    """A call of Python for every id took milliseconds a row; the states kept must not grow with the ids."""
+    base = tempfile.mkdtemp(prefix="tallyspark-buckets-")
+    src, out = f"{base}/src", f"{base}/out"
+    n = 3 * sp.STATE_BUCKETS
+    big = [2 ** 60 + i for i in range(n)]                     # ids that floats cannot hold
+    null = (None, *_row(0, 5)[1:])
+    _run(spark, [[_row(i, 5) for i in big] + [null, null], [_row(big[7], 5), (big[8], None, *_row(0, 5)[2:]), null]], src, out)
+    got = {r.status: (r.n, r.ids) for r in spark.read.parquet(out).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("txn_id")).alias("ids")).collect()}
+    assert got == {"flagged": (n + 1, big), "repeated": (4, big[7:9])}
+    states = spark.read.format("statestore").load(out + "_ckpt")
+    assert states.count() <= sp.STATE_BUCKETS + 1
