@@ -18,7 +18,7 @@ from tallyspark.plans.cleaning_jobs import C1_EXTRA, C1_SQL, C2_SQL, C3_SQL
 from tallyspark.plans.registry import register
 from tallyspark.plans.segments import _csql
 from tallyspark.plans.tables import TICKER_MAX_LEN, typed_landing
-from tallyspark.session import materialize, scratch_path
+from tallyspark.session import materialize, scratch_path, side_by_side
 from tallyspark.sources.buckets import BucketTable
 from tallyspark.sources.raw import (
     LOAN_RAW_COLUMNS, existing_csv, raw_loans, raw_prices, raw_transactions, read_csv_strings, read_or_clean, read_tagged,
@@ -39,9 +39,9 @@ LANDING = {
 }
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"loans": clean_loans(raw_loans(spark, sf_dir)), "transactions": clean_transactions(raw_transactions(spark, sf_dir)),
-            "stock_prices": clean_stock_prices(raw_prices(spark, sf_dir))}
+_CLEANED = {"loans": lambda spark, sf_dir: clean_loans(raw_loans(spark, sf_dir)),
+            "transactions": lambda spark, sf_dir: clean_transactions(raw_transactions(spark, sf_dir)),
+            "stock_prices": lambda spark, sf_dir: clean_stock_prices(raw_prices(spark, sf_dir))}
 
 
 def _part(sql: str) -> str:
@@ -59,7 +59,7 @@ UNION ALL SELECT 'stock_prices', COUNT(*) FROM {_part(C3_SQL)} c"""
 def c4_clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full cleaning run: three sets cleaned, written as Parquet snapshots and counted."""
     base = scratch_path(spark, f"cleaned-{uuid.uuid4().hex}")
-    counts = [(name, write_snapshot(df, f"{base}/{name}")) for name, df in _cleaned(spark, sf_dir).items()]
+    counts = side_by_side(lambda name: (name, write_snapshot(_CLEANED[name](spark, sf_dir), f"{base}/{name}")), _CLEANED)
     return spark.createDataFrame(counts, "dataset string, n_rows long")
 
 
@@ -81,12 +81,13 @@ def s9_landing_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every table lands in its declared types and lengths; rows that do not fit are written
     to a reject table next to it, and both are counted."""
     base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
-    tables = _cleaned(spark, sf_dir)
-    tables["customers"] = sg.rule_segment(materialize(customer_aggregates(spark, sf_dir)))
-    counts = []
-    for name, (types, lengths) in LANDING.items():
-        good, rejected = typed_landing(materialize(tables[name]), types, lengths)
-        counts.append((name, write_snapshot(good, f"{base}/{name}"), write_snapshot(rejected, f"{base}/{name}_rejected")))
+    tables = _CLEANED | {"customers": lambda spark, sf_dir: sg.rule_segment(materialize(customer_aggregates(spark, sf_dir)))}
+
+    def land(name: str) -> tuple[str, int, int]:
+        good, rejected = typed_landing(materialize(tables[name](spark, sf_dir)), *LANDING[name])
+        return name, write_snapshot(good, f"{base}/{name}"), write_snapshot(rejected, f"{base}/{name}_rejected")
+
+    counts = side_by_side(land, LANDING)  # no table waits for another
     return spark.createDataFrame(counts, "table_name string, n_landed long, n_rejected long")
 
 

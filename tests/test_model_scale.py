@@ -1,5 +1,6 @@
 """Model queries whose time must not grow by a pass a feature, seed or tree."""
 
+import threading
 from types import SimpleNamespace
 
 import numpy as np
@@ -59,3 +60,36 @@ def test_fits_side_by_side_keep_the_best_seed_of_each_k(spark):
     want = [min(KMeans(k=k, seed=7 + i, maxIter=5).fit(points).summary.trainingCost for i in range(2)) for k in (2, 3)]
     models = sg.fit_kmeans_range(points, [2, 3], seed=7, n_init=2, max_iter=5)
     assert [m.summary.trainingCost for m in models] == pytest.approx(want)
+
+
+def test_work_side_by_side_runs_at_once_and_keeps_its_order():
+    from tallyspark.session import side_by_side
+    both = threading.Barrier(2, timeout=30)
+    assert side_by_side(lambda i: (both.wait() >= 0, i), [3, 1]) == [(True, 3), (True, 1)]
+
+
+def test_landing_lets_no_table_wait_for_another(spark, monkeypatch):
+    from tallyspark.plans import load_jobs as lj
+    started, landing = threading.Barrier(4, timeout=120), lj.typed_landing
+
+    def together(*args):
+        started.wait()
+        return landing(*args)
+
+    monkeypatch.setattr(lj, "typed_landing", together)
+    rows = lj.s9_landing_all_tables(spark, "/root/testdata/sf0.001").collect()
+    assert [r.table_name for r in rows] == list(lj.LANDING) and all(r.n_landed for r in rows)
+
+
+def test_forest_rows_are_dealt_to_tasks_by_key(spark, monkeypatch):
+    from tallyspark.plans import fraud_models as fm
+
+    class Seen(Exception):
+        pass
+
+    def stop(df):
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(fm, "materialize", stop)
+    with pytest.raises(Seen, match="RepartitionByExpression"):
+        fm.forest_scores(spark, "/root/testdata/sf0.001")
