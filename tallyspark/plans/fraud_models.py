@@ -70,7 +70,8 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats, oh = with_type_one_hot(anomaly_features(t))
     cols = BASE_FEATURE_COLUMNS + oh
     kept = ["txn_id", "txn_type", "is_fraud", "is_flagged_rule"]
-    feats = materialize(feats.select(*kept, *cols))
+    # 200 trees a row are drawn and walked: as many tasks as the cluster has, not as the file has row groups
+    feats = materialize(feats.select(*kept, *cols).repartition("txn_id", "amount"))
     totals = feats.agg(F.avg("is_flagged_rule").alias("share"), F.count(F.lit(1)).alias("n")).first()
     nodes = materialize(iforest.fit(feats, cols, "txn_id"))
     return iforest.score_and_flag(feats, nodes, cols, min(iforest.MAX_SAMPLES, totals["n"]),
