@@ -93,3 +93,28 @@ def test_forest_rows_are_dealt_to_tasks_by_key(spark, monkeypatch):
     monkeypatch.setattr(fm, "materialize", stop)
     with pytest.raises(Seen, match="RepartitionByExpression"):
         fm.forest_scores(spark, "/root/testdata/sf0.001")
+
+
+def test_trees_are_fitted_on_few_partitions(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cr.GBTClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()))
+    rows = spark.range(600).repartition(6).select((F.col("id") % 2).cast("int").alias("default"),
+                                                  array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    cr.train_gbt(rows)
+    monkeypatch.setattr(cr, "FIT_PART_ROWS", 200)
+    cr.train_gbt(rows)
+    assert seen == [1, 3]
+
+
+def test_models_are_compared_side_by_side(spark, monkeypatch):
+    from tallyspark.plans import models as m
+    both, train = threading.Barrier(2, timeout=200), cr.train_gbt
+
+    def together(rows, n_trees):
+        both.wait()
+        return train(rows, n_trees=2)
+
+    monkeypatch.setattr(cr, "train_gbt", together)
+    got = m.m17_model_comparison(spark, "/root/testdata/sf0.001").collect()
+    assert [r.model for r in got] == ["logistic_regression", "gradient_boosted_trees", "gradient_boosted_trees_with_grade"]
+    assert len({r.tp + r.fp + r.fn + r.tn for r in got}) == 1
