@@ -4,10 +4,10 @@ Encoding follows the library's agenda: the best-scored adjacent pair is merged f
 leftmost of equals.  Every candidate taken from the agenda is skipped with probability
 ``dropout``, decided by a keyed hash of (seed, occurrence, word, span): the same call always
 gives the same ids, on any number of tasks and after any retry.  An occurrence's key is a
-hash of its document's key and its position, so every occurrence draws for itself.  What
-follows a set of skipped candidates is the same for every occurrence of a word, so a worker
-computes it once while its cache, bounded in bytes, holds it: occurrences walk from the word's dropout-0 agenda along the candidates they
-skip, and only words with skips not met before are merged.  ``variants`` (default: none) draws
+hash of its document's key and its position, so every occurrence draws for itself.  A
+worker's cache, bounded in bytes, holds every word's ids and agenda without skips: an
+occurrence that skips none of that agenda takes those ids, and the others are merged once
+each, many at a time, drawing as they go.  ``variants`` (default: none) draws
 only that many segmentations of a word.  With ``dropout`` 0 the ids are the library's.
 
 Characters without a piece fall back to byte pieces, also the library's space mark
@@ -36,10 +36,13 @@ from tallyspark.llm.wordio import mix, text_slices
 SPACE = "▁"     # the library's mark for a space
 _RAW_MARK = ""         # no word is empty: stands for a literal U+2581, never leaves the encoder
 CACHE_BYTES = 40_000_000   # of a worker's nodes, checked before every slice
-NODE_BYTES = 400           # of a node besides its ids and spans, about
+NODE_BYTES = 250           # of a node besides its ids and spans, about
 SLICE_BYTES = 1_000_000    # of text encoded at a time
 SHORT = 64             # characters up to which words are merged many at a time
-_NEVER = float("inf")
+MERGE_CELLS = 200_000  # characters of words merged together, about
+_NEVER = 1 << 62       # place on the agenda of what is no candidate
+_COLUMN_BITS = 8       # of a place: the character at which the candidate starts, at most SHORT + 1
+_COLUMN_MASK = (1 << _COLUMN_BITS) - 1
 _M64 = (1 << 64) - 1
 
 _CODECS: dict[tuple, "PieceTable"] = {}
@@ -101,113 +104,127 @@ class PieceCodec(PieceTable):
         self._forget()
 
     def _forget(self) -> None:
-        """Empty the cache: a node for every word and set of skipped steps met so far, with the
-        ids it comes to and what the skip hash sees of its agenda after the last skip."""
-        self.nodes: dict[tuple[int, int] | str, int] = {}   # word, or node and the step it skips next
-        self.node_word: list[str] = []
-        self.node_skips: list[tuple[int, ...]] = []
+        """Empty the cache: a node for every word met so far, with the ids it comes to without
+        skips and what the skip hash sees of its agenda."""
+        self.nodes: dict[str, int] = {}
         self.node_ids: list[bytes] = []
         self.node_spans: list[bytes] = []
+        self.node_salts = np.empty(0, np.uint64)
         self.cached_bytes = 0
 
-    def _shrink(self) -> None:
-        """Keep the nodes of no skip or one, which are met again and again; forget these too
-        once they take more than half of the bound."""
-        kept = [i for i, steps in enumerate(self.node_skips) if len(steps) < 2]
-        size = sum(len(self.node_ids[i]) + len(self.node_spans[i]) + NODE_BYTES for i in kept)
-        if 2 * size > CACHE_BYTES:
-            self._forget()
-            return
-        place = {i: at for at, i in enumerate(kept)}
-        self.nodes = {key if isinstance(key, str) else (place[key[0]], key[1]): place[i]
-                      for key, i in self.nodes.items() if i in place}
-        self.node_word, self.node_skips, self.node_ids, self.node_spans = (
-            [x[i] for i in kept] for x in (self.node_word, self.node_skips, self.node_ids, self.node_spans))
-        self.cached_bytes = size
-
     def _index_pairs(self) -> None:
         """Arrays for many words at once: an id for every character (those without a piece lie
-        above the vocabulary) and, sorted by key, each pair of pieces that joins to a piece."""
+        above the vocabulary) and a hash table (open addressing, at most a quarter full) of
+        the pairs of pieces that join to a piece, with that piece and its place on the agenda."""
         size = len(self.decoded)
         self.char_id = np.arange(size, size + 0x110000, dtype=np.int64)
-        self.width = size + 0x110000
+        self.edge = size + 0x110000  # beside a word: joins with nothing
         for piece, i in self.ids.items():
             if len(piece) == 1:
                 self.char_id[ord(piece)] = i
         part = lambda x: self.ids[x] if x in self.ids else int(self.char_id[ord(x)]) if len(x) == 1 else -1
-        pairs = [(part(p[:k]) * self.width + part(p[k:]), self.rank[p], i) for p, i in self.ids.items()
+        pairs = [(part(p[:k]) * (self.edge + 1) + part(p[k:]), self.rank[p], i) for p, i in self.ids.items()
                  for k in range(1, len(p)) if part(p[:k]) >= 0 and part(p[k:]) >= 0]
-        pairs.sort()
-        self.pair_key = np.array([x[0] for x in pairs] + [1 << 62], dtype=np.int64)
-        self.pair_rank = np.array([x[1] for x in pairs] + [_NEVER])
-        self.pair_id = np.array([x[2] for x in pairs] + [-1], dtype=np.int64)
+        keys = np.array([x[0] for x in pairs], dtype=np.int64)
+        order = np.unique(np.array([x[1] for x in pairs]), return_inverse=True)[1] if pairs else np.empty(0, np.int64)
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.pair_shift, mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.pair_key = np.full(1 << bits, -1, dtype=np.int64)
+        self.pair_order = np.full(1 << bits, _NEVER, dtype=np.int64)
+        self.pair_id = np.full(1 << bits, -1, dtype=np.int64)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.pair_key[slot[left]] < 0]
+            self.pair_key[slot[free]] = keys[free]
+            put = self.pair_key[slot[left]] == keys[left]
+            at = left[put]
+            self.pair_order[slot[at]] = order[at] << _COLUMN_BITS
+            self.pair_id[slot[at]] = [pairs[i][2] for i in at.tolist()]
+            left = left[~put]
+            slot[left] = (slot[left] + 1) & mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.pair_shift).astype(np.int64)
 
     def _offer(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rank, joined piece) of pairs of ids; no candidate: ``_NEVER``."""
-        key = left * self.width + right
-        at = np.searchsorted(self.pair_key, key)
-        known = (self.pair_key[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(known, self.pair_rank[at], _NEVER), self.pair_id[at]
-
-    def _merge_many(self, words: list[str], skips: list[tuple[int, ...]]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of many words of similar length, and the spans (64 bits each) of the candidates
-        taken after the last skip: every word has its agenda in a row of an array, and all take
-        their best candidate together, step by step, but for the steps they skip."""
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        longest = int(lengths.max())
-        cols = np.arange(longest)
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
-        ids = np.full((len(words), longest + 1), -1, dtype=np.int64)
-        ids[:, :longest][cols[None] < lengths[:, None]] = self.char_id[chars]
-        starts = np.minimum(np.arange(longest + 2)[None], lengths[:, None])
-        rank, joined = self._offer(ids[:, :-1], ids[:, 1:])
-        skipped_at: dict[int, list[int]] = {}
-        for i, steps in enumerate(skips):
-            for t in steps:
-                skipped_at.setdefault(t, []).append(i)
-        last = np.array([steps[-1] if steps else -1 for steps in skips], dtype=np.int64)
-        done: list = [None] * len(words)
-        rows = np.arange(len(words))
-        taken, spans, step = [], [], 0
+        """(place on the agenda, joined piece) of pairs of ids; no candidate: ``_NEVER``."""
+        key = left * (self.edge + 1) + right
+        slot = self._slot(key)
+        found = self.pair_key[slot]
+        far = np.flatnonzero((found != key) & (found >= 0))
+        while len(far):  # taken by another pair: the next slot
+            slot[far] = (slot[far] + 1) & (len(self.pair_key) - 1)
+            found[far] = self.pair_key[slot[far]]
+            far = far[(found[far] != key[far]) & (found[far] >= 0)]
+        return self.pair_order[slot], self.pair_id[slot]  # an empty slot holds no candidate
+
+    def _merge_many(self, chars: np.ndarray, first: np.ndarray, lengths: np.ndarray, salts: np.ndarray | None):
+        """Ids of many words of similar length, each ``chars[first:first + length]``.
+
+        Every word is a column of arrays with an edge above and below, a cell for each
+        character: the piece that starts there, the cells of its neighbours, and its
+        candidate with the piece after it.  All words take their best candidate together,
+        step by step, and skip it as their salt says; without salts none is skipped.
+        Returns (ids, starts, sizes, spans, their starts, their sizes), the spans of all
+        candidates taken without salts only.
+        """
+        longest, words = int(lengths.max()), len(lengths)
+        cell = np.arange(longest + 2)[:, None]
+        pieces = np.where((cell > 0) & (cell <= lengths), self.char_id[chars[np.clip(first + cell - 1, 0, len(chars) - 1)]], self.edge)
+        after, before = np.repeat(cell + 1, words, axis=1), np.repeat(cell - 1, words, axis=1)
+        agenda, joined = np.full(pieces.shape, _NEVER, dtype=np.int64), np.full(pieces.shape, -1, dtype=np.int64)
+        agenda[:-1], joined[:-1] = (x.reshape(longest + 1, words) for x in self._offer(pieces[:-1].reshape(-1), pieces[1:].reshape(-1)))
+        agenda |= cell                    # of equal pieces the leftmost
+        rows = np.arange(words)
+        ids, sizes, starts, total = [], np.zeros(words, dtype=np.int64), np.zeros(words, dtype=np.int64), 0
+        taken, spans = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
         while True:
-            best = rank.argmin(axis=1)
-            here = np.arange(len(rows))
-            active = rank[here, best] < _NEVER
-            over = np.flatnonzero(~active)
-            for i, blob in zip(rows[over].tolist(), self._blobs(ids[over])):
-                done[i] = blob
-            if not active.any():
-                break
-            if not active.all():
-                rows, ids, starts, rank, joined, best = (x[active] for x in (rows, ids, starts, rank, joined, best))
-                here = np.arange(len(rows))
-            merge = np.ones(len(rows), dtype=bool)
-            if step in skipped_at:
-                merge[np.searchsorted(rows, skipped_at[step])] = False
-                rank[here[~merge], best[~merge]] = _NEVER
-            if self.limit:
-                new = np.flatnonzero(last[rows] < step)
-                taken.append(rows[new])
-                spans.append(self._span(*(starts[new, best[new] + k].astype(np.uint64) for k in range(3))))
-            step += 1
-            at, k = here[merge], best[merge]
-            if not len(at):
-                continue
-            ids[at, k] = joined[at, k]
-            drop = lambda x, gone: np.take_along_axis(
-                x[at], np.minimum(np.arange(x.shape[1])[None] + (np.arange(x.shape[1])[None] >= gone[:, None]), x.shape[1] - 1), axis=1)
-            ids[at], starts[at] = drop(ids, k + 1), drop(starts, k + 1)
-            rank[at], joined[at] = drop(rank, k), drop(joined, k)
-            rank[at, -1] = _NEVER
-            for where, column in ((np.flatnonzero(k > 0), k - 1), (np.arange(len(at)), k)):
-                r, c = at[where], column[where]
-                rank[r, c], joined[r, c] = self._offer(ids[r, c], ids[r, c + 1])
-        if not taken:
-            return done, [b""] * len(words)
+            best = agenda.min(axis=0)
+            live = best < _NEVER
+            n = int(np.count_nonzero(live))
+            if 4 * n <= 3 * len(rows):  # put out the words that are done
+                done = pieces[1:-1, ~live].T
+                real = (done >= 0) & (done < self.edge)
+                out, count = self._with_bytes(done[real], real.sum(axis=1))
+                sizes[rows[~live]], starts[rows[~live]] = count, total + np.cumsum(count) - count
+                ids.append(out)
+                total += len(out)
+                if not n:
+                    break
+                pieces, after, before, agenda, joined = (np.ascontiguousarray(x[:, live]) for x in (pieces, after, before, agenda, joined))
+                rows, best = rows[live], best[live]
+                salts = salts if salts is None else salts[live]
+                at = np.arange(n)
+            else:
+                at = np.flatnonzero(live)
+            wide = len(rows)
+            piece, following, previous, ranks, joins = (x.reshape(-1) for x in (pieces, after, before, agenda, joined))
+            left = best[at] & _COLUMN_MASK
+            here = left * wide + at
+            right = following[here]
+            end = following[right * wide + at]
+            span = self._span(*((x - 1).astype(np.uint64) for x in (left, right, end)))
+            if salts is None:
+                taken.append(rows[at])
+                spans.append(span)
+            else:
+                skip = self._skipped(salts[at], span)
+                ranks[here[skip]] = _NEVER
+                at, left, here, right, end = (x[~skip] for x in (at, left, here, right, end))
+            gone, beyond = right * wide + at, end * wide + at
+            new = joins[here]
+            piece[here], piece[gone], ranks[gone] = new, -1, _NEVER
+            following[here], previous[beyond] = end, left
+            back = previous[here]
+            behind = back * wide + at
+            order, join = self._offer(np.concatenate([new, piece[behind]]), np.concatenate([piece[beyond], new]))
+            ranks[here], joins[here] = order[:len(at)] | left, join[:len(at)]
+            ranks[behind], joins[behind] = order[len(at):] | back, join[len(at):]
         owner = np.concatenate(taken)
-        raw = np.concatenate(spans)[np.argsort(owner, kind="stable")].tobytes()
-        stops = (np.cumsum(np.bincount(owner, minlength=len(words))) * 8).tolist()
-        return done, [raw[a:b] for a, b in zip([0, *stops], stops)]
+        flat = np.concatenate(spans)[np.argsort(owner, kind="stable")]
+        steps = np.bincount(owner, minlength=words)
+        return np.concatenate(ids), starts, sizes, flat, np.cumsum(steps) - steps, steps
 
     @staticmethod
     def _span(left, right, end):
@@ -223,13 +240,13 @@ class PieceCodec(PieceTable):
             h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
             return ((h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) < np.uint64(self.limit)
 
-    def _merge_long(self, word: str, skips: tuple[int, ...]) -> tuple[bytes, bytes]:
+    def _merge_long(self, word: str, salt: int | None) -> tuple[np.ndarray, np.ndarray]:
         """``_merge_many`` for one word, its agenda a heap: n log n for words of any length."""
         n = len(word)
         pieces: list[str | None] = list(word)
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, int, int]] = []
-        skipped, last, step, taken = set(skips), skips[-1] if skips else -1, -1, []
+        taken = []
 
         def offer(left: int) -> None:
             right = after[left]
@@ -242,11 +259,13 @@ class PieceCodec(PieceTable):
             _, left, right, end = heapq.heappop(agenda)
             if pieces[left] is None or pieces[right] is None or after[left] != right or ends[right] != end:
                 continue  # a side has been merged meanwhile
-            step += 1
-            if self.limit and step > last:
+            if salt is None:
                 taken.append((left, right, end))
-            if step in skipped:
-                continue
+            else:  # ``_skipped`` in whole numbers
+                h = salt ^ (left * 0x165667B19E3779F9 + right * 0xD6E8FEB86659FD93 + end * 0xA0761D6478BD642F) & _M64
+                h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & _M64
+                if ((h ^ (h >> 29)) * 0x9E3779B97F4A7C15 & _M64) >> 32 < self.limit:
+                    continue
             pieces[left], pieces[right], ends[left] = pieces[left] + pieces[right], None, end
             after[left] = after[right]
             if after[left] < n:
@@ -254,95 +273,127 @@ class PieceCodec(PieceTable):
                 offer(left)
             if before[left] >= 0:
                 offer(before[left])
-        blob = self._blobs(np.array([[self.ids[p] if p in self.ids else self.char_id[ord(p)] for p in pieces if p is not None]]))[0]
-        return blob, self._span(*np.array(taken, dtype=np.uint64).T).tobytes() if taken else b""
-
-    def _add(self, keys: list, words: list[str], skips: list[tuple[int, ...]]) -> None:
-        """New nodes: words and the steps they skip."""
-        start = len(self.node_word)
-        self.nodes.update(zip(keys, range(start, start + len(words))))
-        self.node_word += words
-        self.node_skips += skips
-        ids, spans = [b""] * len(words), [b""] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, word in enumerate(words):
-            if word == _RAW_MARK:
-                ids[i] = self._literal_mark()
+        ids = np.array([self.ids[p] if p in self.ids else self.char_id[ord(p)] for p in pieces if p is not None], dtype=np.int64)
+        return (self._with_bytes(ids, np.array([len(ids)]))[0],
+                self._span(*np.array(taken, dtype=np.uint64).T) if taken else np.empty(0, np.uint64))
+
+    def _merge(self, words: list[str], codes: np.ndarray, salts: np.ndarray | None):
+        """(ids, starts, sizes, spans, their starts, their sizes) of the occurrences ``words[code]``."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        first = np.cumsum(lengths) - lengths
+        quarter = ((lengths + 3) // 4)[codes]
+        order = np.argsort(quarter, kind="stable")
+        bounds = np.flatnonzero(np.diff(quarter[order], prepend=-1))
+        flat, spans = [np.empty(0, np.uint32)], [np.empty(0, np.uint64)]
+        starts, sizes, span_starts, span_sizes = (np.zeros(len(codes), dtype=np.int64) for _ in range(4))
+        total, span_total = 0, 0
+
+        def put(at, found) -> None:
+            nonlocal total, span_total
+            ids, a, n, span, b, m = found
+            starts[at], sizes[at], span_starts[at], span_sizes[at] = a + total, n, b + span_total, m
+            flat.append(ids)
+            spans.append(span)
+            total, span_total = total + len(ids), span_total + len(span)
+
+        for low, high in zip(bounds.tolist(), [*bounds[1:].tolist(), len(order)]):
+            longest = 4 * int(quarter[order[low]])
+            if not longest:
+                continue  # the literal mark
+            if longest <= SHORT:
+                step = max(500, MERGE_CELLS // longest)
+                for a in range(low, high, step):
+                    at = order[a:min(a + step, high)]
+                    put(at, self._merge_many(chars, first[codes[at]], lengths[codes[at]], salts if salts is None else salts[at]))
             else:
-                by_length.setdefault((len(word) + 3) // 4, []).append(i)
-        for quarter, at in by_length.items():
-            for a in range(0, len(at), 8_000):
-                part = at[a:a + 8_000]
-                if quarter * 4 <= SHORT:
-                    found = zip(*self._merge_many([words[i] for i in part], [skips[i] for i in part]))
-                else:
-                    found = (self._merge_long(words[i], skips[i]) for i in part)
-                for i, (blob, taken) in zip(part, found):
-                    ids[i], spans[i] = blob, taken
+                for i in order[low:high].tolist():
+                    ids, span = self._merge_long(words[codes[i]], salts if salts is None else int(salts[i]))
+                    put(i, (ids, 0, len(ids), span, 0, len(span)))
+        return np.concatenate(flat), starts, sizes, np.concatenate(spans), span_starts, span_sizes
+
+    def _add(self, words: list[str]) -> None:
+        """New nodes for words."""
+        start = len(self.node_ids)
+        self.nodes.update(zip(words, range(start, start + len(words))))
+        if not words:
+            return
+        flat, starts, sizes, spans, span_starts, span_sizes = self._merge(words, np.arange(len(words)), None)
+        raw, seen = flat.tobytes(), spans.tobytes() if self.limit else b""
+        ids = [raw[4 * a:4 * (a + n)] for a, n in zip(starts.tolist(), sizes.tolist())]
+        if _RAW_MARK in words:
+            ids[words.index(_RAW_MARK)] = self._literal_mark()
+        found = [seen[8 * a:8 * (a + n)] for a, n in zip(span_starts.tolist(), span_sizes.tolist())]
+        if _RAW_MARK in words:
+            found[words.index(_RAW_MARK)] = b""
         self.node_ids += ids
-        self.node_spans += spans
-        self.cached_bytes += sum(map(len, ids)) + sum(map(len, spans)) + NODE_BYTES * len(words)
+        self.node_spans += found
+        salts = np.fromiter((xxhash.xxh64_intdigest(w, self.seed & _M64) for w in words), dtype=np.uint64, count=len(words))
+        self.node_salts = np.concatenate([self.node_salts, salts])
+        self.cached_bytes += sum(map(len, ids)) + sum(map(len, found)) + NODE_BYTES * len(words)
 
     def _settle(self, words: list[str], codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """The node of every occurrence: ``words[code]`` under its key."""
+        """The node of every occurrence, ``words[code]`` under its key.  ``self.roots`` has the
+        nodes of ``words``; numbers above all nodes stand for the occurrences that skip
+        candidates, whose ids are (ids, starts, sizes) in ``self.drawn``."""
         if self.cached_bytes > CACHE_BYTES:
-            self._shrink()
-        new = [w for w in words if w not in self.nodes]
-        self._add(new, new, [()] * len(new))
-        roots = np.fromiter((self.nodes[w] for w in words), dtype=np.int64, count=len(words))
-        node = roots[codes]
-        if not self.limit:
+            self._forget()
+        known = map(self.nodes.get, words)
+        self._add([w for w, node in zip(words, known) if node is None])
+        self.roots = np.fromiter(map(self.nodes.__getitem__, words), dtype=np.int64, count=len(words))
+        self.drawn = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        node = self.roots[codes]
+        if not self.limit or not len(node):
             return node
         with np.errstate(over="ignore"):
-            salts = (np.fromiter((xxhash.xxh64_intdigest(w, self.seed & _M64) for w in words), dtype=np.uint64, count=len(words))[codes]
-                     + keys.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        walking = np.arange(len(node))
-        while len(walking):
-            found, steps = [], []
-            for a in range(0, len(walking), 50_000):
-                part = walking[a:a + 50_000]
-                used, which = np.unique(node[part], return_inverse=True)
-                flat, starts, sizes = _joined([self.node_spans[i] for i in used.tolist()], np.uint64)
-                ends = np.cumsum(sizes[which])
-                firsts = ends - sizes[which]
-                owner = np.repeat(np.arange(len(part)), sizes[which])
-                at = np.arange(len(owner)) - firsts[owner]
-                hit = np.flatnonzero(self._skipped(salts[part][owner], flat[starts[which][owner] + at]))
-                hit = hit[np.diff(owner[hit], prepend=-1) != 0]        # the first skip of each
-                found.append(part[owner[hit]])
-                steps.append(at[hit])
-            walking, step = np.concatenate(found), np.concatenate(steps)
-            if not len(walking):
-                break
-            longest = int(step.max()) + 1
-            pairs, which = np.unique(node[walking] * longest + step, return_inverse=True)
-            children = list(zip(*(x.tolist() for x in np.divmod(pairs, longest))))
-            new = [x for x in children if x not in self.nodes]
-            skips = []
-            for parent, k in new:
-                before = self.node_skips[parent]
-                skips.append((*before, (before[-1] + 1 if before else 0) + k))
-            self._add(new, [self.node_word[parent] for parent, _ in new], skips)
-            node[walking] = np.fromiter((self.nodes[x] for x in children), dtype=np.int64, count=len(children))[which]
+            salts = self.node_salts[node] + keys.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        flat, starts, sizes = _joined([self.node_spans[i] for i in self.roots.tolist()], np.uint64)
+        skips = np.zeros(len(node), dtype=bool)
+        for a in range(0, len(node), 50_000):
+            code = codes[a:a + 50_000]
+            steps = sizes[code]
+            ends = np.cumsum(steps)
+            source = np.repeat(starts[code] - (ends - steps), steps) + np.arange(int(ends[-1]))
+            hit = self._skipped(np.repeat(salts[a:a + 50_000], steps), flat[source])
+            skips[a + np.searchsorted(ends, np.flatnonzero(hit), side="right")] = True
+        rows = np.flatnonzero(skips)
+        if len(rows):
+            node[rows] = len(self.node_ids) + np.arange(len(rows))
+            self.drawn = self._merge(words, codes[rows], salts[rows])[:3]
         return node
 
+    def _ids(self, words: list[str], codes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, sizes): where the ids of every occurrence start, and how many they are."""
+        node = self._settle(words, codes, keys)
+        flat, starts, sizes = _joined([self.node_ids[i] for i in self.roots.tolist()], np.uint32)
+        starts, sizes = starts[codes], sizes[codes]
+        rows = np.flatnonzero(node >= len(self.node_ids))
+        drawn, at, n = self.drawn
+        starts[rows], sizes[rows] = at + len(flat), n
+        return np.concatenate([flat, drawn]), starts, sizes
+
     def segments(self, words: list[str], keys: list[int]) -> list[bytes]:
         """Ids (native 32-bit integers) of words, each under its key."""
         vocabulary = list(dict.fromkeys(words))
         code = {w: i for i, w in enumerate(vocabulary)}
-        codes = np.array([code[w] for w in words], dtype=np.int64)
-        return [self.node_ids[i] for i in self._settle(vocabulary, codes, np.array(keys, dtype=np.uint64)).tolist()]
-
-    def _blobs(self, ids: np.ndarray) -> list[bytes]:
-        """Each row's ids (negative: none) as 32-bit integers; characters without a piece become their bytes."""
-        real, size = ids >= 0, len(self.decoded)
-        stops = (np.cumsum(real.sum(axis=1)) * 4).tolist()
-        raw = ids[real].astype(np.uint32).tobytes()
-        blobs = [raw[a:b] for a, b in zip([0, *stops], stops)]
-        for i in np.flatnonzero((ids >= size).any(axis=1)).tolist():
-            row = ids[i][real[i]].tolist()
-            blobs[i] = array("I", [x for y in row for x in ([y] if y < size else [self.byte_ids[b] for b in chr(y - size).encode()])]).tobytes()
-        return blobs
+        flat, starts, sizes = self._ids(vocabulary, np.array([code[w] for w in words], dtype=np.int64), np.array(keys, dtype=np.uint64))
+        return [flat[a:a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist())]
+
+    def _with_bytes(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of rows of these sizes with characters without a piece as their bytes, and the sizes then."""
+        size = len(self.decoded)
+        bare = np.flatnonzero(ids >= size)
+        if not len(bare):
+            return ids.astype(np.uint32), sizes
+        char = ids[bare] - size
+        n = np.ones(len(ids), dtype=np.int64)
+        n[bare] += (char >= 0x80).astype(np.int64) + (char >= 0x800) + (char >= 0x10000)
+        out = np.repeat(ids, n)
+        raw = np.frombuffer(char.astype("<u4").tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
+        out[np.repeat(ids >= size, n)] = np.array(self.byte_ids, dtype=np.int64)[raw]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ends = np.cumsum(sizes)
+        return out.astype(np.uint32), upto[ends] - upto[ends - sizes]
 
     def _literal_mark(self) -> bytes:
         return array("I", [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
@@ -368,11 +419,9 @@ class PieceCodec(PieceTable):
             drawn = mix(np.repeat(keys, counts) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         if self.variants:
             drawn %= np.uint64(self.variants)
-        used, which = np.unique(self._settle(vocabulary, codes.astype(np.int64), drawn), return_inverse=True)
-        flat, starts, sizes = _joined([self.node_ids[i] for i in used.tolist()], np.uint32)
-        lengths = sizes[which]
+        flat, starts, lengths = self._ids(vocabulary, codes.astype(np.int64), drawn)
         ends = np.cumsum(lengths)
-        source = np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+        source = np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
         return np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])], flat[source]
 
 

@@ -187,6 +187,17 @@ def test_skips_equal_a_plain_agenda_whatever_the_cache_holds(texts, monkeypatch,
         assert got == [_plain_agenda(codec, w, k) for w, k in zip(words, keys)]
 
 
+def test_an_occurrence_is_merged_once_however_much_it_skips(monkeypatch):
+    with open(tokenizer_path(PIECE_BPE), "rb") as f:
+        codec = piece_dropout.PieceCodec(f.read(), seed=3, dropout=0.3)
+    rng = random.Random(1)
+    words = sorted({"".join(rng.choice("\u2581abcdeontih") for _ in range(24)) for _ in range(300)})
+    merged, merge = [], codec._merge_many
+    monkeypatch.setattr(codec, "_merge_many", lambda *args: merged.append(len(args[1])) or merge(*args))
+    codec.segments(words, list(range(len(words))))
+    assert len(words) <= sum(merged) <= 2 * len(words)       # once without skips, once with its own
+
+
 def test_any_text_decodes_to_itself():
     with open(tokenizer_path(PIECE_BPE), "rb") as f:
         codec = piece_dropout.PieceCodec(f.read(), seed=2, dropout=0.3)
