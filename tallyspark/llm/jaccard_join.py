@@ -54,6 +54,7 @@ COMMON_AT = 4         # sampled classes that hold a common shingle
 SMALL = 8             # members of a key up to which they are paired by a join
 BLOCK_ROWS = 2_000    # members of a key that a task compares with as many others
 BLOCK_SHINGLES = 2_000_000  # shingles of these members (16 MB)
+COMPARE_WORDS = 1_000_000   # 64-bit words of sketches compared at a time (8 MB)
 MAX_COMMON = 1 << 17  # common shingles at most (1 MB, broadcast)
 CLASS = ["n", "d1", "d2"]
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -306,25 +307,31 @@ def _near_members(open_keys: DataFrame, names: DataFrame, num: int, den: int) ->
         sketches = np.stack([np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in words])
         n, d1, part = g["n"].to_numpy(), g["d1"].to_numpy(), g["mine"].to_numpy()
         component, is_main = g["component"].to_numpy(), (g["component"] == g["main"]).to_numpy()
-        keys_of, key_sets = g["keys"].to_numpy(), {}
+        # the smaller keys of each member, as numbers: a pair belongs to its smallest common key
+        flat = np.concatenate(g["keys"].to_list())
+        smaller = flat < key
+        stops = np.concatenate([[0], np.cumsum(smaller)])[np.cumsum([len(k) for k in g["keys"]])].tolist()
+        names, codes = np.unique(flat[smaller], return_inverse=True)
+        below = [codes[start:stop] for start, stop in zip([0, *stops], stops)]
+        marked = np.zeros(len(names), dtype=bool)
         found: dict[int, list[int]] = {}
         minor = np.flatnonzero(~is_main)
-        for at in range(0, len(minor), 32):
-            x = minor[at:at + 32]
+        step = max(1, COMPARE_WORDS // sketches.size)
+        for at in range(0, len(minor), step):
+            x = minor[at:at + step]
             differ = np.bitwise_count(sketches[x][:, None, :] ^ sketches[None]).sum(axis=2)
             near = differ <= largest_difference(n[x][:, None], n[None], num, den)
             near &= component[x][:, None] != component[None]
             near &= (d1[x][:, None] < d1[None]) | is_main[None]
             if a != b:
                 near &= part[x][:, None] != part[None]
-            for i, y in zip(*(v.tolist() for v in np.nonzero(near))):
-                i = int(x[i])
-                for j in (i, y):
-                    if j not in key_sets:
-                        key_sets[j] = set(keys_of[j].tolist())
-                if min(key_sets[i] & key_sets[y]) == key:
-                    found.setdefault(i, []).append(int(d1[y]))
-                    found.setdefault(y, [])
+            for i, others in zip(x.tolist(), near):
+                marked[below[i]] = True
+                for y in np.flatnonzero(others).tolist():
+                    if not marked[below[y]].any():
+                        found.setdefault(i, []).append(int(d1[y]))
+                        found.setdefault(y, [])
+                marked[below[i]] = False
         rows = list(found)
         return pd.DataFrame({"block": f"{key} {a} {b}", "d1": d1[rows], "cid": g["cid"].to_numpy()[rows],
                              "component": component[rows], "near": pd.Series(list(found.values()), dtype=object)})

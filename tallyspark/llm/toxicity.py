@@ -120,8 +120,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
                                                  names=["t_id", "y", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(np.frombuffer(f, dtype=np.int32), y) for batch in batches
-                for y, f in zip(batch.column("y").to_pylist(), batch.column("features").to_pylist())]
+        rows = [(np.frombuffer(f.as_buffer(), dtype=np.int32), y) for batch in batches  # views of the batches
+                for y, f in zip(batch.column("y").to_pylist(), batch.column("features"))]
         if not rows:
             return
         bias, features, weights = fit(rows, bits)

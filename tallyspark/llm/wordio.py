@@ -7,8 +7,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many characters, so memory stays bounded
-#: by one slice (or by the longest single text).
-SLICE_CHARS = 16_000_000
+#: by one slice (or by the longest single text): word codes, hashes and their temporaries take
+#: some twenty times a slice.
+SLICE_CHARS = 3_000_000
 
 
 def text_slices(texts: pa.Array, limit: int = SLICE_CHARS):

@@ -222,6 +222,25 @@ def test_line_runs_equal_sql_on_random_pools(spark):
     assert got[2] == (2, "") and got == want
 
 
+# ---- 10 memory of a task ----------------------------------------------------------
+def test_a_task_holds_little_more_than_its_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tallyspark.llm.wordio import text_slices
+
+    rng = np.random.default_rng(0)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 5000, 20_000).tolist()) for _ in range(120)])  # 14 MB
+    tracemalloc.start()
+    for start, stop in text_slices(texts):
+        for _ in jaccard_join.shingle_sets(texts.slice(start, stop - start), 4):
+            pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
+
+
 # ---- 5 html ------------------------------------------------------------------------
 def test_run_ranks_and_cover_equal_brute_force():
     rng = np.random.default_rng(0)
