@@ -5,19 +5,21 @@
    notices, comments, by element name or by class/id/role words), *article* (inside
    ``article`` or ``main``) or *open* (neither).  Scripts, styles, comments of the markup and the like give
    no text.  Character references are decoded, white space inside a block becomes one space.
-2. The pages of a host are dealt by hash to groups of about ``GROUP_CHARS`` characters, so
-   a host with a third of all pages is many groups.  A group's blocks are concatenated as
+2. A host of up to ``GROUP_CHARS`` characters is one task: its blocks are concatenated as
    one word stream with a unique separator after each block; prefix doubling sorts its
    suffixes by their first ``RUN`` words, and equal runs on distinct pages are the
-   repeated substrings; overlapping runs join to long ones.
+   repeated substrings; overlapping runs join to long ones.  On a larger host the runs, as
+   64-bit hashes, are dealt by hash to buckets instead, each a task that finds the runs of
+   several pages; copies, templates and site notices are then counted over the whole host by
+   joins, and the runs that count go back to the pages.  Both ways give the same texts.
 3. Words that such runs cover are boilerplate candidates.  Pages that share most of their
    article, or without article most of their open text, (copies) count as one page, so copies
-   do not make each other's text boilerplate.  Open runs of more than half of the group's
+   do not make each other's text boilerplate.  Open runs of more than half of the host's
    pages (four at least) are a template and do not make copies, unless they are nearly all of
    a page; pages of equal open text are one page before any of this is counted.
    On a page without article the open blocks are its text, less those covered by more than
    half.  An article block goes if every word is covered by runs that stand in chrome on
-   more than half of the group's pages (four at least): a notice of the whole site.  Passages
+   more than half of the host's pages (four at least): a notice of the whole site.  Passages
    that articles share, or that a few pages also show as advert, stay.  Chrome is never kept.
 
 Results for odd input: null html gives the empty text; unclosed and truncated markup is read
@@ -30,18 +32,25 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import is_broadcastable, write_table
+from tallyspark.llm.components import connected_components
+from tallyspark.llm.wordio import mix, text_slices, word_hashes
 
 RUN = 8                    # words of the shortest repeated substring that counts
 SITE_PAGES = 4             # least pages that show a run as chrome before it counts as the site's
-GROUP_CHARS = 2_000_000    # characters of html a group of pages holds, about
+GROUP_CHARS = 2_000_000    # characters of html of the largest host that is one task
+BUCKET_GROUPS = 10         # a bucket of a larger host has the runs of so many times these characters, about
+SLICE_BYTES = 2_000_000    # of html cut into runs at a time
 
 # Fixed values of HTML: elements by what they mean for the text.
 _NO_TEXT = frozenset("script style noscript template svg math iframe object canvas audio video head title textarea select option button datalist".split())
@@ -273,26 +282,244 @@ def extract_group(blocks_of: list[list[tuple[int, str]]], run: int = RUN) -> lis
 
 
 def _extract(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["page_id", "url"], na_position="last", kind="stable")
+    group = group.sort_values(["page_id", "tie"], na_position="last", kind="stable")
     texts = extract_group([page_blocks(h) for h in group["html"]])
     return pd.DataFrame({"page_id": group["page_id"].to_numpy(), "url": group["url"].to_numpy(), "text": texts,
                          "n_chars": np.array([len(t) for t in texts], dtype=np.int64)})
 
 
+# ---- hosts of more than a task: runs as hashes, counted over the host by joins ----------
+_SEGMENT = np.dtype([("tie", "<i8"), ("kind", "u1"), ("n", "<u4")])   # a page's runs of a kind in a bucket
+#: Kinds: text of an article, chrome, open text beside an article, open text of a page without one.
+IN_ARTICLE, IN_CHROME, BESIDE, ALONE = range(4)
+_IS_CONTENT = np.array([True, False, False, True])   # what may be kept
+_LOW = np.uint64((1 << 48) - 1)
+_RUNS_SCHEMA = "host string, bucket long, tie long, page_id long, articled boolean, n long, digest binary, segments binary, runs binary"
+_FOUND_SCHEMA = "host string, tie long, page_id long, articled boolean, n long, digest binary, run long, chrome boolean, wanted boolean"
+
+
+def _stream(pages: list[list[tuple[int, str]]], run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The word stream of pages' blocks: hash of the run at each word, whether a run starts
+    there, and per block its page and first word (in order of blocks, one more at the end)."""
+    words = [text.split() for blocks in pages for _, text in blocks]
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    coded = pa.array([w for found in words for w in found], pa.string()).dictionary_encode()
+    hashes = word_hashes(coded.dictionary.to_numpy(zero_copy_only=False))[coded.indices.to_numpy(zero_copy_only=False)]
+    with np.errstate(over="ignore"):
+        value = hashes.copy()
+        for j in range(1, min(run, len(hashes))):
+            value[:len(hashes) - j] = value[:len(hashes) - j] * np.uint64(0x9FB21C651E98DF25) + mix(hashes[j:] + np.uint64(j))
+        value = mix(value)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    left = np.repeat(first[1:], sizes) - np.arange(len(value))
+    return value, left >= run, np.repeat(np.arange(len(pages)), [len(b) for b in pages]), first
+
+
+def _run_numbers(value: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, 48 bits) of run hashes: the bucket comes from the other 16."""
+    return ((value >> np.uint64(48)).astype(np.int64) * buckets) >> 16, (value & _LOW).astype(np.int64)
+
+
+def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of pages (tie, page_id, whether it has an article, content runs, digest of the text
+    outside chrome) and, per slice, host and bucket, their runs: 48 bits each, by page and kind."""
+    names = [c.split()[0] for c in _RUNS_SCHEMA.split(", ")]
+    kinds = [pa.string(), *[pa.int64()] * 3, pa.bool_(), pa.int64(), *[pa.binary()] * 3]
+    for batch in batches:
+        for start, stop in text_slices(batch.column("html"), SLICE_BYTES):
+            part = batch.slice(start, stop - start)
+            blocks_of = [page_blocks(h) for h in part.column("html").to_pylist()]
+            hosts, ties, ids = (part.column(c).to_pylist() for c in ("host", "tie", "page_id"))
+            tie, buckets = np.array(ties, dtype=np.int64), np.array(part.column("buckets").to_pylist(), dtype=np.int64)
+            articled = np.array([any(z == ARTICLE for z, _ in b) for b in blocks_of], dtype=bool)
+            value, starts, page_of, first = _stream(blocks_of)
+            sizes = np.diff(first)
+            zone = np.array([z for b in blocks_of for z, _ in b], dtype=np.int64)
+            kind = np.where(zone == CHROME, IN_CHROME, np.where(zone == ARTICLE, IN_ARTICLE, np.where(articled[page_of], BESIDE, ALONE)))
+            page, kind, value = np.repeat(page_of, sizes)[starts], np.repeat(kind, sizes)[starts], value[starts]
+            content = np.bincount(page[_IS_CONTENT[kind]], minlength=len(ties))
+            digests = [xxhash.xxh128_digest("\n".join(f"{z}{t}" for z, t in b if z != CHROME)) if any(z != CHROME for z, _ in b) else None
+                       for b in blocks_of]
+            rows = [(h, t % n, t, i, a, c, d, None, None)
+                    for h, t, i, a, c, d, n in zip(hosts, ties, ids, articled.tolist(), content.tolist(), digests, buckets.tolist())]
+            bucket, low = _run_numbers(value, buckets[page])
+            coded = part.column("host").dictionary_encode()
+            host = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[page]
+            group = host * (int(buckets.max()) + 1) + bucket
+            inner = page * 4 + kind
+            order = np.argsort(group * (4 * len(ties)) + inner, kind="stable")
+            group, inner = group[order], inner[order]
+            raw = np.ascontiguousarray(low[order]).view(np.uint8).reshape(-1, 8)[:, :6]
+            at = np.flatnonzero((np.diff(group, prepend=-1) != 0) | (np.diff(inner, prepend=-1) != 0))
+            segments = np.empty(len(at), dtype=_SEGMENT)
+            segments["tie"], segments["kind"], segments["n"] = tie[inner[at] // 4], inner[at] % 4, np.diff(np.append(at, len(group)))
+            new = np.flatnonzero(np.diff(group[at], prepend=-1) != 0)
+            for a, b in zip(new.tolist(), [*new[1:].tolist(), len(at)]):
+                low_at, high_at = int(at[a]), int(at[b]) if b < len(at) else len(group)
+                number = int(group[low_at])
+                rows.append((coded.dictionary[number // (int(buckets.max()) + 1)].as_py(), number % (int(buckets.max()) + 1),
+                             None, None, None, None, None, segments[a:b].tobytes(), raw[low_at:high_at].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+def _shared_runs(g: pa.Table) -> pa.Table:
+    """The pages of a bucket as they are, and its runs that stand on several pages, on one of
+    them as content: a row for each page, ``n`` times as content and whether in chrome.  Runs
+    neither in chrome nor on a page without article (not ``wanted``) matter for copies only."""
+    host, bucket = g["host"][0].as_py(), g["bucket"][0].as_py()
+    of_page = pc.is_null(g["segments"])
+    schema = pa.schema([("host", pa.string()), ("tie", pa.int64()), ("page_id", pa.int64()), ("articled", pa.bool_()), ("n", pa.int64()),
+                        ("digest", pa.binary()), ("run", pa.int64()), ("chrome", pa.bool_()), ("wanted", pa.bool_())])
+
+    def table(n: int, columns: dict) -> pa.Table:
+        return pa.table([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    mine = g.filter(of_page)
+    pages = table(mine.num_rows, {c: mine[c] for c in schema.names[:6]})
+    g = g.filter(pc.invert(of_page))
+    segments = np.frombuffer(b"".join(g["segments"].to_pylist()), dtype=_SEGMENT)
+    raw = np.frombuffer(b"".join(g["runs"].to_pylist()), dtype=np.uint8).reshape(-1, 6)
+    low = np.zeros((len(raw), 8), dtype=np.uint8)
+    low[:, :6] = raw
+    low = low.view(np.int64).reshape(-1)
+    if not len(low):
+        return pages
+    # repeated rows: each page's runs of a kind once
+    ties, page = np.unique(segments["tie"], return_inverse=True)
+    once = np.zeros(len(segments), dtype=bool)
+    once[np.unique(page * 4 + segments["kind"], return_index=True)[1]] = True
+    owner = np.repeat(np.arange(len(segments)), segments["n"])
+    order = np.argsort(low, kind="stable")
+    order = order[once[owner[order]]]
+    new = np.diff(low[order], prepend=-1) != 0
+    several = np.diff(np.append(np.flatnonzero(new), len(order))) > 1
+    order = order[np.repeat(several, np.diff(np.append(np.flatnonzero(new), len(order))))]
+    if not len(order):
+        return pages
+    order = order[np.lexsort((page[owner[order]], low[order]))]
+    run, at, kind = low[order], page[owner[order]], segments["kind"][owner[order]]
+    new_run = np.diff(run, prepend=-1) != 0
+    first = np.flatnonzero(new_run | (np.diff(at, prepend=-1) != 0))     # of each run and page
+    n = np.add.reduceat(_IS_CONTENT[kind].astype(np.int64), first)
+    chrome = np.add.reduceat((kind == IN_CHROME).astype(np.int64), first) > 0
+    run_at = np.flatnonzero(new_run[first])
+    pages_of = np.diff(np.append(run_at, len(first)))
+    wanted = np.repeat(np.add.reduceat(((kind == IN_CHROME) | (kind == ALONE)).astype(np.int64), first[run_at]) > 0, pages_of)
+    keep = np.repeat((pages_of > 1) & (np.add.reduceat(n, run_at) > 0), pages_of)
+    first = first[keep]
+    runs = table(len(first), {"host": pa.array([host] * len(first), pa.string()), "tie": pa.array(ties[at[first]], pa.int64()),
+                              "n": pa.array(n[keep], pa.int64()), "run": pa.array((bucket << 48) | run[first], pa.int64()),
+                              "chrome": pa.array(chrome[keep], pa.bool_()), "wanted": pa.array(wanted[keep], pa.bool_())})
+    return pa.concat_tables([pages, runs])
+
+
+def _class_links(pages: DataFrame, runs: DataFrame, totals: DataFrame) -> DataFrame:
+    """(a, b): pages of distinct text and the earlier page that most of their content runs first
+    stand on.  Open runs that most pages show are a template, which counts only where nearly
+    all of a page stands on the earlier one."""
+    place = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "tie")
+    rows = (runs.where("n > 0").select("host", "run", "tie", "n")
+            .join(pages.where("tie = same").select("tie", "page_id", "articled", F.col("n").alias("runs")), "tie")
+            .withColumn("place", place))
+    shown = (rows.groupBy("host", "run").agg(F.count("*").alias("shown"), F.min("place").alias("first"),
+                                             F.min(F.when(F.col("articled"), F.col("place"))).alias("first_article"))
+             .where("shown > 1").join(F.broadcast(totals), "host")
+             .select("host", "run", "first", "first_article", ((F.col("shown") >= SITE_PAGES) & (2 * F.col("shown") > F.col("texts"))).alias("template")))
+    rows = write_table(rows.join(shown, ["host", "run"])
+                       .withColumn("skipped", F.col("template") & ~F.col("articled"))
+                       .withColumn("first_other", F.when(F.col("template"), F.col("first_article")).otherwise(F.col("first"))), "shown")
+    skipped = rows.where("skipped").groupBy("tie").agg(F.sum("n").alias("of_template"))
+    most = (rows.where("NOT skipped AND first_other.tie <> tie").groupBy("tie", F.col("first_other").alias("other"))
+            .agg(F.sum("n").alias("n"), F.first("runs").alias("runs")).join(skipped, "tie", "left")
+            .where(2 * F.col("n") > F.col("runs") - F.coalesce("of_template", F.lit(0))))
+    nearly = (rows.where("NOT articled AND first.tie <> tie").groupBy("tie", F.col("first").alias("other"))
+              .agg(F.sum("n").alias("n"), F.first("runs").alias("runs")).where("8 * n > 7 * runs"))
+    return (most.select("tie", "other").union(nearly.select("tie", "other")).groupBy("tie").agg(F.min("other").alias("other"))
+            .select(F.col("tie").alias("a"), F.col("other.tie").alias("b")))
+
+
+def _large_hosts(rows: DataFrame) -> DataFrame:
+    """``extract_pages`` of rows with their host's number of buckets."""
+    found = write_table(rows.select("host", "buckets", "tie", "page_id", "html").mapInArrow(_page_runs, _RUNS_SCHEMA)
+                        .groupBy("host", "bucket").applyInArrow(_shared_runs, _FOUND_SCHEMA), "runs")
+    runs = found.where("run IS NOT NULL").select("host", "run", "tie", "n")
+    wanted = found.where("run IS NOT NULL AND wanted").select("host", "run", "tie", "n", "chrome")
+    pages = (found.where("run IS NULL").groupBy("host", "tie")
+             .agg(*(F.first(c).alias(c) for c in ("page_id", "articled", "n", "digest")), F.count("*").alias("rows")))
+    # pages of equal text outside chrome are one text; a page with none is a text for each of its rows
+    place = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "tie")
+    texts = pages.where("digest IS NOT NULL").groupBy("host", "digest").agg(F.min(place).alias("first"))
+    pages = write_table(pages.join(texts, ["host", "digest"], "left").select(
+        "host", "tie", "page_id", "articled", "n", F.coalesce("first.tie", "tie").alias("same"),
+        F.when(F.col("digest").isNull(), F.col("rows")).otherwise(1).alias("weight")), "pages")
+    totals = pages.where("tie = same").groupBy("host").agg(F.sum("weight").alias("texts"))
+    links = write_table(_class_links(pages, runs, totals), "copies")
+    classes = pages.select("host", "tie", "articled", F.col("same").alias("class"), "weight")
+    if not links.isEmpty():
+        labels = connected_components(links)
+        classes = (classes.join(labels, F.col("class") == F.col("id"), "left")
+                   .select("host", "tie", "articled", F.coalesce("component", "class").alias("class"), "weight"))
+    classes = write_table(classes, "classes")
+    counts = classes.select("host", "class", "weight").distinct().groupBy("host").agg(F.sum("weight").alias("classes"))
+    marks = (wanted.join(classes.select("tie", "class", "weight"), "tie").groupBy("host", "run", "class", "weight")
+             .agg(F.max("chrome").alias("chrome")).groupBy("host", "run")
+             .agg(F.sum("weight").alias("shown"), F.sum(F.when(F.col("chrome"), F.col("weight")).otherwise(0)).alias("in_chrome")))
+    marks = write_table(marks.join(F.broadcast(counts), "host").select(
+        "host", "run", (F.col("shown") > 1).alias("repeated"),
+        ((F.col("in_chrome") >= SITE_PAGES) & (2 * F.col("in_chrome") > F.col("classes"))).alias("furniture")), "marks")
+    # a host's site runs: at most twice what chrome of a page holds
+    furniture = marks.where("furniture").groupBy(F.col("host").alias("h")).agg(F.collect_list("run").alias("furniture"))
+    repeated = write_table(wanted.where("n > 0").join(classes.where("NOT articled").select("tie"), "tie")
+                           .join(marks.where("repeated").select("host", "run"), ["host", "run"])
+                           .groupBy(F.col("tie").alias("t")).agg(F.collect_list("run").alias("repeated")), "repeated")
+    size = repeated.agg(F.coalesce(F.sum(F.size("repeated")), F.lit(0))).first()[0]
+    few = F.broadcast(repeated) if is_broadcastable(size) else repeated
+    marked = (rows.join(F.broadcast(furniture), F.col("host") == F.col("h"), "left").join(few, F.col("tie") == F.col("t"), "left")
+              .select("page_id", "url", "html", "buckets", "furniture", "repeated"))
+    return marked.mapInArrow(_marked_texts, "page_id long, url string, text string, n_chars long")
+
+
+def _marked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Main texts of pages with the site runs of their host and their own repeated runs."""
+    for batch in batches:
+        for start, stop in text_slices(batch.column("html"), SLICE_BYTES):
+            part = batch.slice(start, stop - start)
+            texts = [_marked_text(page_blocks(h), *marks) for h, *marks in zip(
+                *(part.column(c).to_pylist() for c in ("html", "buckets", "furniture", "repeated")))]
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
+                                              pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+
+def _marked_text(blocks: list[tuple[int, str]], buckets: int, furniture: list[int] | None, repeated: list[int] | None) -> str:
+    articled = any(z == ARTICLE for z, _ in blocks)
+    zone, marks = (ARTICLE, furniture) if articled else (OPEN, repeated)
+    if not marks or not blocks:
+        return "\n".join(t for z, t in blocks if z == zone)
+    value, starts, _, first = _stream([blocks])
+    bucket, low = _run_numbers(value, np.int64(buckets))
+    starts &= np.isin((bucket << 48) | low, np.array(marks, dtype=np.int64))
+    upto = np.cumsum(np.append(0, covered(starts)))
+    hidden, length = (np.diff(x).tolist() for x in (upto[first], first))
+    return "\n".join(t for (z, t), n, m in zip(blocks, hidden, length) if z == zone and (n < m if articled else 2 * n <= m))
+
+
 def extract_pages(pages: DataFrame, group_chars: int = GROUP_CHARS) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages(page_id, url, html)``.
 
-    One task holds one group: about ``group_chars`` characters of html, or a single longer page.
+    One task holds one host of up to ``group_chars`` characters of html, or a bucket of the runs
+    of a larger one; the texts are the same either way.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    sizes = (rows.groupBy("host").agg(F.sum(F.length("html").cast("long")).alias("chars"))
-             .select(F.col("host").alias("h"), F.ceil(F.col("chars") / group_chars).alias("groups")).where("groups > 1"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+    rows = rows.withColumn("tie", F.xxhash64("page_id", "url", "html"))
+    sizes = (rows.groupBy("host").agg(F.sum(F.length("html").cast("long")).alias("chars")).where(F.col("chars") > group_chars)
+             .select(F.col("host").alias("h"), F.ceil(F.col("chars") / (BUCKET_GROUPS * group_chars)).alias("buckets")))
     sizes = write_table(sizes, "hosts")
-    # few large hosts: broadcast, and pages move once, to their group; the group is one key of
-    # its own, so that pages never stay where a join by host has put them
-    large = F.broadcast(sizes) if is_broadcastable(sizes.count()) else sizes
-    part = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.coalesce("groups", F.lit(1)))
-    dealt = rows.join(large, F.col("host") == F.col("h"), "left").withColumn("deal", F.concat_ws(" ", part.cast("string"), "host"))
-    return (dealt.select("page_id", "url", "html", "deal").groupBy("deal")
-            .applyInPandas(_extract, "page_id long, url string, text string, n_chars long"))
+    large = sizes.count()
+    schema = "page_id long, url string, text string, n_chars long"
+    if not large:
+        return rows.select("page_id", "url", "html", "tie", "host").groupBy("host").applyInPandas(_extract, schema)
+    sizes = F.broadcast(sizes) if is_broadcastable(large) else sizes
+    small = (rows.join(sizes, F.col("host") == F.col("h"), "left_anti").select("page_id", "url", "html", "tie", "host")
+             .groupBy("host").applyInPandas(_extract, schema))
+    return small.union(_large_hosts(rows.join(sizes, F.col("host") == F.col("h")).drop("h")))

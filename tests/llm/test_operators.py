@@ -292,6 +292,35 @@ def test_copies_of_pages_without_article_keep_their_text(spark):
     assert [out[30 + k] for k in range(6)] == [words(f"c{k}", 30) for k in range(6)] and out[40] == f"{words('c0', 30)}\ntail"
 
 
+def test_texts_do_not_depend_on_how_a_host_is_dealt(spark):
+    rng = random.Random(8)
+    words = lambda name, n=40: " ".join(f"{name}w{k}" for k in range(n))
+    notice = "we moved our shop to the new house beside the old harbour"
+    rows = []
+    for host in ("a", "b", "c"):
+        menu = f"<nav><p>{words(host + 'menu', 12)}</p><p>{notice}</p></nav>" if host != "b" else ""
+        shared = [words(f"{host}s{k}", 15) for k in range(4)]
+        for i in range(14):
+            parts = [words(f"{host}{i}p{k}", rng.randint(9, 30)) for k in range(4)]
+            if rng.random() < 0.5:
+                parts.insert(rng.randrange(4), rng.choice(shared))
+            if rng.random() < 0.4:
+                parts.append(notice)
+            if host == "c":
+                parts.insert(0, words("template", 25))
+            inner = "".join(f"<p>{p}</p>" for p in parts)
+            body = f"<article>{inner}</article>" if rng.random() < 0.5 else inner
+            rows.append((len(rows), f"https://{host}.example/{i}", menu + body))
+            for _ in range(rng.choice([0, 0, 1, 2])):   # near copies, some in other markup
+                rows.append((len(rows), f"https://{host}.example/{len(rows)}", menu + body.replace(parts[1], words(f"new{len(rows)}", 12))))
+        rows += [rows[-1], (None, f"https://{host}.example/", menu), (None, f"https://{host}.example/", menu), (len(rows), None, menu + notice)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = lambda **how: sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in html_extract.extract_pages(pages, **how).collect())
+    whole = text()
+    assert len(whole) == len(rows)
+    assert text(group_chars=300) == whole and text(group_chars=15_000) == whole
+
+
 def test_void_and_unclosed_elements_do_not_cut_the_page():
     texts = lambda source: [text for _, text in html_extract.page_blocks(source)]
     assert texts("<article><p>before<embed src='a.swf'><p>after</article><p>end") == ["before", "after", "end"]
