@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import boxed, is_broadcastable, key_columns, write_table
+from tallyspark.llm.common import boxed, is_broadcastable, key_columns, small_batches, write_table
 from tallyspark.llm.components import connected_components
 from tallyspark.llm.wordio import mix, split_words, text_slices, word_hashes
 
@@ -398,6 +398,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 
 def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """``near_duplicates`` with the hash of each row's text."""
+    # all steps that send rows to workers are written inside; what is returned has joins only
+    with small_batches(docs.sparkSession):
+        return _joined(docs, k, num, den)
+
+
+def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = write_table(_set_table(docs, k, num, den), "sets")
     classes = write_table(sets.where("n > 0").groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))

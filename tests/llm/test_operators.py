@@ -531,6 +531,25 @@ def test_similarity_join_equals_all_pairs(spark, monkeypatch, k, num, den, commo
     assert got == _components(rows, k, num, den)
 
 
+def test_similarity_join_sends_texts_to_workers_in_small_batches(spark, monkeypatch):
+    seen, write = [], jaccard_join.write_table
+
+    def batch_rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    def watched(df, name):   # what a worker gets while the join writes its tables
+        seen.append(max(r.n for r in docs.mapInArrow(batch_rows, "n long").collect()))
+        return write(df, name)
+
+    docs = spark.createDataFrame([(i, f"a{i} b c d " * 10_000) for i in range(100)], "doc_id long, text string").coalesce(1).cache()
+    monkeypatch.setattr(jaccard_join, "write_table", watched)
+    out = jaccard_join.near_duplicates(docs, 4, 85, 100)
+    assert max(seen) * 100_000 < 6_000_000   # of 11 MB in the one partition
+    assert out.count() == 100 and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+    docs.unpersist()
+
+
 @pytest.mark.parametrize("block_rows, block_shingles", [(2_000, 2_000_000), (60, 2_000_000), (2_000, 5_000)])
 def test_similarity_join_of_a_family_just_under_the_threshold(spark, monkeypatch, block_rows, block_shingles):
     monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", block_rows)
