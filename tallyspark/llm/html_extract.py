@@ -289,13 +289,15 @@ def _extract(group: pd.DataFrame) -> pd.DataFrame:
 
 
 # ---- hosts of more than a task: runs as hashes, counted over the host by joins ----------
-_SEGMENT = np.dtype([("tie", "<i8"), ("kind", "u1"), ("n", "<u4")])   # a page's runs of a kind in a bucket
+#: A page's runs of a kind in a bucket, with the page's place and the digest of its text outside chrome.
+_SEGMENT = np.dtype([("tie", "<i8"), ("no_id", "u1"), ("page_id", "<i8"), ("digest", "S16"), ("kind", "u1"), ("n", "<u4")])
 #: Kinds: text of an article, chrome, open text beside an article, open text of a page without one.
 IN_ARTICLE, IN_CHROME, BESIDE, ALONE = range(4)
 _IS_CONTENT = np.array([True, False, False, True])   # what may be kept
 _LOW = np.uint64((1 << 48) - 1)
 _RUNS_SCHEMA = "host string, bucket long, tie long, page_id long, articled boolean, n long, digest binary, segments binary, runs binary"
-_FOUND_SCHEMA = "host string, tie long, page_id long, articled boolean, n long, digest binary, run long, chrome boolean, wanted boolean"
+_FOUND_SCHEMA = ("host string, tie long, page_id long, articled boolean, n long, digest binary, run long, chrome boolean, "
+                 "first long, first_article long, shown long")
 
 
 def _stream(pages: list[list[tuple[int, str]]], run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -330,7 +332,8 @@ def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(start, stop - start)
             blocks_of = [page_blocks(h) for h in part.column("html").to_pylist()]
             hosts, ties, ids = (part.column(c).to_pylist() for c in ("host", "tie", "page_id"))
-            tie, buckets = np.array(ties, dtype=np.int64), np.array(part.column("buckets").to_pylist(), dtype=np.int64)
+            tie, page_id = np.array(ties, dtype=np.int64), np.array([i or 0 for i in ids], dtype=np.int64)
+            buckets = np.array(part.column("buckets").to_pylist(), dtype=np.int64)
             articled = np.array([any(z == ARTICLE for z, _ in b) for b in blocks_of], dtype=bool)
             value, starts, page_of, first = _stream(blocks_of)
             sizes = np.diff(first)
@@ -352,7 +355,9 @@ def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = np.ascontiguousarray(low[order]).view(np.uint8).reshape(-1, 8)[:, :6]
             at = np.flatnonzero((np.diff(group, prepend=-1) != 0) | (np.diff(inner, prepend=-1) != 0))
             segments = np.empty(len(at), dtype=_SEGMENT)
-            segments["tie"], segments["kind"], segments["n"] = tie[inner[at] // 4], inner[at] % 4, np.diff(np.append(at, len(group)))
+            of, segments["kind"], segments["n"] = inner[at] // 4, inner[at] % 4, np.diff(np.append(at, len(group)))
+            segments["tie"], segments["page_id"], segments["no_id"] = tie[of], page_id[of], np.array([i is None for i in ids])[of]
+            segments["digest"] = np.array([d or b"" for d in digests], dtype="S16")[of]
             new = np.flatnonzero(np.diff(group[at], prepend=-1) != 0)
             for a, b in zip(new.tolist(), [*new[1:].tolist(), len(at)]):
                 low_at, high_at = int(at[a]), int(at[b]) if b < len(at) else len(group)
@@ -363,13 +368,14 @@ def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_runs(g: pa.Table) -> pa.Table:
-    """The pages of a bucket as they are, and its runs that stand on several pages, on one of
-    them as content: a row for each page, ``n`` times as content and whether in chrome.  Runs
-    neither in chrome nor on a page without article (not ``wanted``) matter for copies only."""
+    """The pages of a bucket as they are; the runs that stand on several pages, on one of them as
+    content and on one in chrome or on a page without article: a row for each page, ``n`` times
+    as content and whether in chrome; and what pages' content shares with earlier pages."""
     host, bucket = g["host"][0].as_py(), g["bucket"][0].as_py()
     of_page = pc.is_null(g["segments"])
+    longs = [(c, pa.int64()) for c in ("first", "first_article", "shown")]
     schema = pa.schema([("host", pa.string()), ("tie", pa.int64()), ("page_id", pa.int64()), ("articled", pa.bool_()), ("n", pa.int64()),
-                        ("digest", pa.binary()), ("run", pa.int64()), ("chrome", pa.bool_()), ("wanted", pa.bool_())])
+                        ("digest", pa.binary()), ("run", pa.int64()), ("chrome", pa.bool_()), *longs])
 
     def table(n: int, columns: dict) -> pa.Table:
         return pa.table([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
@@ -405,46 +411,81 @@ def _shared_runs(g: pa.Table) -> pa.Table:
     run_at = np.flatnonzero(new_run[first])
     pages_of = np.diff(np.append(run_at, len(first)))
     wanted = np.repeat(np.add.reduceat(((kind == IN_CHROME) | (kind == ALONE)).astype(np.int64), first[run_at]) > 0, pages_of)
-    keep = np.repeat((pages_of > 1) & (np.add.reduceat(n, run_at) > 0), pages_of)
-    first = first[keep]
-    runs = table(len(first), {"host": pa.array([host] * len(first), pa.string()), "tie": pa.array(ties[at[first]], pa.int64()),
-                              "n": pa.array(n[keep], pa.int64()), "run": pa.array((bucket << 48) | run[first], pa.int64()),
-                              "chrome": pa.array(chrome[keep], pa.bool_()), "wanted": pa.array(wanted[keep], pa.bool_())})
-    return pa.concat_tables([pages, runs])
-
-
-def _class_links(pages: DataFrame, runs: DataFrame, totals: DataFrame) -> DataFrame:
+    keep = wanted & np.repeat((pages_of > 1) & (np.add.reduceat(n, run_at) > 0), pages_of)
+    of = first[keep]
+    runs = table(len(of), {"host": pa.array([host] * len(of), pa.string()), "tie": pa.array(ties[at[of]], pa.int64()),
+                           "n": pa.array(n[keep], pa.int64()), "run": pa.array((bucket << 48) | run[of], pa.int64()),
+                           "chrome": pa.array(chrome[keep], pa.bool_())})
+    earlier = _earlier_pages(segments[once], page[once], run[first], at[first], n)
+    earlier = table(len(earlier), {"host": pa.array([host] * len(earlier), pa.string()), "articled": pa.array(earlier["articled"]),
+                                   **{c: pa.array(ties[earlier[c]], pa.int64()) for c in ("tie", "first")},
+                                   "first_article": pa.array(ties[earlier["first_article"]], pa.int64(), mask=earlier["first_article"].to_numpy() < 0),
+                                   **{c: pa.array(earlier[c], pa.int64()) for c in ("n", "shown")}})
+    return pa.concat_tables([pages, runs, earlier])
+
+
+def _earlier_pages(segments: np.ndarray, page: np.ndarray, run: np.ndarray, at: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    """For the content runs that pages of distinct text share, counted together for each page
+    (``tie``): first page and first page with an article (-1: none) that have them, how many
+    pages show them, and ``n``, how often they stand on the page.  Pages are numbers.
+
+    ``segments`` are those of the numbers ``page``; run ``run`` stands ``n`` times as content on
+    page ``at`` (ascending runs).  Pages of equal text have the same runs, so a bucket sees all
+    of them: the first speaks for the others.
+    """
+    pages = int(page.max()) + 1
+    of = np.zeros(pages, dtype=np.int64)
+    of[page] = np.arange(len(segments))
+    content = np.flatnonzero(_IS_CONTENT[segments["kind"]])
+    of[page[content]] = content
+    mine = segments[of]
+    in_order = np.lexsort((mine["tie"], mine["page_id"], mine["no_id"]))
+    rank = np.empty(pages, dtype=np.int64)
+    rank[in_order] = np.arange(pages)
+    speaks = np.zeros(pages, dtype=bool)
+    speaks[in_order[np.unique(mine["digest"][in_order], return_index=True)[1]]] = True
+    articled = mine["kind"] == IN_ARTICLE
+    entry = np.flatnonzero((n > 0) & speaks[at])
+    start = np.flatnonzero(np.diff(run[entry], prepend=-1) != 0)
+    size = np.diff(np.append(start, len(entry)))
+    several = np.repeat(size > 1, size)
+    entry, size = entry[several], size[size > 1]
+    start = np.cumsum(size) - size
+    place = rank[at[entry]]
+    first = np.minimum.reduceat(place, start) if len(start) else start
+    first_article = np.minimum.reduceat(np.where(articled[at[entry]], place, pages), start) if len(start) else start
+    rows = pd.DataFrame({"tie": at[entry], "first": np.repeat(in_order[first], size),
+                         "first_article": np.repeat(np.append(in_order, -1)[first_article], size), "shown": np.repeat(size, size), "n": n[entry]})
+    rows = rows.groupby(["tie", "first", "first_article", "shown"], as_index=False, sort=False)["n"].sum()
+    return rows.assign(articled=articled[rows["tie"].to_numpy(np.int64)])
+
+
+def _class_links(pages: DataFrame, earlier: DataFrame, totals: DataFrame) -> DataFrame:
     """(a, b): pages of distinct text and the earlier page that most of their content runs first
     stand on.  Open runs that most pages show are a template, which counts only where nearly
     all of a page stands on the earlier one."""
-    place = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "tie")
-    rows = (runs.where("n > 0").select("host", "run", "tie", "n")
-            .join(pages.where("tie = same").select("tie", "page_id", "articled", F.col("n").alias("runs")), "tie")
-            .withColumn("place", place))
-    shown = (rows.groupBy("host", "run").agg(F.count("*").alias("shown"), F.min("place").alias("first"),
-                                             F.min(F.when(F.col("articled"), F.col("place"))).alias("first_article"))
-             .where("shown > 1").join(F.broadcast(totals), "host")
-             .select("host", "run", "first", "first_article", ((F.col("shown") >= SITE_PAGES) & (2 * F.col("shown") > F.col("texts"))).alias("template")))
-    rows = write_table(rows.join(shown, ["host", "run"])
-                       .withColumn("skipped", F.col("template") & ~F.col("articled"))
-                       .withColumn("first_other", F.when(F.col("template"), F.col("first_article")).otherwise(F.col("first"))), "shown")
+    rows = (earlier.join(F.broadcast(totals), "host")
+            .withColumn("template", (F.col("shown") >= SITE_PAGES) & (2 * F.col("shown") > F.col("texts")))
+            .withColumn("skipped", F.col("template") & ~F.col("articled"))
+            .withColumn("other", F.when(F.col("template"), F.col("first_article")).otherwise(F.col("first"))))
+    own = pages.where("tie = same").select("tie", F.col("n").alias("runs"))
     skipped = rows.where("skipped").groupBy("tie").agg(F.sum("n").alias("of_template"))
-    most = (rows.where("NOT skipped AND first_other.tie <> tie").groupBy("tie", F.col("first_other").alias("other"))
-            .agg(F.sum("n").alias("n"), F.first("runs").alias("runs")).join(skipped, "tie", "left")
-            .where(2 * F.col("n") > F.col("runs") - F.coalesce("of_template", F.lit(0))))
-    nearly = (rows.where("NOT articled AND first.tie <> tie").groupBy("tie", F.col("first").alias("other"))
-              .agg(F.sum("n").alias("n"), F.first("runs").alias("runs")).where("8 * n > 7 * runs"))
-    return (most.select("tie", "other").union(nearly.select("tie", "other")).groupBy("tie").agg(F.min("other").alias("other"))
-            .select(F.col("tie").alias("a"), F.col("other.tie").alias("b")))
+    most = (rows.where("NOT skipped AND other <> tie").groupBy("tie", "other").agg(F.sum("n").alias("n"))
+            .join(own, "tie").join(skipped, "tie", "left").where(2 * F.col("n") > F.col("runs") - F.coalesce("of_template", F.lit(0))))
+    nearly = (rows.where("NOT articled AND first <> tie").groupBy("tie", F.col("first").alias("other")).agg(F.sum("n").alias("n"))
+              .join(own, "tie").where("8 * n > 7 * runs"))
+    place = pages.select(F.col("tie").alias("other"), F.struct(F.col("page_id").isNull().alias("last"), "page_id", "tie").alias("place"))
+    return (most.select("tie", "other").union(nearly.select("tie", "other")).join(place, "other")
+            .groupBy("tie").agg(F.min("place").alias("place")).select(F.col("tie").alias("a"), F.col("place.tie").alias("b")))
 
 
 def _large_hosts(rows: DataFrame) -> DataFrame:
     """``extract_pages`` of rows with their host's number of buckets."""
     found = write_table(rows.select("host", "buckets", "tie", "page_id", "html").mapInArrow(_page_runs, _RUNS_SCHEMA)
                         .groupBy("host", "bucket").applyInArrow(_shared_runs, _FOUND_SCHEMA), "runs")
-    runs = found.where("run IS NOT NULL").select("host", "run", "tie", "n")
-    wanted = found.where("run IS NOT NULL AND wanted").select("host", "run", "tie", "n", "chrome")
-    pages = (found.where("run IS NULL").groupBy("host", "tie")
+    wanted = found.where("run IS NOT NULL").select("host", "run", "tie", "n", "chrome")
+    earlier = found.where("first IS NOT NULL").select("host", "tie", "articled", "first", "first_article", "shown", "n")
+    pages = (found.where("run IS NULL AND first IS NULL").groupBy("host", "tie")
              .agg(*(F.first(c).alias(c) for c in ("page_id", "articled", "n", "digest")), F.count("*").alias("rows")))
     # pages of equal text outside chrome are one text; a page with none is a text for each of its rows
     place = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "tie")
@@ -453,7 +494,7 @@ def _large_hosts(rows: DataFrame) -> DataFrame:
         "host", "tie", "page_id", "articled", "n", F.coalesce("first.tie", "tie").alias("same"),
         F.when(F.col("digest").isNull(), F.col("rows")).otherwise(1).alias("weight")), "pages")
     totals = pages.where("tie = same").groupBy("host").agg(F.sum("weight").alias("texts"))
-    links = write_table(_class_links(pages, runs, totals), "copies")
+    links = write_table(_class_links(pages, earlier, totals), "copies")
     classes = pages.select("host", "tie", "articled", F.col("same").alias("class"), "weight")
     if not links.isEmpty():
         labels = connected_components(links)

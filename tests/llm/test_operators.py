@@ -321,6 +321,20 @@ def test_texts_do_not_depend_on_how_a_host_is_dealt(spark):
     assert text(group_chars=300) == whole and text(group_chars=15_000) == whole
 
 
+@pytest.mark.parametrize("words", [60, 600])
+def test_copies_of_a_host_are_told_by_rows_for_pages_not_for_runs(words):
+    shared = " ".join(f"w{k}" for k in range(words))
+    own = [f"<article><p>{shared}</p><p>{' '.join(f'p{i % 3}q{k}' for k in range(9 * (i % 3)))}</p></article>" for i in range(30)]
+    rows = pa.table({"host": ["h"] * 30, "buckets": pa.array([1] * 30, pa.int64()), "tie": pa.array(range(100, 130), pa.int64()),
+                     "page_id": pa.array([None, *range(29)], pa.int64()), "html": own})
+    found = html_extract._shared_runs(pa.Table.from_batches(list(html_extract._page_runs(iter(rows.to_batches())))))
+    assert found.num_rows <= 2 * 30
+    told = [r for r in found.to_pylist() if r["page_id"] is None and r["digest"] is None]
+    # three texts, the first page (of the smallest id) of each speaks; the page without id is last and is no first
+    assert sorted((r["tie"], r["first"], r["first_article"], r["shown"], r["n"]) for r in told) == [
+        (101, 101, 101, 3, words - 7), (102, 101, 101, 3, words - 7), (103, 101, 101, 3, words - 7)]
+
+
 def test_void_and_unclosed_elements_do_not_cut_the_page():
     texts = lambda source: [text for _, text in html_extract.page_blocks(source)]
     assert texts("<article><p>before<embed src='a.swf'><p>after</article><p>end") == ["before", "after", "end"]
