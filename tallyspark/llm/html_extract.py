@@ -10,8 +10,10 @@
    suffixes by their first ``RUN`` words, and equal runs on distinct pages are the
    repeated substrings; overlapping runs join to long ones.  On a larger host the runs, as
    64-bit hashes, are dealt by hash to buckets instead, each a task that finds the runs of
-   several pages; copies, templates and site notices are then counted over the whole host by
-   joins, and the runs that count go back to the pages.  Both ways give the same texts.
+   several pages and sums what a page shares with which earlier page; copies, templates and
+   site notices are then counted over the whole host by joins of these sums and of the runs
+   that can decide about text, and those that count go back to the pages.  Both ways give the
+   same texts.
 3. Words that such runs cover are boilerplate candidates.  Pages that share most of their
    article, or without article most of their open text, (copies) count as one page, so copies
    do not make each other's text boilerplate.  Open runs of more than half of the host's
