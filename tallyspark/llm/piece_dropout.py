@@ -7,7 +7,8 @@ gives the same ids, on any number of tasks and after any retry.  An occurrence's
 hash of its document's key and its position, so every occurrence draws for itself.  A
 worker's cache, bounded in bytes, holds every word's ids and agenda without skips: an
 occurrence that skips none of that agenda takes those ids, and the others are merged once
-each, many at a time, drawing as they go.  ``variants`` (default: none) draws
+each, many at a time, drawing as they go.  What the characters of a word join to is looked up
+once for all its occurrences in a slice.  ``variants`` (default: none) draws
 only that many segmentations of a word.  With ``dropout`` 0 the ids are the library's.
 
 Characters without a piece fall back to byte pieces, also the library's space mark
@@ -21,13 +22,13 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
@@ -37,12 +38,13 @@ SPACE = "▁"     # the library's mark for a space
 _RAW_MARK = ""         # no word is empty: stands for a literal U+2581, never leaves the encoder
 CACHE_BYTES = 40_000_000   # of a worker's nodes, checked before every slice
 NODE_BYTES = 250           # of a node besides its ids and spans, about
-SLICE_BYTES = 1_000_000    # of text encoded at a time
+SLICE_BYTES = 2_000_000    # of text encoded at a time
 SHORT = 64             # characters up to which words are merged many at a time
-MERGE_CELLS = 200_000  # characters of words merged together, about
-_NEVER = 1 << 62       # place on the agenda of what is no candidate
-_COLUMN_BITS = 8       # of a place: the character at which the candidate starts, at most SHORT + 1
-_COLUMN_MASK = (1 << _COLUMN_BITS) - 1
+MERGE_CELLS = 50_000   # characters of words merged together, about: their arrays stay in a core's cache
+STEPS = 16             # candidates of all occurrences looked at one after the other, further ones together
+_NEVER = 1 << 62       # on the agenda: no candidate
+_ORDER_AT, _LEFT_AT = 40, 32   # bits of an offer: its order, the cell where it starts (at most SHORT + 1), the joined piece
+_LEFT_MASK, _PIECE_MASK = (1 << _ORDER_AT - _LEFT_AT) - 1, (1 << _LEFT_AT) - 1
 _M64 = (1 << 64) - 1
 
 _CODECS: dict[tuple, "PieceTable"] = {}
@@ -85,10 +87,14 @@ class PieceTable:
                 self.rank[piece], self.ids[piece] = -processor.get_score(i), i
                 text = piece.replace(SPACE, " ").encode()
             self.decoded.append(text)
+        self.decoded_array = pa.array(self.decoded, pa.large_binary())
 
     def decode(self, ids: np.ndarray) -> str:
-        table = self.decoded
-        text = b"".join([table[i] for i in ids.tolist()]).decode("utf-8", errors="replace")
+        if not len(ids):
+            return ""
+        found = self.decoded_array.take(pa.array(ids))
+        ends = np.frombuffer(found.buffers()[1], dtype=np.int64)[found.offset:found.offset + len(found) + 1]
+        text = str(memoryview(found.buffers()[2])[ends[0]:ends[-1]], "utf-8", errors="replace") if ends[-1] else ""
         return text[1:] if text.startswith(" ") else text  # the mark put before every text
 
 
@@ -98,8 +104,8 @@ class PieceCodec(PieceTable):
         self.seed, self.limit, self.variants = seed, int(dropout * (1 << 32)), variants
         joined = "".join(p for p in self.rank if len(p) > 1)
         # no piece joins a character to a space mark after it, nor any of these to a neighbour
-        alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in joined)
-        self.word = re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.alone = np.zeros(256, dtype=bool)
+        self.alone[[ord(c) for c in "\n\t\r\x0b\x0c" if c not in joined]] = True
         self._index_pairs()
         self._forget()
 
@@ -115,7 +121,7 @@ class PieceCodec(PieceTable):
     def _index_pairs(self) -> None:
         """Arrays for many words at once: an id for every character (those without a piece lie
         above the vocabulary) and a hash table (open addressing, at most a quarter full) of
-        the pairs of pieces that join to a piece, with that piece and its place on the agenda."""
+        the pairs of pieces that join to a piece, with its order on the agenda and that piece."""
         size = len(self.decoded)
         self.char_id = np.arange(size, size + 0x110000, dtype=np.int64)
         self.edge = size + 0x110000  # beside a word: joins with nothing
@@ -130,37 +136,36 @@ class PieceCodec(PieceTable):
         bits = max(4, (4 * len(pairs)).bit_length())
         self.pair_shift, mask = np.uint64(64 - bits), (1 << bits) - 1
         self.pair_key = np.full(1 << bits, -1, dtype=np.int64)
-        self.pair_order = np.full(1 << bits, _NEVER, dtype=np.int64)
-        self.pair_id = np.full(1 << bits, -1, dtype=np.int64)
+        self.pair_offer = np.full(1 << bits, _NEVER, dtype=np.int64)
         slot, left = self._slot(keys), np.arange(len(keys))
         while len(left):
             free = left[self.pair_key[slot[left]] < 0]
             self.pair_key[slot[free]] = keys[free]
             put = self.pair_key[slot[left]] == keys[left]
             at = left[put]
-            self.pair_order[slot[at]] = order[at] << _COLUMN_BITS
-            self.pair_id[slot[at]] = [pairs[i][2] for i in at.tolist()]
+            self.pair_offer[slot[at]] = order[at] << _ORDER_AT | np.array([pairs[i][2] for i in at.tolist()], dtype=np.int64)
             left = left[~put]
             slot[left] = (slot[left] + 1) & mask
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.pair_shift).astype(np.int64)
+            return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.pair_shift).view(np.int64)
 
-    def _offer(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place on the agenda, joined piece) of pairs of ids; no candidate: ``_NEVER``."""
-        key = left * (self.edge + 1) + right
+    def _offer(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Offers (order on the agenda, joined piece) of pairs of ids; no candidate: ``_NEVER``."""
+        key = left.astype(np.int64) * (self.edge + 1) + right
         slot = self._slot(key)
-        found = self.pair_key[slot]
+        found = self.pair_key.take(slot)
         far = np.flatnonzero((found != key) & (found >= 0))
         while len(far):  # taken by another pair: the next slot
             slot[far] = (slot[far] + 1) & (len(self.pair_key) - 1)
             found[far] = self.pair_key[slot[far]]
             far = far[(found[far] != key[far]) & (found[far] >= 0)]
-        return self.pair_order[slot], self.pair_id[slot]  # an empty slot holds no candidate
+        return self.pair_offer.take(slot)  # an empty slot holds no candidate
 
-    def _merge_many(self, chars: np.ndarray, first: np.ndarray, lengths: np.ndarray, salts: np.ndarray | None):
-        """Ids of many words of similar length, each ``chars[first:first + length]``.
+    def _merge_many(self, flat: tuple[np.ndarray, np.ndarray], first: np.ndarray, lengths: np.ndarray, salts: np.ndarray | None):
+        """Ids of many words of similar length, each ``first`` to ``first + length`` of ``flat``:
+        the ids of characters, and each one's offer with the next.
 
         Every word is a column of arrays with an edge above and below, a cell for each
         character: the piece that starts there, the cells of its neighbours, and its
@@ -171,11 +176,12 @@ class PieceCodec(PieceTable):
         """
         longest, words = int(lengths.max()), len(lengths)
         cell = np.arange(longest + 2)[:, None]
-        pieces = np.where((cell > 0) & (cell <= lengths), self.char_id[chars[np.clip(first + cell - 1, 0, len(chars) - 1)]], self.edge)
+        source = np.clip(first + cell - 1, 0, len(flat[0]) - 1)
+        pieces = np.where((cell > 0) & (cell <= lengths), flat[0].take(source), np.int32(self.edge))
+        agenda = np.where((cell > 0) & (cell < lengths), flat[1].take(source), _NEVER)
+        agenda |= cell << _LEFT_AT        # of equal pieces the leftmost
+        cell = cell.astype(np.int32)
         after, before = np.repeat(cell + 1, words, axis=1), np.repeat(cell - 1, words, axis=1)
-        agenda, joined = np.full(pieces.shape, _NEVER, dtype=np.int64), np.full(pieces.shape, -1, dtype=np.int64)
-        agenda[:-1], joined[:-1] = (x.reshape(longest + 1, words) for x in self._offer(pieces[:-1].reshape(-1), pieces[1:].reshape(-1)))
-        agenda |= cell                    # of equal pieces the leftmost
         rows = np.arange(words)
         ids, sizes, starts, total = [], np.zeros(words, dtype=np.int64), np.zeros(words, dtype=np.int64), 0
         taken, spans = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
@@ -192,39 +198,43 @@ class PieceCodec(PieceTable):
                 total += len(out)
                 if not n:
                     break
-                pieces, after, before, agenda, joined = (np.ascontiguousarray(x[:, live]) for x in (pieces, after, before, agenda, joined))
-                rows, best = rows[live], best[live]
-                salts = salts if salts is None else salts[live]
+                keep = np.flatnonzero(live)
+                pieces, after, before, agenda = (x.take(keep, axis=1) for x in (pieces, after, before, agenda))
+                rows, best = rows[keep], best[keep]
+                salts = salts if salts is None else salts[keep]
                 at = np.arange(n)
             else:
                 at = np.flatnonzero(live)
+                best = best[at]
             wide = len(rows)
-            piece, following, previous, ranks, joins = (x.reshape(-1) for x in (pieces, after, before, agenda, joined))
-            left = best[at] & _COLUMN_MASK
+            piece, following, previous, offers = (x.reshape(-1) for x in (pieces, after, before, agenda))
+            left = best >> _LEFT_AT & _LEFT_MASK
             here = left * wide + at
-            right = following[here]
-            end = following[right * wide + at]
+            right = following.take(here)
+            gone = right * wide + at
+            end = following.take(gone)
             span = self._span(*((x - 1).astype(np.uint64) for x in (left, right, end)))
             if salts is None:
                 taken.append(rows[at])
                 spans.append(span)
             else:
                 skip = self._skipped(salts[at], span)
-                ranks[here[skip]] = _NEVER
-                at, left, here, right, end = (x[~skip] for x in (at, left, here, right, end))
-            gone, beyond = right * wide + at, end * wide + at
-            new = joins[here]
-            piece[here], piece[gone], ranks[gone] = new, -1, _NEVER
+                offers[here[skip]] = _NEVER
+                kept = np.flatnonzero(~skip)
+                at, left, here, gone, end, best = (x.take(kept) for x in (at, left, here, gone, end, best))
+            beyond = end * wide + at
+            new = best & _PIECE_MASK
+            piece[here], piece[gone], offers[gone] = new, -1, _NEVER
             following[here], previous[beyond] = end, left
-            back = previous[here]
+            back = previous.take(here).astype(np.int64)
             behind = back * wide + at
-            order, join = self._offer(np.concatenate([new, piece[behind]]), np.concatenate([piece[beyond], new]))
-            ranks[here], joins[here] = order[:len(at)] | left, join[:len(at)]
-            ranks[behind], joins[behind] = order[len(at):] | back, join[len(at):]
+            found = self._offer(np.concatenate([new, piece.take(behind)]), np.concatenate([piece.take(beyond), new]))
+            offers[here] = found[:len(at)] | left << _LEFT_AT
+            offers[behind] = found[len(at):] | back << _LEFT_AT
         owner = np.concatenate(taken)
-        flat = np.concatenate(spans)[np.argsort(owner, kind="stable")]
         steps = np.bincount(owner, minlength=words)
-        return np.concatenate(ids), starts, sizes, flat, np.cumsum(steps) - steps, steps
+        return (np.concatenate(ids), starts, sizes, np.concatenate(spans)[np.argsort(owner, kind="stable")],
+                np.cumsum(steps) - steps, steps)
 
     @staticmethod
     def _span(left, right, end):
@@ -282,6 +292,9 @@ class PieceCodec(PieceTable):
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
         first = np.cumsum(lengths) - lengths
+        pieces = np.append(self.char_id[chars], self.edge)
+        joins = np.append(self._offer(pieces[:-1], pieces[1:]), _NEVER)
+        both = pieces.astype(np.int32), joins
         quarter = ((lengths + 3) // 4)[codes]
         order = np.argsort(quarter, kind="stable")
         bounds = np.flatnonzero(np.diff(quarter[order], prepend=-1))
@@ -305,7 +318,7 @@ class PieceCodec(PieceTable):
                 step = max(500, MERGE_CELLS // longest)
                 for a in range(low, high, step):
                     at = order[a:min(a + step, high)]
-                    put(at, self._merge_many(chars, first[codes[at]], lengths[codes[at]], salts if salts is None else salts[at]))
+                    put(at, self._merge_many(both, first[codes[at]], lengths[codes[at]], salts if salts is None else salts[at]))
             else:
                 for i in order[low:high].tolist():
                     ids, span = self._merge_long(words[codes[i]], salts if salts is None else int(salts[i]))
@@ -350,12 +363,24 @@ class PieceCodec(PieceTable):
         flat, starts, sizes = _joined([self.node_spans[i] for i in self.roots.tolist()], np.uint64)
         skips = np.zeros(len(node), dtype=bool)
         for a in range(0, len(node), 50_000):
-            code = codes[a:a + 50_000]
-            steps = sizes[code]
+            rows = np.arange(a, min(a + 50_000, len(node)))
+            begin, steps, salt = starts[codes[rows]], sizes[codes[rows]], salts[rows]
+            for step in range(STEPS):
+                on = np.flatnonzero(steps > step)
+                if not len(on):
+                    break
+                rows, begin, steps, salt = (x.take(on) for x in (rows, begin, steps, salt))
+                hit = self._skipped(salt, flat.take(begin + step))
+                skips[rows[hit]] = True
+                steps[hit] = 0
+            on = np.flatnonzero(steps > STEPS)
+            if not len(on):
+                continue
+            rows, begin, steps, salt = rows[on], begin[on] + STEPS, steps[on] - STEPS, salt[on]
             ends = np.cumsum(steps)
-            source = np.repeat(starts[code] - (ends - steps), steps) + np.arange(int(ends[-1]))
-            hit = self._skipped(np.repeat(salts[a:a + 50_000], steps), flat[source])
-            skips[a + np.searchsorted(ends, np.flatnonzero(hit), side="right")] = True
+            source = np.repeat(begin - (ends - steps), steps) + np.arange(int(ends[-1]))
+            hit = self._skipped(np.repeat(salt, steps), flat[source])
+            skips[rows[np.searchsorted(ends, np.flatnonzero(hit), side="right")]] = True
         rows = np.flatnonzero(skips)
         if len(rows):
             node[rows] = len(self.node_ids) + np.arange(len(rows))
@@ -398,28 +423,38 @@ class PieceCodec(PieceTable):
     def _literal_mark(self) -> bytes:
         return array("I", [self.byte_ids[b] for b in SPACE.encode()]).tobytes()
 
+    def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(words per text, the words of all texts in order as positions in the vocabulary, the
+        vocabulary).  A word is one of ``alone``, or spaces with the other characters up to
+        the next space; a literal U+2581 is a word of its own."""
+        marked = [b" " + t.encode() if t else b"" for t in texts]  # the mark put before every text
+        raw = b"".join(marked)
+        data = np.frombuffer(raw, dtype=np.uint8)
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, marked), dtype=np.int64, count=len(marked)))])
+        space, start = data == ord(" "), self.alone[data]
+        start[1:] |= start[:-1] | space[1:] & ~space[:-1]
+        start[bounds[:-1][np.diff(bounds) > 0]] = True
+        sign = np.frombuffer(SPACE.encode(), dtype=np.uint8)
+        literal = np.flatnonzero(data[:-2] == sign[0]) if len(data) > 2 else np.empty(0, np.int64)
+        literal = literal[(data[literal + 1] == sign[1]) & (data[literal + 2] == sign[2])]
+        start[literal] = True
+        start[(literal + 3)[literal + 3 < len(data)]] = True
+        starts = np.flatnonzero(start)
+        coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(raw)).dictionary_encode()
+        vocabulary = pc.replace_substring(coded.dictionary, " ", SPACE).to_numpy(zero_copy_only=False).tolist()
+        if len(literal):
+            vocabulary[coded.dictionary.index(SPACE).as_py()] = _RAW_MARK
+        return np.diff(np.searchsorted(starts, bounds)), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), vocabulary
+
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(offsets, ids)`` of texts; ``keys`` (64 bits each) with the position key every word."""
-        words, counts = [], []
-        for text in texts:
-            parts = re.split(SPACE, text) if SPACE in text else [text]
-            found: list[str] = []
-            for i, part in enumerate(parts):
-                if i:
-                    found.append(_RAW_MARK)
-                marked = part.replace(" ", SPACE)
-                found.extend(self.word.findall(marked if i else SPACE + marked) if text else [])
-            counts.append(len(found))
-            words.extend(found)
-        counts = np.array(counts, dtype=np.int64)
-        coded = pa.array(words, pa.string()).dictionary_encode()
-        codes, vocabulary = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        counts, codes, vocabulary = self._words(texts)
         at = np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
             drawn = mix(np.repeat(keys, counts) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         if self.variants:
             drawn %= np.uint64(self.variants)
-        flat, starts, lengths = self._ids(vocabulary, codes.astype(np.int64), drawn)
+        flat, starts, lengths = self._ids(vocabulary, codes, drawn)
         ends = np.cumsum(lengths)
         source = np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
         return np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])], flat[source]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -198,6 +199,36 @@ def test_an_occurrence_is_merged_once_however_much_it_skips(monkeypatch):
     assert len(words) <= sum(merged) <= 2 * len(words)       # once without skips, once with its own
 
 
+def test_pairs_of_a_word_are_looked_up_once_for_all_its_occurrences(monkeypatch):
+    with open(tokenizer_path(PIECE_BPE), "rb") as f:
+        codec = piece_dropout.PieceCodec(f.read(), seed=3, dropout=0.97)
+    word, n, looked_up, offer = "\u2581understanding", 2000, [], codec._offer
+    monkeypatch.setattr(codec, "_offer", lambda left, right: looked_up.append(len(left)) or offer(left, right))
+    keys = [i * 0x9E3779B97F4A7C15 % (1 << 64) for i in range(n)]
+    got = codec.segments([word] * n, keys)
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got[:50]] == [_plain_agenda(codec, word, np.uint64(k)) for k in keys[:50]]
+    assert sum(looked_up) < n * len(word) / 2                # once for the word, and twice for every merge
+
+
+def test_words_of_texts_equal_a_plain_split():
+    with open(tokenizer_path(PIECE_BPE), "rb") as f:
+        codec = piece_dropout.PieceCodec(f.read())
+    rng = random.Random(7)
+    alone = "".join(c for c in "\n\t\r\x0b\x0c" if not any(c in p for p in codec.rank if len(p) > 1))
+    plain = re.compile(f"[{alone}]|\u2581+[^\u2581{alone}]*|[^\u2581{alone}]+")
+    samples = ["", " ", "\u2581", "\u2581\u2581", "  a \u2581 b\n \n", "\u2580\u2582\U0001f389", "", "\n"]
+    samples += ["".join(rng.choice(" \n\t\r\x0b\x0cab\u2581\u2580\u00e9\x00\U0001f389") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    counts, codes, vocabulary = codec._words(samples)
+    at = 0
+    for text, n in zip(samples, counts):
+        want = []
+        for i, part in enumerate(text.split("\u2581") if text else []):
+            want += [piece_dropout._RAW_MARK] * (i > 0) + plain.findall((part if i else " " + part).replace(" ", "\u2581"))
+        assert [vocabulary[c] for c in codes[at:at + n]] == want
+        at += n
+    assert at == len(codes) and len(set(vocabulary)) == len(vocabulary)
+
+
 def test_any_text_decodes_to_itself():
     with open(tokenizer_path(PIECE_BPE), "rb") as f:
         codec = piece_dropout.PieceCodec(f.read(), seed=2, dropout=0.3)
